@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUITES = ["wire"]
+SUITES = ["wire", "cleaning", "scalars", "windows", "edges", "joins", "metrics"]
 
 
 def load_suite():
