@@ -86,22 +86,17 @@ class _ForestParams(Params):
         Params._dummy(), "norm", "size that normalises scores: training sample or scored dataset", TypeConverters.toString
     )
 
-    def _check(self):
-        get = self.getOrDefault
+    def _set(self, **kwargs):
         for name in ("numTrees", "maxSamples", "maxFeatures", "maxDepth"):
-            if get(name) <= 0:
+            if kwargs.get(name, 1) <= 0:
                 raise ValueError(f"{name} must be > 0")
-        if not 0 < get("contamination") <= 1:
+        if not 0 < kwargs.get("contamination", 0.1) <= 1:
             raise ValueError("contamination must be in (0, 1]")
-        if not 0 <= get("approxQuantileRelativeError") <= 1:
+        if not 0 <= kwargs.get("approxQuantileRelativeError", 0.0) <= 1:
             raise ValueError("approxQuantileRelativeError must be in [0, 1]")
-        if get("norm") not in ("sample", "dataset"):
+        if kwargs.get("norm", "sample") not in ("sample", "dataset"):
             raise ValueError("norm must be sample or dataset")
-
-    def _set(self, **kwargs):
-        out = super()._set(**kwargs)
-        self._check()
-        return out
+        return super()._set(**kwargs)
 
     def _forest_defaults(self):
         self._setDefault(
@@ -287,26 +282,30 @@ def _fit_levels(data, total, trees, size, depth, features, bootstrap, seed):
     for level in range(limit + 1):
         if not any(frontier):
             break
-        state = spark.sparkContext.broadcast((splits, frontier))
-
-        def measure(batches, state=state, level=level):
-            splits, frontier = state.value
-            width = 1 << level
+        width = 1 << level
+        feature, value = np.full((trees, width), -1, dtype=np.int32), np.zeros((trees, width))
+        for tree, chosen_splits in enumerate(splits):
+            for node, (f, v) in chosen_splits.items():
+                feature[tree, node], value[tree, node] = f, v
+        state = spark.sparkContext.broadcast((feature, value, [bool(f) for f in frontier]))
+
+        def measure(batches, state=state, level=level, width=width):
+            feature, value, growing = state.value
             low = {}
             for batch in batches:
                 x, ids = matrix(batch.column(0)), batch.column(1).to_numpy()
                 for tree in range(trees):
-                    if not frontier[tree]:
+                    if not growing[tree]:
                         continue
                     copies = _copies(ids, tree, share, bootstrap, seed)
                     at = np.flatnonzero(copies)
                     node = np.ones(len(at), dtype=np.int64)
+                    # Rows that stopped in an earlier leaf keep a number below the level's width.
                     for _ in range(level):
-                        f = np.array([splits[tree].get(n, (-1, 0.0))[0] for n in range(2 * width)])
-                        v = np.array([splits[tree].get(n, (-1, 0.0))[1] for n in range(2 * width)])
-                        inner = f[node] >= 0
-                        left = x[at, np.maximum(f[node], 0)] < v[node]
-                        node = np.where(inner & (node < width), 2 * node + np.where(left, 0, 1), node)
+                        inside = np.minimum(node, width - 1)
+                        f = np.where(node < width, feature[tree][inside], -1)
+                        left = x[at, np.maximum(f, 0)] < value[tree][inside]
+                        node = np.where(f >= 0, 2 * node + np.where(left, 0, 1), node)
                     if tree not in low:
                         low[tree] = [np.full((width, d), np.inf), np.full((width, d), -np.inf), np.zeros(width, dtype=np.int64)]
                     current = node >= width
@@ -329,7 +328,7 @@ def _fit_levels(data, total, trees, size, depth, features, bootstrap, seed):
             F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")
         )
 
-        def choose(pdf, level=level):
+        def choose(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = int(pdf["tree"].iloc[0])
             usable = np.random.default_rng([seed, tree, 2]).permutation(d)[:chosen]
             out = []
