@@ -1,6 +1,596 @@
+"""Dense networks trained in parallel: every partition trains on its rows, deltas are averaged.
+
+A round broadcasts the weights, streams each partition once through mini-batch steps, sums the
+weight deltas in a tree of tasks and hands one averaged delta back. Tasks hold one batch and
+one set of weights, never a partition.
+"""
+
+from __future__ import annotations
+
+import json
+import math
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowguard.functions.scalar import one_hot
+from flowguard.ml.iforest import feature_array, matrix
+from flowguard.operators import metrics as M
+
+# --- registry of activations, losses and tasks ---------------------------------------------------
+
+
+def _softmax(z):
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
+# name -> (function of z, gradient with respect to z given z, a and the gradient of a)
+ACTIVATIONS = {
+    "linear": (lambda z: z, lambda z, a, g: g),
+    "relu": (lambda z: np.maximum(z, 0), lambda z, a, g: g * (z > 0)),
+    "leaky_relu": (lambda z: np.where(z > 0, z, 0.3 * z), lambda z, a, g: g * np.where(z > 0, 1.0, 0.3)),
+    "sigmoid": (lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60))), lambda z, a, g: g * a * (1 - a)),
+    "tanh": (np.tanh, lambda z, a, g: g * (1 - a * a)),
+    "softmax": (_softmax, lambda z, a, g: a * (g - (g * a).sum(axis=1, keepdims=True))),
+}
+
+_EPS = 1e-12
+
+# name -> (loss per row, gradient with respect to the output, both of target y and output p)
+LOSSES = {
+    "mse": (lambda y, p: ((p - y) ** 2).mean(axis=1), lambda y, p: 2 * (p - y) / y.shape[1]),
+    "mae": (lambda y, p: np.abs(p - y).mean(axis=1), lambda y, p: np.sign(p - y) / y.shape[1]),
+    "categorical_crossentropy": (
+        lambda y, p: -(y * np.log(np.maximum(p, _EPS))).sum(axis=1),
+        lambda y, p: -y / np.maximum(p, _EPS),
+    ),
+    "binary_crossentropy": (
+        lambda y, p: -(y * np.log(np.maximum(p, _EPS)) + (1 - y) * np.log(np.maximum(1 - p, _EPS))).mean(axis=1),
+        lambda y, p: (p - y) / np.maximum(p * (1 - p), _EPS) / y.shape[1],
+    ),
+}
+LOSSES["mean_squared_error"] = LOSSES["mse"]
+LOSSES["mean_absolute_error"] = LOSSES["mae"]
+
+# Which losses belong to which task.
+TASKS = {
+    "mean_squared_error": "regression",
+    "mean_absolute_error": "regression",
+    "mse": "regression",
+    "mae": "regression",
+    "cosine_proximity": "regression",
+    "mean_absolute_percentage_error": "regression",
+    "mean_squared_logarithmic_error": "regression",
+    "logcosh": "regression",
+    "binary_crossentropy": "classification",
+    "categorical_crossentropy": "classification",
+    "sparse_categorical_crossentropy": "classification",
+}
+
+
+def task_of(loss) -> str | None:
+    return TASKS.get(loss if isinstance(loss, str) else loss.__name__)
+
+
+def register_activation(name: str, function, gradient) -> None:
+    ACTIVATIONS[name] = (function, gradient)
+
+
+def register_loss(name: str, per_row, gradient, task: str) -> None:
+    LOSSES[name] = (per_row, gradient)
+    TASKS[name] = task
+
+
+# --- the network ---------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Layer:
+    units: int
+    activation: str = "linear"
+    dropout: float = 0.0
+
+
+Weights = list[np.ndarray]
+
+
+@dataclass
+class Net:
+    """Layer shapes and weights [W1, b1, W2, b2, ...]; small, and shipped to tasks as a whole."""
+
+    inputs: int
+    layers: list[Layer]
+    weights: Weights = field(default_factory=list)
+
+    def __post_init__(self):
+        self.functions = [ACTIVATIONS[layer.activation] for layer in self.layers]
+
+    def initialise(self, seed: int = 1) -> "Net":
+        rng, self.weights, width = np.random.default_rng(seed), [], self.inputs
+        for layer in self.layers:
+            bound = math.sqrt(6 / (width + layer.units))
+            self.weights += [rng.uniform(-bound, bound, (width, layer.units)), np.zeros(layer.units)]
+            width = layer.units
+        return self
+
+    def plain(self) -> tuple:
+        """Numbers and names only, for broadcasting."""
+        return self.inputs, [(la.units, la.activation, la.dropout) for la in self.layers], self.weights
+
+    @staticmethod
+    def of(plain: tuple) -> "Net":
+        inputs, layers, weights = plain
+        return Net(inputs, [Layer(*spec) for spec in layers], weights)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        for i, (f, _) in enumerate(self.functions):
+            x = f(x @ self.weights[2 * i] + self.weights[2 * i + 1])
+        return x
+
+    def gradients(self, x, y, loss, rng) -> tuple[float, Weights]:
+        """Summed loss and mean gradients of one mini-batch."""
+        tape, a = [], x
+        for i, (layer, (f, _)) in enumerate(zip(self.layers, self.functions)):
+            z = a @ self.weights[2 * i] + self.weights[2 * i + 1]
+            out = f(z)
+            keep = None
+            if layer.dropout:
+                keep = (rng.random(out.shape) >= layer.dropout) / (1 - layer.dropout)
+            tape.append((a, z, out, keep))
+            a = out if keep is None else out * keep
+        per_row, slope = loss
+        grad = slope(y, a) / len(x)
+        result: Weights = []
+        for i in reversed(range(len(self.layers))):
+            a_in, z, out, keep = tape[i]
+            if keep is not None:
+                grad = grad * keep
+            grad = self.functions[i][1](z, out, grad)
+            result = [a_in.T @ grad, grad.sum(axis=0), *result]
+            grad = grad @ self.weights[2 * i].T
+        return float(per_row(y, a).sum()), result
+
+
+class _Optimizer:
+    def __init__(self, name: str, rate: float):
+        self.name, self.rate, self.step = name, rate, 0
+        self.first: Weights | None = None
+        self.second: Weights | None = None
+
+    def apply(self, weights: Weights, grads: Weights) -> None:
+        if self.name == "sgd":
+            for w, g in zip(weights, grads):
+                w -= self.rate * g
+            return
+        if self.first is None:
+            self.first, self.second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+        self.step += 1
+        for w, g, m, v in zip(weights, grads, self.first, self.second):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            w -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-7)
+
+
+def _pack(weights: Weights) -> bytes:
+    return np.concatenate([w.ravel() for w in weights]).tobytes()
+
+
+def _unpack(blob: bytes, like: Weights) -> Weights:
+    flat, out, at = np.frombuffer(blob), [], 0
+    for w in like:
+        out.append(flat[at : at + w.size].reshape(w.shape))
+        at += w.size
+    return out
+
+
+_DELTA = "n long, delta binary, history array<struct<part: int, n: long, loss: double>>"
+
+
+def _tree_sum(deltas: DataFrame, parts: int) -> dict | None:
+    """Sum weight deltas in rounds of about sqrt(parts) tasks; one row comes back."""
+
+    def fold(batches):
+        n, total, history = 0, None, []
+        for pdf in batches:
+            for rows, blob, notes in zip(pdf["n"], pdf["delta"], pdf["history"]):
+                flat = np.frombuffer(blob)
+                total = flat.copy() if total is None else total + flat
+                n += rows
+                history += [dict(h) if isinstance(h, dict) else h.asDict() for h in notes]
+        if total is not None:
+            yield pd.DataFrame({"n": [n], "delta": [total.tobytes()], "history": [history]})
+
+    while parts > 16:
+        parts = math.isqrt(parts)
+        deltas = deltas.repartition(parts).mapInPandas(fold, _DELTA)
+    rows = deltas.repartition(1).mapInPandas(fold, _DELTA).collect()
+    return rows[0].asDict(recursive=True) if rows else None
+
+
+def train_round(
+    data: DataFrame, net: Net, loss: str, batch: int, optimizer: str, rate: float, seed: int, keep_last: bool = True,
+    passes: int = 1,
+) -> list[dict]:
+    """One synchronous round over (x, y) array columns; updates ``net`` and returns the loss per partition.
+
+    A partition takes part only if it holds more rows than one batch.
+    """
+    shared = data.sparkSession.sparkContext.broadcast(net.plain())
+    losses = LOSSES[loss]
+
+    def work(batches):
+        from pyspark import TaskContext
+
+        base = Net.of(shared.value)
+        local = Net(base.inputs, base.layers, [w.copy() for w in base.weights])
+        part = TaskContext.get().partitionId()
+        rng = np.random.default_rng([seed, part])
+        steps, seen, total = _Optimizer(optimizer, rate), 0, 0.0
+        left_x = left_y = None
+
+        def step(x, y):
+            value, grads = local.gradients(x, y, losses, rng)
+            steps.apply(local.weights, grads)
+            return value
+
+        for record in batches:
+            x, y = matrix(record.column(0)), matrix(record.column(1))
+            if not len(x):
+                continue
+            seen += len(x)
+            if left_x is not None:
+                x, y = np.concatenate([left_x, x]), np.concatenate([left_y, y])
+            for turn in range(passes):
+                order = rng.permutation(len(x)) if turn == 0 else order[rng.permutation(len(order))]
+                whole = len(order) // batch * batch
+                for at in range(0, whole, batch):
+                    rows = order[at : at + batch]
+                    total += step(x[rows], y[rows])
+                if turn == 0:
+                    left_x, left_y = x[order[whole:]], y[order[whole:]]
+                    order = order[:whole]
+        if seen <= batch:
+            return
+        if keep_last and len(left_x):
+            total += step(left_x, left_y)
+        delta = _pack([(a - b) * seen for a, b in zip(local.weights, base.weights)])
+        yield pa.RecordBatch.from_pylist(
+            [{"n": seen, "delta": delta, "history": [{"part": part, "n": seen, "loss": total / (seen * passes)}]}],
+            schema=pa.schema(
+                [
+                    ("n", pa.int64()), ("delta", pa.binary()),
+                    ("history", pa.list_(pa.struct([("part", pa.int32()), ("n", pa.int64()), ("loss", pa.float64())]))),
+                ]
+            ),
+        )
+
+    summed = _tree_sum(data.mapInArrow(work, _DELTA), data.rdd.getNumPartitions())
+    shared.unpersist()
+    if summed is None:
+        raise ValueError("no partition holds more rows than one batch: lower the batch size or the number of workers")
+    for w, d in zip(net.weights, _unpack(summed["delta"], net.weights)):
+        w += d / summed["n"]
+    return summed["history"]
+
+
+def fit_net(
+    df: DataFrame, net: Net, x: Column, y: Column, loss: str = "mse", epochs: int = 10, batch: int = 32,
+    optimizer: str = "adam", rate: float = 0.001, workers: int | None = None, validation: float = 0.0, seed: int = 1,
+    passes: int = 1, keep_last: bool = True, after_round=None,
+) -> list[dict]:
+    """Train for ``epochs`` rounds; returns per round the mean, per-partition and validation loss."""
+    pairs = df.select(x.cast("array<double>").alias("x"), y.cast("array<double>").alias("y"))
+    held = F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(10_000)) < int(validation * 10_000)
+    data = pairs.filter(~held) if validation else pairs
+    if workers:
+        data = data.repartition(workers)
+    data = data.persist()
+    history = []
+    try:
+        for epoch in range(epochs):
+            parts = train_round(data, net, loss, batch, optimizer, rate, seed + epoch, keep_last, passes)
+            note = {
+                "epoch": epoch, "loss": sum(p["loss"] * p["n"] for p in parts) / sum(p["n"] for p in parts),
+                "partitions": sorted(parts, key=lambda p: p["part"]),
+            }
+            if validation:
+                note["validation_loss"] = evaluate(pairs.filter(held), net, F.col("x"), F.col("y"), loss).first()["loss"]
+            history.append(note)
+            if after_round:
+                after_round(epoch, net)
+    finally:
+        data.unpersist()
+    return history
+
+
+def predict_column(spark: SparkSession, net: Net, x: Column, scalar: bool = False) -> Column:
+    """Network output per row: array<double>, or double for a single regression output."""
+    shared = spark.sparkContext.broadcast(net.plain())
+
+    if scalar:
+
+        @F.arrow_udf(T.DoubleType())
+        def run(x: pa.Array) -> pa.Array:
+            return pa.array(Net.of(shared.value).predict(matrix(x))[:, 0] if len(x) else [], pa.float64())
+
+    else:
+
+        @F.arrow_udf(T.ArrayType(T.DoubleType()))
+        def run(x: pa.Array) -> pa.Array:
+            if not len(x):
+                return pa.array([], pa.list_(pa.float64()))
+            out = Net.of(shared.value).predict(matrix(x))
+            offsets = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    return run(x)
+
+
+def error_column(spark: SparkSession, net: Net, x: Column, kind: str = "mse") -> Column:
+    """Reconstruction error per row, ``mse`` or ``sum_abs``; only the error leaves Python."""
+    shared = spark.sparkContext.broadcast(net.plain())
+
+    @F.arrow_udf(T.DoubleType())
+    def run(x: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.float64())
+        rows = matrix(x)
+        gap = Net.of(shared.value).predict(rows) - rows
+        return pa.array((gap**2).mean(axis=1) if kind == "mse" else np.abs(gap).sum(axis=1))
+
+    return run(x)
+
+
+def evaluate(df: DataFrame, net: Net, x: Column, y: Column, loss: str = "mse") -> DataFrame:
+    """Mean loss (and accuracy for classification), averaged over rows and not over partitions."""
+    shared = df.sparkSession.sparkContext.broadcast(net.plain())
+    loss_of = LOSSES[loss][0]
+
+    @F.arrow_udf(T.DoubleType())
+    def per_row(x: pa.Array, y: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.float64())
+        return pa.array(loss_of(matrix(y), Net.of(shared.value).predict(matrix(x))))
+
+    @F.arrow_udf(T.DoubleType())
+    def right(x: pa.Array, y: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.float64())
+        out = Net.of(shared.value).predict(matrix(x))
+        return pa.array((out.argmax(axis=1) == matrix(y).argmax(axis=1)).astype(float))
+
+    x, y = x.cast("array<double>"), y.cast("array<double>")
+    columns = [F.avg("_loss").alias("loss"), F.count("*").alias("n")]
+    rows = df.select(per_row(x, y).alias("_loss"))
+    if task_of(loss) == "classification":
+        rows = df.select(per_row(x, y).alias("_loss"), right(x, y).alias("_right"))
+        columns.append(F.avg("_right").alias("accuracy"))
+    return rows.agg(*columns)
+
+
+def combined_error(errors: DataFrame, history: str, flow: str) -> DataFrame:
+    """Sum of both views, the flow error scaled by the ratio of the average errors."""
+    ratio = errors.agg((F.avg(history) / F.avg(flow)).alias("_ratio"))
+    joined = errors.join(F.broadcast(ratio))
+    return joined.withColumn("combined", F.col(history) + F.col(flow) * F.col("_ratio")).drop("_ratio")
+
+
+# --- autoencoders --------------------------------------------------------------------------------
+
+# Score cutoffs per view, for batch scoring and for the stream, and of the flow-only model.
+VIEW_CUTOFFS = {"NETFLOW": 5.0033, "ZEEK": 9.6715, "COMBINED": 9.6251}
+STREAM_CUTOFF = 17.0033
+AUTOENCODER_CUTOFF = 0.01
+
+
+def autoencoder_layers(d: int, hidden: tuple[int, ...] = (128, 64, 32)) -> list[Layer]:
+    """Encoder to a quarter of the inputs and a mirrored decoder, leaky rectifiers throughout."""
+    widths = [*hidden, max(d // 4, 1), *reversed(hidden), d]
+    return [Layer(w, "leaky_relu") for w in widths]
+
+
+def fit_autoencoder(df: DataFrame, column: str, hidden=(128, 64, 32), rate: float = 0.0002, **options) -> tuple[Net, list[dict]]:
+    x = feature_array(df, column)
+    d = len(df.select(x.alias("x")).first()["x"])
+    net = Net(d, autoencoder_layers(d, tuple(hidden))).initialise(options.get("seed", 1))
+    return net, fit_net(df, net, x, x, loss="mse", rate=rate, **options)
+
+
+def score_autoencoder(df: DataFrame, net: Net, column: str, cutoff: float = AUTOENCODER_CUTOFF) -> DataFrame:
+    scored = df.withColumn("score", error_column(df.sparkSession, net, feature_array(df, column), "mse"))
+    return scored.withColumn("is_anomalous", F.col("score") > cutoff)
+
+
+def score_two_views(df: DataFrame, flow_net: Net, history_net: Net, flow: str = "flow", history: str = "history") -> DataFrame:
+    """Flow, history and combined errors with their flags (at or above the cutoff)."""
+    spark = df.sparkSession
+    errors = df.withColumns(
+        {
+            "flow_error": error_column(spark, flow_net, feature_array(df, flow), "sum_abs"),
+            "history_error": error_column(spark, history_net, feature_array(df, history), "sum_abs"),
+        }
+    )
+    both = combined_error(errors, "history_error", "flow_error").withColumnRenamed("combined", "combined_error")
+    names = {"flow": "NETFLOW", "history": "ZEEK", "combined": "COMBINED"}
+    return both.withColumns({f"{n}_anomalous": F.col(f"{n}_error") >= VIEW_CUTOFFS[v] for n, v in names.items()})
+
+
+def retrain(
+    train: DataFrame, labelled: DataFrame, net: Net, column: str = "flow", label: str = "label", rounds: int = 4,
+    evaluate_every: int = 2, percent: float = 0.1, **options,
+) -> dict:
+    """Keep training, look at labelled rows every few rounds, and keep the weights with the best AUC.
+
+    Returns the best weights, their AUC and benign cutoff, and every evaluation.
+    """
+    best = {"auc": 0.0, "weights": None, "cutoff": None, "evaluations": []}
+    spark = train.sparkSession
+
+    def look(epoch: int, current: Net) -> None:
+        if (epoch + 1) % evaluate_every:
+            return
+        scored = labelled.select(
+            F.col(label).alias("label"), error_column(spark, current, feature_array(labelled, column), "sum_abs").alias("score")
+        ).persist()
+        location = {r["label"]: r for r in M.class_profile(scored, ["score"], "label").collect()}
+        cutoff = M.benign_cutoff(scored.filter("label = 0"), "score", percent).first()["cutoff"]
+        note = {
+            "epoch": epoch, "auc": M.roc_auc(scored, "score", "label").first()[0],
+            "average_precision": M.average_precision(scored, "score", "label").first()[0],
+            "wasserstein": M.wasserstein(scored, "score", "label", 1, 0).first()[0],
+            "cutoff": cutoff, "mean_ratio": location[1]["mean"] / location[0]["mean"],
+            "median_outlier": location[1]["median"], "median_normal": location[0]["median"],
+            **M.confusion(scored, "score", "label", cutoff).first().asDict(),
+        }
+        scored.unpersist()
+        best["evaluations"].append(note)
+        if note["auc"] > best["auc"]:
+            best.update(auc=note["auc"], cutoff=cutoff, weights=[w.copy() for w in current.weights])
+
+    x = feature_array(train, column)
+    best["history"] = fit_net(train, net, x, x, loss="mse", epochs=rounds, after_round=look, **options)
+    return best
+
+
+# --- Spark ML surface ----------------------------------------------------------------------------
+
+WEIGHT_SCHEMA = "layer int, kind string, i int, j int, w double"
+
+
+def weights_frame(spark: SparkSession, net: Net) -> DataFrame:
+    rows = []
+    for at, w in enumerate(net.weights):
+        grid = np.atleast_2d(w)
+        kind = "bias" if at % 2 else "kernel"
+        rows += [(at // 2, kind, i, j, float(v)) for i, row in enumerate(grid) for j, v in enumerate(row)]
+    return spark.createDataFrame(rows, WEIGHT_SCHEMA)
+
+
+def weights_from_frame(df: DataFrame, inputs: int, layers: list[Layer]) -> Net:
+    net = Net(inputs, layers).initialise()
+    for (layer, kind), part in df.toPandas().groupby(["layer", "kind"]):
+        target = net.weights[2 * layer + (kind == "bias")]
+        np.atleast_2d(target)[part["i"], part["j"]] = part["w"]
+    return net
+
+
+class _NetParams(Params):
+    layers = Param(Params._dummy(), "layers", "JSON list of [units, activation, dropout]", TypeConverters.toString)
+    loss = Param(Params._dummy(), "loss", "loss name", TypeConverters.toString)
+    optimizer = Param(Params._dummy(), "optimizer", "sgd or adam", TypeConverters.toString)
+    learningRate = Param(Params._dummy(), "learningRate", "step size", TypeConverters.toFloat)
+    epochs = Param(Params._dummy(), "epochs", "training rounds", TypeConverters.toInt)
+    batchSize = Param(Params._dummy(), "batchSize", "rows per step", TypeConverters.toInt)
+    validationSplit = Param(Params._dummy(), "validationSplit", "share of held-out rows", TypeConverters.toFloat)
+    numWorkers = Param(Params._dummy(), "numWorkers", "partitions that train", TypeConverters.toInt)
+    numClasses = Param(Params._dummy(), "numClasses", "length of one-hot labels", TypeConverters.toInt)
+    categorical = Param(Params._dummy(), "categorical", "one-hot encode the label", TypeConverters.toBoolean)
+    mode = Param(Params._dummy(), "mode", "only synchronous", TypeConverters.toString)
+    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
+    featuresCol = Param(Params._dummy(), "featuresCol", "vector or array column", TypeConverters.toString)
+    labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "prediction column", TypeConverters.toString)
+
+    def _net_defaults(self):
+        self._setDefault(
+            loss="mse", optimizer="adam", learningRate=0.001, epochs=10, batchSize=32, validationSplit=0.1, numWorkers=8,
+            numClasses=10, categorical=False, mode="synchronous", seed=1, featuresCol="features", labelCol="label",
+            outputCol="prediction",
+        )
+
+    def _set(self, **kwargs):
+        if kwargs.get("mode", "synchronous") != "synchronous":
+            raise ValueError("only synchronous training is offered")
+        return super()._set(**kwargs)
+
+    def __getattr__(self, name):
+        if name[:3] in ("get", "set") and len(name) > 3:
+            param = name[3].lower() + name[4:]
+            if isinstance(getattr(type(self), param, None), Param):
+                if name.startswith("get"):
+                    return lambda: self.getOrDefault(param)
+                return lambda value: self._set(**{param: value})
+        raise AttributeError(name)
+
+    def layer_list(self) -> list[Layer]:
+        return [Layer(*spec) for spec in json.loads(self.getOrDefault("layers"))]
+
+
+class DenseNetEstimator(_NetParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Fits a dense network on (features, label); ``fit`` returns a :class:`DenseNetModel`."""
+
+    def __init__(self, **params):
+        super().__init__()
+        self._net_defaults()
+        if isinstance(params.get("layers"), list):
+            params["layers"] = json.dumps(params["layers"])
+        self._set(**params)
+
+    def _fit(self, dataset: DataFrame) -> "DenseNetModel":
+        x = feature_array(dataset, self.getFeaturesCol())
+        label = F.col(self.getLabelCol())
+        y = one_hot(label, self.getNumClasses()) if self.getCategorical() else F.array(label.cast("double"))
+        d = len(dataset.select(x.alias("x")).first()["x"])
+        net = Net(d, self.layer_list()).initialise(self.getSeed())
+        history = fit_net(
+            dataset, net, x, y, loss=self.getLoss(), epochs=self.getEpochs(), batch=self.getBatchSize(),
+            optimizer=self.getOptimizer(), rate=self.getLearningRate(), workers=self.getNumWorkers(),
+            validation=self.getValidationSplit(), seed=self.getSeed(),
+        )
+        return self._copyValues(DenseNetModel(net, history))
+
+
+class DenseNetModel(_NetParams, Model, MLReadable, MLWritable):
+    def __init__(self, net: Net | None = None, history: list[dict] = ()):
+        super().__init__()
+        self._net_defaults()
+        self.net, self.history = net, list(history)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        scalar = task_of(self.getLoss()) == "regression" and self.net.layers[-1].units == 1
+        x = feature_array(dataset, self.getFeaturesCol())
+        return dataset.withColumn(self.getOutputCol(), predict_column(dataset.sparkSession, self.net, x, scalar))
+
+    def write(self):
+        return _NetWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _NetReader(cls)
+
+
+class _NetWriter(MLWriter):
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path):
+        spark = self.sparkSession
+        DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata={"inputs": self.model.net.inputs})
+        weights_frame(spark, self.model.net).write.parquet(f"{path}/weights")
+
 
+class _NetReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
 
-def combined_error(errors, zeek: str, flow: str):
-    ratio = errors.agg((F.avg(zeek) / F.avg(flow)).alias("_ratio"))
-    return errors.join(F.broadcast(ratio)).withColumn("combined", F.col(zeek) + F.col(flow) * F.col("_ratio")).drop("_ratio")
+    def load(self, path):
+        spark = self.sparkSession
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        model = self.cls()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        frame = spark.read.schema(WEIGHT_SCHEMA).parquet(f"{path}/weights")
+        model.net = weights_from_frame(frame, metadata["inputs"], model.layer_list())
+        return model

@@ -310,9 +310,16 @@ def _fit_levels(data, total, trees, size, depth, features, bootstrap, seed):
                         low[tree] = [np.full((width, d), np.inf), np.full((width, d), -np.inf), np.zeros(width, dtype=np.int64)]
                     current = node >= width
                     slot = node[current] - width
-                    np.minimum.at(low[tree][0], slot, x[at[current]])
-                    np.maximum.at(low[tree][1], slot, x[at[current]])
-                    np.add.at(low[tree][2], slot, copies[at[current]])
+                    if not len(slot):
+                        continue
+                    by_slot = np.argsort(slot, kind="stable")
+                    slot, kept = slot[by_slot], at[current][by_slot]
+                    starts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+                    used = slot[starts]
+                    lo, hi, n = low[tree]
+                    lo[used] = np.minimum(lo[used], np.minimum.reduceat(x[kept], starts, axis=0))
+                    hi[used] = np.maximum(hi[used], np.maximum.reduceat(x[kept], starts, axis=0))
+                    n[used] += np.add.reduceat(copies[kept], starts)
             for tree, (lo, hi, n) in low.items():
                 used = np.flatnonzero(n)
                 yield pa.RecordBatch.from_pydict(
@@ -391,18 +398,25 @@ class ForestArrays:
         self.steps = int(depth.max(initial=0))
         self.path = np.where(leaf, depth + path_correction(nodes["numInstance"]), 0.0)
 
-    def mean_path(self, x: np.ndarray, block: int = 512) -> np.ndarray:
-        out = np.empty(len(x))
-        for start in range(0, len(x), block):
-            part = np.ascontiguousarray(x[start : start + block])
-            offset = (np.arange(len(part)) * part.shape[1])[:, None]
-            flat = part.ravel()
-            node = np.repeat(self.roots[None, :], len(part), axis=0)
-            for _ in range(self.steps):
-                left = flat.take(self.feature.take(node) + offset) < self.value.take(node)
-                node = self.children.take(2 * node + left)
-            out[start : start + block] = self.path.take(node).mean(axis=1)
-        return out
+    def plain(self) -> tuple:
+        """Arrays only, for broadcasting."""
+        return self.roots, self.feature, self.value, self.children, self.path, self.steps
+
+
+def mean_path(forest: tuple, x: np.ndarray, block: int = 512) -> np.ndarray:
+    """Mean path length over all trees, a block of rows at a time so that it stays in cache."""
+    roots, feature, value, children, path, steps = forest
+    out = np.empty(len(x))
+    for start in range(0, len(x), block):
+        part = np.ascontiguousarray(x[start : start + block])
+        offset = (np.arange(len(part)) * part.shape[1])[:, None]
+        flat = part.ravel()
+        node = np.repeat(roots[None, :], len(part), axis=0)
+        for _ in range(steps):
+            left = flat.take(feature.take(node) + offset) < value.take(node)
+            node = children.take(2 * node + left)
+        out[start : start + block] = path.take(node).mean(axis=1)
+    return out
 
 
 class IsolationForestModel(_ForestParams, Model, MLReadable, MLWritable):
@@ -424,7 +438,7 @@ class IsolationForestModel(_ForestParams, Model, MLReadable, MLWritable):
     def score_column(self, dataset: DataFrame) -> Column:
         if self._arrays is None:
             self._arrays = ForestArrays(self.nodes)
-        shared = dataset.sparkSession.sparkContext.broadcast(self._arrays)
+        shared = dataset.sparkSession.sparkContext.broadcast(self._arrays.plain())
         size = self.sample_size
         if self.getNorm() == "dataset" and self.getMaxSamples() <= 1:
             size = self.getMaxSamples() * dataset.count()
@@ -434,7 +448,7 @@ class IsolationForestModel(_ForestParams, Model, MLReadable, MLWritable):
         def score(x: pa.Array) -> pa.Array:
             if not len(x):
                 return pa.array([], pa.float64())
-            paths = shared.value.mean_path(matrix(x))
+            paths = mean_path(shared.value, matrix(x))
             return pa.array(np.exp2(-paths / norm) if norm > 0 else np.full(len(paths), 0.5))
 
         return score(feature_array(dataset, self.getFeaturesCol()))
