@@ -59,25 +59,44 @@ def _hex(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("bigint")
 
 
+def _let(value: Column, build) -> Column:
+    """Evaluate ``value`` once and hand it to ``build``, so that nested uses do not multiply."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def ipv6_low32(ip: Column) -> Column:
     """Low 32 bits of an IPv6 address, null if the text is not one."""
-    bare = F.lower(F.regexp_replace(ip, "%.*$", ""))
-    dotted = F.regexp_extract(bare, r":([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+)$", 1)
-    hexed = F.when(dotted != "", F.regexp_replace(bare, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$", "0:0")).otherwise(bare)
-    gap = hexed.contains("::")
     pieces = lambda text: F.filter(F.split(text, ":"), lambda p: p != "")
-    left = pieces(F.when(gap, F.substring_index(hexed, "::", 1)).otherwise(hexed))
-    right = F.when(gap, pieces(F.substring_index(hexed, "::", -1))).otherwise(F.array().cast("array<string>"))
-    count = F.size(left) + F.size(right)
-    valid = (
-        F.forall(F.concat(left, right), lambda p: p.rlike("^[0-9a-f]{1,4}$"))
-        & ~hexed.rlike(":::|::.*::|^:[^:]|[^:]:$")
-        & F.when(gap, count <= 7).otherwise(count == 8)
-        & ((dotted == "") | dotted.rlike(IPV4_PATTERN))
+    tail = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"
+
+    def from_groups(groups: Column, hexed: Column, dotted: Column) -> Column:
+        count = F.size(groups["left"]) + F.size(groups["right"])
+        valid = (
+            F.forall(F.concat(groups["left"], groups["right"]), lambda p: p.rlike("^[0-9a-f]{1,4}$"))
+            & ~hexed.rlike(":::|::.*::|^:[^:]|[^:]:$")
+            & F.when(hexed.contains("::"), count <= 7).otherwise(count == 8)
+            & ((dotted == "") | dotted.rlike(IPV4_PATTERN))
+        )
+        zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - count, F.lit(0)))
+        full = F.concat(groups["left"], zeros, groups["right"])
+        low = _let(full, lambda g: _hex(F.try_element_at(g, F.lit(-2))) * 65536 + _hex(F.try_element_at(g, F.lit(-1))))
+        return F.when(valid, F.when(dotted != "", ipv4_to_long(dotted)).otherwise(low))
+
+    def from_text(parts: Column) -> Column:
+        hexed, dotted = parts["hexed"], parts["dotted"]
+        gap = hexed.contains("::")
+        groups = F.struct(
+            pieces(F.when(gap, F.substring_index(hexed, "::", 1)).otherwise(hexed)).alias("left"),
+            F.when(gap, pieces(F.substring_index(hexed, "::", -1))).otherwise(F.array().cast("array<string>")).alias("right"),
+        )
+        return _let(groups, lambda g: from_groups(g, hexed, dotted))
+
+    bare = F.lower(F.regexp_replace(ip, "%.*$", ""))
+    both = lambda text: F.struct(
+        F.regexp_extract(text, ":(" + tail[:-1] + ")$", 1).alias("dotted"),
+        F.when(text.rlike(":" + tail), F.regexp_replace(text, tail, "0:0")).otherwise(text).alias("hexed"),
     )
-    full = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - count, F.lit(0))), right)
-    low = _hex(F.try_element_at(full, F.lit(-2))) * 65536 + _hex(F.try_element_at(full, F.lit(-1)))
-    return F.when(valid, F.when(dotted != "", ipv4_to_long(dotted)).otherwise(low))
+    return _let(bare, lambda text: _let(both(text), from_text))
 
 
 def ip_to_long32(ip: Column) -> Column:
