@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.scalar import ipv4_to_long
-from flowguard.operators.scan import CHUNK_BITS, running, spread_join
+from flowguard.operators.scan import CHUNK_BITS, running, skew_join
 
 # Protocols and service types the detectors accept or refuse.
 FOREST_DENIED = ("HOP", "SCTP")
@@ -104,7 +104,7 @@ def encode_addresses(
     out = df
     for c in (source, destination):
         lookup = codes.select(F.col("v").alias(c), F.col("code").alias("_code"))
-        out = spread_join(out, lookup, [c], order)
+        out = skew_join(out, lookup, [c], order)
         out = out.withColumn(c, F.coalesce(ipv4_to_long(F.col(c)), F.col("_code")).cast("double")).drop("_code")
     return out
 

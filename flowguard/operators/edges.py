@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowguard.functions.scalar import burst_filtered, burst_relative, slot_number
-from flowguard.operators.scan import CHUNK_BITS, chunk_carries, null_safe_join, running, spread_join
+from flowguard.operators.scan import CHUNK_BITS, attach, chunk_carries, running, skew_join, spread_join
 from flowguard.session import checkpointed
 
 # Sketch shape, merge threshold, decay and default score cutoffs by slot length.
@@ -76,6 +76,16 @@ def observed_slot(df: DataFrame, order: str, keys: list[str] = (), bits=CHUNK_BI
     return seen.withColumn("now", F.greatest(F.col("now"), F.lit(1).cast("bigint")))
 
 
+def _events(df, order, keys, bits, state=None):
+    """Narrow events with the slot the scorer is in, stored once because counting reads them repeatedly."""
+    events = observed_slot(df.select(*keys, order, "src", "dst", "slot"), order, keys, bits)
+    if state is not None:
+        clock = state.groupBy(*keys).agg(F.max("now").alias("_clock"))
+        events = events.join(F.broadcast(clock)) if not keys else spread_join(events, clock, keys, order)
+        events = events.withColumn("now", F.greatest("now", F.coalesce("_clock", F.lit(1)))).drop("_clock")
+    return checkpointed(events)
+
+
 def _explode_cells(df, kinds, mode, rows, cols, params):
     src, dst = F.col("src").cast("bigint"), F.col("dst").cast("bigint")
     zero = F.lit(0).cast("bigint")
@@ -127,7 +137,7 @@ def _touch(events, keys, kinds, mode, rows, cols, params, order, factor, bits, s
     if factor is None:
         slots = slots.select(*cell, "now", earlier.alias("before"), F.lit(0.0).alias("decayed"))
     else:
-        ranked = null_safe_join(slots, _slot_table(events, keys), [*keys, "now"])
+        ranked = attach(slots, _slot_table(events, keys), [*keys, "now"])
         reach = math.ceil(math.log(2.0**-64) / math.log(factor))
         past = F.collect_list(F.struct("rank", "n")).over(
             Window.partitionBy(*cell).orderBy("rank").rangeBetween(-reach, -1)
@@ -140,9 +150,9 @@ def _touch(events, keys, kinds, mode, rows, cols, params, order, factor, bits, s
         ranked = ranked.select(*cell, "now", "rank", "growth", earlier.alias("before"), decayed.alias("decayed"))
         if state is not None:
             kept = state.select(*cell, F.col("current").alias("_kept"), F.col("now").alias("_kept_now"))
-            ranked = null_safe_join(ranked, kept, cell)
+            ranked = attach(ranked, kept, cell)
             first = _first_slot(events, keys)
-            ranked = ranked.join(F.broadcast(first)) if not keys else null_safe_join(ranked, first, keys)
+            ranked = ranked.join(F.broadcast(first)) if not keys else attach(ranked, first, keys)
             steps = F.col("rank") - F.when(F.col("_first_now") == F.col("_kept_now"), 1).otherwise(0)
             ranked = ranked.withColumn(
                 "decayed",
@@ -150,8 +160,8 @@ def _touch(events, keys, kinds, mode, rows, cols, params, order, factor, bits, s
             ).drop("_kept", "_kept_now", "_first_now")
         slots = ranked
     carries = chunk_carries(chunks, [*cell, "now"], {"n": "sum"}, bits).drop("n")
-    carries = null_safe_join(carries, slots, [*cell, "now"])
-    out = null_safe_join(touched, carries, [*cell, "now", "_c0"])
+    carries = attach(carries, slots, [*cell, "now"])
+    out = attach(touched, carries, [*cell, "now", "_c0"])
     local = Window.partitionBy(*cell, "now", "_c0").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inslot = F.coalesce(F.col("_carry_n"), F.lit(0)) + F.count(F.lit(1)).over(local)
     return out.withColumn("inslot", inslot).drop("_c0", "_carry_n"), slots
@@ -167,7 +177,7 @@ def plain_burst(
 ) -> DataFrame:
     """Count in the current slot against the count so far, per edge."""
     keys = list(keys)
-    events = observed_slot(df.select(*keys, order, "src", "dst", "slot"), order, keys, bits)
+    events = _events(df, order, keys, bits)
     touched, _ = _touch(events, keys, [EDGE], mode, rows, cols, hash_params(rows, seed), order, None, bits)
     least = touched.groupBy(*keys, order, "src", "dst", "slot").agg(
         F.min("inslot").alias("_a"), F.min(F.col("before") + F.col("inslot")).alias("_s")
@@ -181,7 +191,7 @@ def relational_burst(
 ) -> DataFrame:
     """As ``plain_burst`` with decaying current counts, worst of edge, source and destination."""
     keys, kinds = list(keys), [EDGE, SOURCE, DESTINATION]
-    events = observed_slot(df.select(*keys, order, "src", "dst", "slot"), order, keys, bits)
+    events = _events(df, order, keys, bits)
     touched, _ = _touch(events, keys, kinds, mode, rows, cols, hash_params(rows, seed), order, factor, bits)
     current, total = F.col("decayed") + F.col("inslot"), F.col("before") + F.col("inslot")
     least = touched.groupBy(*keys, order, "src", "dst", "slot", "now").agg(
@@ -222,11 +232,7 @@ def filtered_burst_step(
 def _filtered(df, order, keys, mode, rows, cols, threshold, factor, seed, bits, state):
     kinds = [EDGE, SOURCE, DESTINATION]
     rows = 1 if mode == "exact" else rows
-    events = observed_slot(df.select(*keys, order, "src", "dst", "slot"), order, keys, bits)
-    if state is not None:
-        clock = state.groupBy(*keys).agg(F.max("now").alias("_clock"))
-        events = events.join(F.broadcast(clock)) if not keys else spread_join(events, clock, keys, order)
-        events = events.withColumn("now", F.greatest("now", F.coalesce("_clock", F.lit(1)))).drop("_clock")
+    events = _events(df, order, keys, bits, state)
     touched, slots = _touch(events, keys, kinds, mode, rows, cols, hash_params(rows, seed), order, factor, bits, state)
     current = F.col("decayed") + F.col("inslot")
     regroup = [F.min(current).alias("least")]
@@ -261,7 +267,7 @@ def _filtered(df, order, keys, mode, rows, cols, threshold, factor, seed, bits,
         F.max_by(F.struct("least", "current", *paired), order).alias("_l")
     ).select(*keys, "kind", "now", "cell", "cell2", "_l.*")
     if mode == "exact":
-        last = null_safe_join(last, _slot_table(events, keys), [*keys, "now"])
+        last = attach(last, _slot_table(events, keys), [*keys, "now"])
         return counted, _exact_totals(last, keys, threshold, factor), None
     starts, after = _sketch_totals(last, keys, rows, cols, threshold, factor, state)
     return counted, starts, after
@@ -279,7 +285,7 @@ def _filtered_scores(counted, starts, order, keys, mode, rows):
             on.append("other_0")
         else:
             lookup = lookup.drop("cell2")
-        scored = spread_join(scored, lookup.withColumnsRenamed(names), on, "_id")
+        scored = skew_join(scored, lookup.withColumnsRenamed(names), on, "_id")
     totals = [F.col(f"_total_{r}") for r in range(rows)]
     least = F.least(*totals) if rows > 1 else totals[0]
     score = burst_filtered(F.col("least"), least, F.col("now"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.operators.scan import spread_join
+from flowguard.operators.scan import skew_join, spread_join
 
 CONNECTION_KEYS = {"sa": "id.orig_h", "da": "id.resp_h", "sp": "id.orig_p", "dp": "id.resp_p"}
 
@@ -24,12 +24,13 @@ def merge_connections(flows: DataFrame, connections: DataFrame, id: str = "id",
     renamed = connections.withColumnsRenamed({v: k for k, v in CONNECTION_KEYS.items()})
     latest = keep_last(renamed, list(CONNECTION_KEYS), order)
     clash = [c for c in latest.columns if c in flows.columns and c not in CONNECTION_KEYS]
-    return spread_join(flows, latest.drop(*clash), list(CONNECTION_KEYS), id)
+    return skew_join(flows, latest.drop(*clash), list(CONNECTION_KEYS), id)
 
 
-def unmatched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def unmatched(left: DataFrame, right: DataFrame, on: list[str], id: str) -> DataFrame:
     """Rows of ``left`` without a partner; only the distinct keys of ``right`` are shuffled."""
-    return left.join(right.select(*on).distinct(), on, "left_anti")
+    partners = right.select(*on).distinct().withColumn("_partner", F.lit(True))
+    return skew_join(left, partners, on, id).filter("_partner is null").drop("_partner")
 
 
 def rejoin_scores(rows: DataFrame, scores: DataFrame, id: str = "id") -> DataFrame:

@@ -53,7 +53,7 @@ def chunk_carries(
     lower = leveled.select(
         "*", *[_exclusive(k, F.col(n), [*keys, "_c1"], "_c0").alias(f"_low_{n}") for n, k in kinds.items()]
     )
-    joined = null_safe_join(lower, upper, [*keys, "_c1"])
+    joined = attach(lower, upper, [*keys, "_c1"])
     for name, kind in kinds.items():
         joined = joined.withColumn(
             f"_carry_{name}", _combine(kind, F.col(f"_up_{name}"), F.col(f"_low_{name}"))
@@ -61,13 +61,13 @@ def chunk_carries(
     return joined.drop("_c1")
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Equi-join that lets null keys meet, keeping the left key columns."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    )
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on plain equality, so that windows over the same keys reuse its partitioning."""
+    return left.join(right, keys, "left")
+
+
+def all_present(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
 
 
 def running(
@@ -79,7 +79,8 @@ def running(
 ) -> DataFrame:
     """Add inclusive running aggregates per group in the order of a unique integer column.
 
-    ``values`` maps an output name to (``sum``/``max``/``min``, expression).
+    ``values`` maps an output name to (``sum``/``max``/``min``, expression). Rows with a null
+    key belong to no group and get null.
     """
     kinds = {n: kind for n, (kind, _) in values.items()}
     rows = df.withColumn("_c0", F.shiftright(F.col(order).cast("bigint"), bits[0]))
@@ -88,9 +89,10 @@ def running(
     local = Window.partitionBy(*[F.col(k) for k in keys], F.col("_c0")).orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    out = null_safe_join(rows, carries, [*keys, "_c0"])
+    out = attach(rows, carries, [*keys, "_c0"])
     for name, (kind, expr) in values.items():
-        out = out.withColumn(name, _combine(kind, F.col(f"_carry_{name}"), _agg(kind, expr).over(local)))
+        value = _combine(kind, F.col(f"_carry_{name}"), _agg(kind, expr).over(local))
+        out = out.withColumn(name, F.when(all_present(keys), value) if keys else value)
     return out.drop("_c0", *[f"_carry_{n}" for n in values])
 
 
@@ -128,7 +130,7 @@ def running_by_value(
     )
     inside = Window.partitionBy(*keys, "_pid").orderBy(sort)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    out = null_safe_join(ranged, carry, [*keys, "_pid"])
+    out = attach(ranged, carry, [*keys, "_pid"])
     for name in sums:
         out = out.withColumn(
             name, F.coalesce(F.col(f"_b_{name}"), F.lit(0)) + F.sum(f"_v_{name}").over(upto)
@@ -157,7 +159,31 @@ def halo(df: DataFrame, sec: str, bucket: int, back: int = 0, ahead: int = 0) ->
 def spread_join(
     rows: DataFrame, lookup: DataFrame, on: list[str], spread_by: str, ways: int = 16, how: str = "left"
 ) -> DataFrame:
-    """Join rows to a lookup with unique keys so that one hot key is shared by ``ways`` tasks."""
+    """Join rows to a lookup with unique keys so that one hot key is shared by ``ways`` tasks.
+
+    The lookup is copied ``ways`` times: meant for tables far smaller than the rows, such as one
+    row per second. ``skew_join`` serves large lookups.
+    """
     left = rows.withColumn("_way", F.pmod(F.xxhash64(spread_by), F.lit(ways)).cast("int"))
     right = lookup.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
     return left.join(right, [*on, "_way"], how).drop("_way")
+
+
+def skew_join(
+    rows: DataFrame, lookup: DataFrame, on: list[str], spread_by: str, ways: int = 64, share: int = 10_000, how: str = "left"
+) -> DataFrame:
+    """Join rows to a large lookup with unique keys, spreading only keys that are hot.
+
+    A key is hot if it holds more than 1/``share`` of the rows, so there are fewer than ``share``
+    of them: the list is small enough to broadcast, whatever the data. Only their lookup rows are
+    copied.
+    """
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
+    total = rows.agg(F.count("*").alias("_all"))
+    hot = counts.join(F.broadcast(total)).filter(F.col("_n") * share > F.col("_all"))
+    hot = F.broadcast(hot.select(*on, F.lit(ways).alias("_ways")))
+    way = F.when(F.col("_ways").isNotNull(), F.pmod(F.xxhash64(spread_by), F.lit(ways))).otherwise(0).cast("int")
+    left = rows.join(hot, on, "left").withColumn("_way", way).drop("_ways")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1)
+    right = lookup.join(hot, on, "left").withColumn("_way", F.explode(copies)).drop("_ways")
+    return left.join(right, [*on, "_way"], how).drop("_way")

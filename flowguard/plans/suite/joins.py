@@ -39,13 +39,13 @@ def _(t: Tables):
 def _(t: Tables):
     flows, conn = _sides(t)
     conn = conn.withColumnsRenamed({"id.orig_h": "sa", "id.resp_h": "da"})
-    return J.unmatched(conn, flows.filter((F.col("id") % 7 != 0) & (F.col("sa") != 3)), ["sa", "da"]).select("uid")
+    return J.unmatched(conn, flows.filter((F.col("id") % 7 != 0) & (F.col("sa") != 3)), ["sa", "da"], "uid").select("uid")
 
 
 @query("d04_unmatched_flows", f"""WITH {_SIDES} SELECT id FROM dense WHERE (sa, da) NOT IN (SELECT sa, da FROM side)""")
 def _(t: Tables):
     flows, conn = _sides(t)
-    return J.unmatched(flows, conn.withColumnsRenamed({"id.orig_h": "sa", "id.resp_h": "da"}), ["sa", "da"]).select("id")
+    return J.unmatched(flows, conn.withColumnsRenamed({"id.orig_h": "sa", "id.resp_h": "da"}), ["sa", "da"], "id").select("id")
 
 
 @query("d05_rejoin_scores", f"""WITH {VECTORS_SQL} SELECT DISTINCT id, label, round(x[1] * 2, 9) AS score FROM vectors WHERE x[1] > 0""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +40,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the frame once to the shared checkpoint folder and continue from the files."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the frame once as a table in the shared checkpoint folder and continue from it.
+
+    A columnar table is smaller than checkpointed rows, and later reads take only the columns
+    they need. Lost executors cost a re-read, not the lineage in front of it.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scan_parallelism(spark: SparkSession) -> int:
