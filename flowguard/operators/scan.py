@@ -63,7 +63,13 @@ def chunk_carries(
 
 def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on plain equality, so that windows over the same keys reuse its partitioning."""
-    return left.join(right, keys, "left")
+    return _in_order(left.join(right, keys, "left"), left, right)
+
+
+def _in_order(joined: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Columns of the left side first, then what the right side adds."""
+    names = [*left.columns, *[c for c in right.columns if c not in left.columns]]
+    return joined.select(*[F.col(f"`{c}`") for c in names])
 
 
 def all_present(keys: list[str]) -> Column:
@@ -166,7 +172,7 @@ def spread_join(
     """
     left = rows.withColumn("_way", F.pmod(F.xxhash64(spread_by), F.lit(ways)).cast("int"))
     right = lookup.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return left.join(right, [*on, "_way"], how).drop("_way")
+    return _in_order(left.join(right, [*on, "_way"], how), left, right).drop("_way")
 
 
 def skew_join(
@@ -186,4 +192,4 @@ def skew_join(
     left = rows.join(hot, on, "left").withColumn("_way", way).drop("_ways")
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1)
     right = lookup.join(hot, on, "left").withColumn("_way", F.explode(copies)).drop("_ways")
-    return left.join(right, [*on, "_way"], how).drop("_way")
+    return _in_order(left.join(right, [*on, "_way"], how), left, right).drop("_way")
