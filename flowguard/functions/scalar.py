@@ -15,6 +15,11 @@ EULER = 0.5772156649
 TWO32 = 1 << 32
 
 
+def _let(value: Column, build) -> Column:
+    """Evaluate ``value`` once and hand it to ``build``, so that nested uses do not multiply."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 # --- time -----------------------------------------------------------------------------------
 
 
@@ -59,11 +64,6 @@ def _hex(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("bigint")
 
 
-def _let(value: Column, build) -> Column:
-    """Evaluate ``value`` once and hand it to ``build``, so that nested uses do not multiply."""
-    return F.get(F.transform(F.array(value), build), F.lit(0))
-
-
 def ipv6_low32(ip: Column) -> Column:
     """Low 32 bits of an IPv6 address, null if the text is not one."""
     pieces = lambda text: F.filter(F.split(text, ":"), lambda p: p != "")
@@ -134,18 +134,23 @@ def syslog_fields(line: Column, year: int = 2020) -> Column:
 
     One regular-expression pass rewrites the line into separated groups, the rest are splits.
     """
-    groups = F.split(F.regexp_replace(line, SYSLOG_PATTERN, _SEP.join(f"${i}" for i in range(1, 9))), _SEP)
-    stamp = F.try_to_timestamp(
-        F.concat_ws(" ", F.lit(str(year)), groups[0], groups[1], groups[2]), F.lit("yyyy MMM d H:m:s")
-    )
-    fields = F.struct(
-        stamp.alias("timestamp"),
-        groups[3].alias("hostname"),
-        F.when(groups[4] != "", groups[4]).otherwise(groups[6]).alias("appname"),
-        groups[5].alias("pid"),
-        groups[7].alias("message"),
-    )
-    return F.when((F.size(groups) == 8) & line.rlike(SYSLOG_PATTERN) & stamp.isNotNull(), fields)
+    def from_groups(groups: Column) -> Column:
+        stamp = F.try_to_timestamp(
+            F.concat_ws(" ", F.lit(str(year)), groups[0], groups[1], groups[2]), F.lit("yyyy MMM d H:m:s")
+        )
+        fields = F.struct(
+            stamp.alias("timestamp"),
+            groups[3].alias("hostname"),
+            F.when(groups[4] != "", groups[4]).otherwise(groups[6]).alias("appname"),
+            groups[5].alias("pid"),
+            groups[7].alias("message"),
+        )
+        return F.when(F.size(groups) == 8, F.when(stamp.isNotNull(), fields))
+
+    # A line without a match comes back whole: its separators, if any, must not look like groups.
+    clean = F.translate(line, _SEP, " ")
+    groups = F.split(F.regexp_replace(clean, SYSLOG_PATTERN, _SEP.join(f"${i}" for i in range(1, 9))), _SEP)
+    return _let(groups, from_groups)
 
 
 def utf8_or_null(value: Column) -> Column:

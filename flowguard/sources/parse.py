@@ -16,14 +16,14 @@ def decode(records: DataFrame) -> DataFrame:
     return records.withColumn("value", utf8_or_null(F.col("value")))
 
 
-def csv_fields(value: Column, names: list[str]) -> list[Column]:
-    parts = F.split(value, ",")
-    return [F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)]
-
-
 def parse_flow(df: DataFrame, width: int, value: str = "value", keep: list[str] = ()) -> DataFrame:
-    """Positional CSV to named text columns; the layout is chosen by width."""
-    return df.select(*keep, *csv_fields(F.col(value), BY_WIDTH[width]))
+    """Positional CSV to named text columns; the layout is chosen by width.
+
+    The text is split in a projection of its own, so that it is split once and not per field.
+    """
+    parts = df.select(*keep, F.split(value, ",").alias("_parts"))
+    fields = [F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(BY_WIDTH[width])]
+    return parts.select(*keep, *fields)
 
 
 def message_width(value: Column) -> Column:
@@ -60,7 +60,10 @@ def envelope_message(value: Column) -> Column:
 
 def module_position(value: Column) -> Column:
     """Number of flow fields in front of the detector name, null when there is none."""
-    parts = F.split(value, ",")
+    return _module_at(F.split(value, ","))
+
+
+def _module_at(parts: Column) -> Column:
     return F.when(F.get(parts, F.lit(48)).isin(*MODULES), 48).when(F.get(parts, F.lit(71)).isin(*MODULES), 71)
 
 
@@ -90,16 +93,14 @@ def parse_results(df: DataFrame, value: str = "value", keep: list[str] = ()) ->
     Messages without a known module or with a malformed payload are dropped here; use
     ``module_position`` to route them elsewhere.
     """
-    at = module_position(F.col(value))
-    typed = df.withColumn("_at", at).filter("_at is not null")
-    parts = F.split(F.col(value), ",")
-    head = F.slice(parts, 1, F.col("_at"))
-    payload = F.concat_ws(",", F.slice(parts, F.col("_at") + 2, F.size(parts)))
+    split = df.withColumn("_parts", F.split(value, ","))
+    parts = F.col("_parts")
+    typed = split.withColumn("_at", _module_at(parts)).filter("_at is not null")
     typed = typed.select(
         *keep,
-        head.alias("flow"),
+        F.slice(parts, 1, F.col("_at")).alias("flow"),
         F.get(parts, F.col("_at")).alias("module"),
-        payload.alias("_payload"),
+        F.concat_ws(",", F.slice(parts, F.col("_at") + 2, F.size(parts))).alias("_payload"),
     )
     parsed = typed.withColumn("_p", parse_payload(F.col("_payload"), F.col("module"))).filter("_p is not null")
     return parsed.select(*keep, "flow", "module", "_p.*")
