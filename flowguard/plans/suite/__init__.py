@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUITES = ["wire", "cleaning", "scalars", "windows", "edges", "joins", "metrics", "models"]
+SUITES = ["wire", "cleaning", "scalars", "windows", "edges", "joins", "metrics", "models", "streams"]
 
 
 def load_suite():

@@ -25,7 +25,10 @@ COLUMNS = ["key", *[m.lower() for m in MODULES], "first_arrival", "reason"]
 
 
 def first_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Only the first result per flow and detector can count, so repeats stay on their side of the shuffle."""
+    """Keep the first result per flow and detector, so that repeats stay on their side of the shuffle.
+
+    Used when late results are dropped; when they reopen a flow, a repeat may count.
+    """
     for pdf in batches:
         yield pdf.sort_values("arrival", kind="stable").drop_duplicates(["key", "module"])
 
@@ -52,7 +55,10 @@ class Correlator(StatefulProcessor):
         if self.results.exists():
             known = {k[0]: tuple(v) for k, v in self.results.iterator()}
         fresh = not known
-        for pdf in rows:
+        # Dropping repeats first bounds a flow's rows, so they can be put in arrival order as a whole;
+        # otherwise rows are taken as they come, ordered within each chunk.
+        chunks = [pd.concat(list(rows))] if self.late == "drop" else rows
+        for pdf in chunks:
             for row in pdf.sort_values("arrival", kind="stable").itertuples(index=False):
                 if row.module in MODULES and row.module not in known:
                     known[row.module] = (row.module, row.score, bool(row.is_anomalous), row.features, int(row.arrival))
@@ -101,6 +107,13 @@ class Correlator(StatefulProcessor):
 def correlate_stream(results: DataFrame, **options) -> DataFrame:
     """Fused rows from a stream of (key, module, score, is_anomalous, features, arrival)."""
     narrow = results.select("key", "module", "score", "is_anomalous", "features", F.col("arrival").cast("long").alias("arrival"))
-    return narrow.mapInPandas(first_per_batch, RESULT).groupBy("key").transformWithStateInPandas(
+    if options.get("late") == "drop":
+        narrow = narrow.mapInPandas(first_per_batch, RESULT)
+    # Stateful processors need this state store.
+    results.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return narrow.groupBy("key").transformWithStateInPandas(
         Correlator(**options), outputStructType=FUSED, outputMode="Append", timeMode="ProcessingTime"
     )
