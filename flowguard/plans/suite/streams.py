@@ -1,5 +1,6 @@
 """Queries that run as streams over the event table and read back what the stream wrote."""
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame
@@ -69,5 +70,12 @@ def _(t: Tables):
     results = StreamedTables(t.spark, t.folder).results().drop("sa")
     fused = correlate_stream(results, rule="MIDAS_IFOREST", late="drop", only_anomalous=False)
     columns = ["key", F.col("midas.score").alias("midas_score"), F.col("iforest.score").alias("iforest_score"), "first_arrival"]
-    _run(t, fused.select(*columns), B.write_each(f"{path}/out"), path)
-    return t.spark.read.parquet(f"{path}/out").drop("batch")
+    # Timers keep the stream alive, so it is stopped once the batch with the table's file is written.
+    running = B.run_batches(fused.select(*columns), B.write_each(f"{path}/out"), f"{path}/progress", every="1 second")
+    written = B.VersionedTable(t.spark, f"{path}/out")
+    while running.isActive and not written.has(0):
+        time.sleep(0.5)
+    running.stop()
+    if running.exception():
+        raise running.exception()
+    return t.spark.read.parquet(f"{path}/out/batch=0")

@@ -32,13 +32,13 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _exists(self, batch: int) -> bool:
+    def has(self, batch: int) -> bool:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={batch}/_SUCCESS")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def before(self, batch: int) -> DataFrame | None:
         """The version a batch builds on: that of the batch before it."""
-        return self.spark.read.parquet(f"{self.path}/batch={batch - 1}") if batch and self._exists(batch - 1) else None
+        return self.spark.read.parquet(f"{self.path}/batch={batch - 1}") if batch and self.has(batch - 1) else None
 
     def write(self, batch: int, frame: DataFrame) -> None:
         frame.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
