@@ -212,7 +212,7 @@ def filtered_burst(
     the slot's start totals only. So events are counted in parallel, the recursion over slots
     sees one row per touched cell and slot, and its totals go back to the events.
     """
-    events, starts, _ = _filtered(df, order, list(keys), mode, rows, cols, threshold, factor, seed, bits, None)
+    events, starts, _ = _filtered(df, order, list(keys), mode, rows, cols, threshold, factor, seed, bits, None, False)
     return _filtered_scores(events, starts, order, list(keys), mode, rows)
 
 
@@ -225,11 +225,11 @@ def filtered_burst_step(
 ) -> tuple[DataFrame, DataFrame]:
     """Scores of one micro-batch and the sketch state after it (sketch mode)."""
     keys = list(keys)
-    events, starts, after = _filtered(df, order, keys, "sketch", rows, cols, threshold, factor, seed, bits, state)
+    events, starts, after = _filtered(df, order, keys, "sketch", rows, cols, threshold, factor, seed, bits, state, True)
     return _filtered_scores(events, starts, order, keys, "sketch", rows), after
 
 
-def _filtered(df, order, keys, mode, rows, cols, threshold, factor, seed, bits, state):
+def _filtered(df, order, keys, mode, rows, cols, threshold, factor, seed, bits, state, keep_state):
     kinds = [EDGE, SOURCE, DESTINATION]
     rows = 1 if mode == "exact" else rows
     events = _events(df, order, keys, bits, state)
@@ -269,7 +269,7 @@ def _filtered(df, order, keys, mode, rows, cols, threshold, factor, seed, bits,
     if mode == "exact":
         last = attach(last, _slot_table(events, keys), [*keys, "now"])
         return counted, _exact_totals(last, keys, threshold, factor), None
-    starts, after = _sketch_totals(last, keys, rows, cols, threshold, factor, state)
+    starts, after = _sketch_totals(last, keys, rows, cols, threshold, factor, state, keep_state)
     return counted, starts, after
 
 
@@ -297,7 +297,7 @@ def _chi(a, s, t):
         return np.where(s == 0, 0.0, (a + s - a * t) ** 2 / (s * (t - 1)))
 
 
-def _sketch_totals(last, keys, rows, cols, threshold, factor, state):
+def _sketch_totals(last, keys, rows, cols, threshold, factor, state, keep_state):
     """Walk the observed slots of a sketch once; memory holds one sketch, not the group."""
     size = rows * cols
     paired = [f"cell_{r}" for r in range(rows)]
@@ -377,6 +377,8 @@ def _sketch_totals(last, keys, rows, cols, threshold, factor, state):
             yield emit(key, True, sketch.now, np.arange(size), sketch)
 
     walked = frame.mapInPandas(walk, out).withColumn("cell2", F.lit(0).cast("bigint"))
+    if keep_state:
+        walked = checkpointed(walked)  # read for the scores and for the state: walked once
     starts = walked.filter("not final").select(*group, "now", "cell", "cell2", "total")
     after = walked.filter("final").select(*keys, *STATE_COLUMNS)
     return starts, after
