@@ -1,6 +1,6 @@
 """Every operator module of this subpackage, imported so that its query is registered."""
 
-from flowguard.llm import mixing, sharding  # noqa: F401
+from flowguard.llm import chat, mixing, sharding, url_rules  # noqa: F401
 from flowguard.llm.registry import ORACLES, QUERIES
 
 
