@@ -1,6 +1,17 @@
 """Every operator module of this subpackage, imported so that its query is registered."""
 
-from flowguard.llm import chat, mixing, sharding, url_rules  # noqa: F401
+from flowguard.llm import (  # noqa: F401
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    mixing,
+    sharding,
+    token_cache,
+    topk,
+    url_rules,
+    warc,
+)
 from flowguard.llm.registry import ORACLES, QUERIES
 
 

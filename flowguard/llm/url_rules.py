@@ -57,7 +57,7 @@ class Cascade:
 
 def positions(a, b, level: int, hashes: int, size: int):
     """Bit positions of keys given by two 64-bit hashes; every level draws its own."""
-    x, y = mix(a + U(level + 1) * U(0x9E3779B97F4A7C15)), mix(b ^ U(level + 1)) | U(1)
+    x, y = mix(a + mix(np.array([level + 1], U))), mix(b ^ U(level + 1)) | U(1)
     for i in range(hashes):
         yield mix(x + U(i) * y) % U(size)
 
