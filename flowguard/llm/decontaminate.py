@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-The benchmark's word n-grams are counted over all documents; the rarest of every item are its seeds. A second pass meets
+The benchmark's word n-grams are counted over all documents; the rare ones of every item are its seeds. A second pass meets
 seeds inside each document, lays a window of the item's length around them and aligns the item's words with it, so that
-edited and paraphrased copies are scored by what they keep. Both passes are maps over the documents: nothing but counts of
+edited and paraphrased copies are scored by what they keep. Case and punctuation do not count. Both passes are maps over the documents: nothing but counts of
 seeds is shuffled. The benchmark is taken in slices of bounded size, whatever its own size.
 """
 
@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.grams import U, chunks, ngrams, text_buffers, words
+from flowguard.llm.grams import PUNCTUATION, U, chunks, ngrams, text_buffers, words
 from flowguard.llm.registry import query, table
 from flowguard.llm.tables import free_name
 
-SEED_WORDS = 4
+SEED_WORDS = 3
+RARE = 8
 MATCH, MISMATCH, GAP = 2, -1, 1
 MIN_SCORE = 0.5
 SLACK = 8  # words of the document on either side of where the item would lie
@@ -52,7 +53,7 @@ class Seeds:
 def make_seeds(ids: list, texts: list[str], rare: np.ndarray | None = None) -> Seeds:
     """All n-grams of the items, or those marked in ``rare`` (a flag per use, in the order of a table without it)."""
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
-    hashes, first = words(data, offsets)
+    hashes, first = words(data, offsets, PUNCTUATION)
     parts = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
     grams = [ngrams(p, SEED_WORDS) for p in parts]
     flat = np.concatenate([np.zeros(0, U), *grams])
@@ -72,7 +73,7 @@ def grams_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
     """Per chunk of a text column: first row, word hashes, first word of each text and the total, n-grams."""
     data, offsets = text_buffers(column)
     for a, b in chunks(offsets):
-        hashes, first = words(data, offsets[a : b + 1])
+        hashes, first = words(data, offsets[a : b + 1], PUNCTUATION)
         yield a, hashes, first, ngrams(hashes, SEED_WORDS)
 
 
@@ -83,9 +84,10 @@ def inside(at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def rare_seeds(docs: DataFrame, text: str, seeds: Seeds) -> np.ndarray:
-    """Flags of the uses whose n-gram is among the rarer half of its item's, by documents that hold it.
+    """Flags of the uses whose n-gram is rare: held by at most RARE times as many documents as its item's median n-gram.
 
-    Half is relative to the item: one whose every n-gram is common keeps its least common ones, so no item is lost.
+    Rare is relative to the item. Stock phrases inside it go; an item that itself is copied into very many documents,
+    some of them edited, keeps all n-grams that tell its copies, so no item is lost.
     """
     shared = docs.sparkSession.sparkContext.broadcast(seeds)
 
@@ -110,7 +112,7 @@ def rare_seeds(docs: DataFrame, text: str, seeds: Seeds) -> np.ndarray:
     for i in range(len(seeds.texts)):
         mine = np.flatnonzero(seeds.item == i)
         if len(mine):
-            rare[mine] = use[mine] <= np.median(use[mine])
+            rare[mine] = use[mine] <= RARE * max(1, np.median(use[mine]))
     return rare
 
 
@@ -177,7 +179,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """
     kind = dict(benchmark.dtypes)[item_id]
     items = benchmark.select(F.col(f"`{item_id}`").alias("id"), F.col(f"`{item_text}`").alias("text")).filter("text IS NOT NULL")
-    size = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
+    size = items.agg(F.sum(F.regexp_count("text", F.lit(r"[A-Za-z0-9]+|[^\x00-\x7F]+")))).first()[0] or 0
     slices = size // SLICE_WORDS + 1
     result = F.array().cast(f"array<struct<item_id:{kind},score:double,start_word:int,end_word:int>>")
     for k in range(slices):

@@ -36,7 +36,14 @@ def separator_table() -> np.ndarray:
     return table
 
 
-LOWER, SEPARATOR = lower_table(), separator_table()
+def punctuation_table() -> np.ndarray:
+    """Separators and all other ASCII signs that are no letter or digit."""
+    table = separator_table()
+    table[[c for c in range(128) if not chr(c).isalnum()]] = True
+    return table
+
+
+LOWER, SEPARATOR, PUNCTUATION = lower_table(), separator_table(), punctuation_table()
 LETTER_CODE = mix(np.arange(1, 257, dtype=U) * U(_BASE))
 PLACE = mix(np.arange(1, 65, dtype=U)) | U(1)
 
@@ -83,13 +90,16 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word, first word of every text and the total) of a chunk of texts."""
+def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, first word of every text and the total) of a chunk of texts.
+
+    ``separator`` marks the bytes between words, ASCII only.
+    """
     b = LOWER[data[offsets[0] : offsets[-1]]]
     at = offsets - offsets[0]
     if not len(b):
         return np.zeros(0, U), np.zeros(len(offsets), np.int64)
-    gap = SEPARATOR[b]
+    gap = separator[b]
     before = np.empty(len(b) + 1, bool)
     before[0], before[1:] = True, gap
     before[at[:-1]] = True

@@ -259,8 +259,9 @@ def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame) -> DataFr
     home = F.when(big, F.col("g")).otherwise(F.lit(0).cast("long")).alias("own")  # a large group keeps to itself
     a = left.join(plan_df, "g").select("bin", home, F.pmod("q", F.col("qs")).cast("int").alias("i"), F.explode(steps("ms")).alias("j"), "g", F.col("q").alias("c"), "tokens")
     b = right.join(plan_df, "g").select("bin", home, F.pmod("class", F.col("ms")).cast("int").alias("j"), F.explode(steps("qs")).alias("i"), "g", F.col("class").alias("c"), "tokens")
-    key = ["bin", "own", "i", "j"]
-    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInPandas(compare, "a long, b long")
+    names = ["bin", "own", "i", "j", "g", "c", "tokens"]
+    a, b = a.toDF(*names), b.select("bin", "own", "i", "j", "g", "c", "tokens").toDF(*names)
+    return a.groupBy(*names[:4]).cogroup(b.groupBy(*names[:4])).applyInPandas(compare, "a long, b long")
 
 
 def compare(asking: pd.DataFrame, holding: pd.DataFrame) -> pd.DataFrame:
