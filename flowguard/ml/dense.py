@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowguard.functions.scalar import one_hot
-from flowguard.ml.iforest import feature_array, matrix
+from flowguard.ml.iforest import feature_array, matrix, per_row
 from flowguard.operators import metrics as M
+from flowguard.session import checkpointed
 
 # --- registry of activations, losses and tasks ---------------------------------------------------
 
@@ -62,6 +63,55 @@ LOSSES = {
 LOSSES["mean_squared_error"] = LOSSES["mse"]
 LOSSES["mean_absolute_error"] = LOSSES["mae"]
 
+
+def _unit(v):
+    return v / np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), _EPS)
+
+
+def _log1(v):
+    return np.log1p(np.maximum(v, _EPS))
+
+
+def _log_cosh(v):
+    v = np.abs(v)
+    return v + np.log1p(np.exp(-2 * v)) - math.log(2)
+
+
+def _picked(y, p):
+    """Probability of the class whose index is the only value of y."""
+    return np.maximum(np.take_along_axis(p, y.astype(np.int64), axis=1), _EPS)
+
+
+def _picked_slope(y, p):
+    out = np.zeros_like(p)
+    np.put_along_axis(out, y.astype(np.int64), -1 / _picked(y, p), axis=1)
+    return out
+
+
+LOSSES |= {
+    "cosine_proximity": (
+        lambda y, p: -(_unit(y) * _unit(p)).sum(axis=1),
+        lambda y, p: -(_unit(y) - _unit(p) * (_unit(y) * _unit(p)).sum(axis=1, keepdims=True))
+        / np.maximum(np.sqrt((p * p).sum(axis=1, keepdims=True)), _EPS),
+    ),
+    "mean_absolute_percentage_error": (
+        lambda y, p: 100 * (np.abs(y - p) / np.maximum(np.abs(y), _EPS)).mean(axis=1),
+        lambda y, p: 100 * np.sign(p - y) / np.maximum(np.abs(y), _EPS) / y.shape[1],
+    ),
+    "mean_squared_logarithmic_error": (
+        lambda y, p: ((_log1(p) - _log1(y)) ** 2).mean(axis=1),
+        lambda y, p: 2 * (_log1(p) - _log1(y)) * (p > _EPS) / (1 + np.maximum(p, _EPS)) / y.shape[1],
+    ),
+    "logcosh": (lambda y, p: _log_cosh(p - y).mean(axis=1), lambda y, p: np.tanh(p - y) / y.shape[1]),
+    "sparse_categorical_crossentropy": (lambda y, p: -np.log(_picked(y, p))[:, 0], _picked_slope),
+}
+
+
+def loss_named(name: str) -> tuple:
+    if name not in LOSSES:
+        raise ValueError(f"unknown loss {name}; known are {', '.join(sorted(LOSSES))}")
+    return LOSSES[name]
+
 # Which losses belong to which task.
 TASKS = {
     "mean_squared_error": "regression",
@@ -161,8 +211,13 @@ class Net:
         return float(per_row(y, a).sum()), result
 
 
+OPTIMIZERS = ("sgd", "rmsprop", "adam")
+
+
 class _Optimizer:
     def __init__(self, name: str, rate: float):
+        if name not in OPTIMIZERS:
+            raise ValueError(f"unknown optimizer {name}; known are {', '.join(OPTIMIZERS)}")
         self.name, self.rate, self.step = name, rate, 0
         self.first: Weights | None = None
         self.second: Weights | None = None
@@ -175,6 +230,11 @@ class _Optimizer:
         if self.first is None:
             self.first, self.second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
         self.step += 1
+        if self.name == "rmsprop":
+            for w, g, v in zip(weights, grads, self.second):
+                v += 0.1 * (g * g - v)
+                w -= self.rate * g / (np.sqrt(v) + 1e-7)
+            return
         for w, g, m, v in zip(weights, grads, self.first, self.second):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
@@ -218,15 +278,16 @@ def _tree_sum(deltas: DataFrame, parts: int) -> dict | None:
 
 
 def train_round(
-    data: DataFrame, net: Net, loss: str, batch: int, optimizer: str, rate: float, seed: int, keep_last: bool = True,
-    passes: int = 1,
+    data: DataFrame, net: Net, loss: str, batch: int, optimizer: str, rate: float, seed: int, keep_last: bool = True
 ) -> list[dict]:
     """One synchronous round over (x, y) array columns; updates ``net`` and returns the loss per partition.
 
-    A partition takes part only if it holds more rows than one batch.
+    Rows are taken in the order they come, shuffled inside an Arrow batch. The rows left over at the end of a partition
+    form a smaller step (unless ``keep_last`` is false and the partition had a whole one).
     """
+    _Optimizer(optimizer, rate)  # names are checked before any task starts
     shared = data.sparkSession.sparkContext.broadcast(net.plain())
-    losses = LOSSES[loss]
+    losses = loss_named(loss)
 
     def work(batches):
         from pyspark import TaskContext
@@ -250,22 +311,19 @@ def train_round(
             seen += len(x)
             if left_x is not None:
                 x, y = np.concatenate([left_x, x]), np.concatenate([left_y, y])
-            for turn in range(passes):
-                order = rng.permutation(len(x)) if turn == 0 else order[rng.permutation(len(order))]
-                whole = len(order) // batch * batch
-                for at in range(0, whole, batch):
-                    rows = order[at : at + batch]
-                    total += step(x[rows], y[rows])
-                if turn == 0:
-                    left_x, left_y = x[order[whole:]], y[order[whole:]]
-                    order = order[:whole]
-        if seen <= batch:
+            order = rng.permutation(len(x))
+            whole = len(order) // batch * batch
+            for at in range(0, whole, batch):
+                rows = order[at : at + batch]
+                total += step(x[rows], y[rows])
+            left_x, left_y = x[order[whole:]], y[order[whole:]]
+        if not seen:
             return
-        if keep_last and len(left_x):
+        if len(left_x) and (keep_last or seen < batch):
             total += step(left_x, left_y)
         delta = _pack([(a - b) * seen for a, b in zip(local.weights, base.weights)])
         yield pa.RecordBatch.from_pylist(
-            [{"n": seen, "delta": delta, "history": [{"part": part, "n": seen, "loss": total / (seen * passes)}]}],
+            [{"n": seen, "delta": delta, "history": [{"part": part, "n": seen, "loss": total / seen}]}],
             schema=pa.schema(
                 [
                     ("n", pa.int64()), ("delta", pa.binary()),
@@ -277,34 +335,52 @@ def train_round(
     summed = _tree_sum(data.mapInArrow(work, _DELTA), data.rdd.getNumPartitions())
     shared.unpersist()
     if summed is None:
-        raise ValueError("no partition holds more rows than one batch: lower the batch size or the number of workers")
+        raise ValueError("there are no rows to train on")
     for w, d in zip(net.weights, _unpack(summed["delta"], net.weights)):
         w += d / summed["n"]
     return summed["history"]
 
 
+def split_rows(df: DataFrame, x: Column, y: Column, validation: float, seed: int) -> DataFrame:
+    """(x, y, key, held): ``key`` is a hash of the whole row and ``held`` marks the validation share.
+
+    Equal rows are told apart by a running number, so they are not all held or all trained on. The frame is stored once:
+    every epoch sees the same split.
+    """
+    rows = df.select(x.cast("array<double>").alias("x"), y.cast("array<double>").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    kept = checkpointed(rows.withColumn("place", F.monotonically_increasing_id()))
+    key = F.xxhash64("place", F.lit(seed))
+    return kept.select("x", "y", key.alias("key"), (F.pmod(key, F.lit(10_000)) < int(validation * 10_000)).alias("held"))
+
+
 def fit_net(
     df: DataFrame, net: Net, x: Column, y: Column, loss: str = "mse", epochs: int = 10, batch: int = 32,
     optimizer: str = "adam", rate: float = 0.001, workers: int | None = None, validation: float = 0.0, seed: int = 1,
     passes: int = 1, keep_last: bool = True, after_round=None,
 ) -> list[dict]:
-    """Train for ``epochs`` rounds; returns per round the mean, per-partition and validation loss."""
-    pairs = df.select(x.cast("array<double>").alias("x"), y.cast("array<double>").alias("y"))
-    held = F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(10_000)) < int(validation * 10_000)
-    data = pairs.filter(~held) if validation else pairs
+    """Train for ``epochs`` rounds; returns per round the mean, per-partition and validation loss.
+
+    Each partition is sorted by a hash that changes with epoch and pass, so mini-batches are drawn from the whole
+    partition, and ``passes`` runs over it before partitions are averaged. Without ``workers`` the data's own partitions
+    train. Rows with a null side are left out.
+    """
+    rows = split_rows(df, x, y, validation, seed)
+    data = rows.filter(~F.col("held")).select("x", "y", "key")
     if workers:
         data = data.repartition(workers)
     data = data.persist()
     history = []
     try:
         for epoch in range(epochs):
-            parts = train_round(data, net, loss, batch, optimizer, rate, seed + epoch, keep_last, passes)
+            turns = data.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))) if passes > 1 else data.withColumn("turn", F.lit(0))
+            shuffled = turns.sortWithinPartitions("turn", F.xxhash64("key", "turn", F.lit(seed + epoch))).select("x", "y")
+            parts = train_round(shuffled, net, loss, batch, optimizer, rate, seed + epoch, keep_last)
             note = {
                 "epoch": epoch, "loss": sum(p["loss"] * p["n"] for p in parts) / sum(p["n"] for p in parts),
                 "partitions": sorted(parts, key=lambda p: p["part"]),
             }
             if validation:
-                note["validation_loss"] = evaluate(pairs.filter(held), net, F.col("x"), F.col("y"), loss).first()["loss"]
+                note["validation_loss"] = evaluate(rows.filter("held"), net, F.col("x"), F.col("y"), loss).first()["loss"]
             history.append(note)
             if after_round:
                 after_round(epoch, net)
@@ -321,61 +397,64 @@ def predict_column(spark: SparkSession, net: Net, x: Column, scalar: bool = Fals
 
         @F.arrow_udf(T.DoubleType())
         def run(x: pa.Array) -> pa.Array:
-            return pa.array(Net.of(shared.value).predict(matrix(x))[:, 0] if len(x) else [], pa.float64())
+            return per_row(x, lambda rows: Net.of(shared.value).predict(rows)[:, 0])
 
     else:
 
         @F.arrow_udf(T.ArrayType(T.DoubleType()))
         def run(x: pa.Array) -> pa.Array:
-            if not len(x):
-                return pa.array([], pa.list_(pa.float64()))
-            out = Net.of(shared.value).predict(matrix(x))
-            offsets = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+            valid = x.is_valid()
+            some = x.filter(valid)
+            out = Net.of(shared.value).predict(matrix(some)) if len(some) else np.empty((0, 1))
+            at = np.concatenate([[0], np.cumsum(valid.to_numpy(zero_copy_only=False))]) * out.shape[1]
+            offsets = pa.array(at.astype(np.int32), mask=np.append(~valid.to_numpy(zero_copy_only=False), False))
+            return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
 
     return run(x)
 
 
 def error_column(spark: SparkSession, net: Net, x: Column, kind: str = "mse") -> Column:
-    """Reconstruction error per row, ``mse`` or ``sum_abs``; only the error leaves Python."""
+    """Reconstruction error per row, ``mse`` or ``sum_abs``; only the error leaves Python. Null for a null vector."""
     shared = spark.sparkContext.broadcast(net.plain())
 
     @F.arrow_udf(T.DoubleType())
     def run(x: pa.Array) -> pa.Array:
-        if not len(x):
-            return pa.array([], pa.float64())
-        rows = matrix(x)
-        gap = Net.of(shared.value).predict(rows) - rows
-        return pa.array((gap**2).mean(axis=1) if kind == "mse" else np.abs(gap).sum(axis=1))
+        def error(rows):
+            gap = Net.of(shared.value).predict(rows) - rows
+            return (gap**2).mean(axis=1) if kind == "mse" else np.abs(gap).sum(axis=1)
+
+        return per_row(x, error)
 
     return run(x)
 
 
 def evaluate(df: DataFrame, net: Net, x: Column, y: Column, loss: str = "mse") -> DataFrame:
-    """Mean loss (and accuracy for classification), averaged over rows and not over partitions."""
+    """Mean loss (and accuracy for classification), averaged over rows and not over partitions.
+
+    Rows with a null side are left out.
+    """
     shared = df.sparkSession.sparkContext.broadcast(net.plain())
-    loss_of = LOSSES[loss][0]
+    loss_of = loss_named(loss)[0]
 
     @F.arrow_udf(T.DoubleType())
-    def per_row(x: pa.Array, y: pa.Array) -> pa.Array:
-        if not len(x):
-            return pa.array([], pa.float64())
-        return pa.array(loss_of(matrix(y), Net.of(shared.value).predict(matrix(x))))
+    def losses(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array(loss_of(matrix(y), Net.of(shared.value).predict(matrix(x))) if len(x) else [], pa.float64())
 
     @F.arrow_udf(T.DoubleType())
     def right(x: pa.Array, y: pa.Array) -> pa.Array:
         if not len(x):
             return pa.array([], pa.float64())
-        out = Net.of(shared.value).predict(matrix(x))
-        return pa.array((out.argmax(axis=1) == matrix(y).argmax(axis=1)).astype(float))
+        out, wanted = Net.of(shared.value).predict(matrix(x)), matrix(y)
+        classes = wanted[:, 0] if wanted.shape[1] < out.shape[1] else wanted.argmax(axis=1)
+        return pa.array((out.argmax(axis=1) == classes).astype(float))
 
-    x, y = x.cast("array<double>"), y.cast("array<double>")
+    rows = df.select(x.cast("array<double>").alias("x"), y.cast("array<double>").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
     columns = [F.avg("_loss").alias("loss"), F.count("*").alias("n")]
-    rows = df.select(per_row(x, y).alias("_loss"))
+    measured = rows.select(losses("x", "y").alias("_loss"))
     if task_of(loss) == "classification":
-        rows = df.select(per_row(x, y).alias("_loss"), right(x, y).alias("_right"))
+        measured = rows.select(losses("x", "y").alias("_loss"), right("x", "y").alias("_right"))
         columns.append(F.avg("_right").alias("accuracy"))
-    return rows.agg(*columns)
+    return measured.agg(*columns)
 
 
 def combined_error(errors: DataFrame, history: str, flow: str) -> DataFrame:
@@ -487,12 +566,12 @@ def weights_from_frame(df: DataFrame, inputs: int, layers: list[Layer]) -> Net:
 class _NetParams(Params):
     layers = Param(Params._dummy(), "layers", "JSON list of [units, activation, dropout]", TypeConverters.toString)
     loss = Param(Params._dummy(), "loss", "loss name", TypeConverters.toString)
-    optimizer = Param(Params._dummy(), "optimizer", "sgd or adam", TypeConverters.toString)
+    optimizer = Param(Params._dummy(), "optimizer", "sgd, rmsprop or adam", TypeConverters.toString)
     learningRate = Param(Params._dummy(), "learningRate", "step size", TypeConverters.toFloat)
     epochs = Param(Params._dummy(), "epochs", "training rounds", TypeConverters.toInt)
     batchSize = Param(Params._dummy(), "batchSize", "rows per step", TypeConverters.toInt)
     validationSplit = Param(Params._dummy(), "validationSplit", "share of held-out rows", TypeConverters.toFloat)
-    numWorkers = Param(Params._dummy(), "numWorkers", "partitions that train", TypeConverters.toInt)
+    numWorkers = Param(Params._dummy(), "numWorkers", "partitions that train, 0: as the data is partitioned", TypeConverters.toInt)
     numClasses = Param(Params._dummy(), "numClasses", "length of one-hot labels", TypeConverters.toInt)
     categorical = Param(Params._dummy(), "categorical", "one-hot encode the label", TypeConverters.toBoolean)
     mode = Param(Params._dummy(), "mode", "only synchronous", TypeConverters.toString)
@@ -503,7 +582,7 @@ class _NetParams(Params):
 
     def _net_defaults(self):
         self._setDefault(
-            loss="mse", optimizer="adam", learningRate=0.001, epochs=10, batchSize=32, validationSplit=0.1, numWorkers=8,
+            loss="mse", optimizer="adam", learningRate=0.001, epochs=10, batchSize=32, validationSplit=0.1, numWorkers=0,
             numClasses=10, categorical=False, mode="synchronous", seed=1, featuresCol="features", labelCol="label",
             outputCol="prediction",
         )
@@ -511,6 +590,9 @@ class _NetParams(Params):
     def _set(self, **kwargs):
         if kwargs.get("mode", "synchronous") != "synchronous":
             raise ValueError("only synchronous training is offered")
+        if kwargs.get("optimizer", "adam") not in OPTIMIZERS:
+            raise ValueError(f"optimizer must be one of {', '.join(OPTIMIZERS)}")
+        loss_named(kwargs.get("loss", "mse"))
         return super()._set(**kwargs)
 
     def __getattr__(self, name):
@@ -544,7 +626,7 @@ class DenseNetEstimator(_NetParams, Estimator, DefaultParamsReadable, DefaultPar
         net = Net(d, self.layer_list()).initialise(self.getSeed())
         history = fit_net(
             dataset, net, x, y, loss=self.getLoss(), epochs=self.getEpochs(), batch=self.getBatchSize(),
-            optimizer=self.getOptimizer(), rate=self.getLearningRate(), workers=self.getNumWorkers(),
+            optimizer=self.getOptimizer(), rate=self.getLearningRate(), workers=self.getNumWorkers() or None,
             validation=self.getValidationSplit(), seed=self.getSeed(),
         )
         return self._copyValues(DenseNetModel(net, history))

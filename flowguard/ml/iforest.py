@@ -1,8 +1,9 @@
 """Isolation forest as a Spark ML estimator.
 
-Small samples (the usual case) are drawn exactly: every tree picks its row positions, one scan
-fetches them, and each tree is built in its own task. Samples too large for a task grow all
-trees level by level from aggregated minima and maxima, so no task ever holds a sample.
+Features are stored once with a place for every row; a tree's sample follows from places alone
+(``ml/sampling.py``), whatever its size. Samples that fit a task are fetched in one scan and each
+tree is built in its own task. For larger ones all trees grow level by level from aggregated minima
+and maxima over the same samples, so no task ever holds one.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -23,10 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowguard.functions.scalar import EULER
+from flowguard.ml.sampling import Sampler, placed
 from flowguard.operators.metrics import rank_quantile
 
 IN_TASK_SAMPLE = 1 << 16
-BROADCAST_DRAWS = 2_000_000
 
 NODE_SCHEMA = T.StructType(
     [
@@ -57,9 +59,33 @@ def feature_array(df: DataFrame, column: str) -> Column:
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    """Arrow list column of equal lengths to a matrix, without Python objects."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
+    """Arrow list column to a matrix, without Python objects; a null vector is a row of NaN.
+
+    All other vectors must have one length.
+    """
+    lengths = pc.list_value_length(column)
+    known = np.unique(lengths.drop_null().to_numpy())
+    if len(known) > 1:
+        raise ValueError(f"vectors of different lengths: {known.tolist()}")
+    width = int(known[0]) if len(known) else 0
+    flat = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if width else np.empty((0, 0))
+    if not column.null_count:
+        return flat if width else np.empty((len(column), 0))
+    out = np.full((len(column), width), np.nan)
+    if width:
+        out[column.is_valid().to_numpy(zero_copy_only=False)] = flat
+    return out
+
+
+def per_row(column: pa.Array, compute) -> pa.Array:
+    """``compute(matrix)`` for the vectors that are there, null for null ones."""
+    valid = column.is_valid()
+    some = column.filter(valid)
+    out = np.zeros(len(column))
+    mask = ~valid.to_numpy(zero_copy_only=False)
+    if len(some):
+        out[~mask] = compute(matrix(some))
+    return pa.array(out, pa.float64(), mask=mask)
 
 
 def subset_size(max_features: float, d: int) -> int:
@@ -128,70 +154,46 @@ class IsolationForest(_ForestParams, Estimator, DefaultParamsReadable, DefaultPa
         return self._set(**params)
 
     def _fit(self, dataset: DataFrame) -> "IsolationForestModel":
-        data = dataset.select(feature_array(dataset, self.getFeaturesCol()).alias("x"))
-        sizes = partition_sizes(data)
-        total = int(sizes.sum())
+        """Rows whose vector is null are not trained on."""
+        data, starts = placed(dataset.select(feature_array(dataset, self.getFeaturesCol()).alias("x")).filter("x IS NOT NULL"))
+        total = int(starts[-1])
         wanted = self.getMaxSamples()
         size = int(wanted) if wanted > 1 else int(wanted * total)
         if size > total:
             raise ValueError(f"maxSamples asks for {size} rows, the data has {total}")
         if size < 1:
             raise ValueError("the sample is empty")
-        settings = dict(
-            trees=self.getNumTrees(), size=size, depth=self.getMaxDepth(), features=self.getMaxFeatures(),
-            bootstrap=self.getBootstrap(), seed=self.getSeed(),
-        )
-        if size <= IN_TASK_SAMPLE:
-            nodes = _fit_sampled(data, sizes, **settings)
-        else:
-            nodes = _fit_levels(data, total, **settings)
-        model = IsolationForestModel(nodes.toPandas(), size)
+        sampler = Sampler(starts, size, self.getBootstrap(), self.getSeed())
+        settings = dict(trees=self.getNumTrees(), depth=self.getMaxDepth(), features=self.getMaxFeatures())
+        grow = _fit_sampled if size <= IN_TASK_SAMPLE else _fit_levels
+        model = IsolationForestModel(grow(data, sampler, **settings).toPandas(), size)
         self._copyValues(model)
         model._training = dataset
         return model
 
 
-def partition_sizes(data: DataFrame) -> np.ndarray:
-    """Rows per partition: one number per partition comes back."""
-    rows = data.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-    sizes = np.zeros(max((r["p"] for r in rows), default=-1) + 1, dtype=np.int64)
-    for r in rows:
-        sizes[r["p"]] = r["count"]
-    return sizes
-
+def sampled_rows(data: DataFrame, sampler: Sampler, trees: int) -> DataFrame:
+    """(tree, copies, row, x): the sample of every tree, from one scan of a ``placed`` frame."""
+    shared = data.sparkSession.sparkContext.broadcast(sampler)
+    kind = dict(data.dtypes)["x"]
 
-def draw_positions(rng: np.random.Generator, total: int, size: int, bootstrap: bool):
-    """Row positions and how often each was drawn."""
-    if bootstrap:
-        return np.unique(rng.integers(0, total, size), return_counts=True)
-    chosen = np.arange(total) if size == total else rng.choice(total, size, replace=False, shuffle=False)
-    return chosen, np.ones(size, dtype=np.int64)
+    def pick(batches):
+        rows, tree, copies = shared.value.draws(trees)
+        for batch in batches:
+            at = shared.value.rows(batch.column("place").to_numpy())
+            first, last = np.searchsorted(rows, at), np.searchsorted(rows, at, side="right")
+            hit = np.flatnonzero(last > first)
+            if not len(hit):
+                continue
+            count = (last - first)[hit]
+            use = np.repeat(first[hit], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            here = pa.array(np.repeat(hit, count))
+            yield pa.record_batch(
+                [pa.array(tree[use]), pa.array(copies[use]), pa.array(rows[use]), batch.column("x").take(here)],
+                ["tree", "copies", "row", "x"],
+            )
 
-
-def sampled_rows(data: DataFrame, sizes: np.ndarray, trees: int, size: int, bootstrap: bool, seed: int) -> DataFrame:
-    """(tree, copies, x) rows: exactly ``size`` uniformly drawn rows per tree, in one scan.
-
-    Draws are row positions; with the partition sizes they turn into the ids that
-    ``monotonically_increasing_id`` gives the rows.
-    """
-    spark = data.sparkSession
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    total = int(starts[-1])
-
-    def draw(batches):
-        for pdf in batches:
-            for tree in pdf["id"]:
-                at, copies = draw_positions(np.random.default_rng([seed, int(tree)]), total, size, bootstrap)
-                part = np.searchsorted(starts, at, side="right") - 1
-                yield pd.DataFrame(
-                    {"tree": np.full(len(at), tree), "row": (part.astype(np.int64) << 33) + at - starts[part], "copies": copies}
-                )
-
-    draws = spark.range(trees).mapInPandas(draw, "tree long, row long, copies long")
-    if trees * size <= BROADCAST_DRAWS:
-        draws = F.broadcast(draws)
-    rows = data.withColumn("row", F.monotonically_increasing_id())
-    return rows.join(draws, "row").select("tree", "copies", "row", "x")
+    return data.mapInArrow(pick, f"tree long, copies long, row long, x {kind}")
 
 
 def build_tree(x: np.ndarray, copies: np.ndarray, depth: int, max_features: float, rng) -> list[tuple]:
@@ -228,53 +230,27 @@ def build_tree(x: np.ndarray, copies: np.ndarray, depth: int, max_features: floa
     return [tuple(n) for n in nodes]
 
 
-def _fit_sampled(data, sizes, trees, size, depth, features, bootstrap, seed):
-    samples = sampled_rows(data, sizes, trees, size, bootstrap, seed)
-
+def _fit_sampled(data, sampler, trees, depth, features):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
         tree = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree, 1])
+        rng = np.random.default_rng([sampler.seed, tree, 1])
         nodes = build_tree(np.stack(pdf["x"].to_numpy()), pdf["copies"].to_numpy(), depth, features, rng)
         frame = pd.DataFrame(nodes, columns=NODE_SCHEMA.names[1:])
         frame.insert(0, "treeID", tree)
         return frame
 
-    return samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA)
-
+    return sampled_rows(data, sampler, trees).groupBy("tree").applyInPandas(build, NODE_SCHEMA)
 
-def _mix(values: np.ndarray) -> np.ndarray:
-    """64-bit integer mixer, used as a per-row random number that survives task retries."""
-    z = values.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
 
-
-def _copies(rows: np.ndarray, tree: int, share: float, bootstrap: bool, seed: int) -> np.ndarray:
-    """How often each row is in the sample of a tree. A share of 1 without replacement is exact;
-    other shares are independent draws, whose count deviates by about 1/sqrt(sample size)."""
-    if share >= 1 and not bootstrap:
-        return np.ones(len(rows), dtype=np.int64)
-    key = _mix(np.array([seed * 1_000_003 + tree], dtype=np.uint64))
-    u = (_mix(rows.astype(np.uint64) ^ key) >> np.uint64(11)) / float(1 << 53)
-    if not bootstrap:
-        return (u < share).astype(np.int64)
-    copies, term, reached = np.zeros(len(rows), dtype=np.int64), math.exp(-share), math.exp(-share)
-    for k in range(1, 40):
-        copies += u >= reached
-        term *= share / k
-        reached += term
-    return copies
-
-
-def _fit_levels(data, total, trees, size, depth, features, bootstrap, seed):
+def _fit_levels(data, sampler, trees, depth, features):
     spark = data.sparkSession
-    share = size / total
-    limit = min(depth, math.ceil(math.log2(max(2, size))))
+    seed = sampler.seed
+    shared = spark.sparkContext.broadcast(sampler)
+    limit = min(depth, math.ceil(math.log2(max(2, sampler.size))))
     d = len(data.first()["x"])
     chosen = subset_size(features, d)
-    rows = data.withColumn("row", F.monotonically_increasing_id())
+    rows = data.select("x", "place")
     # Heap numbering: node n has children 2n and 2n+1. Size is bounded by trees * 2^limit.
     splits: list[dict[int, tuple[int, float]]] = [{} for _ in range(trees)]
     frontier: list[set[int]] = [{1} for _ in range(trees)]
@@ -293,11 +269,11 @@ def _fit_levels(data, total, trees, size, depth, features, bootstrap, seed):
             feature, value, growing = state.value
             low = {}
             for batch in batches:
-                x, ids = matrix(batch.column(0)), batch.column(1).to_numpy()
+                x, ids = matrix(batch.column(0)), shared.value.rows(batch.column(1).to_numpy())
                 for tree in range(trees):
                     if not growing[tree]:
                         continue
-                    copies = _copies(ids, tree, share, bootstrap, seed)
+                    copies = shared.value.copies(tree, ids)
                     at = np.flatnonzero(copies)
                     node = np.ones(len(at), dtype=np.int64)
                     # Rows that stopped in an earlier leaf keep a number below the level's width.
@@ -446,10 +422,10 @@ class IsolationForestModel(_ForestParams, Model, MLReadable, MLWritable):
 
         @F.arrow_udf(T.DoubleType())
         def score(x: pa.Array) -> pa.Array:
-            if not len(x):
-                return pa.array([], pa.float64())
-            paths = mean_path(shared.value, matrix(x))
-            return pa.array(np.exp2(-paths / norm) if norm > 0 else np.full(len(paths), 0.5))
+            def run(rows):
+                return np.exp2(-mean_path(shared.value, rows) / norm) if norm > 0 else np.full(len(rows), 0.5)
+
+            return per_row(x, run)
 
         return score(feature_array(dataset, self.getFeaturesCol()))
 
@@ -491,7 +467,7 @@ class IsolationForestModel(_ForestParams, Model, MLReadable, MLWritable):
     @property
     def summary(self) -> "ForestSummary":
         if not self.hasSummary:
-            raise RuntimeError("No training summary available for this model")
+            raise RuntimeError("this model was loaded or copied: the data it was trained on is not known")
         return ForestSummary(self, self._training)
 
     def write(self):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowguard.ml import dense as D
 from flowguard.ml import features as ML
 from flowguard.ml import iforest as I
+from flowguard.ml.sampling import Sampler, placed
 from flowguard.ml import text as X
 from flowguard.plans.suite.base import FLOW_CSV, VECTORS_SQL, Tables, flow_sql, query
 
@@ -97,11 +98,16 @@ def _forest(t, **options):
     return I.IsolationForest(**{"numTrees": 25, "maxSamples": 128, "seed": 3, **options}).fit(rows), rows
 
 
-@query("m07_tree_samples", "SELECT CAST(i AS BIGINT) AS tree, CAST(64 AS BIGINT) AS n FROM range(20) r(i)")
+@query("m07_tree_samples", """
+    SELECT CAST(i AS BIGINT) AS tree, least(64, n) AS n, least(64, n) AS distinct_rows, least(64, n) AS rows_of_the_table
+    FROM range(20) r(i), (SELECT count(*) AS n FROM embeddings)""")
 def _(t: Tables):
-    data = t.vectors().select("x")
-    rows = I.sampled_rows(data, I.partition_sizes(data), 20, 64, False, 1)
-    return rows.groupBy("tree").agg(F.sum("copies").alias("n"))
+    # Behind a shuffle whose partitions Spark may merge; vectors carry the row's id.
+    ids = t.vectors().select("id", F.array(F.col("id").cast("double")).alias("x")).repartition("id")
+    data, starts = placed(ids.select("x"))
+    rows = I.sampled_rows(data, Sampler(starts, min(64, int(starts[-1])), False, 1), 20)
+    drawn = rows.select("tree", "copies", F.col("x")[0].cast("bigint").alias("id")).join(t.vectors().select("id", F.lit(1).alias("here")), "id", "left")
+    return drawn.groupBy("tree").agg(F.sum("copies").alias("n"), F.count_distinct("id").alias("distinct_rows"), F.sum("here").alias("rows_of_the_table"))
 
 
 @query("m09_tree_nodes", "SELECT CAST(i AS INTEGER) AS tree, CAST(128 AS BIGINT) AS sampled_rows, true AS binary_tree FROM range(25) r(i)")
@@ -113,34 +119,68 @@ def _(t: Tables):
     )
 
 
-@query("m11_forest_scores")
+# Two small trees over the vectors, written by hand: (tree, id, feature, value, left, right, rows).
+_NODES = [
+    (0, 0, 0, 0.0, 1, 2, 0), (0, 1, -1, -1.0, -1, -1, 3), (0, 2, 1, 0.1, 3, 4, 0), (0, 3, -1, -1.0, -1, -1, 1), (0, 4, -1, -1.0, -1, -1, 4),
+    (1, 0, 2, -0.05, 1, 2, 0), (1, 1, -1, -1.0, -1, -1, 2), (1, 2, -1, -1.0, -1, -1, 6),
+]
+_BELOW = {n: f"(2 * (ln({n - 1}) + 0.5772156649) - 2 * {n - 1} / {n}.0)" for n in (3, 4, 6, 8)}
+_SCORES_SQL = f"""WITH {VECTORS_SQL}, paths AS (SELECT id, (
+    CASE WHEN x[1] < 0.0 THEN 1 + {_BELOW[3]} WHEN x[2] < 0.1 THEN 2 ELSE 2 + {_BELOW[4]} END
+    + CASE WHEN x[3] < -0.05 THEN 2 ELSE 1 + {_BELOW[6]} END) / 2 AS path FROM vectors),
+  scores AS (SELECT id, pow(2, -path / {_BELOW[8]}) AS score FROM paths)"""
+
+
+def _hand_made(t: Tables):
+    import pandas as pd
+
+    model = I.IsolationForestModel(pd.DataFrame(_NODES, columns=I.NODE_SCHEMA.names), 8).setThreshold(0.55)
+    return model, t.vectors().select("id", F.col("x").alias("features"))
+
+
+@query("m11_forest_scores", f"{_SCORES_SQL} SELECT id, round(score, 9) AS score FROM scores")
 def _(t: Tables):
-    model, rows = _forest(t)
-    return model.score_samples(rows).select("id", "label", "anomalyScore")
+    model, rows = _hand_made(t)
+    return model.score_samples(rows).select("id", F.round("anomalyScore", 9).alias("score"))
 
 
-@query("m12_forest_predictions")
+@query("m12_forest_predictions", f"{_SCORES_SQL} SELECT id, CASE WHEN score > 0.55 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM scores")
 def _(t: Tables):
-    model, rows = _forest(t)
-    return model.transform(rows).select("id", "anomalyScore", "prediction")
+    model, rows = _hand_made(t)
+    return model.transform(rows).select("id", "prediction")
 
 
-@query("e24_predicted_anomalies", "SELECT count(*) >= 1 AS some, count(*) - CAST(ceil(count(*) * (1 - 0.1)) AS BIGINT) AS at_most FROM embeddings")
+@query("e24_predicted_anomalies", f"{_SCORES_SQL} SELECT count(*) FILTER (WHERE score > 0.55) AS anomalies, count(*) AS n FROM scores")
 def _(t: Tables):
-    """The number of flagged rows never exceeds what the contamination allows."""
+    model, rows = _hand_made(t)
+    return model.transform(rows).agg(F.sum("prediction").cast("bigint").alias("anomalies"), F.count("*").alias("n"))
+
+
+@query("m10_forest_fit", "SELECT 0.1::DOUBLE AS contamination, true AS flagged_as_allowed, true AS scores_spread")
+def _(t: Tables):
+    """The threshold of a fitted forest is the exact quantile of its own scores."""
     model, rows = _forest(t)
-    limit = F.count("*") - F.ceil(F.count("*") * F.lit(1 - 0.1))
-    flagged = F.sum("prediction").cast("bigint")
-    return model.transform(rows).agg((flagged >= 1).alias("some"), F.greatest(flagged, limit).alias("at_most"))
+    scored = model.transform(rows)
+    share = scored.agg(F.avg("prediction").alias("p"), (F.max("anomalyScore") - F.min("anomalyScore")).alias("d"))
+    return share.select(F.lit(0.1).alias("contamination"), ((F.col("p") > 0) & (F.col("p") <= 0.1)).alias("flagged_as_allowed"), (F.col("d") > 0.01).alias("scores_spread"))
 
 
-@query("m14_levelwise_forest")
+@query("m14_levelwise_forest", """
+    WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
+    SELECT CAST(i AS INTEGER) AS tree, (SELECT count(*) FROM e) AS sampled_rows, true AS value_inside, true AS counts_agree FROM range(6) r(i)""")
 def _(t: Tables):
-    rows = t.vectors().select("id", F.col("x").alias("features"))
-    data = rows.select(F.col("features").alias("x"))
-    total = int(I.partition_sizes(data).sum())
-    nodes = I._fit_levels(data, total, trees=8, size=total, depth=8, features=1.0, bootstrap=False, seed=2)
-    return I.IsolationForestModel(nodes.toPandas(), total).score_samples(rows).select("id", "anomalyScore")
+    """Level-wise trees of depth 1 over all rows: the cut lies inside its feature's range and both leaf counts are the table's."""
+    data, starts = placed(t.vectors().select("x"))
+    total = int(starts[-1])
+    nodes = I._fit_levels(data, Sampler(starts, total, False, 2), trees=6, depth=1, features=1.0)
+    roots = nodes.filter("id = 0").select("treeID", "featureIndex", "featureValue")
+    leaves = nodes.filter("featureIndex < 0").groupBy("treeID").agg(
+        F.sum("numInstance").alias("sampled_rows"), F.sum(F.when(F.col("id") == 1, F.col("numInstance"))).alias("left"))
+    cells = data.select(F.posexplode("x").alias("featureIndex", "v")).join(F.broadcast(roots), "featureIndex")
+    real = cells.groupBy("treeID", "featureValue").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count_if(F.col("v") < F.col("featureValue")).alias("n"))
+    return leaves.join(real, "treeID").select(
+        F.col("treeID").alias("tree"), "sampled_rows", F.col("featureValue").between(F.col("low"), F.col("high")).alias("value_inside"),
+        (F.col("n") == F.col("left")).alias("counts_agree"))
 
 
 @query("m15_m16_family_classifier")
@@ -150,24 +190,30 @@ def _(t: Tables):
     return model.transform(rows).select("id", "label", "prediction", "family")
 
 
-@query("m18_dense_training")
+@query("m18_dense_training", f"""WITH {VECTORS_SQL}, d AS (SELECT x[1] AS a, x[2] AS b, x[3] AS y FROM vectors),
+  g AS (SELECT avg(2 * (0.5 * a - y) * a) AS ga, avg(2 * (0.5 * a - y) * b) AS gb, avg(2 * (0.5 * a - y)) AS g0 FROM d)
+  SELECT round(0.5 - 0.1 * ga, 9) AS weight_a, round(-0.1 * gb, 9) AS weight_b, round(-0.1 * g0, 9) AS bias FROM g""")
 def _(t: Tables):
-    rows = t.vectors()
-    net = D.Net(64, [D.Layer(32, "relu"), D.Layer(10, "softmax")]).initialise(1)
-    from flowguard.functions.scalar import one_hot
+    """One step of a linear network over all rows in one batch per partition: row-weighted means of the gradients."""
+    import numpy as np
 
-    history = D.fit_net(rows, net, F.col("x"), one_hot(F.col("label"), 10), "categorical_crossentropy", epochs=3, workers=4, rate=0.01)
-    notes = [(h["epoch"], p["part"], p["n"], p["loss"]) for h in history for p in h["partitions"]]
-    return t.spark.createDataFrame(notes, "epoch int, part int, n long, loss double")
+    net = D.Net(2, [D.Layer(1)], [np.array([[0.5], [0.0]]), np.zeros(1)])
+    rows = t.vectors()
+    D.fit_net(rows, net, F.array(F.col("x")[0], F.col("x")[1]), F.array(F.col("x")[2]), "mse", epochs=1, workers=3, rate=0.1, optimizer="sgd", batch=rows.count())
+    (a, b), (c,) = net.weights[0][:, 0], net.weights[1]
+    return t.spark.createDataFrame([(round(float(a), 9), round(float(b), 9), round(float(c), 9))], "weight_a double, weight_b double, bias double")
 
 
-@query("m20_dense_predictions")
+@query("m20_dense_predictions", f"""WITH {VECTORS_SQL} SELECT id, label, CASE WHEN x[1] >= x[2] AND x[1] >= x[3] THEN 0 WHEN x[2] >= x[3] THEN 1 ELSE 2 END AS predicted
+  FROM vectors""")
 def _(t: Tables):
-    estimator = D.DenseNetEstimator(layers=[[32, "relu"], [10, "softmax"]], loss="categorical_crossentropy", epochs=3, numWorkers=4,
-                                    categorical=True, featuresCol="x", learningRate=0.01)
-    model = estimator.fit(t.vectors())
+    """A network that copies three inputs through a softmax: the class is the largest of them."""
+    import numpy as np
+
     from flowguard.functions.scalar import argmax
 
+    net = D.Net(64, [D.Layer(3, "softmax")], [np.eye(64)[:, :3], np.zeros(3)])
+    model = D.DenseNetModel(net)._set(featuresCol="x", loss="categorical_crossentropy")
     return model.transform(t.vectors()).select("id", "label", argmax(F.col("prediction")).alias("predicted"))
 
 
@@ -189,10 +235,14 @@ def _(t: Tables):
     return t.vectors().select("id", F.round(D.predict_column(t.spark, net, F.col("x"), True), 6).alias("total"))
 
 
-@query("m22_autoencoder_scores")
+@query("m22_autoencoder_scores", f"""WITH {VECTORS_SQL}, s AS (SELECT id, list_sum([v * v for v in x]) / 64 * 0.25 AS score FROM vectors)
+  SELECT id, round(score, 9) AS score, score > 0.01 AS is_anomalous FROM s""")
 def _(t: Tables):
-    net, _ = D.fit_autoencoder(t.vectors(), "x", hidden=(32, 16), rate=0.005, epochs=3, workers=4)
-    return D.score_autoencoder(t.vectors(), net, "x").select("id", "score", "is_anomalous")
+    """An autoencoder that gives back half of its input: the error is a quarter of the mean square."""
+    import numpy as np
+
+    net = D.Net(64, [D.Layer(64)], [0.5 * np.eye(64), np.zeros(64)])
+    return D.score_autoencoder(t.vectors(), net, "x").select("id", F.round("score", 9).alias("score"), "is_anomalous")
 
 
 @query("m24_retraining")
@@ -204,10 +254,13 @@ def _(t: Tables):
     return t.spark.createDataFrame(notes, "epoch int, auc double, average_precision double, cutoff double")
 
 
-@query("m26_validation_split", f"""WITH {VECTORS_SQL} SELECT count(*) AS n FROM vectors""")
+@query("m26_validation_split", "SELECT count(*) AS n, true AS share_is_near, true AS same_twice FROM embeddings")
 def _(t: Tables):
-    train, held = t.vectors().randomSplit([0.9, 0.1], seed=5)
-    return train.select("id").union(held.select("id")).distinct().agg(F.count("*").alias("n"))
+    """The split that training uses: every row on one side, about a tenth held, the same rows each time it is read."""
+    rows = D.split_rows(t.vectors(), F.col("x"), F.array(F.col("id").cast("double")), 0.1, 5)
+    sides = rows.select(F.col("y")[0].alias("id"), "held")
+    both = sides.join(sides.withColumnRenamed("held", "again"), "id")
+    return both.agg(F.count("*").alias("n"), F.avg(F.col("held").cast("int")).between(0.04, 0.16).alias("share_is_near"), F.min(F.col("held") == F.col("again")).alias("same_twice"))
 
 
 @query("p01_netflow_forest")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowguard.ml import iforest as I
 from flowguard.ml.iforest import IsolationForest, IsolationForestModel
+from flowguard.ml.sampling import Sampler, placed
 
 
 def ramp(spark, rows, dim=2):
@@ -48,19 +49,84 @@ def test_sample_larger_than_data(spark):
         IsolationForest(maxSamples=20).fit(ramp(spark, 10))
 
 
+def sources(spark):
+    """The same thousand rows, behind shuffles whose partitions Spark merges at run time."""
+    base = spark.range(1000).withColumn("k", F.col("id") % 10)
+    yield base.repartition(7)
+    yield base.repartition("id")
+    yield base.join(spark.range(10).withColumnRenamed("id", "k").hint("merge"), "k")
+    yield base.groupBy("id").agg(F.max("k").alias("k"))
+
+
+@pytest.mark.parametrize("partitions", ["3", "8", "200"])
+@pytest.mark.parametrize("bootstrap", [False, True])
+def test_sample_sizes(spark, bootstrap, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for source in sources(spark):
+            data, starts = placed(source.select(F.array(F.col("id").cast("double")).alias("x")))
+            rows = I.sampled_rows(data, Sampler(starts, 64, bootstrap, 3), 5)
+            got = rows.groupBy("tree").agg(F.sum("copies").alias("n"), F.count_distinct("x").alias("d")).collect()
+            assert len(got) == 5 and all(r["n"] == 64 for r in got)
+            assert all(r["d"] == 64 if not bootstrap else 50 < r["d"] < 64 for r in got)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("bootstrap", [False, True])
-def test_sample_sizes(spark, bootstrap):
-    data = spark.range(1000).repartition(7).select(F.array(F.col("id").cast("double")).alias("x"))
-    rows = I.sampled_rows(data, I.partition_sizes(data), 5, 64, bootstrap, 3)
-    got = rows.groupBy("tree").agg(F.sum("copies").alias("n"), F.count_distinct("x").alias("d")).collect()
-    assert len(got) == 5 and all(r["n"] == 64 for r in got)
-    if not bootstrap:
-        assert all(r["d"] == 64 for r in got)
+def test_listed_and_asked_samples_agree(bootstrap):
+    for total, size in ((1, 1), (7, 3), (300_000, 256), (300_000, 200_000), (1000, 1000)):
+        sampler = Sampler(np.array([0, total]), size, bootstrap, 11)
+        rows, tree, copies = sampler.draws(3)
+        for t in range(3):
+            mine = tree == t
+            want = np.zeros(total, int)
+            want[rows[mine]] = copies[mine]
+            assert want.sum() == size and (sampler.copies(t, np.arange(total)) == want).all()
+
+
+def test_samples_are_uniform():
+    hits = np.zeros(100)
+    sampler = Sampler(np.array([0, 100]), 10, False, 5)
+    for t in range(3000):
+        hits[sampler._shuffle(t, np.arange(10), True)] += 1
+    assert abs(hits - 300).max() < 90  # five standard deviations
+
+
+def test_large_samples_are_exact_too(spark, monkeypatch):
+    data = spark.range(3000).repartition("id").select(F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double")).alias("features"))
+    monkeypatch.setattr(I, "IN_TASK_SAMPLE", 100)
+    for bootstrap in (False, True):
+        model = IsolationForest(numTrees=4, maxSamples=1000, bootstrap=bootstrap, maxDepth=5).fit(data)
+        assert (model.nodes.groupby("treeID")["numInstance"].sum() == 1000).all()
+
+
+def test_null_and_ragged_vectors(spark):
+    rows = [(i, [float(i), 1.0, 2.0]) for i in range(60)] + [(60, None), (61, None)]
+    data = spark.createDataFrame(rows, "id int, features array<double>").coalesce(1)
+    model = IsolationForest(numTrees=5, maxSamples=30).fit(data)
+    got = {r["id"]: r["anomalyScore"] for r in model.score_samples(data).collect()}
+    assert got[60] is None and got[61] is None and all(0 < got[i] < 1 for i in range(60))
+    want = {r["id"]: r["anomalyScore"] for r in model.score_samples(data.filter("id < 60")).collect()}
+    assert all(got[i] == want[i] for i in range(60))
+    assert [r["anomalyScore"] for r in model.score_samples(data.filter("id >= 60")).collect()] == [None, None]
+    with pytest.raises(Exception, match="different lengths"):
+        model.score_samples(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "features array<double>").coalesce(1)).collect()
+
+
+def test_matrix_keeps_rows_apart():
+    import pyarrow as pa
+
+    x = I.matrix(pa.array([[1.0, 2.0], None, [3.0, None]]))
+    assert x.shape == (3, 2) and x[0].tolist() == [1, 2] and np.isnan(x[1]).all() and x[2][0] == 3
+    assert I.matrix(pa.array([None, None], pa.list_(pa.float64()))).shape == (2, 0)
+    assert I.matrix(pa.array([[1.0], [2.0], [3.0]])[1:]).tolist() == [[2.0], [3.0]]
 
 
 def test_sampling_everything_keeps_every_row(spark):
-    data = spark.range(50).select(F.array(F.col("id").cast("double")).alias("x"))
-    rows = I.sampled_rows(data, I.partition_sizes(data), 2, 50, False, 3).toPandas()
+    data, starts = placed(spark.range(50).select(F.array(F.col("id").cast("double")).alias("x")))
+    rows = I.sampled_rows(data, Sampler(starts, 50, False, 3), 2).toPandas()
     for _, part in rows.groupby("tree"):
         assert sorted(v[0] for v in part["x"]) == [float(i) for i in range(50)]
 
