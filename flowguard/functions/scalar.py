@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 TIMESTAMP_FORMATS = ("d/M/yyyy H:m", "d/M/yyyy H:m:s", "yyyy-M-d H:m:s")
 HISTORY_ALPHABET = "shadfrcgtwiqSHADFRCGTWIQ-^"
 HISTORY_LENGTH = 23
+# The constant of harmonic numbers, and the number of 32-bit values.
 EULER = 0.5772156649
 TWO32 = 1 << 32
 
@@ -124,7 +125,7 @@ def port_number(text: Column) -> Column:
 # The layout of a syslog line.
 SYSLOG_PATTERN = (
     r"^\s*([A-Z][a-z]{2})(?![a-z])\s*(\d+)\s*(\d+:\d+:\d+)\s*([A-Za-z0-9_.\-]+)\s*"
-    r"(?:([A-Za-z/\-_.()]+)\s*\[\s*(\d+)\s*\]|([A-Za-z/\-_.]+))?\s*:\s*(.*)[\s\S]*$"
+    r"(?:([A-Za-z/\-_.()]+)\s*\[\s*(\d+)\s*\]|([A-Za-z/\-_.]+))?\s*:\s*([\s\S]*)$"
 )
 _SEP = "\u0001"
 
@@ -132,6 +133,8 @@ _SEP = "\u0001"
 def syslog_fields(line: Column, year: int = 2020) -> Column:
     """Struct (timestamp, hostname, appname, pid, message); null when the line does not parse.
 
+    A message may span several lines.
+
     One regular-expression pass rewrites the line into separated groups, the rest are splits.
     """
     def from_groups(groups: Column) -> Column:
@@ -167,9 +170,16 @@ def sha1_key(fields: list[Column], digits: int | None = None) -> Column:
 # --- arrays -----------------------------------------------------------------------------------
 
 
-def history_codes(history: Column) -> Column:
-    """Alphabet positions of a connection history, padded with ``-`` to the fixed length."""
-    padded = F.rpad(F.coalesce(history, F.lit("")), HISTORY_LENGTH, "-")
+def history_fits(history: Column, length: int = HISTORY_LENGTH) -> Column:
+    """Whether a history has letters of the alphabet only and not more of them than the encoding holds."""
+    text = F.coalesce(history, F.lit(""))
+    return (F.length(text) <= length) & (F.translate(text, HISTORY_ALPHABET, "") == "")
+
+
+def history_codes(history: Column, length: int = HISTORY_LENGTH) -> Column:
+    """Alphabet positions of a connection history, padded with ``-`` to the length; null if it does not fit."""
+    text = F.coalesce(history, F.lit(""))
+    padded = F.when(history_fits(history, length), F.rpad(text, length, "-"))
     return F.transform(F.split(padded, ""), lambda c: F.instr(F.lit(HISTORY_ALPHABET), c) - 1)
 
 
@@ -179,8 +189,8 @@ def one_hot(code: Column, size: int) -> Column:
     )
 
 
-def history_one_hot(history: Column) -> Column:
-    return F.transform(history_codes(history), lambda c: one_hot(c, len(HISTORY_ALPHABET)))
+def history_one_hot(history: Column, length: int = HISTORY_LENGTH) -> Column:
+    return F.transform(history_codes(history, length), lambda c: one_hot(c, len(HISTORY_ALPHABET)))
 
 
 def argmax(values: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.functions.scalar import ipv4_to_long
-from flowguard.operators.scan import CHUNK_BITS, running, skew_join
+from flowguard.operators.scan import CHUNK_BITS, running
+from flowguard.session import checkpointed
 
 # Protocols and service types the detectors accept or refuse.
 FOREST_DENIED = ("HOP", "SCTP")
@@ -89,24 +90,17 @@ def encode_addresses(
     df: DataFrame, source: str = "sa", destination: str = "da", order: str = "id", bits=CHUNK_BITS
 ) -> DataFrame:
     """IPv4 text to integers; other text gets codes shared by both columns in order of first use."""
-    sides = F.array(
-        *[
-            F.struct(F.col(c).alias("v"), (F.col(order).cast("bigint") * 2 + i).alias("at"))
-            for i, c in enumerate((source, destination))
-        ]
-    )
-    other = df.select(F.explode(sides).alias("_s")).select("_s.*")
-    other = other.filter(F.col("v").isNotNull() & ipv4_to_long(F.col("v")).isNull())
-    firsts = other.groupBy("v").agg(F.min("at").alias("at"))
-    codes = running(firsts, [], "at", {"code": ("sum", F.lit(1).cast("bigint"))}, bits).select(
-        "v", (F.col("code") - 1).alias("code")
-    )
-    out = df
-    for c in (source, destination):
-        lookup = codes.select(F.col("v").alias(c), F.col("code").alias("_code"))
-        out = skew_join(out, lookup, [c], order)
-        out = out.withColumn(c, F.coalesce(ipv4_to_long(F.col(c)), F.col("_code")).cast("double")).drop("_code")
-    return out
+    # Both columns meet the codes in one join, on a narrow stored table, and return to their rows in another.
+    side = [F.struct(F.lit(i).alias("side"), F.col(c).alias("v")) for i, c in enumerate((source, destination))]
+    text = df.select(F.col(order).alias("_o"), F.explode(F.array(*side)).alias("_s")).select("_o", "_s.*")
+    text = checkpointed(text.filter(F.col("v").isNotNull() & ipv4_to_long(F.col("v")).isNull()))
+    firsts = checkpointed(text.groupBy("v").agg(F.min(F.col("_o").cast("bigint") * 2 + F.col("side")).alias("at")))
+    codes = running(firsts, [], "at", {"code": ("sum", F.lit(1).cast("bigint"))}, bits).select("v", (F.col("code") - 1).alias("code"))
+    coded = text.join(codes, "v").groupBy("_o").agg(*[F.max(F.when(F.col("side") == i, F.col("code"))).alias(f"_code{i}") for i in (0, 1)])
+    out = df.join(coded, F.col(order) == F.col("_o"), "left")
+    for i, c in enumerate((source, destination)):
+        out = out.withColumn(c, F.coalesce(ipv4_to_long(F.col(c)), F.col(f"_code{i}")).cast("double"))
+    return out.drop("_o", "_code0", "_code1")
 
 
 def is_tenant(column: Column) -> Column:

@@ -176,16 +176,20 @@ def spread_join(
 
 
 def skew_join(
-    rows: DataFrame, lookup: DataFrame, on: list[str], spread_by: str, ways: int = 64, share: int = 10_000, how: str = "left"
+    rows: DataFrame, lookup: DataFrame, on: list[str], spread_by: str, ways: int = 64, share: int = 10_000, how: str = "left",
+    salt: bool = False,
 ) -> DataFrame:
-    """Join rows to a large lookup with unique keys, spreading only keys that are hot.
+    """Join rows to a large lookup with unique keys.
 
-    A key is hot if it holds more than 1/``share`` of the rows, so there are fewer than ``share``
-    of them: the list is small enough to broadcast, whatever the data. Only their lookup rows are
-    copied.
+    By default Spark's adaptive execution splits partitions that turn out large: either side is read and shuffled once. It
+    cannot do so where the result's partitioning is used further on; ``salt`` then spreads hot keys itself, for another read
+    of ``rows``, which should be a stored table. A key is hot if it holds more than 1/``share`` of the rows, so there are
+    fewer than ``share`` of them: the list is small enough to broadcast, whatever the data. Only their lookup rows are copied.
     """
+    if not salt:
+        return _in_order(rows.join(lookup, on, how), rows, lookup)
     counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = rows.agg(F.count("*").alias("_all"))
+    total = counts.agg(F.sum("_n").alias("_all"))
     hot = counts.join(F.broadcast(total)).filter(F.col("_n") * share > F.col("_all"))
     hot = F.broadcast(hot.select(*on, F.lit(ways).alias("_ways")))
     way = F.when(F.col("_ways").isNotNull(), F.pmod(F.xxhash64(spread_by), F.lit(ways))).otherwise(0).cast("int")

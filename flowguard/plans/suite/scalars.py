@@ -75,9 +75,11 @@ def _(t: Tables):
 @query("c12_syslog_fields", """SELECT event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) - 126230400 AS sec,
   'host' || CAST(user_id AS VARCHAR) AS hostname, CASE WHEN event_id % 3 < 2 THEN event_type ELSE '' END AS appname,
   CASE WHEN event_id % 3 = 0 THEN json_extract_string(props, '$.k') ELSE '' END AS pid,
-  'event number ' || CAST(event_id AS VARCHAR) AS message FROM events WHERE event_id % 11 <> 0""")
+  'event number ' || CAST(event_id AS VARCHAR) || CASE WHEN event_id % 5 = 0 THEN chr(10) || 'second line: x' ELSE '' END AS message
+  FROM events WHERE event_id % 11 <> 0""")
 def _(t: Tables):
     line = F.when(F.col("id") % 11 == 0, F.concat(F.lit("12 "), F.col("line"))).otherwise(F.col("line"))
+    line = F.when(F.col("id") % 5 == 0, F.concat(line, F.lit("\nsecond line: x"))).otherwise(line)
     parsed = t.lines().select("id", S.syslog_fields(line).alias("f")).filter("f is not null")
     return parsed.select(
         "id", S.epoch_seconds(F.col("f.timestamp")).alias("sec"), "f.hostname", "f.appname", "f.pid", "f.message"
@@ -88,12 +90,14 @@ _HISTORY = "CASE event_id % 4 WHEN 0 THEN 'ShADadFf' WHEN 1 THEN '' WHEN 2 THEN
 
 
 @query("c13_history_one_hot", f"""WITH h AS (SELECT event_id AS id, rpad({_HISTORY}, 23, '-') AS p FROM events),
-  c AS (SELECT id, unnest(range(1, 24)) AS pos, p FROM h)
+  c AS (SELECT id, unnest(range(1, 24)) AS pos, p FROM h WHERE id % 7 <> 0)
   SELECT id, CAST(sum((strpos('shadfrcgtwiqSHADFRCGTWIQ-^', substr(p, pos, 1)) - 1) * pos) AS BIGINT) AS weighted, CAST(count(*) AS BIGINT) AS ones
   FROM c GROUP BY id""")
 def _(t: Tables):
     e = F.col("event_id")
     history = F.when(e % 4 == 0, "ShADadFf").when(e % 4 == 2, "Sr^").when(e % 4 == 3, "hAdDaFT")
+    # Every seventh history is too long or has a letter of no alphabet: it is null, not cut.
+    history = F.when(e % 14 == 0, F.repeat(F.lit("ShAD"), 10)).when(e % 7 == 0, "ShX").otherwise(history)
     hot = t("events").select(e.alias("id"), S.history_one_hot(history).alias("h"))
     cells = hot.select("id", F.posexplode("h").alias("pos", "row")).select("id", "pos", F.posexplode("row").alias("letter", "v"))
     return cells.groupBy("id").agg(

@@ -14,11 +14,36 @@ from flowguard.streaming.correlator import correlate_stream
 
 
 class StreamedTables(Tables):
-    """The same views, with tables read as file streams."""
+    """The same views, with tables read as file streams: a table may be one file or a folder of them."""
 
     def __call__(self, name: str) -> DataFrame:
-        schema = self.spark.read.parquet(f"{self.folder}/{name}.parquet").schema
-        return self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
+        path = f"{self.folder}/{name}.parquet"
+        stream = self.spark.readStream.schema(self.spark.read.parquet(path).schema)
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory():
+            return stream.parquet(path)
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
+
+
+class Arrivals(Tables):
+    """Views over ``events`` as a stream of ``PARTS`` files, one per micro-batch, that arrive in the order of time."""
+
+    PARTS = 4
+
+    def __init__(self, t: Tables, path: str):
+        super().__init__(t.spark, t.folder)
+        self.path = f"{path}/arrivals"
+        events = t("events")
+        times = [r[0] for r in events.select(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).alias("h")).distinct().orderBy("h").collect()]  # hours
+        edges = [times[len(times) * k // self.PARTS] for k in range(self.PARTS)] + [None]
+        hour = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600)
+        for low, high in zip(edges, edges[1:]):
+            part = events.filter(hour >= low) if high is None else events.filter((hour >= low) & (hour < high))
+            part.coalesce(1).write.mode("append").parquet(self.path)
+
+    def __call__(self, name: str) -> DataFrame:
+        schema = self.spark.read.parquet(self.path).schema
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(self.path)
 
 
 def _scratch(t: Tables) -> str:
@@ -47,35 +72,58 @@ def _(t: Tables):
         out = trailing_means(rows, ["td"], (600,)).filter("not is_context")
         B.write_each(f"{path}/out")(out.select("id", F.round("td_600_mean", 9).alias("td_600_mean")), batch_id)
 
-    stream = StreamedTables(t.spark, t.folder).flow(60).select("id", "sec", "td")
+    stream = Arrivals(t, path).flow(60).select("id", "sec", "td")
     _run(t, stream, B.LookBack(t.spark, f"{path}/context", 600, handle), path)
     return t.spark.read.parquet(f"{path}/out").drop("batch")
 
 
-@query("t04_edge_stream")
+@query("t04_edge_stream", f"""WITH {flow_sql()}, first AS (SELECT da % 3 AS tenant, arg_min(sec, id) AS origin FROM flow GROUP BY 1)
+  SELECT f.id AS seq, f.da % 3 AS tenant, f.sa AS src, f.da AS dst,
+    greatest(CAST(floor((f.sec - 0.0 - o.origin) / 3600) AS BIGINT) + 1, 1) AS slot, true AS same_as_bounded
+  FROM flow f JOIN first o ON o.tenant = f.da % 3""")
 def _(t: Tables):
+    """Four micro-batches, one sketch per tenant: every score equals that of the bounded scorer over all rows at once."""
+    from flowguard.operators import edges as E
+
     path = _scratch(t)
-    stream = StreamedTables(t.spark, t.folder).flow().select(
-        F.col("id").alias("seq"), F.col("sa").alias("src"), F.col("da").alias("dst"), F.col("sec").alias("epoch")
-    )
-    _run(t, stream, B.EdgeStream(t.spark, f"{path}/state", B.write_each(f"{path}/out"), 3600), path)
-    return t.spark.read.parquet(f"{path}/out").select("seq", "src", "dst", "slot", F.round("score", 6).alias("score"))
+
+    def edges(tables: Tables) -> DataFrame:
+        return tables.flow().select(
+            F.col("id").alias("seq"), (F.col("da") % 3).alias("tenant"), F.col("sa").alias("src"), F.col("da").alias("dst"), F.col("sec").alias("epoch"))
+
+    _run(t, edges(Arrivals(t, path)), B.EdgeStream(t.spark, f"{path}/state", B.write_each(f"{path}/out"), 3600, keys=["tenant"]), path)
+    streamed = t.spark.read.parquet(f"{path}/out").select("seq", "tenant", "src", "dst", "slot", "score")
+    bounded = E.filtered_burst(E.with_slots(edges(t), "epoch", 3600, "seq", keys=["tenant"]), "seq", keys=["tenant"]).select("seq", F.col("score").alias("_want"))
+    same = F.abs(F.col("score") - F.col("_want")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("_want"))
+    return streamed.join(bounded, "seq").select("seq", "tenant", "src", "dst", "slot", same.alias("same_as_bounded"))
 
 
 @query("t05_correlated_stream", f"""WITH {RESULTS_SQL} SELECT key, arg_min(score, arrival) FILTER (WHERE module = 'MIDAS') AS midas_score,
-  arg_min(score, arrival) FILTER (WHERE module = 'IFOREST') AS iforest_score, min(arrival) AS first_arrival FROM results GROUP BY key
-  HAVING count(*) FILTER (WHERE module = 'MIDAS') > 0 AND count(*) FILTER (WHERE module = 'IFOREST') > 0""")
+  arg_min(score, arrival) FILTER (WHERE module = 'IFOREST') AS iforest_score, min(arrival) AS first_arrival,
+  CASE WHEN count(*) FILTER (WHERE module = 'MIDAS') > 0 AND count(*) FILTER (WHERE module = 'IFOREST') > 0 THEN 'complete' ELSE 'timeout' END AS reason
+  FROM results GROUP BY key""")
 def _(t: Tables):
+    """Every flow ends: by completion, or by the time-out once its day's results are in.
+
+    Results of a key are of one day and arrive in one file, so what is not complete when its file is read times out.
+    """
     path = _scratch(t)
-    results = StreamedTables(t.spark, t.folder).results().drop("sa")
-    fused = correlate_stream(results, rule="MIDAS_IFOREST", late="drop", only_anomalous=False)
-    columns = ["key", F.col("midas.score").alias("midas_score"), F.col("iforest.score").alias("iforest_score"), "first_arrival"]
-    # Timers keep the stream alive, so it is stopped once the batch with the table's file is written.
+    results = Tables.results(t).drop("sa").withColumn("_part", F.pmod(F.xxhash64("key"), F.lit(4)))
+    for k in range(4):
+        results.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = t.spark.readStream.schema(t.spark.read.parquet(f"{path}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    fused = correlate_stream(stream, rule="MIDAS_IFOREST", late="drop", only_anomalous=False, timeout_ms=8_000)
+    columns = ["key", F.col("midas.score").alias("midas_score"), F.col("iforest.score").alias("iforest_score"), "first_arrival", "reason"]
+    # Timers keep the stream alive: it is stopped when as many flows are written as there are, or none come any more.
     running = B.run_batches(fused.select(*columns), B.write_each(f"{path}/out"), f"{path}/progress", every="1 second")
-    written = B.VersionedTable(t.spark, f"{path}/out")
-    while running.isActive and not written.has(0):
-        time.sleep(0.5)
+    wanted, seen, since = results.select("key").distinct().count(), 0, time.time()
+    while running.isActive and seen < wanted and time.time() - since < 120:
+        time.sleep(1)
+        last = running.lastProgress
+        written = B.VersionedTable(t.spark, f"{path}/out")
+        now = written.all().count() if last and last["batchId"] > 0 and written.has(0) else 0
+        seen, since = (now, time.time()) if now != seen else (seen, since)
     running.stop()
     if running.exception():
         raise running.exception()
-    return t.spark.read.parquet(f"{path}/out/batch=0")
+    return t.spark.read.parquet(f"{path}/out").drop("batch")

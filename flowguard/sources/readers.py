@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,3 +116,20 @@ def feature_label_pairs(
     return df.select(
         F.col(features_col).alias("features"), (one_hot(label, classes) if classes else label).alias("label")
     )
+
+
+def renamed_by_sql(df: DataFrame, names: dict[str, str], target: str, condition: str = "true") -> DataFrame:
+    """SQL over a temporary view with column names known at run time only.
+
+    ``target`` and ``condition`` are expressions in which ``{old name}`` stands for the quoted column; the last entry of
+    ``names`` names the target.
+    """
+    quote = {old: "`" + old.replace("`", "``") + "`" for old in names}
+    view = f"rows_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    *plain, last = names
+    columns = [f"{quote[old]} AS `{names[old]}`" for old in plain] + [f"{target.format(**quote)} AS `{names[last]}`"]
+    try:
+        return df.sparkSession.sql(f"SELECT {', '.join(columns)} FROM {view} WHERE {condition.format(**quote)}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)

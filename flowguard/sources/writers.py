@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.operators.scan import CHUNK_BITS, running
+from flowguard.session import checkpointed
 
 
 def result_csv(raw: Column, module: str, features: Column | None, score: Column, flag: Column) -> Column:
@@ -34,12 +35,12 @@ def method_label(slot: Column | str, cutoff: Column | int) -> Column:
 
 
 def keyed_messages(
-    df: DataFrame, value: str, order: str, prefix: str, partition: int | None = None, bits=CHUNK_BITS
+    df: DataFrame, value: str, order: str, prefix: str, partition: int | None = None, bits=CHUNK_BITS, first: int = 0
 ) -> DataFrame:
-    """(key, value[, partition]) rows; keys carry the 0-based message ordinal."""
+    """(key, value[, partition]) rows; keys carry the message ordinal, counted from ``first``."""
     numbered = running(df, [], order, {"_n": ("sum", F.lit(1).cast("bigint"))}, bits)
     columns = [
-        F.concat(F.lit(prefix), (F.col("_n") - 1).cast("string")).alias("key"),
+        F.concat(F.lit(prefix), (F.col("_n") - 1 + first).cast("string")).alias("key"),
         F.col(value).alias("value"),
     ]
     if partition is not None:
@@ -63,3 +64,22 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write a stage and continue from what was written."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class OrdinalSink:
+    """Micro-batch sink of keyed messages whose ordinals go on from batch to batch.
+
+    The next free ordinal is stored per batch id, so a repeated batch gets the numbers it had.
+    """
+
+    def __init__(self, marks, out, value: str, order: str, prefix: str, partition: int | None = None):
+        self.marks, self.out = marks, out
+        self.options = dict(value=value, order=order, prefix=prefix, partition=partition)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        before = self.marks.before(batch_id)
+        first = before.first()["next"] if before is not None else 0
+        rows = checkpointed(batch)
+        self.out(keyed_messages(rows, first=first, **self.options), batch_id)
+        self.marks.write(batch_id, rows.agg((F.count("*") + first).alias("next")))
+        self.marks.drop_before(batch_id)
