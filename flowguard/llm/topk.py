@@ -4,14 +4,13 @@ Vectors are dealt into blocks by a hash of their id, so that every block is a fa
 A block keeps one list per dimension, sorted by coordinate. A query reads the lists from the end its own sign prefers, a
 stretch of every list per round, and keeps for each vector the sum of the read products, a lower bound (unread
 coordinates at their list's worst value) and an upper bound (unread coordinates at the list's current value). Vectors
-whose upper bound is below the k-th largest lower bound are out; reading stops when no more than a few are left, whose
-scores are then resolved. Each block's k best meet in one ranking per query.
+whose upper bound is below the k-th largest lower bound, here or in the blocks the task has read before, are out. Reading
+stops when few vectors are left; their final scores are then resolved. Each task's k best meet in one ranking per query.
+Queries of a block read together: what a round reads is then a product of matrices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -19,58 +18,73 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.registry import query, table
 
-BLOCK_ROWS, QUERY_ROWS, ROUNDS = 4096, 1024, 8
+BLOCK_ROWS, QUERY_ROWS = 4096, 512
+GROUP_BLOCKS = 3  # blocks that a task reads one after the other
+DEPTHS = (0.375, 0.5, 0.625, 0.75, 0.875, 1.0)
+FEW = 4  # a query stops reading when a quarter of the vectors is left
 
 
 class Block:
-    """Sorted lists over the vectors of one block."""
+    """Sorted lists over the vectors of one block; ``rank`` is a vector's place in the list of each dimension."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.x = ids[order], x[order]
-        self.values = self.x.astype(np.float64)
-        self.n, self.d = x.shape
-        self.lists = np.ascontiguousarray(np.argsort(self.x, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(self.values.T, self.lists, axis=1)
-
-    def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best vectors but the query's own, ties to the smaller id."""
-        candidates = self.read(query_id, q.astype(np.float64), k)
-        score = self.x[candidates] @ q
-        ids = self.ids[candidates]
-        top = np.lexsort((ids, -score))[:k]
-        return ids[top], score[top]
-
-    def read(self, query_id: int, q: np.ndarray, k: int) -> np.ndarray:
-        """Rows that may be among the k best, by reading the lists in rounds."""
-        n, used = self.n, np.flatnonzero(q)
-        own = self.ids == query_id
-        alive = np.flatnonzero(~own)
-        if len(alive) <= k or not len(used):
-            return alive
-        weight = q[used]
-        down = weight > 0
-        worst = np.where(down, self.sorted[used, 0], self.sorted[used, -1]) * weight
-        seen, mark = np.zeros(n), np.zeros((n, len(used)))
-        step, done = max(1, -(-n // ROUNDS)), 0
-        while done < n and len(alive) > 4 * k:
-            upto = min(n, done + step)
-            for part, picked in ((down, slice(n - upto, n - done)), (~down, slice(done, upto))):
-                dims = np.flatnonzero(part)
-                rows = self.lists[used[dims], picked]
-                product = self.sorted[used[dims], picked] * weight[dims][:, None]
-                seen += np.bincount(rows.ravel(), product.ravel(), n)
-                mark[rows, dims[:, None]] = 1.0
-            done = upto
-            if done == n:
+        self.ids, self.x, self.n = ids, x, len(x)
+        self.values = x.astype(np.float64)
+        lists = np.argsort(x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.values, lists, axis=0)
+        self.rank = np.empty_like(lists)
+        np.put_along_axis(self.rank, lists, np.arange(self.n)[:, None], axis=0)
+
+    def bounds(self, q: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lower, upper) bounds of all vectors (rows) for the queries (columns) after ``depth`` reads of every list."""
+        n, parts = self.n, []
+        for down in (True, False):
+            sign = np.where((q > 0) == down, q, 0.0).T  # dimensions read from this end
+            read = (self.rank >= n - depth if down else self.rank < depth).astype(np.float64)
+            worst = self.sorted[0 if down else -1][:, None] * sign
+            front = worst if depth == n else self.sorted[n - 1 - depth if down else depth][:, None] * sign
+            seen = (read * self.values) @ sign
+            parts.append((seen + worst.sum(axis=0) - read @ worst, seen + front.sum(axis=0) - read @ front))
+        return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]
+
+    def read(self, query_ids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray) -> list[np.ndarray]:
+        """Rows that may be among the k best of each query, by reading the lists in rounds.
+
+        ``floor`` holds scores that k other vectors are known to reach, or -inf.
+        """
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
+        open_ = np.arange(len(q))
+        for share in DEPTHS:
+            depth = min(self.n, max(1, int(self.n * share)))
+            low, high = self.bounds(q[open_].astype(np.float64), depth)
+            own = self.ids[:, None] == query_ids[open_][None, :]
+            low[own] = high[own] = -np.inf
+            least = floor[open_]
+            if self.n > k:
+                least = np.maximum(least, np.partition(low, self.n - k, axis=0)[self.n - k])
+            alive = (high >= least - 0.5) & ~own  # scores are whole numbers
+            done = (alive.sum(axis=0) <= max(4 * k, self.n // FEW)) | (depth == self.n)
+            for j in np.flatnonzero(done):
+                out[open_[j]] = np.flatnonzero(alive[:, j])
+            open_ = open_[~done]
+            if not len(open_):
                 break
-            front = np.where(down, self.sorted[used, n - 1 - done], self.sorted[used, done]) * weight
-            part = mark[alive]
-            low = seen[alive] + worst.sum() - part @ worst
-            high = seen[alive] + front.sum() - part @ front
-            floor = np.partition(low, len(low) - k)[len(low) - k]
-            alive = alive[high >= floor - 0.5]  # scores are whole numbers
-        return alive
+        return out
+
+
+def best_of(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
+    """(query_id, vec_id, score) of each query's k best vectors but its own, ties to the smaller id."""
+    best_ids = [np.zeros(0, np.int64)] * len(q)
+    best = [np.zeros(0, np.int64)] * len(q)
+    for at in range(0, len(ids), BLOCK_ROWS):
+        block = Block(ids[at : at + BLOCK_ROWS], x[at : at + BLOCK_ROWS])
+        floor = np.array([s[-1] if len(s) == k else -np.inf for s in best], np.float64)
+        for i, rows in enumerate(block.read(query_ids, q, k, floor)):
+            score = np.concatenate([best[i], block.x[rows] @ q[i]])
+            named = np.concatenate([best_ids[i], block.ids[rows]])
+            top = np.lexsort((named, -score))[:k]
+            best[i], best_ids[i] = score[top], named[top]
+    return pd.DataFrame({"query_id": np.repeat(query_ids, [len(s) for s in best]), "vec_id": np.concatenate(best_ids), "score": np.concatenate(best)})
 
 
 def integer_vector(x: Column) -> Column:
@@ -92,7 +106,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
         f.filter("id IS NOT NULL AND x IS NOT NULL").select("id", "x").dropDuplicates().withColumn("dim", F.size("x")) for f in (queries, candidates)
     ]
     n_queries, n_rows = (f.count() for f in clean)
-    q_blocks, c_blocks = max(1, -(-n_queries // QUERY_ROWS)), max(1, -(-n_rows // BLOCK_ROWS))
+    q_blocks, c_blocks = max(1, -(-n_queries // QUERY_ROWS)), max(1, -(-n_rows // (BLOCK_ROWS * GROUP_BLOCKS)))
     asked, held = (
         f.select("dim", F.pmod(F.xxhash64("id"), F.lit(n)).alias(name), "id", "x")
         for f, n, name in ((clean[0], q_blocks, "qb"), (clean[1], c_blocks, "cb"))
@@ -102,13 +116,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     held = held.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
-        if len(left) and len(right):
-            block = Block(right["id"].to_numpy(np.int64), np.stack(right["x"].to_list()).astype(np.int64))
-            for query_id, x in zip(left["id"], left["x"]):
-                ids, score = block.best(query_id, np.asarray(x, np.int64), k)
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+        if not len(left) or not len(right):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+        q, x = (np.stack(f["x"].to_list()).astype(np.int64) for f in (left, right))
+        return best_of(left["id"].to_numpy(np.int64), q, right["id"].to_numpy(np.int64), x, k)
 
     key = ["dim", "qb", "cb"]
     found = asked.groupBy(*key).cogroup(held.groupBy(*key)).applyInPandas(meet, "query_id long, vec_id long, score long")

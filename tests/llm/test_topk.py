@@ -41,9 +41,18 @@ def test_reading_stops_before_the_end():
     rng = np.random.default_rng(2)
     x = rng.normal(0, 100, (4000, 16)).astype(np.int64)
     block = T.Block(np.arange(4000), x)
-    q = x[17] * 3
-    left = block.read(17, q.astype(float), 10)
-    assert len(left) < 1000 and set(np.argsort(-(x @ q), kind="stable")[1:8]) <= set(left)
+    q, depth = x[[17]] * 3, []
+    bounds = block.bounds
+    block.bounds = lambda *a: depth.append(a[1]) or bounds(*a)
+    left = block.read(np.array([17]), q, 10, np.array([-np.inf]))[0]
+    assert len(left) <= 1000 and depth[-1] < 4000
+    scores = x @ q[0]
+    scores[17] = -(10**9)
+    assert set(np.argsort(-scores, kind="stable")[:10]) <= set(left)
+    low, high = bounds(q.astype(float), 1500)
+    assert (low[:, 0] <= x @ q[0]).all() and (high[:, 0] >= x @ q[0]).all()
+    few = block.read(np.array([17]), q, 10, np.array([np.sort(scores)[-10]], float))[0]
+    assert set(np.argsort(-scores, kind="stable")[:10]) <= set(few)
 
 
 def test_integer_vectors(spark):
