@@ -123,6 +123,41 @@ def _slot_table(events, keys):
     )
 
 
+NEAR = 128  # slots back that one row may collect
+
+
+def _decayed(ranked, cell, factor):
+    """Add ``decayed``: the counts ``n`` of a cell's earlier slots, each times factor to the number of slots in between.
+
+    A factor at which 2**-64 is reached within NEAR slots looks back directly. Nearer to 1, slots fall into blocks over which
+    the factor sinks to 2**-40: sums scaled inside a block, and the sums of the three blocks before it, hold all that a
+    double can tell. 1 keeps everything, 0 nothing.
+    """
+    order = Window.partitionBy(*cell).orderBy("rank")
+    if not 0 <= factor <= 1:
+        raise ValueError("the decay factor must lie in [0, 1]")
+    if factor in (0, 1):
+        kept = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) * factor
+        return ranked.withColumn("decayed", kept.cast("double"))
+    reach = math.ceil(64 * math.log(2) / -math.log(factor))
+    if reach <= NEAR:
+        past = F.collect_list(F.struct("rank", "n")).over(order.rangeBetween(-reach, -1))
+        fold = F.aggregate(past, F.lit(0.0), lambda acc, p: acc + p["n"] * F.pow(F.lit(factor), F.col("rank") - p["rank"]))
+        return ranked.withColumn("decayed", fold)
+    length = int(40 * math.log(2) / -math.log(factor))
+    power = lambda e: F.pow(F.lit(factor), e)
+    block = F.floor(F.col("rank") / length)
+    rows = ranked.withColumn("_block", block).withColumn("_at", F.col("rank") - block * length)
+    inside = Window.partitionBy(*cell, "_block").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*cell, "_block").agg(F.sum(F.col("n") * power(length - F.col("_at"))).alias("_sum"))
+    last = Window.partitionBy(*cell).orderBy("_block").rangeBetween(-3, -1)
+    before = F.collect_list(F.struct("_block", "_sum")).over(last)
+    carry = F.aggregate(before, F.lit(0.0), lambda acc, b: acc + b["_sum"] * power((F.col("_block") - b["_block"] - 1) * length))
+    rows = attach(rows, sums.select(*cell, "_block", carry.alias("_carry")), [*cell, "_block"])
+    own = F.coalesce(F.sum(F.col("n") * power(-F.col("_at"))).over(inside), F.lit(0.0))
+    return rows.withColumn("decayed", (own + F.col("_carry")) * power(F.col("_at"))).drop("_block", "_at", "_carry")
+
+
 def _touch(events, keys, kinds, mode, rows, cols, params, order, factor, bits, state=None):
     """One row per event and touched cell with ``inslot``, ``before`` and ``decayed`` counts."""
     touched = _explode_cells(events, kinds, mode, rows, cols, params)
@@ -138,16 +173,8 @@ def _touch(events, keys, kinds, mode, rows, cols, params, order, factor, bits, s
         slots = slots.select(*cell, "now", earlier.alias("before"), F.lit(0.0).alias("decayed"))
     else:
         ranked = attach(slots, _slot_table(events, keys), [*keys, "now"])
-        reach = math.ceil(math.log(2.0**-64) / math.log(factor))
-        past = F.collect_list(F.struct("rank", "n")).over(
-            Window.partitionBy(*cell).orderBy("rank").rangeBetween(-reach, -1)
-        )
-        decayed = F.aggregate(
-            past,
-            F.lit(0.0),
-            lambda acc, p: acc + p["n"] * F.pow(F.lit(factor), F.col("rank") - p["rank"]),
-        )
-        ranked = ranked.select(*cell, "now", "rank", "growth", earlier.alias("before"), decayed.alias("decayed"))
+        ranked = _decayed(ranked, cell, factor)
+        ranked = ranked.select(*cell, "now", "rank", "growth", earlier.alias("before"), "decayed")
         if state is not None:
             kept = state.select(*cell, F.col("current").alias("_kept"), F.col("now").alias("_kept_now"))
             ranked = attach(ranked, kept, cell)

@@ -46,6 +46,22 @@ def test_relational(stream, mode, cols):
     np.testing.assert_allclose(got, want, rtol=1e-9, atol=1e-9)
 
 
+@pytest.mark.parametrize("factor", [0.0, 0.5, 0.9, 0.99, 0.999, 1.0])
+def test_decay_is_exact_for_every_factor(spark, factor):
+    """One hot cell over 60,000 slots, against the recursion over slots."""
+    rng = np.random.default_rng(6)
+    ranks = np.sort(rng.choice(60_000, 3000, replace=False)) + 1
+    n = rng.integers(1, 9, len(ranks))
+    frame = spark.createDataFrame(pd.DataFrame({"cell": 1, "rank": ranks, "n": n}))
+    got = E._decayed(frame, ["cell"], factor).toPandas().sort_values("rank")["decayed"].to_numpy()
+    want, held, at = [], 0.0, 0
+    for r, count in zip(ranks.tolist(), n.tolist()):
+        held *= factor ** (r - at) if want else 1.0
+        want.append(held)
+        held, at = held + count, r
+    np.testing.assert_allclose(got, want, rtol=1e-11, atol=1e-15)
+
+
 @pytest.mark.parametrize("threshold", [5.0, 1000.0])
 @pytest.mark.parametrize("mode,cols", [("sketch", 16), ("exact", None)])
 def test_filtering(stream, mode, cols, threshold):
