@@ -7,14 +7,16 @@ connected components of the links. The steps, each a Spark job over written tabl
    class here. The same pass adds shingle frequencies of all texts up in a counting sketch of fixed size.
 2. *Tokens.* Shingles are ordered by (sketch count, hash), rarest first. If two sets reach the threshold, some token is among
    the first n - ceil(0.8 n) + 1 of both, so only these are shuffled; passages that many documents share come last.
-3. *Groups.* In every token's list the smallest class leads. A class and its leaders are compared, pairs that cannot reach
-   the threshold by the number of tokens they share being left out. Components of these links are the groups.
-4. *Matrix.* The token union of each group is its row set (token, group). A class of one group is a query against every
-   larger group: the number of its tokens in the group's union bounds its overlap with any member. Only groups whose
-   bound suffices are opened, in blocks of bounded size, and one link per opened block is enough to merge two groups.
-
-A pair that reaches the threshold is either inside one group or meets in the matrix, so no link between different
-components is lost; pairs inside a group are never listed.
+3. *Groups.* In every token's list the smallest class leads. A class joins the group of the leader of most of its tokens, so
+   copies of one text, close or not so close, come together.
+4. *Matrix.* The token union of each group is its rows (token, group), with the number and the smallest and largest size of
+   the classes that hold the token. Every class is a query against the groups: the number of its tokens in a union bounds
+   its overlap with any member. Two groups are opened to each other for the members whose bounds suffice.
+5. *Opening.* Those members meet in blocks of bounded size, where sets are compared in full. A block returns links that join
+   what it found to be connected, not all pairs.
+
+A pair that reaches the threshold shares a token of both prefixes, and the bound of either document against the other's
+group suffices: no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ from flowguard.llm.tables import Stored
 WORDS, PERCENT = 5, 80
 SKETCH_BITS, CHUNK_BITS = 20, 16  # 2**20 counters of 4 bytes: 4 MB, whatever the corpus
 HOT_LIST = 4096  # longer token lists are split between tasks
-BLOCK_TOKENS = 2_000_000  # shingles (8 bytes each) of one side of an opened block
+BLOCK_TOKENS = 1_000_000  # shingles (8 bytes each) of one side of an opened block
 FILTER_WORDS = 1 << 17  # 64-bit words of the filter of wanted ids: 1 MB
+ASKS, HELD = 1, 2
 SMALLEST = 4  # a set of fewer shingles reaches 0.8 with equal sets only
 
 
@@ -84,8 +87,7 @@ def profile(docs: DataFrame) -> DataFrame:
                 sets = list(shingle_sets(data, offsets[a : b + 1], WORDS))
                 sizes += [len(s) for s in sets]
                 classes += [class_of(s) if len(s) else None for s in sets]
-                cells = np.concatenate(sets) >> U(64 - SKETCH_BITS)
-                sketch += np.bincount(cells.astype(np.int64), minlength=1 << SKETCH_BITS)
+                np.add.at(sketch, (np.concatenate(sets) >> U(64 - SKETCH_BITS)).astype(np.int64), 1)
             nothing = [pa.nulls(len(sizes), t) for t in (pa.int32(), pa.int32(), pa.binary())]
             yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), *nothing], schema=schema)
         part = TaskContext.get().partitionId()
@@ -184,25 +186,40 @@ def shared_tokens(tokens: DataFrame) -> DataFrame:
     return led.groupBy("token", "salt", "class", "n", "ways").agg(F.min("leader").alias("leader")).drop("salt")
 
 
-# 3. groups by leaders
+# 3. groups, 4. matrix
 
-def leader_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """(q, g): classes and those of their leaders they may reach the threshold with."""
-    counts = shared.groupBy("class", "leader", "n").agg(F.count("*").alias("x"), F.sum(F.when(F.col("ways") > 1, 1).otherwise(0)).alias("hot"))
-    # Both tokens' lists may hold the pair though a smaller class leads them: counts of smaller leaders are added, and all
-    # tokens of split lists, whose leaders say less.
-    upto = Window.partitionBy("class").orderBy("leader").rowsBetween(Window.unboundedPreceding, 0)
-    bound = counts.withColumn("x", F.sum("x").over(upto) + F.sum("hot").over(Window.partitionBy("class")))
-    sizes = classes.select(F.col("class").alias("leader"), F.col("n").alias("m"))
-    near = bound.filter("class <> leader").join(sizes, "leader").filter(can_reach(F.col("x"), F.col("n"), F.col("m")))
-    # Leaders of the parts of one split list meet under the smallest of them.
-    hot = shared.filter("ways > 1").select("token", F.col("leader").alias("q")).distinct()
-    across = hot.withColumn("g", F.min("q").over(Window.partitionBy("token"))).filter("q <> g").select("q", "g").distinct()
-    return near.select(F.col("class").alias("q"), F.col("leader").alias("g")).union(across).distinct()
+def with_groups(shared: DataFrame) -> DataFrame:
+    """(token, class, n, group) of the shared tokens."""
+    counts = shared.groupBy("class", "leader").agg(F.count("*").alias("x"))
+    best = counts.groupBy("class").agg(F.max(F.struct("x", "leader")).alias("b"))
+    return shared.select("token", "class", "n").join(best.select("class", F.col("b.leader").alias("group")), "class")
+
+
+def matrix_pairs(rows: DataFrame) -> DataFrame:
+    """(class, n, lo, hi, role): the pairs of groups that each class is opened in.
+
+    A class meets every group with its tokens, its own too if another member has the token; a token counts if a class of
+    the group has it whose size is within 4/5 to 5/4 of the query's. In a pair of groups the members of ``hi`` ask those of
+    ``lo``; inside a group all do both.
+    """
+    union = rows.groupBy("token", F.col("group").alias("g")).agg(
+        F.count("*").alias("k"), F.min("n").alias("low"), F.max("n").alias("high")
+    )
+    asks = (F.col("group") != F.col("g")) | (F.col("k") > 1)
+    fits = (5 * F.col("high") >= 4 * F.col("n")) & (4 * F.col("low") <= 5 * F.col("n"))
+    met = rows.join(union, "token").filter(asks & fits)
+    bound = met.groupBy("class", "n", "group", "g").agg(F.count("*").alias("x"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # For a fixed query the bound is weakest at the smallest or largest member within 4/5 to 5/4 of its size.
+    least = F.greatest(F.col("low"), F.ceil(F.col("n") * 4 / 5))
+    most = F.least(F.col("high"), F.floor(F.col("n") * 5 / 4))
+    reach = can_reach(F.col("x"), F.col("n"), least) | can_reach(F.col("x"), F.col("n"), most)
+    role = F.when(F.col("group") == F.col("g"), ASKS | HELD).when(F.col("group") > F.col("g"), ASKS).otherwise(HELD)
+    return bound.filter((least <= most) & reach).select(
+        "class", "n", F.least("group", "g").alias("lo"), F.greatest("group", "g").alias("hi"), role.alias("role"))
 
 
 def shingles_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
-    """(class, n, tokens) of the wanted classes, from the text of one document each.
+    """(class, tokens) of the wanted classes, once each, from the text of one document each.
 
     A bit filter of fixed size over the ids keeps most other texts from being read again; what it lets through by
     chance is dropped by the join.
@@ -229,93 +246,68 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataF
                 lengths = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 values = np.concatenate(sets) if sets else np.zeros(0, U)
                 yield pa.record_batch(
-                    [pa.array([class_of(s) for s in sets], pa.int64()), pa.array(np.diff(lengths).astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(signed(values)))], ["class", "n", "tokens"])
+                    [pa.array([class_of(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(signed(values)))],
+                    ["class", "tokens"])
 
     some = docs.filter("doc_id IS NOT NULL").filter(maybe(F.xxhash64("doc_id"))).select("text")
-    found = some.mapInArrow(run, "class long, n long, tokens array<long>")
-    return found.join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    return some.mapInArrow(run, "class long, tokens array<long>").dropDuplicates(["class"])
 
 
-# 4. opening groups
+# 5. opening groups
 
-def open_groups(pairs: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (q, m) between queries and members of the groups (q, g) opens: one per query, group and block at most.
+def places(pairs: DataFrame) -> DataFrame:
+    """(class, lo, hi, role, bin, own, i, j): the blocks that each class of an opened pair of groups goes to.
 
-    Small groups share a block, large ones are dealt over several; queries likewise, so that a task holds about
-    BLOCK_TOKENS shingles of either side.
+    Small pairs share a bin, large ones keep to themselves and are dealt over parts of queries (i) and members (j), so that
+    a task holds about BLOCK_TOKENS shingles of either side. Pairs with one side only are dropped.
     """
-    left = pairs.join(sets.select(F.col("class").alias("q"), "n", "tokens"), "q")
-    right = members.join(sets, "class").join(pairs.select("g").distinct(), "g", "left_semi")
-    asked = left.groupBy("g").agg(F.sum("n").alias("ask"))
-    held = right.groupBy("g").agg(F.sum("n").alias("hold"))
-    plan = Stored(asked.join(held, "g"), "plan")
-    totals = plan.df.agg(F.sum(F.col("ask") + F.col("hold"))).first()[0] or 0
+    side = lambda bit: F.sum(F.when(F.col("role").bitwiseAND(bit) > 0, F.col("n")).otherwise(0))
+    sizes = pairs.groupBy("lo", "hi").agg(side(ASKS).alias("ask"), side(HELD).alias("hold"))
+    plan = Stored(sizes.filter("ask > 0 AND hold > 0"), "plan").df
+    totals = plan.agg(F.sum(F.col("ask") + F.col("hold"))).first()[0] or 0
     bins = max(1, int(totals // BLOCK_TOKENS) + 1)
     ways = lambda c: F.ceil(F.col(c) / BLOCK_TOKENS).cast("int")
-    plan_df = plan.df.select("g", F.pmod(F.xxhash64("g"), F.lit(bins)).cast("int").alias("bin"), ways("ask").alias("qs"), ways("hold").alias("ms"))
+    pair = F.xxhash64("lo", "hi")
+    sized = plan.select("lo", "hi", F.pmod(pair, F.lit(bins)).cast("int").alias("bin"), pair.alias("_pair"), ways("ask").alias("qs"), ways("hold").alias("ms"))
+    placed = pairs.join(sized, ["lo", "hi"]).withColumn("own", F.when((F.col("qs") > 1) | (F.col("ms") > 1), F.col("_pair")).otherwise(0))
     steps = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    big = (F.col("qs") > 1) | (F.col("ms") > 1)
-    home = F.when(big, F.col("g")).otherwise(F.lit(0).cast("long")).alias("own")  # a large group keeps to itself
-    a = left.join(plan_df, "g").select("bin", home, F.pmod("q", F.col("qs")).cast("int").alias("i"), F.explode(steps("ms")).alias("j"), "g", F.col("q").alias("c"), "tokens")
-    b = right.join(plan_df, "g").select("bin", home, F.pmod("class", F.col("ms")).cast("int").alias("j"), F.explode(steps("qs")).alias("i"), "g", F.col("class").alias("c"), "tokens")
-    names = ["bin", "own", "i", "j", "g", "c", "tokens"]
-    a, b = a.toDF(*names), b.select("bin", "own", "i", "j", "g", "c", "tokens").toDF(*names)
-    return a.groupBy(*names[:4]).cogroup(b.groupBy(*names[:4])).applyInPandas(compare, "a long, b long")
+    part = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    keys = ["class", "lo", "hi", "bin", "own"]
+    asked = placed.filter(F.col("role").bitwiseAND(ASKS) > 0).select(*keys, part("qs").alias("i"), F.explode(steps("ms")).alias("j"), F.lit(ASKS).alias("role"))
+    held = placed.filter(F.col("role").bitwiseAND(HELD) > 0).select(*keys, F.explode(steps("qs")).alias("i"), part("ms").alias("j"), F.lit(HELD).alias("role"))
+    return asked.union(held).groupBy(*keys, "i", "j").agg(F.bit_or("role").alias("role"))
 
 
-def compare(asking: pd.DataFrame, holding: pd.DataFrame) -> pd.DataFrame:
+def compare(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links between queries and members of each group of a block that join what is connected there."""
     out_a, out_b = [], []
-    queries = {g: part for g, part in asking.groupby("g")} if len(asking) else {}
-    for g, part in holding.groupby("g") if len(holding) else ():
-        if g not in queries:
+    for _, part in frame.groupby(["lo", "hi"]):
+        held = part[(part["role"] & HELD) > 0]
+        asks = part[(part["role"] & ASKS) > 0]
+        if not len(held) or not len(asks):
             continue
-        ids = part["c"].to_numpy(np.int64)
-        sets = [np.asarray(t, np.int64) for t in part["tokens"]]
+        ids = held["class"].to_numpy(np.int64)
+        sets = [np.asarray(t, np.int64) for t in held["tokens"]]
         sizes = np.array([len(s) for s in sets])
-        token = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        if len(sets) > 1:
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-        else:
-            token = np.sort(token)
-        for q, mine in zip(queries[g]["c"], queries[g]["tokens"]):
+        token, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        joined = np.arange(len(sets))  # what is known to be connected
+        for q, mine in zip(asks["class"].to_numpy(np.int64), asks["tokens"]):
             mine = np.asarray(mine, np.int64)
             lo, hi = np.searchsorted(token, mine), np.searchsorted(token, mine, side="right")
             count = hi - lo
             at = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             both = np.bincount(owner[at], minlength=len(sets))
-            hit = np.flatnonzero((100 * both >= PERCENT * (sizes + len(mine) - both)) & (ids != q))
-            if len(hit):
-                out_a.append(q)
-                out_b.append(ids[hit[0]])
-    return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-
-
-def matrix_pairs(shared: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(q, g) pairs whose bound suffices, and the members (g, class) of all groups.
-
-    ``groups`` holds (node, component) of the classes that have a link; every other class is a group of its own.
-    """
-    own = shared.join(groups.withColumnRenamed("node", "class"), "class", "left")
-    rows = own.select("token", "class", "n", F.coalesce("component", "class").alias("group"))
-    lists = rows.groupBy("token").agg(F.min("group").alias("_a"), F.max("group").alias("_b")).filter("_a <> _b").select("token")
-    rows = Stored(rows.join(lists, "token", "left_semi").distinct(), "matrix").df
-    members = Stored(rows.select(F.col("group").alias("g"), "class", "n").distinct(), "members").df
-    # A group's other members have no token in common with another group, so they cannot have a link to one.
-    sizes = Stored(members.groupBy("g").agg(F.count("*").alias("k"), F.min("n").alias("low"), F.max("n").alias("high")), "groups").df
-    unions = rows.select("token", F.col("group").alias("g")).distinct().join(sizes, "g")
-    asked = rows.join(sizes.select(F.col("g").alias("group"), F.col("k").alias("own_k")), "group")
-    smaller = (F.col("own_k") < F.col("k")) | ((F.col("own_k") == F.col("k")) & (F.col("group") < F.col("g")))
-    fits = (5 * F.col("high") >= 4 * F.col("n")) & (4 * F.col("low") <= 5 * F.col("n"))
-    met = asked.join(unions, "token").filter(smaller & fits)
-    bound = met.groupBy("class", "n", "g", "low", "high").agg(F.count("*").alias("x"))
-    # For a fixed query the bound is weakest at the smallest or largest member within 4/5 to 5/4 of its size.
-    least = F.greatest(F.col("low"), F.ceil(F.col("n") * 4 / 5))
-    most = F.least(F.col("high"), F.floor(F.col("n") * 5 / 4))
-    open_ = bound.filter((least <= most) & (can_reach(F.col("x"), F.col("n"), least) | can_reach(F.col("x"), F.col("n"), most)))
-    return open_.select(F.col("class").alias("q"), "g"), members.select("g", "class")
+            hit = np.flatnonzero(100 * both >= PERCENT * (sizes + len(mine) - both))
+            labels, first = np.unique(joined[hit], return_index=True)
+            links = ids[hit[first]]
+            out_a.append(np.full((links != q).sum(), q, np.int64))
+            out_b.append(links[links != q])
+            if len(labels) > 1:
+                joined[np.isin(joined, labels)] = labels[0]
+    empty = np.zeros(0, np.int64)
+    return pd.DataFrame({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,26 +327,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     sketch = merge_sketch(seen.df.filter("chunk IS NOT NULL").select("chunk", "part", "counts"))
     held = docs.filter("doc_id IS NOT NULL")
     shared = Stored(shared_tokens(prefix_tokens(held, sketch)), "shared")
-
-    def link(pairs: DataFrame, members: DataFrame) -> DataFrame:
-        chosen = Stored(pairs, "pairs")
-        inside = members.join(chosen.df.select("g").distinct(), "g", "left_semi")
-        wanted = Stored(chosen.df.select(F.col("q").alias("class")).union(inside.select("class")).distinct(), "wanted")
-        sets = Stored(shingles_of(held, wanted.df, classes), "sets")
-        links = Stored(open_groups(chosen.df, inside, sets.df), "links")
-        sets.drop()
-        return links.df
-
-    first = leader_pairs(shared.df, classes)
-    alone = classes.select(F.col("class").alias("g"), "class")
-    groups = components(link(first, alone))
-    pairs, members = matrix_pairs(shared.df, groups)
-    links = link(pairs, members)
+    rows = Stored(with_groups(shared.df), "matrix")
     shared.drop()
-    both = links.join(groups.toDF("a", "ga"), "a", "left").join(groups.toDF("b", "gb"), "b", "left")
-    merged = components(both.select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")))
-    top = classes.join(groups.toDF("class", "g1"), "class", "left").withColumn("g1", F.coalesce("g1", "class"))
-    top = top.join(merged.toDF("g1", "g2"), "g1", "left").select("class", "rep", F.coalesce("g2", "g1").alias("g"))
+    pairs = Stored(matrix_pairs(rows.df), "pairs")
+    rows.drop()
+    put = Stored(places(pairs.df), "places")
+    sets = shingles_of(held, put.df.select("class").distinct(), classes)
+    links = Stored(put.df.join(sets, "class").groupBy("bin", "own", "i", "j").applyInPandas(compare, "a long, b long"), "links")
+    merged = components(links.df)
+    for table_ in (pairs, put, links):
+        table_.drop()
+    top = classes.join(merged.toDF("class", "g"), "class", "left").select("class", "rep", F.coalesce("g", "class").alias("g"))
     labels = top.groupBy("g").agg(F.min("rep").alias("component_id"))
     named = top.join(labels, "g").select("class", "component_id")
     out = profiles.join(named, "class", "left")
