@@ -2,7 +2,7 @@
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D after lower-casing A-Z. Those separators never
 occur inside a multi-byte UTF-8 character, so everything works on bytes. Texts are handled in chunks
-of a few MB, whatever the size of the Arrow batch; one text is never cut.
+of half a MB, whatever the size of the Arrow batch; one text is never cut.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 

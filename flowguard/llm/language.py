@@ -36,6 +36,7 @@ def letter_table() -> np.ndarray:
 
 
 LETTERS = letter_table()
+ASCII_LETTER = (LETTERS > 0x20) & (np.arange(256) < 128)
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,21 +178,22 @@ def detect(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
     rows = df.drop("lang_pred", "score")
 
-    @F.pandas_udf("struct<lang_pred string, score double>")
-    def guess(texts):
-        import pandas as pd
-
-        column = pa.Array.from_pandas(texts, type=pa.large_string())
-        data, offsets = text_buffers(column)
-        best, share = np.full(len(texts), -1), np.zeros(len(texts))
-        for a, b in chunks(offsets):
-            best[a:b], share[a:b] = shared.value.predict(data, offsets[a : b + 1])
-        names = np.array([*shared.value.languages, UNKNOWN], dtype=object)
-        plain = texts.str.contains("[A-Za-z]", regex=True).fillna(False).to_numpy(bool)
-        for i in np.flatnonzero((best >= 0) & ~plain):
-            if not has_letters(texts.iloc[i]):
-                best[i], share[i] = -1, 0.0
-        return pd.DataFrame({"lang_pred": names[best], "score": np.clip(share, 0.0, 1.0)})
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def guess(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = pa.array([*shared.value.languages, UNKNOWN], pa.string())
+        for part in texts:
+            data, offsets = text_buffers(part)
+            best, share = np.full(len(part), -1), np.zeros(len(part))
+            for a, b in chunks(offsets):
+                best[a:b], share[a:b] = shared.value.predict(data, offsets[a : b + 1])
+                # Bytes above 127 count as letters there; a text of them alone is looked at character by character.
+                plain = np.concatenate([[0], np.cumsum(ASCII_LETTER[data[offsets[a] : offsets[b]]])])
+                at = offsets[a : b + 1] - offsets[a]
+                for i in a + np.flatnonzero((best[a:b] >= 0) & (plain[at[1:]] == plain[at[:-1]])):
+                    if not has_letters(part[int(i)].as_py()):
+                        best[i], share[i] = -1, 0.0
+            code = pa.array(np.where(best < 0, len(names) - 1, best))
+            yield pa.StructArray.from_arrays([names.take(code), pa.array(np.clip(share, 0.0, 1.0))], ["lang_pred", "score"])
 
     hidden = rows.withColumn("_guess", guess(F.col(f"`{text}`")))
     return hidden.select(*[F.col(f"`{c}`") for c in rows.columns], "_guess.lang_pred", "_guess.score")
