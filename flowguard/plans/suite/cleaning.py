@@ -166,19 +166,31 @@ def _(t: Tables):
     return clean.encode_addresses(raw)
 
 
-@query("g01_sort_by_source_time", f"WITH {FLOW} SELECT id, sa, sec FROM flow ORDER BY sa, sec, id")
+def _positions(rows):
+    """Rows with the place they have in the frame's order."""
+    from flowguard.operators.scan import running
+    from flowguard.session import checkpointed
+
+    placed = checkpointed(rows.withColumn("_at", F.monotonically_increasing_id()))
+    return running(placed, [], "_at", {"pos": ("sum", F.lit(1).cast("bigint"))}).drop("_at")
+
+
+@query("g01_sort_by_source_time", f"WITH {FLOW} SELECT id, sa, sec, row_number() OVER (ORDER BY sa, sec, id) AS pos FROM flow")
 def _(t: Tables):
-    return t.flow().select("id", "sa", "sec").orderBy("sa", "sec", "id")
+    return _positions(t.flow().select("id", "sa", "sec").orderBy("sa", "sec", "id"))
 
 
-@query("g02_sort_by_time", f"WITH {FLOW} SELECT id, sec FROM flow ORDER BY sec, id")
+@query("g02_sort_by_time", f"WITH {FLOW} SELECT id, sec, row_number() OVER (ORDER BY sec, id) AS pos FROM flow")
 def _(t: Tables):
-    return t.flow().select("id", "sec").orderBy("sec", "id")
+    return _positions(t.flow().select("id", "sec").orderBy("sec", "id"))
 
 
-@query("g05_shuffle_rows", f"WITH {FLOW} SELECT id, td FROM flow")
+@query("g05_shuffle_rows", f"WITH {FLOW} SELECT count(*) AS n, count(DISTINCT id) AS ids, count(*) AS last_place, true AS mixed FROM flow")
 def _(t: Tables):
-    return t.flow().select("id", "td").orderBy(F.rand(7))
+    """All rows are there, at places that have nothing to do with their ids."""
+    shuffled = _positions(t.flow().select("id").orderBy(F.rand(7)))
+    return shuffled.agg(
+        F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.max("pos").alias("last_place"), (F.abs(F.corr("id", "pos")) < 0.1).alias("mixed"))
 
 
 @query("g04_last_rows", f"WITH {FLOW} SELECT id, td FROM flow ORDER BY id DESC LIMIT 400")

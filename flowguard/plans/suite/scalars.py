@@ -105,10 +105,10 @@ def _(t: Tables):
     )
 
 
-@query("c14_one_hot_label", "SELECT vec_id AS id, CAST(label = 0 AS INTEGER)::DOUBLE AS c0, CAST(label = 9 AS INTEGER)::DOUBLE AS c9, 1.0::DOUBLE AS total FROM embeddings")
+@query("c14_one_hot_label", "SELECT vec_id AS id, array_to_string([CAST(label = i AS INTEGER) FOR i IN range(10)], ',') AS hot FROM embeddings")
 def _(t: Tables):
-    hot = t.vectors().select("id", S.one_hot(F.col("label"), 10).alias("h"))
-    return hot.select("id", F.col("h")[0].alias("c0"), F.col("h")[9].alias("c9"), F.aggregate("h", F.lit(0.0), lambda a, v: a + v).alias("total"))
+    hot = F.transform(S.one_hot(F.col("label"), 10), lambda v: v.cast("int").cast("string"))
+    return t.vectors().select("id", F.array_join(hot, ",").alias("hot"))
 
 
 @query("c15_argmax", f"WITH {VECTORS_SQL} SELECT id, CAST(list_position(x, list_max(x)) - 1 AS INTEGER) AS best FROM vectors")
@@ -116,10 +116,11 @@ def _(t: Tables):
     return t.vectors().select("id", S.argmax(F.col("x")).alias("best"))
 
 
-@query("c16_vector_round_trip", f"WITH {VECTORS_SQL} SELECT id, x[1] AS first, x[64] AS last, CAST(len(x) AS INTEGER) AS n FROM vectors")
+@query("c16_vector_round_trip", f"WITH {VECTORS_SQL} SELECT id, round(list_sum([x[i] * i FOR i IN range(1, 65)]), 6) AS weighted, CAST(len(x) AS INTEGER) AS n FROM vectors")
 def _(t: Tables):
     back = t.vectors().select("id", vector_to_array(array_to_vector("x")).alias("x"))
-    return back.select("id", F.col("x")[0].alias("first"), F.element_at("x", -1).alias("last"), F.size("x").alias("n"))
+    weighted = F.aggregate(F.transform("x", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return back.select("id", F.round(weighted, 6).alias("weighted"), F.size("x").alias("n"))
 
 
 @query("c19_cell_hash", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate::VARCHAR AS d, "

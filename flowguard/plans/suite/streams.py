@@ -127,3 +127,38 @@ def _(t: Tables):
     if running.exception():
         raise running.exception()
     return t.spark.read.parquet(f"{path}/out").drop("batch")
+
+
+@query("t07_repeat_suppression", "SELECT event_id AS id FROM events")
+def _(t: Tables):
+    """Every event is sent three times, twice in one micro-batch and once in the next: one of each comes out."""
+    path = _scratch(t)
+    sent = t("events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
+    sent.union(sent).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    sent.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = t.spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    _run(t, B.without_repeats(stream, ["id"], within="60 days"), B.write_each(f"{path}/out"), path)
+    return t.spark.read.parquet(f"{path}/out").select("id")
+
+
+@query("t08_late_results", f"""WITH {RESULTS_SQL} SELECT key, count(DISTINCT module) FILTER (WHERE module IN ('MIDAS', 'IFOREST')) = 2 AS complete FROM results GROUP BY key""")
+def _(t: Tables):
+    """With late results dropped, a second copy of all results adds no flow: what is closed stays closed for a time-out."""
+    path = _scratch(t)
+    results = Tables.results(t).drop("sa")
+    for _ in range(2):
+        results.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = t.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    fused = correlate_stream(stream, rule="MIDAS_IFOREST", late="drop", only_anomalous=False, timeout_ms=25_000)
+    running = B.run_batches(fused.select("key", "reason"), B.write_each(f"{path}/out"), f"{path}/progress", every="1 second")
+    wanted, seen, since = results.select("key").distinct().count(), 0, time.time()
+    while running.isActive and seen < wanted and time.time() - since < 120:
+        time.sleep(1)
+        last = running.lastProgress
+        written = B.VersionedTable(t.spark, f"{path}/out")
+        now = written.all().count() if last and last["batchId"] > 1 and written.has(0) else 0
+        seen, since = (now, time.time()) if now != seen else (seen, since)
+    running.stop()
+    if running.exception():
+        raise running.exception()
+    return t.spark.read.parquet(f"{path}/out").select("key", (F.col("reason") == "complete").alias("complete"))

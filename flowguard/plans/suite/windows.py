@@ -39,10 +39,15 @@ for _suffix, _per in (("", 1), ("_dense", 60)):
         return out.select("id", *[f"{c}_{w}_mean" for w in (10, 60, 600) for c in ("sp", "dp", "da")])
 
 
-@query("w02_trailing_distinct_approximate")
+@query("w02_trailing_distinct_approximate", "SELECT event_id AS id, true AS near FROM events")
 def _(t: Tables):
-    out = W.trailing_distinct(t.flow(60), ["sp", "dp", "da"], approximate=True)
-    return out.select("id", *[f"{c}_{w}_mean" for w in (10, 60, 600) for c in ("sp", "dp", "da")])
+    """Sketched counts lie within a quarter (and one) of the exact ones, for every row and window."""
+    names = [f"{c}_{w}_mean" for w in (10, 60, 600) for c in ("sp", "dp", "da")]
+    flow = t.flow(60)
+    near = W.trailing_distinct(flow, ["sp", "dp", "da"], approximate=True).select("id", *names)
+    exact = W.trailing_distinct(flow, ["sp", "dp", "da"]).select("id", *[F.col(n).alias(f"_{n}") for n in names])
+    gaps = [F.abs(F.col(n) - F.col(f"_{n}")) <= 1 + F.col(f"_{n}") / 4 for n in names]
+    return near.join(exact, "id").select("id", F.least(*gaps).alias("near"))
 
 
 # A row sees its own source's rows that are younger than 600 and not later in id order.
