@@ -75,22 +75,22 @@ def _(t: Tables):
 
 
 @query("w05_term_windows", f"""WITH w AS (SELECT doc_id, {_WORDS} AS term FROM documents),
-  df AS (SELECT term, count(DISTINCT doc_id) AS n FROM w GROUP BY term),
-  vocab AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) * 1.0::DOUBLE / (1 + n)) + 1 AS idf FROM (SELECT * FROM df ORDER BY n DESC, term LIMIT 8)),
-  tf AS (SELECT doc_id, term, count(*) * any_value(idf) AS weight FROM w JOIN vocab USING (term) GROUP BY doc_id, term),
-  unit AS (SELECT doc_id, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS weight FROM tf),
-  cells AS (SELECT d.doc_id AS id, (d.doc_id // 3) * 7 AS sec, v.term, coalesce(u.weight, 0) AS weight FROM documents d CROSS JOIN vocab v
-    LEFT JOIN unit u ON u.doc_id = d.doc_id AND u.term = v.term)
-  SELECT r.id, r.term, round(any_value(r.weight), 6) AS weight, round(avg(o.weight) FILTER (WHERE o.sec > r.sec - 60), 6) AS mean_60,
-    round(coalesce(stddev_samp(o.weight) FILTER (WHERE o.sec > r.sec - 60), 0), 6) AS std_60, round(avg(o.weight), 6) AS mean_600,
-    round(coalesce(stddev_samp(o.weight), 0), 6) AS std_600
-  FROM cells r JOIN cells o ON o.term = r.term AND o.id <= r.id AND o.sec > r.sec - 600 GROUP BY r.id, r.term""")
+  df AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) * 1.0::DOUBLE / (1 + count(DISTINCT doc_id))) + 1 AS idf FROM w GROUP BY term),
+  tf AS (SELECT doc_id, term, count(*) * any_value(idf) AS weight FROM w JOIN df USING (term) GROUP BY doc_id, term),
+  unit AS (SELECT (doc_id // 3) * 7 AS sec, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS weight FROM tf),
+  cells AS (SELECT term, sec, sum(weight) AS s, sum(weight * weight) AS q FROM unit GROUP BY ALL),
+  docs AS (SELECT (doc_id // 3) * 7 AS sec, count(*) AS n FROM documents GROUP BY 1),
+  near AS (SELECT sec, sum(n) OVER (ORDER BY sec RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS n_60, sum(n) OVER (ORDER BY sec RANGE BETWEEN 599 PRECEDING AND CURRENT ROW) AS n_600 FROM docs),
+  sums AS (SELECT term, sec, sum(s) OVER a AS s_60, sum(q) OVER a AS q_60, sum(s) OVER b AS s_600, sum(q) OVER b AS q_600 FROM cells
+    WINDOW a AS (PARTITION BY term ORDER BY sec RANGE BETWEEN 59 PRECEDING AND CURRENT ROW), b AS (PARTITION BY term ORDER BY sec RANGE BETWEEN 599 PRECEDING AND CURRENT ROW))
+  SELECT term, sec, round(s_60 / n_60, 6) AS mean_60, round(sqrt(greatest(q_60 - s_60 * s_60 / n_60, 0) / (n_60 - 1)), 6) AS std_60,
+    round(s_600 / n_600, 6) AS mean_600, round(sqrt(greatest(q_600 - s_600 * s_600 / n_600, 0) / (n_600 - 1)), 6) AS std_600 FROM sums JOIN near USING (sec)""")
 def _(t: Tables):
+    """The whole vocabulary: every term at every second in which it occurs."""
     docs = t("documents").select(F.col("doc_id").alias("id"), "text", (F.floor(F.col("doc_id") / 3) * 7).cast("bigint").alias("sec"))
-    vocabulary = X.fit_vocabulary(docs, "text", size=8)
-    rows = X.term_windows(X.term_arrays(docs, vocabulary, 8, "text").select("id", "sec", "terms"), (60, 600))
-    named = rows.join(F.broadcast(vocabulary.select("term", "code")), "code")
-    return named.select("id", "term", *[F.round(c, 6).alias(c) for c in ("weight", "mean_60", "std_60", "mean_600", "std_600")])
+    weights = X.tfidf(docs, X.fit_vocabulary(docs, "text"), "text")
+    rows = X.term_moments(weights, docs, (60, 600))
+    return rows.select("term", "sec", *[F.round(c, 6).alias(c) for c in ("mean_60", "std_60", "mean_600", "std_600")])
 
 
 def _forest(t, **options):
