@@ -14,8 +14,17 @@ from flowguard.llm.registry import table
 from flowguard.llm.tables import Stored
 
 
+#: Texts are long: batches of so many rows keep Arrow buffers of executors and their Python workers at a few MB.
+BATCH_ROWS = "1000"
+
+
+def short_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language: those without text or letters go."""
+    short_batches(spark)
     taught = docs.filter(~language.held_out(F.col("doc_id"))).select("text", "lang")
     guessed = language.detect(docs, language.train(taught))
     return guessed.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
@@ -23,11 +32,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
+    short_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
+    short_batches(spark)
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
