@@ -1,9 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
-
-The benchmark's word n-grams are counted over all documents; the rare ones of every item are its seeds. A second pass meets
-seeds inside each document, lays a window of the item's length around them and aligns the item's words with it, so that
-edited and paraphrased copies are scored by what they keep. Case and punctuation do not count. Both passes are maps over the documents: nothing but counts of
-seeds is shuffled. The benchmark is taken in slices of bounded size, whatever its own size.
+"""Benchmark decontamination: word n-grams find passages, Smith-Waterman alignment scores them.
+
+Every n-gram of an item is a seed, however many documents hold it: copies cannot make their own seeds common. A pass over
+the documents meets seeds inside each document, lays a window of the item's length around them and aligns the item's words
+with it, so that edited and paraphrased copies are scored by what they keep. Stock phrases meet many windows; an upper bound
+of the score, taken for many windows at once, leaves out those that cannot reach the least score, and no others. Case and
+punctuation do not count. The pass is a map: nothing is shuffled. The benchmark is taken in slices of bounded size, whatever
+its own size.
 """
 
 from __future__ import annotations
@@ -16,17 +18,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowguard.llm.grams import PUNCTUATION, U, chunks, ngrams, text_buffers, words
+from flowguard.llm.grams import PUNCTUATION, U, chunks, mix, ngrams, text_buffers, words
 from flowguard.llm.registry import query, table
 from flowguard.llm.tables import free_name
 
 SEED_WORDS = 3
-RARE = 8
 MATCH, MISMATCH, GAP = 2, -1, 1
 MIN_SCORE = 0.5
 SLACK = 8  # words of the document on either side of where the item would lie
 SLICE_WORDS = 1_000_000  # benchmark words held by a worker at a time: about 50 MB
 TABLE_BITS = 20
+USES = 500_000  # hits of a chunk that are laid out at a time: about 50 MB
+WINDOW_WORDS = 500_000  # words of windows that are bounded at a time
 
 
 @dataclass
@@ -40,6 +43,7 @@ class Seeds:
     item: np.ndarray
     place: np.ndarray
     door: np.ndarray  # bit table over the n-grams' low bits, asked first
+    owned: np.ndarray  # keys of the words of each item, sorted
 
     def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, n-gram numbers) of the n-grams that are in the table."""
@@ -50,8 +54,13 @@ class Seeds:
         return maybe[sure], at[sure]
 
 
-def make_seeds(ids: list, texts: list[str], rare: np.ndarray | None = None) -> Seeds:
-    """All n-grams of the items, or those marked in ``rare`` (a flag per use, in the order of a table without it)."""
+def owned_key(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64-bit key of a word in an item."""
+    return mix(word + mix(item.astype(U)))
+
+
+def make_seeds(ids: list, texts: list[str]) -> Seeds:
+    """All n-grams of the items."""
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
     hashes, first = words(data, offsets, PUNCTUATION)
     parts = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
@@ -61,12 +70,11 @@ def make_seeds(ids: list, texts: list[str], rare: np.ndarray | None = None) -> S
     place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]])
     order = np.argsort(flat, kind="stable")
     flat, item, place = flat[order], item[order], place[order]
-    if rare is not None:
-        flat, item, place = flat[rare], item[rare], place[rare]
     distinct, start = np.unique(flat, return_index=True)
     door = np.zeros(1 << TABLE_BITS, bool)
     door[(distinct & U((1 << TABLE_BITS) - 1)).astype(np.int64)] = True
-    return Seeds(ids, parts, distinct, np.append(start, len(flat)), item, place, door)
+    owned = np.unique(owned_key(np.repeat(np.arange(len(parts)), np.diff(first)), hashes))
+    return Seeds(ids, parts, distinct, np.append(start, len(flat)), item, place, door, owned)
 
 
 def grams_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -83,39 +91,6 @@ def inside(at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, at + SEED_WORDS <= first[row + 1]
 
 
-def rare_seeds(docs: DataFrame, text: str, seeds: Seeds) -> np.ndarray:
-    """Flags of the uses whose n-gram is rare: held by at most RARE times as many documents as its item's median n-gram.
-
-    Rare is relative to the item. Stock phrases inside it go; an item that itself is copied into very many documents,
-    some of them edited, keeps all n-grams that tell its copies, so no item is lost.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(seeds)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = shared.value
-        total = np.zeros(len(seeds.hashes), np.int64)
-        for batch in batches:
-            for _, _, first, grams in grams_of(batch.column(0)):
-                at, gram = seeds.find(grams)
-                row, whole = inside(at, first)
-                pairs = np.unique(row[whole] * len(total) + gram[whole])
-                np.add.at(total, pairs % max(1, len(total)), 1)
-        used = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["gram", "n"])
-
-    counted = docs.select(F.col(f"`{text}`")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(seeds.hashes), np.int64)
-    for row in counted.collect():  # at most one row per n-gram of the slice
-        counts[row["gram"]] = row["n"]
-    use = np.repeat(counts, np.diff(seeds.first))
-    rare = np.zeros(len(use), bool)
-    for i in range(len(seeds.texts)):
-        mine = np.flatnonzero(seeds.item == i)
-        if len(mine):
-            rare[mine] = use[mine] <= RARE * max(1, np.median(use[mine]))
-    return rare
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """(best local alignment score, end of it in the text), row by row of the Smith-Waterman table.
 
@@ -135,27 +110,72 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def score_bounds(seeds: Seeds, hashes: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """An upper bound of the alignment score of each item with the words lo to hi.
+
+    A word of the text that is in the item gives MATCH at most. Any other inside the alignment is a mismatch or a gap, and
+    costs 1. So no alignment scores more than the best run of words counted like this.
+    """
+    size = hi - lo
+    out = np.zeros(len(size), np.int64)
+    cut = np.searchsorted(np.cumsum(size) // WINDOW_WORDS, np.arange(int(size.sum()) // WINDOW_WORDS + 1))
+    for a, b in zip(cut, np.append(cut[1:], len(size))):
+        if a == b:
+            continue
+        n = size[a:b]
+        first = np.cumsum(n) - n
+        part = np.repeat(np.arange(b - a), n)
+        at = np.repeat(lo[a:b] - first, n) + np.arange(n.sum())
+        key = owned_key(item[a:b][part], hashes[at])
+        near = np.searchsorted(seeds.owned, key)
+        near[near == len(seeds.owned)] = 0
+        worth = np.where(seeds.owned[near] == key, MATCH, -min(-MISMATCH, GAP))
+        total = np.cumsum(worth)
+        before = total - worth
+        # Running minimum inside each window: later windows lie lower by more than sums can differ.
+        drop = part * (MATCH * 2 * len(part) + 1)
+        lowest = np.minimum.accumulate(before - drop) + drop
+        out[a:b] = np.maximum.reduceat(total - lowest, first)
+    return out
+
+
 def matches_in(seeds: Seeds, hashes: np.ndarray, first: np.ndarray, grams: np.ndarray, known: dict) -> Iterator[tuple[int, int, float, int, int]]:
     """(text, item, score, first word, end) of the best passage of each item in each text of a chunk."""
     at, gram = seeds.find(grams)
     row, whole = inside(at, first)
     at, gram, row = at[whole], gram[whole], row[whole]
     uses = seeds.first[gram + 1] - seeds.first[gram]
+    if not len(at):
+        return
+    # Whole texts, as many as hold USES hits together.
+    texts = np.append(np.flatnonzero(np.append(True, row[1:] != row[:-1])), len(row))
+    hits = np.append(0, np.cumsum(uses))
+    a = 0
+    while a < len(texts) - 1:
+        b = max(a + 1, int(np.searchsorted(hits[texts], hits[texts[a]] + USES, side="right")) - 1)
+        piece = slice(texts[a], texts[b])
+        yield from _matches(seeds, hashes, first, at[piece], gram[piece], row[piece], uses[piece], known)
+        a = b
+
+
+def _matches(seeds: Seeds, hashes: np.ndarray, first: np.ndarray, at: np.ndarray, gram: np.ndarray, row: np.ndarray, uses: np.ndarray, known: dict) -> Iterator[tuple[int, int, float, int, int]]:
     use = np.repeat(seeds.first[gram], uses) + np.arange(uses.sum()) - np.repeat(np.cumsum(uses) - uses, uses)
     item, row = seeds.item[use], np.repeat(row, uses)
     begin = np.repeat(at, uses) - seeds.place[use]  # where the item would begin
     order = np.lexsort((begin, item, row))
     item, row, begin = item[order], row[order], begin[order]
-    length = np.array([len(t) for t in seeds.texts])[item] if len(item) else item
+    length = np.array([len(t) for t in seeds.texts])[item]
     fresh = np.ones(len(item), bool)
     fresh[1:] = (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (begin[1:] - begin[:-1] > length[1:] + 2 * SLACK)
-    group = np.append(np.flatnonzero(fresh), len(item))
+    head = np.flatnonzero(fresh)
+    tail = np.append(head[1:], len(item)) - 1
+    item, row, length = item[head], row[head], length[head]
+    lo = np.maximum(first[row], begin[head] - SLACK)
+    hi = np.minimum(first[row + 1], begin[tail] + length + SLACK)
+    can = np.flatnonzero(score_bounds(seeds, hashes, item, lo, hi) >= MIN_SCORE * MATCH * length)
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for g, after in zip(group[:-1].tolist(), group[1:].tolist()):
-        i, r = int(item[g]), int(row[g])
-        base, top = int(first[r]), int(first[r + 1])
-        lo, hi = max(base, int(begin[g]) - SLACK), min(top, int(begin[after - 1]) + int(length[g]) + SLACK)
-        target, window = seeds.texts[i], hashes[lo:hi]
+    for i, r, a, b in zip(item[can].tolist(), row[can].tolist(), lo[can].tolist(), hi[can].tolist()):
+        target, window, base = seeds.texts[i], hashes[a:b], int(first[r])
         key = (i, window.tobytes())
         if key not in known:
             if len(known) > 10_000:
@@ -165,7 +185,7 @@ def matches_in(seeds: Seeds, hashes: np.ndarray, first: np.ndarray, grams: np.nd
             known[key] = (score / (MATCH * len(target)), start, end)
         score, start, end = known[key]
         if score >= MIN_SCORE and score > best.get((r, i), (0.0,))[0]:
-            best[r, i] = (score, lo - base + start, lo - base + end)
+            best[r, i] = (score, a - base + start, a - base + end)
     for (r, i), (score, start, end) in best.items():
         yield r, i, score, start, end
 
@@ -187,11 +207,10 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         if not rows:
             continue
         ids, texts = [r["id"] for r in rows], [r["text"] for r in rows]
-        everything = make_seeds(ids, texts)
-        if not len(everything.hashes):
+        seeds = make_seeds(ids, texts)
+        if not len(seeds.hashes):
             continue
-        rare = make_seeds(ids, texts, rare_seeds(docs, text, everything))
-        result = F.concat(result, _matcher(docs, rare, kind)(F.col(f"`{text}`")))
+        result = F.concat(result, _matcher(docs, seeds, kind)(F.col(f"`{text}`")))
     return result
 
 

@@ -126,3 +126,34 @@ def test_query_finds_every_verbatim_item(spark):
     want = {(d["doc_id"], i["item_id"]) for d in docs for i in items if fold(i["text"]) in fold(d["text"] or "")}
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in D.op4_rare_seed_alignment(spark, folder).collect()}
     assert want and {k for k, s in got.items() if s == 1} == want
+
+
+@pytest.mark.parametrize("copies", [9, 100, 1000])
+def test_copies_do_not_make_their_own_seeds_common(spark, copies):
+    """Every fourth word of the item is replaced; the same passage stands in many documents, one has it verbatim."""
+    item = [f"i{k}" for k in range(60)]
+    edit = [f"e{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    docs = [(d, " ".join([f"d{d}a", f"d{d}b", *edit, f"d{d}c"])) for d in range(copies)]
+    rows = run(spark, docs, [(1, " ".join(item))])
+    assert {r["doc_id"] for r in rows} == {d for d, _ in docs} and all(0.5 <= r["score"] < 1 for r in rows)
+    rows = run(spark, [*docs, (-1, " ".join(item))], [(1, " ".join(item))])
+    assert {r["doc_id"] for r in rows} == {d for d, _ in docs} | {-1}
+
+
+def test_bounds_are_never_below_the_score(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(D, "WINDOW_WORDS", 90)
+    items = [" ".join(f"w{k}" for k in rng.integers(0, 12, rng.integers(3, 40))) for _ in range(40)]
+    seeds = D.make_seeds(list(range(40)), items)
+    hashes = np.concatenate([seeds.texts[i] for i in rng.integers(0, 40, 30)])
+    lo = rng.integers(0, len(hashes) - 1, 200)
+    hi = np.minimum(len(hashes), lo + rng.integers(1, 120, 200))
+    item = rng.integers(0, 40, 200)
+    bound = D.score_bounds(seeds, hashes, item, lo, hi)
+    for b, i, x, y in zip(bound, item, lo, hi):
+        worth = [2 if w in set(seeds.texts[i].tolist()) else -1 for w in hashes[x:y].tolist()]
+        want = now = 0
+        for v in worth:
+            now = max(0, now + v)
+            want = max(want, now)
+        assert max(b, 0) == want >= D.align(seeds.texts[i], hashes[x:y])[0]
