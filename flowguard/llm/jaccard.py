@@ -209,10 +209,12 @@ def matrix_pairs(rows: DataFrame) -> DataFrame:
     fits = (5 * F.col("high") >= 4 * F.col("n")) & (4 * F.col("low") <= 5 * F.col("n"))
     met = rows.join(union, "token").filter(asks & fits)
     bound = met.groupBy("class", "n", "group", "g").agg(F.count("*").alias("x"), F.min("low").alias("low"), F.max("high").alias("high"))
-    # For a fixed query the bound is weakest at the smallest or largest member within 4/5 to 5/4 of its size.
+    # For a fixed query the bound is weakest at the smallest or largest member within 4/5 to 5/4 of its size, or next to the
+    # largest: the prefix rule grows by 4 in 5 sizes, so where it stands still (5k - 1 to 5k) the smaller size passes first.
     least = F.greatest(F.col("low"), F.ceil(F.col("n") * 4 / 5))
     most = F.least(F.col("high"), F.floor(F.col("n") * 5 / 4))
     reach = can_reach(F.col("x"), F.col("n"), least) | can_reach(F.col("x"), F.col("n"), most)
+    reach = reach | ((most > least) & can_reach(F.col("x"), F.col("n"), most - 1))
     role = F.when(F.col("group") == F.col("g"), ASKS | HELD).when(F.col("group") > F.col("g"), ASKS).otherwise(HELD)
     return bound.filter((least <= most) & reach).select(
         "class", "n", F.least("group", "g").alias("lo"), F.greatest("group", "g").alias("hi"), role.alias("role"))

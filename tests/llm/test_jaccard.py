@@ -1,10 +1,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from flowguard.llm import jaccard as J
 from flowguard.llm.components import components
+from flowguard.llm.grams import U, shingle_sets, text_buffers
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -122,3 +124,46 @@ def test_components_of_random_graphs(spark):
     assert len({got[x] for x in path}) == 1 and all(got[a] == got[b] for a, b in edges)
     assert len(set(got.values())) == 51
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_link_at_a_size_next_to_the_largest_of_a_group(spark, monkeypatch):
+    """A (101 shingles) links with B (124) but not with C (125), which lies in the same group; own shingles come first."""
+    base = [f"s{k}" for k in range(105)]
+    a = " ".join(base)
+    b = " ".join(base[:104] + [f"b{k}" for k in range(24)])
+    c = " ".join(base[:104] + [f"c{k}" for k in range(25)])
+    sizes = [len(shingles(x)) for x in (a, b, c)]
+    assert sizes == [101, 124, 125]
+
+    def steered(docs, sketch):
+        """Shingles of B and C only come before those of all three."""
+        for own in set(map(J_key, shingles(b))) ^ set(map(J_key, shingles(c))):
+            sketch[own] = 0
+        return tokens(docs, sketch)
+
+    def J_key(words):
+        data, offsets = text_buffers(pa.array([" ".join(words)], pa.large_string()))
+        return int(next(shingle_sets(data, offsets, 5))[0] >> U(64 - J.SKETCH_BITS))
+
+    tokens = J.prefix_tokens
+    monkeypatch.setattr(J, "prefix_tokens", steered)
+    rows = [(1, a), (2, b), (3, c)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_bound_holds_at_every_size(spark):
+    """Classes at sizes 5k - 1 and 5k around a query: it is opened to every group that holds a member it may link with."""
+    rng = random.Random(11)
+    behind = lambda n: (4 * n + 4) // 5 - 1
+    rows, want = [], set()
+    for g in range(200):
+        n = rng.randint(10, 200)
+        top = rng.choice([s for s in range(n, 5 * n // 4 + 1) if s % 5 == 0] or [n])
+        members = [rng.randint(-(-4 * n // 5), top), top - 1, top] if 5 * (top - 1) >= 4 * n else [top]
+        need = lambda s: -(-4 * (n + s) // 9) - max(behind(n), behind(s))
+        x = max(1, min(need(s) for s in range(min(members), top + 1)))
+        for token in range(x):
+            rows += [(1000 * g + token, 10 * g + 1, n, 10 * g)] + [(1000 * g + token, 10 * g + 2 + j, m, 10 * g + 5) for j, m in enumerate(members)]
+        want.add(10 * g + 1)
+    pairs = J.matrix_pairs(spark.createDataFrame(rows, "token long, class long, n int, group long"))
+    assert {r["class"] for r in pairs.collect() if r["class"] % 10 == 1} == want
