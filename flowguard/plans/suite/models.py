@@ -286,7 +286,7 @@ def _(t: Tables):
     from flowguard.plans.syslog import SyslogForest
 
     lines = t.lines()
-    return SyslogForest.fit(lines, size=4, numTrees=25).score(lines).select("id", "hostname", "anomalyScore", "is_anomalous")
+    return SyslogForest.fit(lines, numTrees=25).score(lines).select("id", "hostname", "anomalyScore", "is_anomalous")
 
 
 @query("p03_edge_messages", f"""SELECT event_id AS id, {FLOW_CSV} || ',MIDAS,"[]",' AS head FROM events""")

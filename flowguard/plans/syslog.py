@@ -38,9 +38,12 @@ class SyslogForest:
         return arrays.withColumn("features", array_to_vector("features"))
 
     @staticmethod
-    def fit(lines: DataFrame, size: int = 32, **forest) -> "SyslogForest":
+    def fit(lines: DataFrame, size: int | None = None, buckets: int = 32, **forest) -> "SyslogForest":
+        """Every term of every message enters, hashed into ``buckets`` features; with ``size``, the most used terms only."""
         parsed = checkpointed(parse_lines(lines))
-        vocabulary = checkpointed(X.fit_vocabulary(parsed, size=size))
+        vocabulary = X.fit_vocabulary(parsed, size=size)
+        vocabulary = checkpointed(X.hashed_codes(vocabulary, buckets) if size is None else vocabulary)
+        size = buckets if size is None else size
         rows = checkpointed(SyslogForest._features(parsed, vocabulary, size).select("features"))
         scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows)
         options = {"maxSamples": 256, "featuresCol": "scaled", **forest}

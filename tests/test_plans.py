@@ -50,3 +50,16 @@ def test_edge_messages(spark):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_rare_words_reach_the_syslog_forest(spark):
+    """Two messages of the same second with the same common words: a rare word in one of them changes its features and score."""
+    from flowguard.plans.syslog import SyslogForest
+
+    common = "alpha beta gamma delta epsilon zeta eta theta " * 4
+    common += " ".join(f"c{k}" for k in range(30))
+    lines = [(k, f"Jan  5 08:{k // 60:02}:{k % 60:02} h app: {common}") for k in range(60)]
+    lines += [(100, f"Jan  5 08:00:59 h app: {common}"), (101, f"Jan  5 08:00:59 h app: {common} segfault")]
+    frame = spark.createDataFrame(lines, "id long, line string")
+    scores = {r["id"]: r["anomalyScore"] for r in SyslogForest.fit(frame, numTrees=25, maxSamples=62, seed=2).score(frame).collect()}
+    assert len(scores) == 62 and scores[101] < scores[100]
