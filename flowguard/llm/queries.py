@@ -10,6 +10,7 @@ from flowguard.llm import (  # noqa: F401
     token_cache,
     topk,
     url_rules,
+    vector_codes,
     warc,
 )
 from flowguard.llm.registry import ORACLES, QUERIES
