@@ -1,6 +1,7 @@
 """Every operator module of this subpackage, imported so that its query is registered."""
 
 from flowguard.llm import (  # noqa: F401
+    ann,
     chat,
     decontaminate,
     jaccard,
