@@ -215,7 +215,7 @@ def compress(df: DataFrame, id_col: str, vector: str, label: str, parts: int = P
     nulls together. Vectors whose length is no multiple of ``parts``, or shorter than the longest, count as if zeros followed.
     A null id is coded like any other but starts no codebook entry; repeated rows count and come out as often as they occur.
     An empty table gives no rows. Components whose squared distances might leave 64 bits raise OverflowError. Other columns
-    are not looked at. Labels may be as uneven as they like: hot ones are spread over tasks.
+    are not looked at. Labels may be as uneven as they like: adaptive execution splits the join where one label is hot.
     """
     own = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("label"), integer_components(F.col(f"`{vector}`")).alias("x"))
     own = own.filter("x IS NOT NULL")
@@ -224,7 +224,7 @@ def compress(df: DataFrame, id_col: str, vector: str, label: str, parts: int = P
     # Nulls meet as one key: the flag tells them from any value that stands in for them.
     keyed = coded.withColumn("no_label", F.col("label").isNull()).withColumn("key", F.coalesce(F.col("label").cast("string"), F.lit("")))
     sums = keyed.groupBy("no_label", "key").agg(F.sum("error").alias("label_error"))
-    out = skew_join(keyed, sums, ["no_label", "key"], "id", salt=True)
+    out = skew_join(keyed, sums, ["no_label", "key"], "id")
     return out.select(F.col("id").alias(id_col), "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
 
 
