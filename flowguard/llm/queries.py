@@ -7,6 +7,7 @@ from flowguard.llm import (  # noqa: F401
     jaccard,
     language,
     mixing,
+    phrases,
     sharding,
     token_cache,
     topk,
