@@ -4,53 +4,59 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StandardScaler, StandardScalerModel
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowguard.functions.scalar import epoch_seconds, syslog_fields
 from flowguard.ml import text as X
+from flowguard.ml.sparse_forest import SparseForest
 from flowguard.session import checkpointed
-from flowguard.ml.iforest import IsolationForest, IsolationForestModel
 
 CUTOFF = -0.45
 
 
+def _fields(lines: DataFrame, column: str, year: int) -> DataFrame:
+    return lines.withColumn("_f", syslog_fields(F.col(column), year))
+
+
 def parse_lines(lines: DataFrame, column: str = "line", year: int = 2020) -> DataFrame:
-    """(id, sec, hostname, appname, pid, message); lines that do not parse are dropped."""
-    parsed = lines.withColumn("_f", syslog_fields(F.col(column), year)).filter("_f is not null")
-    return parsed.select(
+    """(id, sec, hostname, appname, pid, message) of the lines that parse; ``rejects`` gives the others."""
+    return _fields(lines, column, year).filter("_f is not null").select(
         "id", epoch_seconds(F.col("_f.timestamp")).alias("sec"), "_f.hostname", "_f.appname", "_f.pid", "_f.message"
     )
 
 
+def rejects(lines: DataFrame, column: str = "line", year: int = 2020) -> DataFrame:
+    """(id, line): lines that do not parse and are not scored."""
+    return _fields(lines, column, year).filter("_f is null").select("id", F.col(column).alias("line"))
+
+
 @dataclass
 class SyslogForest:
-    vocabulary: DataFrame
-    size: int
-    scaler: StandardScalerModel
-    forest: IsolationForestModel
+    """Vocabulary with inverse document frequencies, and a forest whose features are all of its terms."""
 
-    @staticmethod
-    def _features(parsed: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
-        arrays = X.windowed_arrays(X.term_arrays(parsed, vocabulary, size))
-        return arrays.withColumn("features", array_to_vector("features"))
+    vocabulary: DataFrame
+    forest: SparseForest
 
     @staticmethod
-    def fit(lines: DataFrame, size: int | None = None, buckets: int = 32, **forest) -> "SyslogForest":
-        """Every term of every message enters, hashed into ``buckets`` features; with ``size``, the most used terms only."""
+    def fit(lines: DataFrame, size: int | None = None, **forest) -> "SyslogForest":
+        """Every term of every message is a feature; ``size`` keeps the most used terms only."""
         parsed = checkpointed(parse_lines(lines))
-        vocabulary = X.fit_vocabulary(parsed, size=size)
-        vocabulary = checkpointed(X.hashed_codes(vocabulary, buckets) if size is None else vocabulary)
-        size = buckets if size is None else size
-        rows = checkpointed(SyslogForest._features(parsed, vocabulary, size).select("features"))
-        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows)
-        options = {"maxSamples": 256, "featuresCol": "scaled", **forest}
-        return SyslogForest(vocabulary, size, scaler, IsolationForest(**options).fit(scaler.transform(rows)))
+        vocabulary = checkpointed(X.fit_vocabulary(parsed, size=size))
+        weights = checkpointed(X.tfidf(parsed, vocabulary).select("id", "term", "weight"))
+        return SyslogForest(vocabulary, SparseForest.fit(weights, parsed, **forest))
 
     def score(self, lines: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-        """Negated scores: the lower, the more unusual; outliers lie below the cutoff."""
-        rows = self.scaler.transform(SyslogForest._features(parse_lines(lines), self.vocabulary, self.size))
-        scored = self.forest.score_samples(rows, sign=-1)
-        return scored.withColumn("is_anomalous", F.col("anomalyScore") < cutoff)
+        """Parsed lines with negated scores: the lower, the more unusual; outliers lie below the cutoff."""
+        parsed = checkpointed(parse_lines(lines))
+        weights = checkpointed(X.tfidf(parsed, self.vocabulary).select("id", "term", "weight"))
+        scored = self.forest.score(weights, parsed).select("id", (-F.col("score")).alias("anomalyScore"))
+        return parsed.join(scored, "id").withColumn("is_anomalous", F.col("anomalyScore") < cutoff)
+
+    def save(self, path: str) -> None:
+        self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        self.forest.save(f"{path}/forest")
+
+    @staticmethod
+    def load(path: str) -> "SyslogForest":
+        return SyslogForest(SparkSession.getActiveSession().read.parquet(f"{path}/vocabulary"), SparseForest.load(f"{path}/forest"))
