@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SUITES = ["wire", "cleaning", "scalars", "windows", "edges", "joins", "metrics", "models", "jobs", "streams"]
+SUITES = ["wire", "cleaning", "scalars", "windows", "edges", "joins", "metrics", "models", "learned", "jobs", "streams"]
 
 
 def load_suite():
