@@ -178,7 +178,9 @@ class Net:
         return self.inputs, [(la.units, la.activation, la.dropout) for la in self.layers], self.weights
 
     @staticmethod
-    def of(plain: tuple) -> "Net":
+    def of(plain: tuple) -> "Net | GraphNet":
+        if plain[0] == "graph":
+            return GraphNet(*plain[1:])
         inputs, layers, weights = plain
         return Net(inputs, [Layer(*spec) for spec in layers], weights)
 
@@ -211,6 +213,128 @@ class Net:
         return float(per_row(y, a).sum()), result
 
 
+@dataclass(frozen=True)
+class Node:
+    """A dense layer of a graph over what its sources give, side by side."""
+
+    name: str
+    sources: tuple[str, ...]
+    units: int
+    activation: str = "linear"
+    dropout: float = 0.0
+
+
+@dataclass
+class GraphNet:
+    """A network with several inputs and outputs: dense nodes in an order in which sources come first.
+
+    Its vectors hold all inputs side by side in the order of ``inputs`` (name, width), its predictions all ``outputs`` (node
+    name, weight of its loss). The loss is the weighted sum of the outputs' losses. Weights are [W1, b1, ...] in node order,
+    so training, broadcasting and storing are those of :class:`Net`.
+    """
+
+    inputs: list[tuple[str, int]]
+    nodes: list[Node]
+    outputs: list[tuple[str, float]]
+    weights: Weights = field(default_factory=list)
+
+    def __post_init__(self):
+        self.inputs, self.outputs = [tuple(i) for i in self.inputs], [tuple(o) for o in self.outputs]
+        self.nodes = [n if isinstance(n, Node) else Node(n[0], tuple(n[1]), *n[2:]) for n in self.nodes]
+        self.width = dict(self.inputs)
+        for n in self.nodes:
+            if n.name in self.width or not n.sources:
+                raise ValueError(f"{n.name} is named twice or has no source")
+            missing = [s for s in n.sources if s not in self.width]
+            if missing:
+                raise ValueError(f"{n.name} reads {missing[0]}, which does not come before it")
+            self.width[n.name] = n.units
+        unknown = [name for name, _ in self.outputs if name not in {n.name for n in self.nodes}]
+        if unknown or not self.outputs:
+            raise ValueError(f"outputs must be nodes: {unknown}")
+
+    def initialise(self, seed: int = 1) -> "GraphNet":
+        rng, self.weights = np.random.default_rng(seed), []
+        for n in self.nodes:
+            width = sum(self.width[s] for s in n.sources)
+            bound = math.sqrt(6 / (width + n.units))
+            self.weights += [rng.uniform(-bound, bound, (width, n.units)), np.zeros(n.units)]
+        return self
+
+    def plain(self) -> tuple:
+        return "graph", self.inputs, [(n.name, n.sources, n.units, n.activation, n.dropout) for n in self.nodes], self.outputs, self.weights
+
+    def _slices(self, named) -> dict[str, slice]:
+        ends = np.cumsum([0, *[self.width[name] for name, _ in named]])
+        return {name: slice(a, b) for (name, _), a, b in zip(named, ends, ends[1:])}
+
+    def _forward(self, x: np.ndarray, rng=None) -> tuple[dict, list]:
+        """Value of every input and node, and per node what its gradient needs; dropout only with ``rng``."""
+        value, tape = {name: x[:, at] for name, at in self._slices(self.inputs).items()}, []
+        for i, n in enumerate(self.nodes):
+            a = np.concatenate([value[s] for s in n.sources], axis=1)
+            z = a @ self.weights[2 * i] + self.weights[2 * i + 1]
+            out = ACTIVATIONS[n.activation][0](z)
+            keep = (rng.random(out.shape) >= n.dropout) / (1 - n.dropout) if rng is not None and n.dropout else None
+            value[n.name] = out if keep is None else out * keep
+            tape.append((a, z, out, keep))
+        return value, tape
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        value, _ = self._forward(x)
+        return np.concatenate([value[name] for name, _ in self.outputs], axis=1)
+
+    def gradients(self, x, y, loss, rng) -> tuple[float, Weights]:
+        """Summed loss and mean gradients of one mini-batch; a value read by several nodes gathers all their gradients."""
+        per_row, slope = loss
+        value, tape = self._forward(x, rng)
+        grads = {n.name: np.zeros_like(value[n.name]) for n in self.nodes}
+        total = 0.0
+        for (name, at), (_, share) in zip(self._slices(self.outputs).items(), self.outputs):
+            total += share * float(per_row(y[:, at], value[name]).sum())
+            grads[name] += share * slope(y[:, at], value[name]) / len(x)
+        result: Weights = []
+        for i in reversed(range(len(self.nodes))):
+            n, (a, z, out, keep) = self.nodes[i], tape[i]
+            grad = grads[n.name] if keep is None else grads[n.name] * keep
+            grad = ACTIVATIONS[n.activation][1](z, out, grad)
+            result = [a.T @ grad, grad.sum(axis=0), *result]
+            back, first = grad @ self.weights[2 * i].T, 0
+            for s in n.sources:
+                if s in grads:
+                    grads[s] += back[:, first : first + self.width[s]]
+                first += self.width[s]
+        return total, result
+
+    def errors(self, x: np.ndarray, y: np.ndarray, kind: str = "sum_abs") -> np.ndarray:
+        """Error per row and output, ``mse`` or ``sum_abs``."""
+        gap = self.predict(x) - y
+        parts = [gap[:, at] for at in self._slices(self.outputs).values()]
+        return np.stack([(g**2).mean(axis=1) if kind == "mse" else np.abs(g).sum(axis=1) for g in parts], axis=1)
+
+    def describe(self) -> str:
+        return json.dumps(self.plain()[1:4])
+
+
+def two_view_net(flow: int, history: int, hidden: tuple[int, ...] = (128, 64, 32)) -> GraphNet:
+    """Joint autoencoder: one encoder per view, one shared code of a quarter of the inputs, one decoder per view."""
+    nodes, ends = [], []
+    for view in ("flow", "history"):
+        last = view
+        for i, units in enumerate(hidden):
+            nodes.append(Node(f"{view}_in{i}", (last,), units, "leaky_relu"))
+            last = nodes[-1].name
+        ends.append(last)
+    nodes.append(Node("code", tuple(ends), max((flow + history) // 4, 1), "leaky_relu"))
+    for view, width in (("flow", flow), ("history", history)):
+        last = "code"
+        for i, units in enumerate(reversed(hidden)):
+            nodes.append(Node(f"{view}_out{i}", (last,), units, "leaky_relu"))
+            last = nodes[-1].name
+        nodes.append(Node(f"{view}_back", (last,), width, "leaky_relu"))
+    return GraphNet([("flow", flow), ("history", history)], nodes, [("flow_back", 1.0), ("history_back", 1.0)])
+
+
 OPTIMIZERS = ("sgd", "rmsprop", "adam")
 
 
@@ -292,8 +416,8 @@ def train_round(
     def work(batches):
         from pyspark import TaskContext
 
-        base = Net.of(shared.value)
-        local = Net(base.inputs, base.layers, [w.copy() for w in base.weights])
+        base, local = Net.of(shared.value), Net.of(shared.value)
+        local.weights = [w.copy() for w in base.weights]
         part = TaskContext.get().partitionId()
         rng = np.random.default_rng([seed, part])
         steps, seen, total = _Optimizer(optimizer, rate), 0, 0.0
@@ -428,6 +552,23 @@ def error_column(spark: SparkSession, net: Net, x: Column, kind: str = "mse") ->
     return run(x)
 
 
+def output_errors(spark: SparkSession, net: GraphNet, x: Column, kind: str = "sum_abs") -> Column:
+    """Reconstruction error of every output, as an array, from one pass of a graph autoencoder; null for a null vector."""
+    shared = spark.sparkContext.broadcast(net.plain())
+    width = len(net.outputs)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def run(x: pa.Array) -> pa.Array:
+        valid = x.is_valid()
+        some = x.filter(valid)
+        rows = matrix(some) if len(some) else np.empty((0, 0))
+        out = Net.of(shared.value).errors(rows, rows, kind) if len(some) else np.empty((0, width))
+        at = np.concatenate([[0], np.cumsum(valid.to_numpy(zero_copy_only=False))]) * width
+        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32), mask=np.append(~valid.to_numpy(zero_copy_only=False), False)), pa.array(out.ravel()))
+
+    return run(x)
+
+
 def evaluate(df: DataFrame, net: Net, x: Column, y: Column, loss: str = "mse") -> DataFrame:
     """Mean loss (and accuracy for classification), averaged over rows and not over partitions.
 
@@ -478,9 +619,17 @@ def autoencoder_layers(d: int, hidden: tuple[int, ...] = (128, 64, 32)) -> list[
     return [Layer(w, "leaky_relu") for w in widths]
 
 
+def vector_width(df: DataFrame, x: Column) -> int:
+    """Length of the first vector that is there."""
+    found = df.select(F.size(x).alias("n")).filter("n >= 0").first()
+    if found is None:
+        raise ValueError("there are no vectors to train on")
+    return found["n"]
+
+
 def fit_autoencoder(df: DataFrame, column: str, hidden=(128, 64, 32), rate: float = 0.0002, **options) -> tuple[Net, list[dict]]:
     x = feature_array(df, column)
-    d = len(df.select(x.alias("x")).first()["x"])
+    d = vector_width(df, x)
     net = Net(d, autoencoder_layers(d, tuple(hidden))).initialise(options.get("seed", 1))
     return net, fit_net(df, net, x, x, loss="mse", rate=rate, **options)
 
@@ -499,6 +648,24 @@ def score_two_views(df: DataFrame, flow_net: Net, history_net: Net, flow: str =
             "history_error": error_column(spark, history_net, feature_array(df, history), "sum_abs"),
         }
     )
+    return _verdicts(errors)
+
+
+def fit_two_views(df: DataFrame, flow: str = "flow", history: str = "history", hidden=(128, 64, 32), rate: float = 0.0002, **options) -> tuple[GraphNet, list[dict]]:
+    """One network over both views, trained to give both back; rows with a null view are left out."""
+    views = [feature_array(df, c) for c in (flow, history)]
+    net = two_view_net(*[vector_width(df, v) for v in views], tuple(hidden)).initialise(options.get("seed", 1))
+    return net, fit_net(df, net, F.concat(*views), F.concat(*views), loss="mse", rate=rate, **options)
+
+
+def score_joint(df: DataFrame, net: GraphNet, flow: str = "flow", history: str = "history") -> DataFrame:
+    """Flow, history and combined errors of one network over both views, with their flags."""
+    both = output_errors(df.sparkSession, net, F.concat(feature_array(df, flow), feature_array(df, history)))
+    errors = df.withColumn("_errors", both)
+    return _verdicts(errors.withColumns({"flow_error": F.col("_errors")[0], "history_error": F.col("_errors")[1]}).drop("_errors"))
+
+
+def _verdicts(errors: DataFrame) -> DataFrame:
     both = combined_error(errors, "history_error", "flow_error").withColumnRenamed("combined", "combined_error")
     names = {"flow": "NETFLOW", "history": "ZEEK", "combined": "COMBINED"}
     return both.withColumns({f"{n}_anomalous": F.col(f"{n}_error") >= VIEW_CUTOFFS[v] for n, v in names.items()})
@@ -506,11 +673,12 @@ def score_two_views(df: DataFrame, flow_net: Net, history_net: Net, flow: str =
 
 def retrain(
     train: DataFrame, labelled: DataFrame, net: Net, column: str = "flow", label: str = "label", rounds: int = 4,
-    evaluate_every: int = 2, percent: float = 0.1, **options,
+    evaluate_every: int = 2, percent: float = 0.1, error=None, **options,
 ) -> dict:
     """Keep training, look at labelled rows every few rounds, and keep the weights with the best AUC.
 
-    Returns the best weights, their AUC and benign cutoff, and every evaluation.
+    ``error(net)`` is the score column of labelled rows, by default the summed absolute reconstruction error of all of
+    ``column``. Returns the best weights, their AUC and benign cutoff, and every evaluation.
     """
     best = {"auc": 0.0, "weights": None, "cutoff": None, "evaluations": []}
     spark = train.sparkSession
@@ -518,9 +686,8 @@ def retrain(
     def look(epoch: int, current: Net) -> None:
         if (epoch + 1) % evaluate_every:
             return
-        scored = labelled.select(
-            F.col(label).alias("label"), error_column(spark, current, feature_array(labelled, column), "sum_abs").alias("score")
-        ).persist()
+        score = error(current) if error else error_column(spark, current, feature_array(labelled, column), "sum_abs")
+        scored = labelled.select(F.col(label).alias("label"), score.alias("score")).persist()
         location = {r["label"]: r for r in M.class_profile(scored, ["score"], "label").collect()}
         cutoff = M.benign_cutoff(scored.filter("label = 0"), "score", percent).first()["cutoff"]
         note = {
@@ -555,8 +722,22 @@ def weights_frame(spark: SparkSession, net: Net) -> DataFrame:
     return spark.createDataFrame(rows, WEIGHT_SCHEMA)
 
 
+def save_graph(spark: SparkSession, net: GraphNet, path: str) -> None:
+    weights_frame(spark, net).write.mode("overwrite").parquet(f"{path}/weights")
+    spark.createDataFrame([(net.describe(),)], "graph string").write.mode("overwrite").parquet(f"{path}/graph")
+
+
+def load_graph(spark: SparkSession, path: str) -> GraphNet:
+    shape = json.loads(spark.read.parquet(f"{path}/graph").first()["graph"])
+    return filled(spark.read.schema(WEIGHT_SCHEMA).parquet(f"{path}/weights"), GraphNet(*shape).initialise())
+
+
 def weights_from_frame(df: DataFrame, inputs: int, layers: list[Layer]) -> Net:
-    net = Net(inputs, layers).initialise()
+    return filled(df, Net(inputs, layers).initialise())
+
+
+def filled(df: DataFrame, net):
+    """The network with the weights of a ``weights_frame``."""
     for (layer, kind), part in df.toPandas().groupby(["layer", "kind"]):
         target = net.weights[2 * layer + (kind == "bias")]
         np.atleast_2d(target)[part["i"], part["j"]] = part["w"]
@@ -622,7 +803,7 @@ class DenseNetEstimator(_NetParams, Estimator, DefaultParamsReadable, DefaultPar
         x = feature_array(dataset, self.getFeaturesCol())
         label = F.col(self.getLabelCol())
         y = one_hot(label, self.getNumClasses()) if self.getCategorical() else F.array(label.cast("double"))
-        d = len(dataset.select(x.alias("x")).first()["x"])
+        d = vector_width(dataset, x)
         net = Net(d, self.layer_list()).initialise(self.getSeed())
         history = fit_net(
             dataset, net, x, y, loss=self.getLoss(), epochs=self.getEpochs(), batch=self.getBatchSize(),

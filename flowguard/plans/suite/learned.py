@@ -49,3 +49,48 @@ def _(t: Tables):
     columns = ["treeID", "id", "term", "kind", "featureValue", "leftChild", "rightChild", "numInstance"]
     forest = SparseForest(pd.DataFrame(_SPARSE_NODES, columns=columns), 11, (60, 600))
     return forest.score(weights, docs.select("id", "sec")).select("id", F.round("score", 9).alias("score"))
+
+
+def _joint_net():
+    """Two inputs (three and two numbers), a branch each, one shared code, two outputs; weights written by hand."""
+    import numpy as np
+
+    from flowguard.ml import dense as D
+
+    net = D.GraphNet([("flow", 3), ("history", 2)], [
+        D.Node("f", ("flow",), 2, "relu"), D.Node("h", ("history",), 1, "leaky_relu"), D.Node("code", ("f", "h"), 2, "tanh"),
+        D.Node("flow_back", ("code",), 3), D.Node("history_back", ("code",), 2, "sigmoid")], [("flow_back", 1.0), ("history_back", 1.0)])
+    net.weights = [np.array(w, float) for w in (
+        [[0.5, -1.0], [2.0, 0.25], [-0.75, 1.5]], [0.125, -0.0625], [[3.0], [-1.5]], [0.03125], [[1.0, -0.5], [0.25, 2.0], [-1.25, 0.75]], [0.0, 0.5],
+        [[0.5, 1.0, -1.0], [0.75, -0.25, 0.5]], [0.0, 0.125, -0.25], [[1.5, -2.0], [0.5, 1.0]], [-0.5, 0.25])]
+    return net
+
+
+def _joint_sql() -> str:
+    """The same network written out as SQL expressions, node after node."""
+    net = _joint_net()
+    shape = {"linear": "({})", "relu": "greatest({}, 0)", "leaky_relu": "(CASE WHEN {0} > 0 THEN {0} ELSE 0.3 * ({0}) END)", "tanh": "tanh({})", "sigmoid": "(1 / (1 + exp(-({}))))"}
+    known = {"flow": [f"x[{i}]" for i in (1, 2, 3)], "history": ["x[4]", "x[5]"]}
+    steps, source = ["SELECT id, x FROM vectors"], "s0"
+    for i, node in enumerate(net.nodes):
+        cells = [c for s in node.sources for c in known[s]]
+        known[node.name] = [f"{node.name}_{j}" for j in range(node.units)]
+        sums = [" + ".join([f"{float(b)!r}::DOUBLE", *[f"{float(w)!r}::DOUBLE * {c}" for w, c in zip(column, cells)]]) for column, b in zip(net.weights[2 * i].T, net.weights[2 * i + 1])]
+        steps.append(f"SELECT *, {', '.join(f'{shape[node.activation].format(v)} AS {name}' for v, name in zip(sums, known[node.name]))} FROM s{i}")
+        source = f"s{i + 1}"
+    views = [" + ".join(f"abs({a} - {b})" for a, b in zip(known[f"{v}_back"], known[v])) for v in ("flow", "history")]
+    ctes = ", ".join(f"s{i} AS ({s})" for i, s in enumerate(steps))
+    return f"""WITH vectors AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), {ctes},
+      e AS (SELECT id, {views[0]} AS flow_error, {views[1]} AS history_error FROM {source})
+      SELECT id, round(flow_error, 8) AS flow_error, round(history_error, 8) AS history_error,
+        round(history_error + flow_error * (SELECT avg(history_error) / avg(flow_error) FROM e), 7) AS combined_error FROM e"""
+
+
+@query("m23_joint_errors", _joint_sql())
+def _(t: Tables):
+    """Flow, history and combined errors of one network with two inputs and two outputs."""
+    from flowguard.ml import dense as D
+
+    rows = t.vectors().select("id", F.slice("x", 1, 3).alias("flow"), F.slice("x", 4, 2).alias("history"))
+    scored = D.score_joint(rows, _joint_net())
+    return scored.select("id", *[F.round(c, d).alias(c) for c, d in (("flow_error", 8), ("history_error", 8), ("combined_error", 7))])
