@@ -26,7 +26,7 @@ from flowguard.llm.grams import LOWER, PLACE, U, chunks, mix, text_buffers
 from flowguard.llm.registry import query, table
 from flowguard.llm.tables import Stored
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 BUCKET_WORDS = 1_000_000  # word positions a bucket is meant for
 HOT_PAIRS = 20_000  # a pair of this share of all words, or one that fills a quarter of a bucket if that is more, is hot
 UNKNOWN = "und"
@@ -98,17 +98,28 @@ def folded(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """(distinct rows in order, how often each occurs)."""
     if not len(columns[0]):
         return columns, np.zeros(0, np.int64)
+    sizes = [int(c.max()) + 2 for c in columns]
+    if np.prod(sizes, dtype=float) >= 2**62:
+        order = np.lexsort(columns[::-1])
+        ordered = [c[order] for c in columns]
+        first = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in ordered])]))
+        return [c[first] for c in ordered], np.diff(np.append(first, len(order)))
     key, span = np.zeros(len(columns[0]), np.int64), 1
-    for c in columns:
-        size = int(c.max()) + 2
-        if span * size >= 2**62:
-            known, key = np.unique(key, return_inverse=True)
-            span = len(known)
+    for c, size in zip(columns, sizes):
         key, span = key * size + (c + 1), span * size
-    order = np.argsort(key)
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return [c[order[first]] for c in columns], np.diff(np.append(first, len(key)))
+    if span <= 4 * len(key):
+        count = np.bincount(key)
+        key = np.flatnonzero(count)
+        count = count[key]
+    else:
+        key = np.sort(key)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, count = key[first], np.diff(np.append(first, len(key)))
+    out = []
+    for size in sizes[::-1]:
+        key, digit = np.divmod(key, size)
+        out.append(digit - 1)
+    return out[::-1], count
 
 
 def word_chunks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[Words, list[str]]]:
@@ -183,21 +194,24 @@ def packed(texts: DataFrame, hot: np.ndarray, buckets: int, longest: int) -> Dat
         for words, langs in word_chunks(batches, longest):
             columns, weight, whole, by = phrase_rows(words, words.codes(langs), hot, longest)
             bucket = (by % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
             heads, first = np.unique(bucket[order], return_index=True)
-            made: dict[str, list] = {"bucket": heads.tolist(), "langs": [langs] * len(heads), "vocab": [], "n": [], "rows": []}
+            used, rows_of = [], []
             for a, b in zip(first, [*first[1:], len(order)]):
                 rows = order[a:b]
                 own = np.stack([c[rows] for c in columns[1:]])
-                used, small = np.unique(own, return_inverse=True)
-                small = small.reshape(own.shape)
-                if len(used) and used[0] < 0:
-                    used, small = used[1:], small - 1
-                made["vocab"].append(b" ".join(words.vocab.take(pa.array(used)).to_pylist()))
-                made["n"].append(len(rows))
-                made["rows"].append(np.vstack([columns[0][rows], *small, weight[rows], whole[rows]]).astype(np.int32).tobytes())
+                seen = np.zeros(len(words.vocab) + 1, bool)
+                seen[own] = True  # -1 marks the last place
+                number = np.cumsum(seen, dtype=np.int32) - 1
+                number[-1] = -1
+                used.append(np.flatnonzero(seen[:-1]))
+                rows_of.append(np.vstack([columns[0][rows], *number[own], weight[rows], whole[rows]]).astype(np.int32).tobytes())
+            ends = np.cumsum([0, *map(len, used)]).astype(np.int32)
+            spelled = words.vocab.take(pa.array(np.concatenate([np.zeros(0, np.int64), *used])))
+            vocab = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), spelled), b" ")
+            made = {"bucket": heads.tolist(), "langs": [langs] * len(heads), "vocab": vocab, "n": np.diff(np.append(first, len(order))).tolist(), "rows": rows_of}
             types = [pa.int64(), pa.list_(pa.string()), pa.binary(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(made.values(), types)], names=list(made))
+            yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made.values(), types)], names=list(made))
 
     return texts.mapInArrow(pack, PACKED)
 
@@ -251,25 +265,27 @@ def frequent_in(part: pa.Table, least: int, longest: int) -> pa.Table:
     named: dict[str, int] = {}
     for vocab, own, n, rows in zip(part["vocab"].to_pylist(), part["langs"].to_pylist(), part["n"].to_pylist(), part["rows"].to_pylist()):
         spelled = vocab.split(b" ") if vocab else []
-        m = np.frombuffer(rows, np.int32).reshape(longest + 3, n).astype(np.int64)
-        code = np.array([named.setdefault(x, len(named)) for x in own], np.int64)
+        m = np.frombuffer(rows, np.int32).reshape(longest + 3, n).copy()
+        code = np.array([named.setdefault(x, len(named)) for x in own], np.int32)
         m[0] = code[m[0]]
-        m[1 : longest + 1] += np.where(m[1 : longest + 1] >= 0, base, 0)
+        m[1 : longest + 1] += np.where(m[1 : longest + 1] >= 0, np.int32(base), np.int32(0))
         base += len(spelled)
         vocabs += spelled
         matrices.append(m)
     langs = pa.array(list(named), pa.string())
     coded = pa.array(vocabs, pa.binary()).dictionary_encode()
-    same = np.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), -1)
+    del vocabs
+    same = np.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), np.int32(-1))
     m = np.concatenate(matrices, axis=1)
+    del matrices
     m[1 : longest + 1] = same[m[1 : longest + 1]]
     rows, words, counts = [], [], []
     for whole in (0, 1):
         own = m[:, m[longest + 2] == whole]
         if not own.shape[1]:
             continue
-        columns = [*own[: longest + 1], np.full(own.shape[1], -1, np.int64)]
-        for depth, row, value, total in quicksort(columns, own[longest + 1], least):
+        columns = [*own[: longest + 1], np.full(own.shape[1], -1, np.int32)]
+        for depth, row, value, total in quicksort(columns, own[longest + 1].astype(np.int64), least):
             # A suffix counts with each of its beginnings, a whole phrase where its words end.
             good = (value < 0) if whole else (value >= 0) & (depth >= 2)
             rows.append(own[: longest + 1, row[good]])
