@@ -15,13 +15,13 @@ from flowguard.streaming.correlator import correlate_stream
 PREFIX = "AD-aggr-message-"
 
 
-def keyed_results(messages: DataFrame, order: str = "id", value: str = "value") -> DataFrame:
-    """(key, module, score, is_anomalous, features, arrival, flow) of the messages that are detector results."""
-    parsed = parse_results(messages, value, keep=[order])
+def keyed_results(messages: DataFrame, order: str = "id", value: str = "value", keep: list[str] = ()) -> DataFrame:
+    """(key, module, score, is_anomalous, features, arrival, flow) and ``keep`` of the messages that are detector results."""
+    parsed = parse_results(messages, value, keep=[order, *keep])
     fields = [F.get("flow", F.lit(NETFLOW48.index(name))).alias(name) for name in NETFLOW12]
     return parsed.select(
         sha1_key(shared_flow_fields(F.col("flow"))).alias("key"), "module", "score", "is_anomalous", "features",
-        F.col(order).cast("long").alias("arrival"), F.struct(*fields).alias("flow"),
+        F.col(order).cast("long").alias("arrival"), F.struct(*fields).alias("flow"), *keep,
     )
 
 
@@ -42,6 +42,24 @@ def aggregate(messages: DataFrame, need_features: bool = False, order: str = "id
     return keyed_messages(fused.select("first_arrival", line.alias("line")), "line", "first_arrival", PREFIX, first=first_ordinal)
 
 
-def aggregate_stream(messages: DataFrame, order: str = "id", **options) -> DataFrame:
-    """Fused rows of a message stream, by completion or time-out (``correlate_stream``)."""
-    return correlate_stream(keyed_results(messages, order).drop("flow"), **options)
+_FLOW = ", ".join(f"{name} string" for name in NETFLOW12)
+
+
+def aggregate_stream(messages: DataFrame, order: str = "id", time: str | None = None, **options) -> DataFrame:
+    """Fused rows of a message stream, by completion or time-out (``correlate_stream``), with the flow's fields as ``flow``.
+
+    With ``time``, a timestamp column of the messages, time-outs follow event time. ``fused_lines`` writes the rows out.
+    """
+    keep = [time] if time else []
+    keyed = keyed_results(messages, order, keep=keep)
+    fused = correlate_stream(keyed.withColumn("flow", F.to_json("flow", {"ignoreNullFields": "false"})), time=time, **options)
+    return fused.withColumn("flow", F.from_json("flow", _FLOW))
+
+
+def fused_lines(fused: DataFrame, need_features: bool = False) -> DataFrame:
+    """(first_arrival, line) of fused rows that some detector flagged, in the form of the batch job's messages.
+
+    Number them per micro-batch with ``writers.OrdinalSink`` under ``PREFIX``, which continues over batches.
+    """
+    line = C.fused_csv([F.col(f"flow.{name}") for name in NETFLOW12])
+    return fused.filter(C.shall_propagate(need_features)).select("first_arrival", line.alias("line"))

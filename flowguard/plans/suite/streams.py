@@ -1,13 +1,13 @@
 """Queries that run as streams over the event table and read back what the stream wrote."""
 
-import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowguard.operators.windows import trailing_means
-from flowguard.plans.suite.base import RESULTS_SQL, Tables, flow_sql, query
+from flowguard.plans.suite.base import MODULE_OF, RESULTS_SQL, Tables, flow_sql, query
 from flowguard.session import ensure_checkpoint_dir
 from flowguard.streaming import batches as B
 from flowguard.streaming.correlator import correlate_stream
@@ -26,24 +26,33 @@ class StreamedTables(Tables):
 
 
 class Arrivals(Tables):
-    """Views over ``events`` as a stream of ``PARTS`` files, one per micro-batch, that arrive in the order of time."""
+    """Views over ``events`` as a stream that arrives in the order of time, a folder of files at a time.
 
-    PARTS = 4
+    ``feed`` writes a part with Spark's own partitions and runs the stream until it is used up, then the next one; each run is
+    a restart from the last run's progress. Results may not depend on ``parts``.
+    """
 
-    def __init__(self, t: Tables, path: str):
+    def __init__(self, t: Tables, path: str, parts: int = 4):
         super().__init__(t.spark, t.folder)
-        self.path = f"{path}/arrivals"
-        events = t("events")
-        times = [r[0] for r in events.select(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).alias("h")).distinct().orderBy("h").collect()]  # hours
-        edges = [times[len(times) * k // self.PARTS] for k in range(self.PARTS)] + [None]
+        self.path, events = path, t("events")
+        self.schema = events.schema
         hour = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600)
-        for low, high in zip(edges, edges[1:]):
-            part = events.filter(hour >= low) if high is None else events.filter((hour >= low) & (hour < high))
-            part.coalesce(1).write.mode("append").parquet(self.path)
+        times = [r[0] for r in events.select(hour.alias("h")).distinct().orderBy("h").collect()]  # hours
+        edges = [times[len(times) * k // parts] for k in range(parts)] + [None] if times else []
+        self.parts = [events.filter(hour >= a) if b is None else events.filter((hour >= a) & (hour < b)) for a, b in zip(edges, edges[1:])]
 
     def __call__(self, name: str) -> DataFrame:
-        schema = self.spark.read.parquet(self.path).schema
-        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(self.path)
+        return self.spark.readStream.schema(self.schema).parquet(f"{self.path}/arrivals")
+
+    def feed(self, build, handle) -> None:
+        _feed(self.parts, f"{self.path}/arrivals", lambda: build(self), handle, self.path)
+
+
+def _feed(parts: list[DataFrame], folder: str, build, handle, path: str) -> None:
+    """Append each part to the folder and run the stream over what is new."""
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        B.run_batches(build(), handle, f"{path}/progress").awaitTermination()
 
 
 def _scratch(t: Tables) -> str:
@@ -72,8 +81,7 @@ def _(t: Tables):
         out = trailing_means(rows, ["td"], (600,)).filter("not is_context")
         B.write_each(f"{path}/out")(out.select("id", F.round("td_600_mean", 9).alias("td_600_mean")), batch_id)
 
-    stream = Arrivals(t, path).flow(60).select("id", "sec", "td")
-    _run(t, stream, B.LookBack(t.spark, f"{path}/context", 600, handle), path)
+    Arrivals(t, path).feed(lambda a: a.flow(60).select("id", "sec", "td"), B.LookBack(t.spark, f"{path}/context", 600, handle))
     return t.spark.read.parquet(f"{path}/out").drop("batch")
 
 
@@ -91,74 +99,64 @@ def _(t: Tables):
         return tables.flow().select(
             F.col("id").alias("seq"), (F.col("da") % 3).alias("tenant"), F.col("sa").alias("src"), F.col("da").alias("dst"), F.col("sec").alias("epoch"))
 
-    _run(t, edges(Arrivals(t, path)), B.EdgeStream(t.spark, f"{path}/state", B.write_each(f"{path}/out"), 3600, keys=["tenant"]), path)
+    Arrivals(t, path).feed(edges, B.EdgeStream(t.spark, f"{path}/state", B.write_each(f"{path}/out"), 3600, keys=["tenant"]))
     streamed = t.spark.read.parquet(f"{path}/out").select("seq", "tenant", "src", "dst", "slot", "score")
     bounded = E.filtered_burst(E.with_slots(edges(t), "epoch", 3600, "seq", keys=["tenant"]), "seq", keys=["tenant"]).select("seq", F.col("score").alias("_want"))
     same = F.abs(F.col("score") - F.col("_want")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("_want"))
     return streamed.join(bounded, "seq").select("seq", "tenant", "src", "dst", "slot", same.alias("same_as_bounded"))
 
 
-@query("t05_correlated_stream", f"""WITH {RESULTS_SQL} SELECT key, arg_min(score, arrival) FILTER (WHERE module = 'MIDAS') AS midas_score,
-  arg_min(score, arrival) FILTER (WHERE module = 'IFOREST') AS iforest_score, min(arrival) AS first_arrival,
-  CASE WHEN count(*) FILTER (WHERE module = 'MIDAS') > 0 AND count(*) FILTER (WHERE module = 'IFOREST') > 0 THEN 'complete' ELSE 'timeout' END AS reason
-  FROM results GROUP BY key""")
-def _(t: Tables):
-    """Every flow ends: by completion, or by the time-out once its day's results are in.
+_DAY_MS = 86_400_000
+
 
-    Results of a key are of one day and arrive in one file, so what is not complete when its file is read times out.
+def correlated(t: Tables, parts: int, path: str, repeats: int = 1, shift_days: int = 1) -> DataFrame:
+    """Flows fused by event time from ``parts`` releases of the results, each sent ``repeats`` times, some days apart.
+
+    A row of no detector three days behind everything lets the watermark close what is open; the result is written batch by
+    batch and read back. Nothing waits for a clock.
     """
-    path = _scratch(t)
-    results = Tables.results(t).drop("sa").withColumn("_part", F.pmod(F.xxhash64("key"), F.lit(4)))
-    for k in range(4):
-        results.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = t.spark.readStream.schema(t.spark.read.parquet(f"{path}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    fused = correlate_stream(stream, rule="MIDAS_IFOREST", late="drop", only_anomalous=False, timeout_ms=8_000)
-    columns = ["key", F.col("midas.score").alias("midas_score"), F.col("iforest.score").alias("iforest_score"), "first_arrival", "reason"]
-    # Timers keep the stream alive: it is stopped when as many flows are written as there are, or none come any more.
-    running = B.run_batches(fused.select(*columns), B.write_each(f"{path}/out"), f"{path}/progress", every="1 second")
-    wanted, seen, since = results.select("key").distinct().count(), 0, time.time()
-    while running.isActive and seen < wanted and time.time() - since < 120:
-        time.sleep(1)
-        last = running.lastProgress
-        written = B.VersionedTable(t.spark, f"{path}/out")
-        now = written.all().count() if last and last["batchId"] > 0 and written.has(0) else 0
-        seen, since = (now, time.time()) if now != seen else (seen, since)
-    running.stop()
-    if running.exception():
-        raise running.exception()
+    module = F.element_at(F.create_map(*[F.lit(x) for pair in MODULE_OF.items() for x in pair]), F.col("event_type"))
+    at = F.col("ts").cast("timestamp")
+    once = t("events").select(
+        F.concat(F.col("user_id").cast("string"), F.lit("|"), F.date_format("ts", "yyyy-MM-dd")).alias("key"), module.alias("module"), F.col("value").alias("score"),
+        (F.col("value") > 100).alias("is_anomalous"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("features"), at.alias("at"))
+    sent = reduce(DataFrame.unionAll, [once.withColumn("at", F.expr(f"at + INTERVAL {k * shift_days} DAYS")) for k in range(repeats)])
+    sent = sent.withColumn("arrival", F.unix_micros("at"))
+    low, high = sent.agg(F.unix_micros(F.min("at")).alias("a"), F.unix_micros(F.max("at")).alias("b")).first()
+    place = F.least(F.floor((F.col("arrival") - (low or 0)) / max(1, ((high or 0) - (low or 0)) // parts + 1)), F.lit(parts - 1))
+    released = [sent.filter(place == k) for k in range(parts)]
+    end = sent.limit(0).unionByName(sent.agg(F.max("at").alias("at")).select(
+        F.lit("end").alias("key"), F.lit("none").alias("module"), F.lit(0.0).alias("score"), F.lit(False).alias("is_anomalous"), F.lit("").alias("features"),
+        F.expr("at + INTERVAL 30 DAYS").alias("at"), F.lit(0).cast("long").alias("arrival")))
+
+    def stream() -> DataFrame:
+        rows = t.spark.readStream.schema(sent.schema).parquet(f"{path}/in")
+        return correlate_stream(rows, time="at", rule="MIDAS_IFOREST", late="drop", only_anomalous=False, timeout_ms=2 * _DAY_MS)
+
+    _feed([*released, end], f"{path}/in", stream, B.write_each(f"{path}/out"), path)
     return t.spark.read.parquet(f"{path}/out").drop("batch")
 
 
+@query("t05_correlated_stream", f"""WITH {RESULTS_SQL}, r AS (SELECT results.*, epoch_us(ts) AS us FROM results JOIN events ON event_id = arrival)
+  SELECT key, arg_min(score, us) FILTER (WHERE module = 'MIDAS') AS midas_score, arg_min(score, us) FILTER (WHERE module = 'IFOREST') AS iforest_score, min(us) AS first_arrival,
+  CASE WHEN count(*) FILTER (WHERE module = 'MIDAS') > 0 AND count(*) FILTER (WHERE module = 'IFOREST') > 0 THEN 'complete' ELSE 'timeout' END AS reason
+  FROM r GROUP BY key""")
+def _(t: Tables):
+    """Every flow ends: by completion, or by its time-out in event time."""
+    return correlated(t, 4, _scratch(t)).select("key", F.col("midas.score").alias("midas_score"), F.col("iforest.score").alias("iforest_score"), "first_arrival", "reason")
+
+
 @query("t07_repeat_suppression", "SELECT event_id AS id FROM events")
 def _(t: Tables):
     """Every event is sent three times, twice in one micro-batch and once in the next: one of each comes out."""
     path = _scratch(t)
     sent = t("events").select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("timestamp"))
-    sent.union(sent).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    sent.coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = t.spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    _run(t, B.without_repeats(stream, ["id"], within="60 days"), B.write_each(f"{path}/out"), path)
+    stream = lambda: B.without_repeats(t.spark.readStream.schema(sent.schema).parquet(f"{path}/in"), ["id"], within="60 days")
+    _feed([sent.union(sent), sent], f"{path}/in", stream, B.write_each(f"{path}/out"), path)
     return t.spark.read.parquet(f"{path}/out").select("id")
 
 
 @query("t08_late_results", f"""WITH {RESULTS_SQL} SELECT key, count(DISTINCT module) FILTER (WHERE module IN ('MIDAS', 'IFOREST')) = 2 AS complete FROM results GROUP BY key""")
 def _(t: Tables):
-    """With late results dropped, a second copy of all results adds no flow: what is closed stays closed for a time-out."""
-    path = _scratch(t)
-    results = Tables.results(t).drop("sa")
-    for _ in range(2):
-        results.coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = t.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    fused = correlate_stream(stream, rule="MIDAS_IFOREST", late="drop", only_anomalous=False, timeout_ms=25_000)
-    running = B.run_batches(fused.select("key", "reason"), B.write_each(f"{path}/out"), f"{path}/progress", every="1 second")
-    wanted, seen, since = results.select("key").distinct().count(), 0, time.time()
-    while running.isActive and seen < wanted and time.time() - since < 120:
-        time.sleep(1)
-        last = running.lastProgress
-        written = B.VersionedTable(t.spark, f"{path}/out")
-        now = written.all().count() if last and last["batchId"] > 1 and written.has(0) else 0
-        seen, since = (now, time.time()) if now != seen else (seen, since)
-    running.stop()
-    if running.exception():
-        raise running.exception()
-    return t.spark.read.parquet(f"{path}/out").select("key", (F.col("reason") == "complete").alias("complete"))
+    """All results come again a day later: closed flows stay closed for their time-out, so no flow is sent twice."""
+    return correlated(t, 4, _scratch(t), repeats=2).select("key", (F.col("reason") == "complete").alias("complete"))

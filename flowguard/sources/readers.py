@@ -106,6 +106,23 @@ def arrays_to_frame(spark: SparkSession, features, labels) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def vectors_to_frame(df: DataFrame, features: str, label: str, keep: list[str] = ()) -> DataFrame:
+    """(keep, features, label), the last two in double, from array columns of any number type; nulls stay null.
+
+    Converts Arrow batches where they are, for any number of rows.
+    """
+    import pyarrow as pa
+
+    def convert(batches):
+        for batch in batches:
+            x, y = (c.cast(t) for c, t in zip(batch.columns[-2:], (pa.list_(pa.float64()), pa.float64())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], x, y], names=[*keep, "features", "label"])
+
+    rows = df.select(*keep, F.col(features).alias("features"), F.col(label).alias("label"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2]]
+    return rows.mapInArrow(convert, ", ".join([*fields, "features array<double>", "label double"]))
+
+
 def feature_label_pairs(
     df: DataFrame, features_col: str = "features", label_col: str = "label", classes: int | None = None
 ) -> DataFrame:

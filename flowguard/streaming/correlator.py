@@ -1,4 +1,10 @@
-"""Fusing detector results per flow as they arrive, with early completion and a time-out."""
+"""Fusing detector results per flow as they arrive, with early completion and a time-out.
+
+Time is the clock of the machine or, where results carry one, their own event time. Under event time a flow's state follows
+from its results alone: rows of a batch are taken in event order, a row later than the open group's time-out closes the group
+first, and the watermark closes what no row does. The same results in the same order give the same flows, however they are cut
+into batches.
+"""
 
 from __future__ import annotations
 
@@ -14,14 +20,14 @@ from flowguard.schema import MODULES
 
 TIMEOUT_MS = 30_000
 
-RESULT = "key string, module string, score double, is_anomalous boolean, features string, arrival long"
+RESULT = "key string, module string, score double, is_anomalous boolean, features string, arrival long, flow string"
 FUSED = (
     "key string, "
     + ", ".join(f"{m.lower()} struct<score: double, is_anomalous: boolean, features: string>" for m in MODULES)
-    + ", first_arrival long, reason string"
+    + ", first_arrival long, flow string, reason string"
 )
-_STATE = "module string, score double, is_anomalous boolean, features string, arrival long"
-COLUMNS = ["key", *[m.lower() for m in MODULES], "first_arrival", "reason"]
+_STATE = "module string, score double, is_anomalous boolean, features string, arrival long, flow string"
+COLUMNS = ["key", *[m.lower() for m in MODULES], "first_arrival", "flow", "reason"]
 
 
 def first_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,7 +67,7 @@ class Correlator(StatefulProcessor):
         for pdf in chunks:
             for row in pdf.sort_values("arrival", kind="stable").itertuples(index=False):
                 if row.module in MODULES and row.module not in known:
-                    known[row.module] = (row.module, row.score, bool(row.is_anomalous), row.features, int(row.arrival))
+                    known[row.module] = self._value(row)
                     if self.needed <= known.keys():
                         yield from self._close(key, known, "complete", now)
                         known, fresh = {}, True
@@ -82,6 +88,10 @@ class Correlator(StatefulProcessor):
             known = {k[0]: tuple(v) for k, v in self.results.iterator()}
             yield from self._close(key, known, "timeout", timerValues.getCurrentProcessingTimeInMs())
 
+    @staticmethod
+    def _value(row) -> tuple:
+        return row.module, row.score, bool(row.is_anomalous), row.features, int(row.arrival), row.flow
+
     def _close(self, key, known, reason, now) -> Iterator[pd.DataFrame]:
         self.results.clear()
         for timer in list(self.handle.listTimers()):
@@ -90,11 +100,14 @@ class Correlator(StatefulProcessor):
             # A tombstone outlives the group for one time-out; results that come later are ignored.
             self.emitted.update((now,))
             self.handle.registerTimer(now + self.timeout_ms)
+        yield from self._fused(key, known, reason)
+
+    def _fused(self, key, known, reason) -> Iterator[pd.DataFrame]:
         anomalous = any(v[2] for v in known.values())
         featured = "AE" in known or "IFOREST" in known
         if self.only_anomalous and not (anomalous and (featured or not self.need_features)):
             return
-        row = {"key": key[0], "first_arrival": min(v[4] for v in known.values()), "reason": reason}
+        row = {"key": key[0], "first_arrival": min(v[4] for v in known.values()), "reason": reason, "flow": min(known.values(), key=lambda v: v[4])[5]}
         for m in MODULES:
             v = known.get(m)
             row[m.lower()] = None if v is None else {"score": v[1], "is_anomalous": v[2], "features": v[3]}
@@ -104,10 +117,76 @@ class Correlator(StatefulProcessor):
         pass
 
 
-def correlate_stream(results: DataFrame, **options) -> DataFrame:
-    """Fused rows from a stream of (key, module, score, is_anomalous, features, arrival)."""
-    narrow = results.select("key", "module", "score", "is_anomalous", "features", F.col("arrival").cast("long").alias("arrival"))
-    if options.get("late") == "drop":
+class EventTimeCorrelator(Correlator):
+    """State per flow: first results, the event time of the first one, and until when a closed flow stays closed.
+
+    A group takes results up to ``timeout_ms`` after its first one. With ``late="drop"`` a closed flow ignores results for
+    another time-out, so what repeats is not sent again; then its state is removed. A flow's rows of one batch are held at once.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.results = handle.getMapState("results", "module string", _STATE)
+        self.opened = handle.getValueState("opened", "at long")
+        self.shut = handle.getValueState("shut", "until long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = {k[0]: tuple(v) for k, v in self.results.iterator()} if self.results.exists() else {}
+        opened = self.opened.get()[0] if self.opened.exists() else None
+        shut = self.shut.get()[0] if self.shut.exists() else None
+        before = opened, shut
+        pdf = pd.concat(list(rows))
+        pdf = pdf[pdf["module"].isin(MODULES) & pdf["at"].notna()].sort_values(["at", "arrival"], kind="stable")
+        for row, at in zip(pdf.itertuples(index=False), pdf["at"].astype("datetime64[ms]").astype("int64")):
+            at = int(at)
+            if opened is not None and at > opened + self.timeout_ms:
+                yield from self._fused(key, known, "timeout")
+                known, opened, shut = {}, None, opened + 2 * self.timeout_ms
+            if self.late == "drop" and shut is not None and at <= shut:
+                continue
+            shut = None
+            opened = at if opened is None else opened
+            known.setdefault(row.module, self._value(row))
+            if self.needed <= known.keys():
+                yield from self._fused(key, known, "complete")
+                known, opened, shut = {}, None, at + self.timeout_ms
+        self.results.clear()
+        for module, value in known.items():
+            self.results.updateValue((module,), value)
+        self._keep(opened, shut if self.late == "drop" else None, before)
+
+    def _keep(self, opened, shut, before) -> None:
+        """Store both times and set the timer that belongs to them: the time-out of an open flow, or the end of a closed one."""
+        for state, value in ((self.opened, opened), (self.shut, shut)):
+            state.clear() if value is None else state.update((value,))
+        if (opened, shut) != before:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
+            if opened is not None or shut is not None:
+                self.handle.registerTimer(opened + self.timeout_ms + 1 if opened is not None else shut + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.opened.exists():
+            self.shut.clear()
+            return
+        opened = self.opened.get()[0]
+        yield from self._fused(key, {k[0]: tuple(v) for k, v in self.results.iterator()}, "timeout")
+        self.results.clear()
+        self._keep(None, opened + 2 * self.timeout_ms if self.late == "drop" else None, (opened, None))
+
+
+def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "0 seconds", **options) -> DataFrame:
+    """Fused rows from a stream of (key, module, score, is_anomalous, features, arrival), and ``flow``, a text that the first
+    result hands on, if there is such a column.
+
+    With ``time``, a timestamp column, time-outs follow event time with results at most ``delay`` out of order.
+    """
+    flow = F.col("flow").cast("string") if "flow" in results.columns else F.lit(None).cast("string")
+    narrow = results.select("key", "module", "score", "is_anomalous", "features", F.col("arrival").cast("long").alias("arrival"), flow.alias("flow"),
+                            *([F.col(time).alias("at")] if time else []))
+    if time:
+        narrow = narrow.withWatermark("at", delay)
+    elif options.get("late") == "drop":
         narrow = narrow.mapInPandas(first_per_batch, RESULT)
     # Stateful processors need this state store.
     results.sparkSession.conf.set(
@@ -115,5 +194,6 @@ def correlate_stream(results: DataFrame, **options) -> DataFrame:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     return narrow.groupBy("key").transformWithStateInPandas(
-        Correlator(**options), outputStructType=FUSED, outputMode="Append", timeMode="ProcessingTime"
+        (EventTimeCorrelator if time else Correlator)(**options), outputStructType=FUSED, outputMode="Append",
+        timeMode="EventTime" if time else "ProcessingTime",
     )
