@@ -261,20 +261,18 @@ def quicksort(columns: list[np.ndarray], weight: np.ndarray, least: int, seed: i
 
 def frequent_in(part: pa.Table, least: int, longest: int) -> pa.Table:
     """Frequent phrases of a bucket's packed rows, each with its words, spelling and count."""
-    vocabs, langs, matrices, base = [], [], [], 0
-    named: dict[str, int] = {}
-    for vocab, own, n, rows in zip(part["vocab"].to_pylist(), part["langs"].to_pylist(), part["n"].to_pylist(), part["rows"].to_pylist()):
-        spelled = vocab.split(b" ") if vocab else []
+    matrices, named = [], {}
+    spelled = pc.split_pattern(part["vocab"].combine_chunks(), b" ")
+    bases = np.cumsum(pc.list_value_length(spelled).to_numpy(zero_copy_only=False)).tolist()
+    coded = spelled.flatten().dictionary_encode()
+    for base, own, n, rows in zip([0, *bases], part["langs"].to_pylist(), part["n"].to_pylist(), part["rows"]):
+        rows = rows.as_buffer()
         m = np.frombuffer(rows, np.int32).reshape(longest + 3, n).copy()
         code = np.array([named.setdefault(x, len(named)) for x in own], np.int32)
         m[0] = code[m[0]]
         m[1 : longest + 1] += np.where(m[1 : longest + 1] >= 0, np.int32(base), np.int32(0))
-        base += len(spelled)
-        vocabs += spelled
         matrices.append(m)
     langs = pa.array(list(named), pa.string())
-    coded = pa.array(vocabs, pa.binary()).dictionary_encode()
-    del vocabs
     same = np.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), np.int32(-1))
     m = np.concatenate(matrices, axis=1)
     del matrices
