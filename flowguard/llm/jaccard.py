@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from flowguard.llm.components import components
 from flowguard.llm.grams import U, chunks, mix, shingle_sets, signed, text_buffers
 from flowguard.llm.registry import query, table
-from flowguard.llm.tables import Stored
+from flowguard.llm.tables import Stored, free_name
 
 WORDS, PERCENT = 5, 80
 SKETCH_BITS, CHUNK_BITS = 20, 16  # 2**20 counters of 4 bytes: 4 MB, whatever the corpus
@@ -350,13 +350,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component with words: the one with the smallest id. Rows without words or id all stay."""
     found = near_duplicates(df, id_col, text)
-    # Per id: repeated ids get one verdict and, if they hold words, one row.
-    verdict = found.groupBy(id_col).agg(F.min("component_id").alias("_c"), F.max("n_shingles").alias("_n"))
-    verdict = verdict.filter(F.col(id_col).isNotNull() & (F.col("_n") > 0)).withColumnRenamed(id_col, "_id")
-    rows = df.join(verdict, F.col(f"`{id_col}`") == F.col("_id"), "left")
-    order = F.row_number().over(Window.partitionBy(F.col(f"`{id_col}`"), F.col("_id").isNull()).orderBy(F.col(f"`{text}`").desc_nulls_last()))
-    stays = F.col("_id").isNull() | (F.col("_c") == F.col("_id"))
-    kept = rows.filter(stays).withColumn("_k", order).filter((F.col("_k") == 1) | F.col("_id").isNull())
+    # Per id: repeated ids get one verdict and, if they hold words, one row. Own columns take names that the rows leave free.
+    key, least, place = (free_name(df, n) for n in ("_id", "_least", "_place"))
+    verdict = found.groupBy(F.col(id_col).alias(key)).agg(F.min("component_id").alias(least), F.max("n_shingles").alias("n_shingles"))
+    verdict = verdict.filter(F.col(key).isNotNull() & (F.col("n_shingles") > 0)).select(key, least)
+    rows = df.join(verdict, F.col(f"`{id_col}`") == F.col(key), "left")
+    order = F.row_number().over(Window.partitionBy(F.col(f"`{id_col}`"), F.col(key).isNull()).orderBy(F.col(f"`{text}`").desc_nulls_last()))
+    stays = F.col(key).isNull() | (F.col(least) == F.col(key))
+    kept = rows.filter(stays).withColumn(place, order).filter((F.col(place) == 1) | F.col(key).isNull())
     return kept.select(*[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from flowguard.llm.grams import LOWER, chunks, text_buffers
 from flowguard.llm.registry import query, table
+from flowguard.llm.tables import free_name
 
 CELL_BITS = 15
 SMOOTHING = 0.05
@@ -173,7 +174,10 @@ def has_letters(text: str | None) -> bool:
 def detect(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score`` (proportion of the leading language, 0 to 1) from the text alone.
 
-    ``und`` and 0 if the text is null or has no letters, or nothing was learned. Columns already called so are replaced.
+    ``und`` and 0 if the text is null, empty or has no letters, or nothing was learned. Columns already called so are
+    replaced, all others pass. Texts of any length are read whole, equal texts get equal answers, repeated rows come out as
+    often as they occur, and an empty table gives none. Languages that fit equally well: the first in the order of names.
+    A model has at most ``MAX_LANGUAGES`` languages; ``train`` raises beyond, since the model is broadcast.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
     rows = df.drop("lang_pred", "score")
@@ -195,8 +199,9 @@ def detect(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             code = pa.array(np.where(best < 0, len(names) - 1, best))
             yield pa.StructArray.from_arrays([names.take(code), pa.array(np.clip(share, 0.0, 1.0))], ["lang_pred", "score"])
 
-    hidden = rows.withColumn("_guess", guess(F.col(f"`{text}`")))
-    return hidden.select(*[F.col(f"`{c}`") for c in rows.columns], "_guess.lang_pred", "_guess.score")
+    found = free_name(rows, "_guess")
+    hidden = rows.withColumn(found, guess(F.col(f"`{text}`")))
+    return hidden.select(*[F.col(f"`{c}`") for c in rows.columns], F.col(found)["lang_pred"].alias("lang_pred"), F.col(found)["score"].alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -85,12 +85,12 @@ def mix_sources(
     rows = df.drop(*added)
     size = F.octet_length("text") if size is None else size
     rates = Stored(source_rates(rows, source, F.coalesce(size, F.lit(0)), weights, target), "rates").df
-    key = free_name(rows, "_source")
-    rates = rates.select(F.col("source").alias(key), "rate", "steps")
+    key, steps = free_name(rows, "_source"), free_name(rows, "_steps")
+    rates = rates.select(F.col("source").alias(key), "rate", F.col("steps").alias(steps))
     u = uniform(seed, F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
     # Counted and filtered before the explode; texts move once, in the final sort.
     drawn = rows.join(rates, F.col(f"`{source}`").eqNullSafe(F.col(key)))
-    drawn = drawn.withColumn("n_copies", F.size(F.filter("steps", lambda c: c < u))).drop("steps", key)
+    drawn = drawn.withColumn("n_copies", F.size(F.filter(steps, lambda c: c < u))).drop(steps, key)
     copies = drawn.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     copies = copies.withColumn("shuffle_key", hashed(seed, F.lit("order"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.col("copy")))
     return copies.select(*[F.col(f"`{c}`") for c in rows.columns], *added).orderBy("shuffle_key")

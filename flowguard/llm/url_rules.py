@@ -73,9 +73,12 @@ def make_level(a: np.ndarray, b: np.ndarray, number: int, rate: float) -> Level:
 
 
 def with_parts(df: DataFrame, url: str) -> DataFrame:
-    """Add _host and _path of a url column; both are empty if it is null or has no ``://``."""
-    at = F.instr(F.col(f"`{url}`"), "://")
-    rest = F.when(at > 0, F.substring(F.col(f"`{url}`"), at + 3, F.length(F.col(f"`{url}`")))).otherwise("")
+    """(_row, _host, _path): all columns as one struct, so that none can clash, and the parts of the url column; both are
+    empty if it is null or has no ``://``."""
+    df = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    spelled = F.col("_row")[url]
+    at = F.instr(spelled, "://")
+    rest = F.when(at > 0, F.substring(spelled, at + 3, F.length(spelled))).otherwise("")
     host = F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), UPPER, LOWER)
     return df.withColumn("_host", host).withColumn("_path", F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1))
 
@@ -95,7 +98,8 @@ def candidate_keys(lengths: list[int]) -> Column:
 
 
 def key_hashes(key: Column) -> tuple[Column, Column]:
-    return F.xxhash64(key), F.xxhash64(key, F.lit("second"))
+    """128 bits of two unrelated hashes: keys that agree in one do not for that reason agree in the other."""
+    return F.xxhash64(key), F.conv(F.substring(F.md5(key), 1, 16), 16, -10).cast("long")
 
 
 def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
@@ -184,9 +188,9 @@ def judge_urls(
 
     keyed = rows.withColumn("_keys", candidate_keys(lengths))
     seen = keyed.withColumn(
-        "_hit", first_listed(F.transform("_keys", lambda k: F.xxhash64(k)), F.transform("_keys", lambda k: F.xxhash64(k, F.lit("second"))))
+        "_hit", first_listed(F.transform("_keys", lambda k: key_hashes(k)[0]), F.transform("_keys", lambda k: key_hashes(k)[1]))
     )
-    own = [F.col(f"`{c}`") for c in df.columns if c not in ("host", "path", "rule", "verdict")]
+    own = [F.col("_row")[c].alias(c) for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     return seen.select(
         *own, F.col("_host").alias("host"), F.col("_path").alias("path"),
         F.replace(F.get("_keys", F.col("_hit.at")), F.lit("\u0000"), F.lit("")).alias("rule"),

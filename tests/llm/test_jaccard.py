@@ -167,3 +167,11 @@ def test_bound_holds_at_every_size(spark):
         want.add(10 * g + 1)
     pairs = J.matrix_pairs(spark.createDataFrame(rows, "token long, class long, n int, group long"))
     assert {r["class"] for r in pairs.collect() if r["class"] % 10 == 1} == want
+
+
+def test_keep_one_leaves_any_column_names(spark):
+    names = ["_id", "_c", "_n", "_k", "_least", "_place", "n_shingles", "component_id", "class", "rep"]
+    rows = spark.createDataFrame([(i, f"one two three four five {i // 2}", *range(10)) for i in range(6)], f"doc_id long, text string, {', '.join(f'{n} int' for n in names)}")
+    kept = J.keep_one(rows)
+    assert kept.columns == rows.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4]
+    assert all(tuple(r)[2:] == tuple(range(10)) for r in kept.collect())

@@ -71,3 +71,35 @@ def test_nothing_learned_and_empty_table(spark):
     got = L.detect(spark.createDataFrame([("some text",)], "text string"), model).first()
     assert (got["lang_pred"], got["score"]) == ("und", 0.0)
     assert L.detect(spark.createDataFrame([], "text string"), model).count() == 0
+
+
+def test_predictions_equal_fitting_every_text(spark, model):
+    """The bound that settles a text without EM never changes an answer: texts one by one, whole mixtures, long and tiny ones."""
+    texts = [r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    some = [t for t in texts if t][:300]
+    some += [a[:300] + " " + b[-300:] for a, b in zip(some[::2], some[1::2])] + [t[:25] for t in some[:60]] + ["a", "été", " ".join(some)[:200_000]]
+    rows = spark.createDataFrame(list(enumerate(some)), "i int, text string")
+    got = {r["i"]: (r["lang_pred"], r["score"]) for r in L.detect(rows, model).collect()}
+    mixtures = 0
+    for i, text in enumerate(some):
+        data = np.frombuffer(text.encode(), np.uint8)
+        like, _ = model.words(data, np.array([0, len(data)]))
+        if not len(like) or not L.has_letters(text):
+            assert got[i] == (L.UNKNOWN, 0.0)
+            continue
+        best, share = L.mixture(like.astype(np.float64))
+        mixtures += share < 1
+        assert got[i][0] == model.languages[best] and got[i][1] == pytest.approx(share, abs=1e-6), (i, text[:50])
+    assert mixtures > 20
+
+
+def test_odd_rows_names_and_limits(spark, model):
+    rows = spark.createDataFrame([(None, 1, 2, "x"), ("", 1, 2, "x"), ("12 !?", 1, 2, "x"), ("the house is here", 1, 2, "x"), ("the house is here", 1, 2, "x")],
+                                 "text string, _guess int, score int, lang_pred string")
+    got = L.detect(rows, model)
+    assert got.columns == ["text", "_guess", "lang_pred", "score"]
+    found = [tuple(r) for r in got.collect()]
+    assert [f[2:] for f in found[:3]] == [("und", 0.0)] * 3 and all(f[1] == 1 for f in found) and found[3] == found[4]
+    assert L.detect(rows.limit(0), model).collect() == []
+    with pytest.raises(ValueError):
+        L.train(spark.range(L.MAX_LANGUAGES + 1).select(F.lit("x").alias("text"), F.col("id").cast("string").alias("lang")))

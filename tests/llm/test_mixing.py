@@ -81,3 +81,11 @@ def test_empty_table_and_empty_texts(spark):
 def test_plan_has_no_python(spark):
     plan = M.mix_sources(spark.createDataFrame(sample(), SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_any_column_names_pass(spark):
+    names = ["steps", "_steps", "_source", "size", "weight", "u"]
+    rows = spark.createDataFrame([(i, "text", "s", *range(6)) for i in range(40)], f"doc_id long, text string, source string, {', '.join(f'{n} int' for n in names)}")
+    mixed = M.mix_sources(rows)
+    assert mixed.columns == [*rows.columns, "copy", "n_copies", "rate", "shuffle_key"]
+    assert all(tuple(r)[3:9] == tuple(range(6)) for r in mixed.collect())

@@ -59,3 +59,23 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert (listed == (rows["id"] % 50 == 0).to_numpy()).all()
     assert len(cascade.levels) > 2
     assert sum(len(x.bits) for x in cascade.levels) < 400 * 8  # a few bytes per listed key
+
+
+def test_keys_with_equal_first_hashes_are_told_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real = R.key_hashes
+    monkeypatch.setattr(R, "key_hashes", lambda key: (F.length(key).cast("long") % 3, real(key)[1]))
+    rules = [("block", "a.com", "/x"), ("allow", "b.org", "/y"), ("block", "net", "")]
+    urls = [f"http://{h}{p}" for h in ("a.com", "b.com", "a.org", "b.org", "c.net", "net", "c.a.com") for p in ("/x", "/y", "/z", "")]
+    assert judged(spark, urls, rules) == {i: brute(u, rules) for i, u in enumerate(urls)}
+    a, b = spark.range(1).select(*real(F.lit("some key"))).first()
+    assert a != b
+
+
+def test_any_column_names_pass(spark):
+    names = ["page_id", "url", "_row", "_host", "_path", "_keys", "_hit", "key", "a", "b", "at", "action"]
+    frame = spark.createDataFrame([(1, "http://x.net/q", *range(10))], f"page_id long, url string, {', '.join(f'{n} int' for n in names[2:])}")
+    got = R.judge_urls(frame, [("block", "net", "/")])
+    assert got.columns == [*names, "host", "path", "rule", "verdict"]
+    assert tuple(got.first()) == (1, "http://x.net/q", *range(10), "x.net", "/q", "net/", "block")
