@@ -23,11 +23,12 @@ def short_batches(spark: SparkSession) -> None:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language: those without text or letters go."""
+    """Documents whose text has a language, with that language as ``lang``: those without text or letters go."""
     short_batches(spark)
     taught = docs.filter(~language.held_out(F.col("doc_id"))).select("text", "lang")
     guessed = language.detect(docs, language.train(taught))
-    return guessed.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    known = guessed.filter(F.col("lang_pred") != language.UNKNOWN)
+    return known.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
