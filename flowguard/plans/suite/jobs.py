@@ -1,5 +1,6 @@
 """Files, persistence and whole jobs over the driver tables: written to the shared folder, read back, compared."""
 
+import json
 import uuid
 from functools import reduce
 
@@ -16,6 +17,7 @@ from flowguard.plans.suite.base import VECTORS_SQL, Tables, query
 from flowguard.schema import CONN, MODULE_FEATURES, MODULES
 from flowguard.session import ensure_checkpoint_dir
 from flowguard.sources import readers, writers
+from flowguard.sources.message_log import Log, register
 
 
 def scratch(t: Tables, name: str) -> str:
@@ -23,19 +25,41 @@ def scratch(t: Tables, name: str) -> str:
     return f"{t.spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
-@query("a01_bounded_topic_scan", """SELECT event_id AS id, CAST(event_id AS VARCHAR) AS key, props AS value, CAST(user_id % 3 AS INTEGER) AS partition
-  FROM events WHERE user_id % 3 = 1""")
-def _(t: Tables):
-    """Records of a topic kept as files, read between bounds: the tenant's partition only."""
-    path = scratch(t, "topic")
-    e = t("events")
+def _event_log(t: Tables, path: str) -> None:
+    """All events as messages of three partitions; offsets follow the event id within each."""
+    register(t.spark)
+    e = t("events").repartitionByRange(F.col("event_id")).sortWithinPartitions("event_id")
     records = e.select(
         F.col("event_id").cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"), F.lit("flows").alias("topic"),
-        (F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("user_id") % 3).cast("int").alias("partition"), F.col("ts").cast("timestamp").alias("timestamp"),
     )
-    writers.write_messages(records, "parquet", path)
-    read = readers.read_records(t.spark, "parquet", path).filter("partition = 1")
-    return read.select(F.col("offset").alias("id"), F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "partition")
+    writers.write_messages(records, "message_log", path, batch="0")
+
+
+def _as_rows(records: DataFrame) -> DataFrame:
+    return records.select("partition", "offset", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+_LOG = """log AS (SELECT CAST(user_id % 3 AS INTEGER) AS partition, row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS "offset",
+  CAST(event_id AS VARCHAR) AS key, props AS value, count(*) OVER (PARTITION BY user_id % 3) AS n FROM events)"""
+
+
+@query("a01_bounded_topic_scan", f"""WITH {_LOG} SELECT partition, "offset", key, value FROM log WHERE partition <> 2 AND "offset" >= n // 4 AND "offset" < n - n // 4""")
+def _(t: Tables):
+    """Two partitions of a topic between offsets inside them: a quarter from each end."""
+    path = scratch(t, "topic")
+    _event_log(t, path)
+    bounds = Log(path).bounds()
+    ends = {side: json.dumps({"flows": {str(p): (n // 4 if side == 0 else n - n // 4) for (_, p), (_, n) in bounds.items()}}) for side in (0, 1)}
+    return _as_rows(readers.read_records(t.spark, "message_log", path, startingOffsets=ends[0], endingOffsets=ends[1], assign='{"flows": [0, 1]}'))
+
+
+@query("a01_pushed_offsets", f"""WITH {_LOG} SELECT partition, "offset", key, value FROM log WHERE partition IN (0, 2) AND "offset" >= 40""")
+def _(t: Tables):
+    """Filters on partition and offset, which the log answers from its commits."""
+    path = scratch(t, "topic")
+    _event_log(t, path)
+    return _as_rows(readers.since_offset(readers.read_records(t.spark, "message_log", path), 40).filter("partition IN (0, 2)"))
 
 
 @query("a10_inferred_csv", "SELECT c_custkey, c_nationkey, round(c_acctbal, 2) AS c_acctbal FROM customer")

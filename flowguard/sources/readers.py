@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from flowguard.schema import CONN, KAFKA_RECORD, string_schema
 
 
+ADDRESSED = ("kafka", "message_log")  # formats that bring the record schema and know offsets
+
+
 def kafka_options(
     brokers: str,
     topic: str,
@@ -38,7 +41,7 @@ def kafka_options(
 def read_records(spark: SparkSession, format: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
     """Bounded scan of (key, value, topic, partition, offset, timestamp) records."""
     reader = spark.read.format(format).options(**options)
-    if format != "kafka":
+    if format not in ADDRESSED:
         reader = reader.schema(KAFKA_RECORD)
     return reader.load(path) if path else reader.load()
 
@@ -46,7 +49,7 @@ def read_records(spark: SparkSession, format: str = "kafka", path: str | None =
 def stream_records(spark: SparkSession, format: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
     """Continuous version of ``read_records``; directories of files stand in for topics."""
     reader = spark.readStream.format(format).options(**options)
-    if format != "kafka":
+    if format not in ADDRESSED:
         reader = reader.schema(KAFKA_RECORD)
     return reader.load(path) if path else reader.load()
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowguard.functions.scalar import slot_number
 from flowguard.operators import edges as E
 from flowguard.session import checkpointed
+from flowguard.sources.message_log import Log, register
 
 Handle = Callable[[DataFrame, int], None]
 
@@ -153,11 +154,57 @@ def without_repeats(stream: DataFrame, columns: list[str], ts: str = "timestamp"
 
 def score_flows(model, handle_out: Handle, approximate: bool = False) -> Handle:
     """Batch handler for :class:`LookBack`: window features over context and news, verdicts for news."""
+    return scored_news(model, handle_out, **({"approximate": True} if approximate else {}))
+
+
+def scored_news(model, handle_out: Handle, **options) -> Handle:
+    """Batch handler for :class:`LookBack` and any model with ``score(rows, **options)`` that keeps ``id``."""
 
     def handle(rows: DataFrame, batch_id: int) -> None:
         rows = checkpointed(rows)
-        scored = model.score(rows, approximate=approximate)
+        scored = model.score(rows.drop("is_context"), **options)
         fresh = rows.filter("not is_context").select("id")
         handle_out(scored.join(fresh, "id", "left_semi"), batch_id)
 
     return handle
+
+
+class LogSink:
+    """Micro-batch output to a message log (``sources/message_log.py``): a batch id is accepted once.
+
+    ``message`` turns scored rows into (key, value[, partition, topic, timestamp]); by default the value is the row as JSON
+    without its vectors.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, message: Callable[[DataFrame], DataFrame] | None = None, topic: str = "verdicts"):
+        register(spark)
+        self.log, self.topic = Log(path), topic
+        self.message = message or as_json
+
+    def has(self, batch_id: int) -> bool:
+        return self.log.has(str(batch_id))
+
+    def __call__(self, frame: DataFrame, batch_id: int) -> None:
+        if not self.has(batch_id):
+            self.message(frame).write.format("message_log").options(batch=batch_id, topic=self.topic).mode("append").save(self.log.path)
+
+
+def as_json(scored: DataFrame) -> DataFrame:
+    """(key, value): the id, and all columns but vectors and arrays as one JSON object."""
+    plain = [f.name for f in scored.schema.fields if f.dataType.typeName() not in ("vector", "vectorudt", "array")]
+    return scored.select(F.col("id").cast("string").cast("binary").alias("key"), F.to_json(F.struct(*plain)).cast("binary").alias("value"))
+
+
+def detector_job(spark: SparkSession, model, state: str, sink: LogSink, seconds: int = 600, sec: str = "sec", **options) -> Handle:
+    """One exactly-once handler for every detector: context, scores, sink, state, in this order.
+
+    A batch the sink has taken is not scored again; if the job died before its context was stored, that is all that is left to
+    do when the batch comes back. ``model`` has ``score(rows, **options)`` with an ``id``; ``seconds`` is its longest window.
+    """
+    score = scored_news(model, sink, **options)
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        if not sink.has(batch_id):
+            score(rows, batch_id)
+
+    return LookBack(spark, state, seconds, handle, sec)
