@@ -419,24 +419,66 @@ def _exact_totals(last, keys, threshold, factor):
     fields = {f.name: f for f in frame.schema.fields}
     out = T.StructType([fields[c] for c in [*entity, "now"]] + [T.StructField("total", T.DoubleType())])
 
+    def kept(gap):
+        """Sum of the factor's powers below ``gap``: what one slot's count adds to the totals until then."""
+        return gap if factor == 1 else (1.0 - factor**gap) / (1.0 - factor)
+
     def walk(frames):
-        key, total, current, score, rank, growth = None, 0.0, 0.0, 0.0, 0, 0.0
+        last_key, last = None, None
         for pdf in frames:
+            if not len(pdf):
+                continue
+            codes = np.stack([pd.factorize(pdf[c])[0] for c in entity])
+            start = np.flatnonzero(np.concatenate([[True], (codes[:, 1:] != codes[:, :-1]).any(axis=0)]))
+            length = np.diff(np.append(start, len(pdf)))
+            now, rank, growth, count = (pdf[c].to_numpy(float) for c in ("now", "rank", "growth", "current"))
+            first = pdf[entity].iloc[0]
+            # total, current, score, rank and growth of every entity after its last row; an entity may go on from the last frame.
+            state = np.zeros((5, len(start)))
+            known = np.zeros(len(start), bool)
+            if last_key is not None and all(a == b or (pd.isna(a) and pd.isna(b)) for a, b in zip(first, last_key)):
+                state[:, 0], known[0] = last, True
             totals = np.empty(len(pdf))
-            ids = list(zip(*[pdf[c].tolist() for c in entity]))
-            for i, (here, now, r, g, c) in enumerate(
-                zip(ids, pdf["now"].tolist(), pdf["rank"].tolist(), pdf["growth"].tolist(), pdf["current"].tolist())
-            ):
-                if here != key:
-                    key, total = here, 0.0
-                elif score < threshold:
-                    total += current * (1.0 - factor ** (r - rank)) / (1.0 - factor)
-                else:
-                    total *= math.exp(g - growth)
-                totals[i] = total
-                gap = c + total - c * now
-                score = 0.0 if total == 0 else gap * gap / (total * (now - 1))
-                current, rank, growth = c, r, g
+
+            def advance(which, at):
+                total, current, score, r, g = state[:, which]
+                grown = np.where(score < threshold, total + current * kept(rank[at] - r), total * np.exp(growth[at] - g))
+                total = np.where(known[which], grown, 0.0)
+                gap = count[at] + total - count[at] * now[at]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    score = np.where(total == 0, 0.0, gap * gap / (total * (now[at] - 1)))
+                totals[at] = total
+                state[:, which] = total, count[at], score, rank[at], growth[at]
+                known[which] = True
+
+            by_length = np.argsort(-length, kind="stable")
+            longest = -length[by_length]
+            for step in range(int(length.max())):
+                live = by_length[: np.searchsorted(longest, -step, side="left")]
+                if len(live) < 16:  # few long entities: row by row
+                    for one in live.tolist():
+                        one_by_one(one, start[one] + step, start[one] + length[one], state, known, totals, now, rank, growth, count)
+                    break
+                advance(live, start[live] + step)
+            last_key, last = tuple(pdf[entity].iloc[-1]), state[:, -1].copy()
             yield pdf[[*entity, "now"]].assign(total=totals)
 
+    def one_by_one(which, low, high, state, known, totals, now, rank, growth, count):
+        total, current, score, r0, g0 = state[:, which].tolist()
+        seen = bool(known[which])
+        rows = zip(range(low, high), now[low:high].tolist(), rank[low:high].tolist(), growth[low:high].tolist(), count[low:high].tolist())
+        for i, at, r, g, c in rows:
+            if not seen:
+                total = 0.0
+            elif score < threshold:
+                total += current * kept(r - r0)
+            else:
+                total *= math.exp(g - g0)
+            totals[i] = total
+            gap = c + total - c * at
+            score = 0.0 if total == 0 else gap * gap / (total * (at - 1))
+            current, r0, g0, seen = c, r, g, True
+        state[:, which] = total, current, score, r0, g0
+        known[which] = True
+
     return frame.mapInPandas(walk, out)

@@ -53,12 +53,12 @@ def _relational_sql(exact):
 _F = 5.0  # merge threshold low enough for both branches to occur
 
 
-def _filtered_sql():
+def _filtered_sql(threshold=_F, slot=3600, select="seq, src, dst, slot, round(max(score) / 3, 6) AS score_third"):
     """The recursion over slots of one entity, written as a recursive query."""
     chi = "CASE WHEN {s} = 0 THEN 0 ELSE power({a} + {s} - {a} * {t}, 2) / ({s} * ({t} - 1)) END"
-    grown = f"""CASE WHEN r.score < {_F} THEN r.total + r.cur * (1 - power(0.5, p.rank - r.rank)) / 0.5
+    grown = f"""CASE WHEN r.score < {threshold} THEN r.total + r.cur * (1 - power(0.5, p.rank - r.rank)) / 0.5
       ELSE r.total * exp(p.growth - r.growth) END"""
-    return f"""WITH RECURSIVE {_cells_sql('(0), (1), (2)', True)},
+    return f"""WITH RECURSIVE {_cells_sql('(0), (1), (2)', True).replace("/ 3600)", f"/ {slot})")},
       ranks AS (SELECT now, row_number() OVER (ORDER BY now) AS rank,
         coalesce(sum(CASE WHEN now > 1 THEN ln(1 + 1.0::DOUBLE / (now - 1)) ELSE 0 END)
           OVER (ORDER BY now ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS growth
@@ -73,7 +73,7 @@ def _filtered_sql():
           (SELECT p.cell, p.i, p.now, p.rank, p.growth, p.cur, {grown} AS total FROM walk r JOIN steps p ON p.cell = r.cell AND p.i = r.i + 1)),
       scored AS (SELECT c.seq, c.src, c.dst, c.slot, {chi.format(s='w.total', a='(d.decayed + c.inslot)', t='c.now')} AS score
         FROM counted c JOIN carried d ON d.cell = c.cell AND d.now = c.now JOIN walk w ON w.cell = c.cell AND w.now = c.now)
-      SELECT seq, src, dst, slot, round(max(score) / 3, 6) AS score_third FROM scored GROUP BY seq, src, dst, slot"""
+      SELECT {select} FROM scored GROUP BY seq, src, dst, slot"""
 
 
 @query("w08_filtered_burst_exact", _filtered_sql())
@@ -122,6 +122,21 @@ def _(t: Tables):
     return slots.groupBy("instance", "slot").agg(F.count("*").alias("n"))
 
 
+_INSTANCES = {"10min": 600, "20min": 1200, "1hour": 3600}
+
+
+@query("t12_instance_scores", " UNION ALL ".join(
+    f"SELECT * FROM ({_filtered_sql(_F, length, select=f"'{name}' AS instance, seq, slot, round(max(score) / 3, 6) AS score_third")})" for name, length in _INSTANCES.items()))
+def _(t: Tables):
+    """Every event's score in three instances of different slot lengths, side by side."""
+    edges = t.flow().select(F.col("id").alias("seq"), F.col("sa").alias("src"), F.col("da").alias("dst"), "sec")
+    copies = E.with_instances(edges, _INSTANCES)
+    origin = edges.agg(F.min_by("sec", "seq").alias("origin"))
+    slotted = copies.join(F.broadcast(origin)).withColumn("slot", slot_number(F.col("sec"), F.col("origin"), F.col("slot_len")))
+    scored = E.filtered_burst(slotted, keys=["instance"], mode="exact", threshold=_F)
+    return scored.select("instance", "seq", "slot", F.round(F.col("score") / 3, 6).alias("score_third"))
+
+
 @query("t11_cutoff_precedence", """SELECT p_partkey, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_size WHEN p_partkey % 3 = 1 THEN 5
   ELSE CASE p_partkey % 4 WHEN 0 THEN 7062069 WHEN 1 THEN 1387058 WHEN 2 THEN 9114476 ELSE 8759679 END END AS BIGINT) AS cutoff FROM part""")
 def _(t: Tables):

@@ -9,6 +9,7 @@ from flowguard.ml import features as ML
 from flowguard.ml import iforest as I
 from flowguard.ml.sampling import Sampler, placed
 from flowguard.ml import text as X
+from flowguard.plans.suite.edges import _filtered_sql
 from flowguard.plans.suite.base import FLOW_CSV, VECTORS_SQL, Tables, flow_sql, query
 
 
@@ -297,8 +298,10 @@ def _(t: Tables):
     return scored.select("id", F.regexp_extract("value", r'^(.*,MIDAS,"\[\]",)', 1).alias("head"))
 
 
-@query("t10_retrained_cutoff")
+@query("t10_retrained_cutoff", f"""WITH s AS ({_filtered_sql(1000.0, 300, select="max(score) AS score")})
+  SELECT CAST(trunc(quantile_cont(score, 0.99999)) AS BIGINT) AS cutoff, round(min(score), 6) AS lowest, round(avg(score), 6) AS mean, round(max(score), 4) AS highest FROM s""")
 def _(t: Tables):
     from flowguard.plans.edge_scores import retrain_cutoff
 
-    return retrain_cutoff(t.messages(48), "5m", mode="exact")
+    found = retrain_cutoff(t.messages(48), "5m", mode="exact")
+    return found.select("cutoff", F.round("lowest", 6).alias("lowest"), F.round("mean", 6).alias("mean"), F.round("highest", 4).alias("highest"))

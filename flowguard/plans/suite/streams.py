@@ -11,6 +11,7 @@ from flowguard.plans.suite.base import MODULE_OF, RESULTS_SQL, Tables, flow_sql,
 from flowguard.session import ensure_checkpoint_dir
 from flowguard.streaming import batches as B
 from flowguard.streaming.correlator import correlate_stream
+from flowguard.streaming.cutoffs import CutoffSketches
 
 
 class StreamedTables(Tables):
@@ -106,6 +107,32 @@ def _(t: Tables):
     return streamed.join(bounded, "seq").select("seq", "tenant", "src", "dst", "slot", same.alias("same_as_bounded"))
 
 
+@query("t10_learned_cutoffs", """SELECT user_id % 5 AS tenant, count(*) AS n, true AS within_error, true AS judged_by_the_past FROM events GROUP BY 1""")
+def _(t: Tables):
+    """Cutoffs per tenant learned over four micro-batches: each within the sketches' rank error of the exact quantile of the
+    scores before its batch, and every verdict is that of its batch's cutoff."""
+    path, q, error = _scratch(t), 0.95, 0.005
+    sketches = CutoffSketches(t.spark, f"{path}/sketches", ["tenant"], q=q, error=error)
+    kept = B.VersionedTable(t.spark, f"{path}/cutoffs")
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        B.write_each(f"{path}/out")(sketches.judge(rows, batch_id, F.lit(10)), batch_id)
+        known = sketches.cutoffs(batch_id)
+        kept.write(batch_id, known if known is not None else rows.select("tenant", F.lit(10).cast("bigint").alias("cutoff"), F.lit(0).cast("bigint").alias("n")).distinct())
+        sketches.update(rows, batch_id)
+
+    Arrivals(t, path).feed(lambda a: a("events").select((F.col("user_id") % 5).alias("tenant"), F.col("value").alias("score")), handle)
+    judged, cutoffs = (t.spark.read.parquet(f"{path}/{x}") for x in ("out", "cutoffs"))
+    said = judged.join(cutoffs.select("tenant", "batch", F.col("cutoff").alias("want")), ["tenant", "batch"])
+    verdicts = said.groupBy("tenant").agg(F.count("*").alias("n"), F.min((F.col("cutoff") == F.col("want")) & (F.col("is_anomalous") == (F.col("score") > F.col("want")))).alias("judged_by_the_past"))
+    # The share of earlier scores up to the cutoff: its floor lies within one unit below the sketch's quantile.
+    past = cutoffs.filter("n > 0").alias("c").join(judged.select("tenant", F.col("batch").alias("b"), "score"), "tenant").filter("b < batch")
+    shares = past.groupBy("tenant", "batch").agg(F.avg((F.col("score") < F.col("cutoff")).cast("double")).alias("below"), F.avg((F.col("score") <= F.col("cutoff") + 1).cast("double")).alias("upto"),
+                                                 (F.count("*") == F.max("n")).alias("all"))
+    near = shares.groupBy("tenant").agg(F.min(F.col("all") & (F.col("below") <= q + error) & (F.col("upto") >= q - error)).alias("within_error"))
+    return verdicts.join(near, "tenant").select("tenant", "n", "within_error", "judged_by_the_past")
+
+
 _DAY_MS = 86_400_000
 
 

@@ -85,11 +85,13 @@ class EdgeStream:
 
     def __init__(
         self, spark: SparkSession, path: str, out: Handle, slot_len: int, order: str = "seq", epoch: str = "epoch",
-        keys: list[str] = (), cutoffs: DataFrame | None = None, **scorer,
+        keys: list[str] = (), cutoffs=None, fallback: int = E.FALLBACK_CUTOFF, **scorer,
     ):
+        """``cutoffs`` is a table of stored cutoffs (``store_cutoff``) or ``CutoffSketches`` that learn from every batch; with
+        the latter, ``fallback`` holds until a key has scores."""
         self.state, self.origin = VersionedTable(spark, f"{path}/sketch"), VersionedTable(spark, f"{path}/origin")
         self.out, self.slot_len, self.order, self.epoch = out, slot_len, order, epoch
-        self.keys, self.cutoffs, self.scorer = list(keys), cutoffs, scorer
+        self.keys, self.cutoffs, self.fallback, self.scorer = list(keys), cutoffs, fallback, scorer
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, keys = batch.sparkSession, self.keys
@@ -107,11 +109,16 @@ class EdgeStream:
         scored, after = E.filtered_burst_step(
             slotted, self.state.before(batch_id), self.order, keys, **self.scorer
         )
-        if self.cutoffs is not None:
+        learns = hasattr(self.cutoffs, "judge")
+        if learns:
+            scored = self.cutoffs.judge(checkpointed(scored), batch_id, F.lit(self.fallback))
+        elif self.cutoffs is not None:
             scored = scored.join(F.broadcast(current_cutoff(self.cutoffs))).withColumn(
                 "is_anomalous", F.col("score") > F.col("cutoff")
             )
         self.out(scored, batch_id)
+        if learns:
+            self.cutoffs.update(scored, batch_id)
         self.state.write(batch_id, after)
         for table in (self.state, self.origin):
             table.drop_before(batch_id)

@@ -82,3 +82,18 @@ def test_filtering_in_steps_equals_one_pass(spark, stream):
         state = E.checkpointed(state)
         got.append(scores(frame))
     np.testing.assert_allclose(np.concatenate(got), want, rtol=1e-8, atol=1e-8)
+
+
+@pytest.mark.parametrize("factor", [0.0, 0.5, 1.0])
+@pytest.mark.parametrize("batch", [3, 40, 10_000])
+def test_exact_filtering_over_frames_and_factors(spark, stream, factor, batch):
+    """Entities that go on from one Arrow frame to the next, few long and many short ones, and factors at both ends."""
+    pdf, df = stream
+    want = M.filtering(events(pdf), E.hash_params(2, 5), None, 5.0, factor)
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = scores(E.filtered_burst(df, mode="exact", threshold=5.0, factor=factor, bits=BITS))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    np.testing.assert_allclose(got, want, rtol=1e-8, atol=1e-8)
