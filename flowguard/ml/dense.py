@@ -339,12 +339,17 @@ OPTIMIZERS = ("sgd", "rmsprop", "adam")
 
 
 class _Optimizer:
-    def __init__(self, name: str, rate: float):
+    """Steps of one partition, from scratch or from the moments that all partitions' last round left."""
+
+    def __init__(self, name: str, rate: float, state: "Moments | None" = None):
         if name not in OPTIMIZERS:
             raise ValueError(f"unknown optimizer {name}; known are {', '.join(OPTIMIZERS)}")
         self.name, self.rate, self.step = name, rate, 0
         self.first: Weights | None = None
         self.second: Weights | None = None
+        if state is not None and state.first is not None:
+            self.step = state.step
+            self.first, self.second = ([w.copy() for w in ws] for ws in (state.first, state.second))
 
     def apply(self, weights: Weights, grads: Weights) -> None:
         if self.name == "sgd":
@@ -365,6 +370,23 @@ class _Optimizer:
             w -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-7)
 
 
+@dataclass
+class Moments:
+    """What an optimiser knows besides the weights: both moments and how many steps they have seen, averaged over partitions."""
+
+    first: Weights | None = None
+    second: Weights | None = None
+    step: float = 0.0
+
+    def flat(self, like: Weights) -> Weights:
+        empty = [np.zeros_like(w) for w in like]
+        return [*(self.first or empty), *(self.second or empty), np.array([float(self.step)])]
+
+    def take(self, parts: Weights) -> None:
+        half = len(parts) // 2
+        self.first, self.second, self.step = list(parts[:half]), list(parts[half : 2 * half]), float(parts[-1][0])
+
+
 def _pack(weights: Weights) -> bytes:
     return np.concatenate([w.ravel() for w in weights]).tobytes()
 
@@ -402,15 +424,19 @@ def _tree_sum(deltas: DataFrame, parts: int) -> dict | None:
 
 
 def train_round(
-    data: DataFrame, net: Net, loss: str, batch: int, optimizer: str, rate: float, seed: int, keep_last: bool = True
+    data: DataFrame, net: Net, loss: str, batch: int, optimizer: str, rate: float, seed: int, keep_last: bool = True,
+    moments: Moments | None = None,
 ) -> list[dict]:
     """One synchronous round over (x, y) array columns; updates ``net`` and returns the loss per partition.
 
+    With ``moments``, optimisers go on from there, and it is left with the mean of theirs, weighted by rows like the weights.
+
     Rows are taken in the order they come, shuffled inside an Arrow batch. The rows left over at the end of a partition
     form a smaller step (unless ``keep_last`` is false and the partition had a whole one).
     """
     _Optimizer(optimizer, rate)  # names are checked before any task starts
     shared = data.sparkSession.sparkContext.broadcast(net.plain())
+    carried = moments if optimizer != "sgd" else None
     losses = loss_named(loss)
 
     def work(batches):
@@ -420,7 +446,7 @@ def train_round(
         local.weights = [w.copy() for w in base.weights]
         part = TaskContext.get().partitionId()
         rng = np.random.default_rng([seed, part])
-        steps, seen, total = _Optimizer(optimizer, rate), 0, 0.0
+        steps, seen, total = _Optimizer(optimizer, rate, carried), 0, 0.0
         left_x = left_y = None
 
         def step(x, y):
@@ -445,7 +471,10 @@ def train_round(
             return
         if len(left_x) and (keep_last or seen < batch):
             total += step(left_x, left_y)
-        delta = _pack([(a - b) * seen for a, b in zip(local.weights, base.weights)])
+        parts = [a - b for a, b in zip(local.weights, base.weights)]
+        if carried is not None:
+            parts += Moments(steps.first, steps.second, steps.step).flat(local.weights)
+        delta = _pack([p * seen for p in parts])
         yield pa.RecordBatch.from_pylist(
             [{"n": seen, "delta": delta, "history": [{"part": part, "n": seen, "loss": total / seen}]}],
             schema=pa.schema(
@@ -460,11 +489,63 @@ def train_round(
     shared.unpersist()
     if summed is None:
         raise ValueError("there are no rows to train on")
-    for w, d in zip(net.weights, _unpack(summed["delta"], net.weights)):
-        w += d / summed["n"]
+    like = [*net.weights, *Moments().flat(net.weights)] if carried is not None else net.weights
+    parts = [p / summed["n"] for p in _unpack(summed["delta"], like)]
+    for w, d in zip(net.weights, parts):
+        w += d
+    if carried is not None:
+        carried.take(parts[len(net.weights) :])
     return summed["history"]
 
 
+class TrainingLog:
+    """Weights, moments and notes of every epoch in a folder, so that a lost driver costs one epoch.
+
+    An epoch is one Parquet folder, there as a whole or not at all. The rows are kept too: a resumed run trains on the same ones
+    in the same order. A log belongs to one network shape and one set of options.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, about: str):
+        self.spark, self.path = spark, path
+        known = self.read("about")
+        if known is None:
+            spark.createDataFrame([(about,)], "about string").write.mode("overwrite").parquet(f"{path}/about")
+        elif known.first()["about"] != about:
+            raise ValueError(f"{path} holds another training: {known.first()['about']}")
+
+    def read(self, name: str) -> DataFrame | None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
+        there = target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+        return self.spark.read.parquet(f"{self.path}/{name}") if there else None
+
+    def rows(self, make) -> DataFrame:
+        if self.read("rows") is None:
+            make().write.mode("overwrite").parquet(f"{self.path}/rows")
+        return self.read("rows")
+
+    def put(self, epoch: int, net, moments: Moments, note: dict) -> None:
+        row = (epoch, bytearray(_pack(net.weights)), bytearray(_pack(moments.flat(net.weights))), json.dumps(note))
+        self.spark.createDataFrame([row], "epoch int, weights binary, moments binary, note string").write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
+
+    def weights(self, epoch: int, like: Weights) -> Weights:
+        return [w.copy() for w in _unpack(bytes(self.read(f"epoch={epoch}").first()["weights"]), like)]
+
+    def last(self, epochs: int, net, moments: Moments) -> list[dict]:
+        """Put the newest epoch's weights and moments into ``net`` and ``moments``; the notes of all epochs so far."""
+        notes, row = [], None
+        for epoch in range(epochs):
+            found = self.read(f"epoch={epoch}")
+            if found is None:
+                break
+            row = found.first()
+            notes.append(json.loads(row["note"]))
+        if row is not None:
+            like = moments.flat(net.weights)
+            moments.take([m.copy() for m in _unpack(bytes(row["moments"]), like)])
+            net.weights = [w.copy() for w in _unpack(bytes(row["weights"]), net.weights)]
+        return notes
+
+
 def split_rows(df: DataFrame, x: Column, y: Column, validation: float, seed: int) -> DataFrame:
     """(x, y, key, held): ``key`` is a hash of the whole row and ``held`` marks the validation share.
 
@@ -480,34 +561,43 @@ def split_rows(df: DataFrame, x: Column, y: Column, validation: float, seed: int
 def fit_net(
     df: DataFrame, net: Net, x: Column, y: Column, loss: str = "mse", epochs: int = 10, batch: int = 32,
     optimizer: str = "adam", rate: float = 0.001, workers: int | None = None, validation: float = 0.0, seed: int = 1,
-    passes: int = 1, keep_last: bool = True, after_round=None,
+    passes: int = 1, keep_last: bool = True, after_round=None, resume: str | None = None,
 ) -> list[dict]:
     """Train for ``epochs`` rounds; returns per round the mean, per-partition and validation loss.
 
     Each partition is sorted by a hash that changes with epoch and pass, so mini-batches are drawn from the whole
     partition, and ``passes`` runs over it before partitions are averaged. Without ``workers`` the data's own partitions
-    train. Rows with a null side are left out.
+    train. Rows with a null side are left out. Optimisers go on with the mean of all partitions' moments.
+
+    With ``resume``, a folder every executor reaches, each epoch is stored there, and a run with the same options goes on
+    after the last one it finds, on the rows that the first run stored. ``after_round(epoch, net)`` may return a note of plain
+    values, which joins the epoch's.
     """
-    rows = split_rows(df, x, y, validation, seed)
+    about = json.dumps([net.plain()[:-1], loss, batch, optimizer, rate, workers, validation, seed, passes, keep_last], default=str)
+    log = TrainingLog(df.sparkSession, resume, about) if resume else None
+    rows = log.rows(lambda: split_rows(df, x, y, validation, seed)) if log else split_rows(df, x, y, validation, seed)
     data = rows.filter(~F.col("held")).select("x", "y", "key")
     if workers:
-        data = data.repartition(workers)
+        data = data.repartition(workers, "key") if log else data.repartition(workers)
     data = data.persist()
-    history = []
+    moments = Moments()
+    history = log.last(epochs, net, moments) if log else []
     try:
-        for epoch in range(epochs):
+        for epoch in range(len(history), epochs):
             turns = data.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))) if passes > 1 else data.withColumn("turn", F.lit(0))
             shuffled = turns.sortWithinPartitions("turn", F.xxhash64("key", "turn", F.lit(seed + epoch))).select("x", "y")
-            parts = train_round(shuffled, net, loss, batch, optimizer, rate, seed + epoch, keep_last)
+            parts = train_round(shuffled, net, loss, batch, optimizer, rate, seed + epoch, keep_last, moments)
             note = {
                 "epoch": epoch, "loss": sum(p["loss"] * p["n"] for p in parts) / sum(p["n"] for p in parts),
                 "partitions": sorted(parts, key=lambda p: p["part"]),
             }
             if validation:
                 note["validation_loss"] = evaluate(rows.filter("held"), net, F.col("x"), F.col("y"), loss).first()["loss"]
-            history.append(note)
             if after_round:
-                after_round(epoch, net)
+                note |= after_round(epoch, net) or {}
+            history.append(note)
+            if log:
+                log.put(epoch, net, moments, note)
     finally:
         data.unpersist()
     return history
@@ -675,7 +765,8 @@ def retrain(
     train: DataFrame, labelled: DataFrame, net: Net, column: str = "flow", label: str = "label", rounds: int = 4,
     evaluate_every: int = 2, percent: float = 0.1, error=None, **options,
 ) -> dict:
-    """Keep training, look at labelled rows every few rounds, and keep the weights with the best AUC.
+    """Keep training, look at labelled rows every few rounds, and keep the weights with the best AUC. ``resume`` goes on with a
+    training that was cut off, evaluations included (``fit_net``).
 
     ``error(net)`` is the score column of labelled rows, by default the summed absolute reconstruction error of all of
     ``column``. Returns the best weights, their AUC and benign cutoff, and every evaluation.
@@ -683,9 +774,9 @@ def retrain(
     best = {"auc": 0.0, "weights": None, "cutoff": None, "evaluations": []}
     spark = train.sparkSession
 
-    def look(epoch: int, current: Net) -> None:
+    def look(epoch: int, current: Net) -> dict:
         if (epoch + 1) % evaluate_every:
-            return
+            return {}
         score = error(current) if error else error_column(spark, current, feature_array(labelled, column), "sum_abs")
         scored = labelled.select(F.col(label).alias("label"), score.alias("score")).persist()
         location = {r["label"]: r for r in M.class_profile(scored, ["score"], "label").collect()}
@@ -699,15 +790,31 @@ def retrain(
             **M.confusion(scored, "score", "label", cutoff).first().asDict(),
         }
         scored.unpersist()
-        best["evaluations"].append(note)
         if note["auc"] > best["auc"]:
-            best.update(auc=note["auc"], cutoff=cutoff, weights=[w.copy() for w in current.weights])
+            best.update(auc=note["auc"], weights=[w.copy() for w in current.weights], at=epoch)
+        return {"evaluation": note}
 
     x = feature_array(train, column)
     best["history"] = fit_net(train, net, x, x, loss="mse", epochs=rounds, after_round=look, **options)
+    best["evaluations"] = [h["evaluation"] for h in best["history"] if "evaluation" in h]
+    top = max(best["evaluations"], key=lambda e: e["auc"], default=None)  # the first of equal ones
+    if top is not None and top["auc"] > 0:
+        if best["weights"] is None or best["at"] != top["epoch"]:  # seen before the run was resumed
+            best["weights"] = _Opened(spark, options["resume"]).weights(top["epoch"], net.weights)
+        best.update(auc=top["auc"], cutoff=top["cutoff"])
+    best.pop("at", None)
     return best
 
 
+class _Opened(TrainingLog):
+    """A log that is only read."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+
+
+
 # --- Spark ML surface ----------------------------------------------------------------------------
 
 WEIGHT_SCHEMA = "layer int, kind string, i int, j int, w double"

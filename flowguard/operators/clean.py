@@ -86,6 +86,43 @@ def nearest_known(value: Column, known: list[str]) -> Column:
     return F.when(value.isin(*known), value).when(value.isNotNull(), F.array_min(choices)["k"])
 
 
+def nearest_category(df: DataFrame, column: str, known: DataFrame, category: str = "category", order: str = "order", reach: int = 2) -> DataFrame:
+    """``df`` with ``column`` replaced by the known category at the least edit distance, the first by ``order`` among equals.
+
+    For class lists of any length. Distinct values meet categories that share what is left after deleting up to ``reach``
+    letters, which all categories within that distance do; the edit distance then judges candidates only. Values with no
+    category in reach are compared with all of them, in blocks of ``BLOCK`` categories. Null values stay null; a category
+    listed twice counts where it comes first; without categories all values become null.
+    """
+    key = "_nearest"
+    names = known.filter(F.col(category).isNotNull()).groupBy(F.col(category).alias("k")).agg(F.min(order).alias("i"))
+    names = checkpointed(names)
+    values = checkpointed(df.select(F.col(column).alias("v")).filter("v IS NOT NULL").distinct())
+    step = F.struct(F.levenshtein(F.col("v"), F.col("k")).alias("d"), "i", "k")
+    met = values.withColumn("part", F.explode(_shortened(F.col("v"), reach))).join(names.withColumn("part", F.explode(_shortened(F.col("k"), reach))), "part")
+    near = checkpointed(met.select("v", step.alias("s")).groupBy("v").agg(F.min("s").alias("s")).filter(F.col("s.d") <= reach))
+    rest = values.join(near, "v", "left_anti")
+    blocks = max(1, -(-names.count() // BLOCK))
+    spread = names.groupBy(F.pmod(F.xxhash64("k"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("i", "k")).alias("all"))
+    far = rest.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(spread, "block")
+    far = far.select("v", F.array_min(F.transform("all", lambda c: F.struct(F.levenshtein(F.col("v"), c["k"]).alias("d"), c["i"].alias("i"), c["k"].alias("k")))).alias("s"))
+    found = near.unionByName(far.groupBy("v").agg(F.min("s").alias("s"))).select(F.col("v").alias(key), F.col("s.k").alias("_k"))
+    joined = df.join(found, F.col(column) == F.col(key), "left")
+    return joined.select(*[F.col("_k").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
+
+
+BLOCK = 1000
+
+
+def _shortened(text: Column, letters: int) -> Column:
+    """The text and every text left after deleting up to so many letters, each once."""
+    out = F.array(text)
+    for _ in range(letters):
+        out = F.array_distinct(F.concat(out, F.flatten(F.transform(out, lambda t: F.when(F.length(t) > 0, F.transform(
+            F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))).otherwise(F.array(t))))))
+    return out
+
+
 def encode_addresses(
     df: DataFrame, source: str = "sa", destination: str = "da", order: str = "id", bits=CHUNK_BITS
 ) -> DataFrame:

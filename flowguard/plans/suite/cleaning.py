@@ -149,6 +149,18 @@ def _(t: Tables):
     return t("part").select("p_partkey", clean.nearest_known(F.col("p_type"), _KNOWN).alias("p_type"))
 
 
+@query("c10_nearest_of_many", """WITH known AS (SELECT p_name AS k, min(p_partkey) AS i FROM part WHERE p_partkey % 3 = 0 GROUP BY 1),
+  asked AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN substr(p_name, 2) WHEN 2 THEN p_name || 'xy' ELSE p_type END AS v FROM part),
+  near AS (SELECT v, arg_min(k, (levenshtein(v, k), i)) AS k FROM (SELECT DISTINCT v FROM asked), known GROUP BY v)
+  SELECT p_partkey, k AS v FROM asked JOIN near USING (v)""")
+def _(t: Tables):
+    """A class list that grows with the table; values equal, near and far from it."""
+    known = t("part").filter("p_partkey % 3 = 0").select(F.col("p_name").alias("category"), F.col("p_partkey").alias("order"))
+    name, k = F.col("p_name"), F.col("p_partkey") % 4
+    asked = t("part").select("p_partkey", F.when(k == 0, name).when(k == 1, F.substring(name, F.lit(2), F.length(name))).when(k == 2, F.concat(name, F.lit("xy"))).otherwise(F.col("p_type")).alias("v"))
+    return clean.nearest_category(asked, "v", known)
+
+
 @query("c08_shared_address_codes", """WITH a AS (SELECT event_id AS id,
     CASE WHEN user_id % 2 = 0 THEN '10.0.0.' || CAST(user_id % 256 AS VARCHAR) ELSE 'fe80::' || CAST(user_id AS VARCHAR) END AS sa,
     CASE WHEN event_id % 3 = 0 THEN 'fe80::' || CAST(event_id % 50 AS VARCHAR) ELSE '192.168.1.' || CAST(event_id % 50 AS VARCHAR) END AS da FROM events),

@@ -12,6 +12,7 @@ from flowguard.session import ensure_checkpoint_dir
 from flowguard.streaming import batches as B
 from flowguard.streaming.correlator import correlate_stream
 from flowguard.streaming.cutoffs import CutoffSketches
+from flowguard.streaming.rings import last_rows_stream
 
 
 class StreamedTables(Tables):
@@ -133,6 +134,18 @@ def _(t: Tables):
     return verdicts.join(near, "tenant").select("tenant", "n", "within_error", "judged_by_the_past")
 
 
+@query("g04_ring_of_last_rows", """SELECT tenant, id, td FROM (SELECT user_id % 4 AS tenant, event_id AS id, value AS td,
+  row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id DESC) AS r FROM events) WHERE r <= 50""")
+def _(t: Tables):
+    """The last 50 rows of every tenant as stream state after four micro-batches: of each tenant's rings the newest."""
+    path = _scratch(t)
+    rings = lambda a: last_rows_stream(a.flow().select((F.col("sa") % 4).alias("tenant"), "id", "td"), 50, "tenant", "id")
+    Arrivals(t, path).feed(rings, B.write_each(f"{path}/out"))
+    out = t.spark.read.parquet(f"{path}/out")
+    newest = out.groupBy("tenant").agg(F.max("batch").alias("batch"))
+    return out.join(newest, ["tenant", "batch"]).select("tenant", "id", "td")
+
+
 _DAY_MS = 86_400_000
 
 
