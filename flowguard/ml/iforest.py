@@ -3,7 +3,8 @@
 Features are stored once with a place for every row; a tree's sample follows from places alone
 (``ml/sampling.py``), whatever its size. Samples that fit a task are fetched in one scan and each
 tree is built in its own task. For larger ones all trees grow level by level from aggregated minima
-and maxima over the same samples, so no task ever holds one.
+and maxima over the same samples, so no task ever holds one. Both draw a node's split by its seed,
+tree and number, so the trees are the same.
 """
 
 from __future__ import annotations
@@ -196,18 +197,28 @@ def sampled_rows(data: DataFrame, sampler: Sampler, trees: int) -> DataFrame:
     return data.mapInArrow(pick, f"tree long, copies long, row long, x {kind}")
 
 
-def build_tree(x: np.ndarray, copies: np.ndarray, depth: int, max_features: float, rng) -> list[tuple]:
+def tree_features(seed: int, tree: int, d: int, max_features: float) -> np.ndarray:
+    """The features a tree may split on, ascending."""
+    return np.sort(np.random.default_rng([seed, tree, 2]).permutation(d)[: subset_size(max_features, d)])
+
+
+def draw_split(seed: int, tree: int, node: int, features: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[int, float]:
+    """Split of a node, by its number in the full binary tree: one of its varying features, a cut within its range.
+
+    Every builder draws here, so they grow the same tree from the same sample.
+    """
+    rng = np.random.default_rng([seed, tree, 3, node])
+    pick = rng.integers(len(features))
+    return int(features[pick]), float(rng.random() * (high[pick] - low[pick]) + low[pick])
+
+
+def build_tree(x: np.ndarray, copies: np.ndarray, depth: int, max_features: float, seed: int, tree: int) -> list[tuple]:
     """One isolation tree as pre-order (id, feature, value, left, right, rows) tuples."""
-    d = x.shape[1]
-    usable = np.arange(d)
-    chosen = subset_size(max_features, d)
-    if chosen < d:
-        usable = rng.permutation(d)[:chosen]
     limit = min(depth, math.ceil(math.log2(max(2, copies.sum()))))
     nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, -1, False, usable)]
+    stack = [(np.arange(len(x)), 0, 1, -1, False, tree_features(seed, tree, x.shape[1], max_features))]
     while stack:
-        rows, level, parent, is_right, features = stack.pop()
+        rows, level, number, parent, is_right, features = stack.pop()
         here = len(nodes)
         if parent >= 0:
             nodes[parent][4 if is_right else 3] = here
@@ -215,18 +226,17 @@ def build_tree(x: np.ndarray, copies: np.ndarray, depth: int, max_features: floa
         split = None
         if level < limit and count > 1 and len(features):
             low, high = x[np.ix_(rows, features)].min(axis=0), x[np.ix_(rows, features)].max(axis=0)
-            features = features[low < high]
+            varies = low < high
+            features = features[varies]
             if len(features):
-                pick = rng.integers(len(features))
-                lo, hi = low[low < high][pick], high[low < high][pick]
-                split = int(features[pick]), rng.random() * (hi - lo) + lo
+                split = draw_split(seed, tree, number, features, low[varies], high[varies])
         if split is None:
             nodes.append([here, -1, -1.0, -1, -1, count])
             continue
         nodes.append([here, split[0], split[1], -1, -1, 0])
         goes_left = x[rows, split[0]] < split[1]
-        stack.append((rows[~goes_left], level + 1, here, True, features))
-        stack.append((rows[goes_left], level + 1, here, False, features))
+        stack.append((rows[~goes_left], level + 1, 2 * number + 1, here, True, features))
+        stack.append((rows[goes_left], level + 1, 2 * number, here, False, features))
     return [tuple(n) for n in nodes]
 
 
@@ -234,8 +244,7 @@ def _fit_sampled(data, sampler, trees, depth, features):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row")
         tree = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([sampler.seed, tree, 1])
-        nodes = build_tree(np.stack(pdf["x"].to_numpy()), pdf["copies"].to_numpy(), depth, features, rng)
+        nodes = build_tree(np.stack(pdf["x"].to_numpy()), pdf["copies"].to_numpy(), depth, features, sampler.seed, tree)
         frame = pd.DataFrame(nodes, columns=NODE_SCHEMA.names[1:])
         frame.insert(0, "treeID", tree)
         return frame
@@ -249,7 +258,6 @@ def _fit_levels(data, sampler, trees, depth, features):
     shared = spark.sparkContext.broadcast(sampler)
     limit = min(depth, math.ceil(math.log2(max(2, sampler.size))))
     d = len(data.first()["x"])
-    chosen = subset_size(features, d)
     rows = data.select("x", "place")
     # Heap numbering: node n has children 2n and 2n+1. Size is bounded by trees * 2^limit.
     splits: list[dict[int, tuple[int, float]]] = [{} for _ in range(trees)]
@@ -313,7 +321,7 @@ def _fit_levels(data, sampler, trees, depth, features):
 
         def choose(pdf: pd.DataFrame) -> pd.DataFrame:
             tree = int(pdf["tree"].iloc[0])
-            usable = np.random.default_rng([seed, tree, 2]).permutation(d)[:chosen]
+            usable = tree_features(seed, tree, d, features)
             out = []
             for node, part in pdf.sort_values("feature").groupby("node"):
                 n = int(part["n"].iloc[0])
@@ -321,9 +329,8 @@ def _fit_levels(data, sampler, trees, depth, features):
                 if level >= limit or n <= 1 or not len(open_):
                     out.append((tree, node, -1, -1.0, n))
                     continue
-                rng = np.random.default_rng([seed, tree, 3, int(node)])
-                pick = open_.iloc[rng.integers(len(open_))]
-                out.append((tree, node, int(pick["feature"]), rng.random() * (pick["high"] - pick["low"]) + pick["low"], n))
+                split = draw_split(seed, tree, int(node), *[open_[c].to_numpy() for c in ("feature", "low", "high")])
+                out.append((tree, node, *split, n))
             return pd.DataFrame(out, columns=["tree", "node", "feature", "value", "n"])
 
         picked = folded.groupBy("tree").applyInPandas(choose, "tree int, node int, feature int, value double, n long").collect()

@@ -94,3 +94,96 @@ def _(t: Tables):
     rows = t.vectors().select("id", F.slice("x", 1, 3).alias("flow"), F.slice("x", 4, 2).alias("history"))
     scored = D.score_joint(rows, _joint_net())
     return scored.select("id", *[F.round(c, d).alias(c) for c, d in (("flow_error", 8), ("history_error", 8), ("combined_error", 7))])
+
+
+_LEVELS = "SELECT CAST(i AS INTEGER) AS tree, least({size}, n) AS sampled_rows, true AS binary_tree, true AS grew FROM range({trees}) r(i), (SELECT count(*) AS n FROM embeddings)"
+
+
+@query("m14_levelwise_growth", _LEVELS.format(size="n", trees=8))
+def _(t: Tables):
+    """All trees level by level over every row, eight levels deep."""
+    from flowguard.ml import iforest as I
+    from flowguard.ml.sampling import Sampler, placed
+
+    data, starts = placed(t.vectors().select("x"))
+    nodes = I._fit_levels(data, Sampler(starts, int(starts[-1]), False, 2), trees=8, depth=8, features=0.5)
+    leaf = F.col("featureIndex") < 0
+    return nodes.groupBy(F.col("treeID").alias("tree")).agg(
+        F.sum("numInstance").alias("sampled_rows"), (F.count_if(leaf) == F.count_if(~leaf) + 1).alias("binary_tree"), (F.count_if(leaf) > 8).alias("grew"))
+
+
+def _fitted(t: Tables):
+    from flowguard.ml import iforest as I
+
+    rows = t.vectors().select("id", F.col("x").alias("features"))
+    return I.IsolationForest(numTrees=25, maxSamples=128, seed=3).fit(rows), rows
+
+
+@query("m11_fitted_scores", "SELECT vec_id AS id, true AS as_walked FROM embeddings")
+def _(t: Tables):
+    """Scores of a fitted forest, each against a walk by joins: every tree's node per row, level after level."""
+    from flowguard.ml import iforest as I
+
+    model, rows = _fitted(t)
+    nodes = t.spark.createDataFrame(model.nodes, I.NODE_SCHEMA)
+    below = F.when(F.col("numInstance") > 2, 2 * (F.log(F.col("numInstance") - 1) + I.EULER) - 2 * (F.col("numInstance") - 1) / F.col("numInstance")).otherwise((F.col("numInstance") == 2).cast("double"))
+    tree = nodes.withColumn("below", below).withColumnRenamed("id", "node")
+    roots = F.array(*[F.lit(k) for k in range(model.trees)])
+    at = rows.select("id", "features", F.explode(roots).alias("treeID"), F.lit(0).alias("node"), F.lit(0).alias("depth"))
+    for _ in range(8):
+        step = at.join(F.broadcast(tree), ["treeID", "node"])
+        child = F.when(F.col("featureIndex") < 0, F.col("node")).when(F.get("features", F.col("featureIndex")) < F.col("featureValue"), F.col("leftChild")).otherwise(F.col("rightChild"))
+        at = step.select("id", "features", "treeID", child.alias("node"), (F.col("depth") + (F.col("featureIndex") >= 0).cast("int")).alias("depth"))
+    paths = at.join(F.broadcast(tree), ["treeID", "node"]).groupBy("id").agg(F.avg(F.col("depth") + F.col("below")).alias("path"))
+    walked = paths.select("id", F.pow(F.lit(2.0), -F.col("path") / float(I.path_correction(128))).alias("walked"))
+    scored = model.score_samples(rows).select("id", "anomalyScore")
+    return scored.join(walked, "id").select("id", (F.abs(F.col("anomalyScore") - F.col("walked")) < 1e-9).alias("as_walked"))
+
+
+@query("m12_fitted_predictions", "SELECT true AS by_threshold, count(*) AS n, true AS within_contamination FROM embeddings")
+def _(t: Tables):
+    """Predictions of a fitted forest at the threshold that its contamination sets; e24's count is within that share."""
+    model, rows = _fitted(t)
+    out, cut = model.transform(rows), model.getThreshold()
+    agg = out.agg(F.min((F.col("prediction") == 1) == (F.col("anomalyScore") > cut)).alias("by_threshold"), F.count("*").alias("n"), F.sum("prediction").alias("p"))
+    return agg.select("by_threshold", "n", ((F.col("p") > 0) & (F.col("p") <= 0.1 * F.col("n"))).alias("within_contamination"))
+
+
+@query("m18_dense_epochs", "SELECT CAST(i AS INTEGER) AS epoch, n, true AS improves FROM range(3) r(i), (SELECT count(*) AS n FROM embeddings)")
+def _(t: Tables):
+    """Three epochs of a classifier with a hidden layer over all rows."""
+    from flowguard.functions.scalar import one_hot
+    from flowguard.ml import dense as D
+
+    net = D.Net(64, [D.Layer(32, "relu"), D.Layer(10, "softmax")]).initialise(1)
+    y = one_hot(F.pmod(F.col("label"), F.lit(10)), 10)
+    notes = D.fit_net(t.vectors(), net, F.col("x"), y, "categorical_crossentropy", epochs=3, workers=4, rate=0.01)
+    rows = [(n["epoch"], sum(p["n"] for p in n["partitions"]), k == 0 or n["loss"] < notes[k - 1]["loss"]) for k, n in enumerate(notes)]
+    return t.spark.createDataFrame(rows, "epoch int, n long, improves boolean")
+
+
+@query("m22_trained_autoencoder", "SELECT vec_id AS id, true AS flag_by_score, true AS better_than_nothing FROM embeddings")
+def _(t: Tables):
+    """A trained autoencoder's error per row; on average below that of giving back nothing."""
+    from flowguard.ml import dense as D
+
+    rows = t.vectors().select("id", F.col("x").alias("features"))
+    net, _ = D.fit_autoencoder(rows, "features", hidden=(32,), epochs=4, rate=0.01, workers=2)
+    scored = D.score_autoencoder(rows, net, "features", cutoff=0.012)
+    square = F.aggregate("features", F.lit(0.0), lambda a, v: a + v * v) / 64
+    better = scored.agg((F.avg("score") < F.avg(square)).alias("better_than_nothing"))
+    return scored.select("id", (F.col("is_anomalous") == (F.col("score") > 0.012)).alias("flag_by_score")).join(F.broadcast(better))
+
+
+@query("m15_m16_family_votes", "SELECT vec_id AS id, true AS votes_agree, true AS named FROM embeddings")
+def _(t: Tables):
+    """Fitted family forest: the predicted class has the most probability, and its text is restored."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from flowguard.ml import features as ML
+
+    rows = t.vectors().select("id", array_to_vector("x").alias("features"), F.pmod("label", F.lit(10)).cast("double").alias("label"))
+    out = ML.family_classifier([f"family{i}" for i in range(10)], trees=20, rate=0.5).fit(rows).transform(rows)
+    p = vector_to_array("probability")
+    at = F.col("prediction").cast("int")
+    return out.select("id", (F.get(p, at) == F.array_max(p)).alias("votes_agree"), (F.col("family") == F.concat(F.lit("family"), at.cast("string"))).alias("named"))

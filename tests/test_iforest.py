@@ -134,16 +134,16 @@ def test_sampling_everything_keeps_every_row(spark):
 def test_feature_subset():
     assert (I.subset_size(1.0, 3), I.subset_size(0.7, 3), I.subset_size(2, 3), I.subset_size(9, 3)) == (3, 2, 2, 3)
     x = np.random.default_rng(1).normal(size=(200, 6))
-    nodes = I.build_tree(x, np.ones(200, dtype=int), 8, 2, np.random.default_rng(2))
+    nodes = I.build_tree(x, np.ones(200, dtype=int), 8, 2, 2, 0)
     assert len({n[1] for n in nodes if n[1] >= 0}) <= 2
 
 
 def test_tree_invariants():
     x = np.random.default_rng(1).normal(size=(200, 3))
-    nodes = I.build_tree(x, np.ones(200, dtype=int), 6, 1.0, np.random.default_rng(2))
+    nodes = I.build_tree(x, np.ones(200, dtype=int), 6, 1.0, 2, 0)
     assert [n[0] for n in nodes] == list(range(len(nodes)))
     assert sum(n[5] for n in nodes) == 200
-    assert I.build_tree(np.ones((9, 2)), np.ones(9, dtype=int), 6, 1.0, np.random.default_rng(2)) == [(0, -1, -1.0, -1, -1, 9)]
+    assert I.build_tree(np.ones((9, 2)), np.ones(9, dtype=int), 6, 1.0, 2, 0) == [(0, -1, -1.0, -1, -1, 9)]
 
 
 def test_two_outliers_of_ten(spark):
@@ -207,3 +207,15 @@ def test_scores_equal_a_plain_walk(cloud):
             total += depth + float(I.path_correction(node["numInstance"]))
         want = 2 ** (-total / 5 / float(I.path_correction(64)))
         assert r["anomalyScore"] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("bootstrap", [False, True])
+@pytest.mark.parametrize("features", [1.0, 0.5])
+def test_both_builders_grow_the_same_trees(cloud, monkeypatch, bootstrap, features):
+    forest = IsolationForest(numTrees=6, maxSamples=300, maxFeatures=features, maxDepth=7, bootstrap=bootstrap, seed=5)
+    inside = forest.fit(cloud).nodes.sort_values(["treeID", "id"], ignore_index=True)
+    monkeypatch.setattr(I, "IN_TASK_SAMPLE", 10)
+    levels = forest.fit(cloud).nodes.sort_values(["treeID", "id"], ignore_index=True)
+    for c in inside.columns:
+        np.testing.assert_array_equal(inside[c].to_numpy(), levels[c].to_numpy())
+    assert inside["id"].max() > 30
