@@ -1,7 +1,9 @@
 """Chat formatting in budgeted windows, in DataFrame functions only.
 
-Turns of a conversation get prefix sums of their tokens. A turn belongs to window floor(prefix before it / span), so
-windows follow from prefix sums alone and are aligned with turns. Every window repeats the conversation's system turn and
+Turns of a conversation get prefix sums of their tokens, which cut it into spans of equal length. Turns inside a span make a
+window; the one turn that may lie across the end of a span joins the window before it if both fit the span, else the one
+behind it if that still fits, else it stands alone. So windows follow from prefix sums and the two spans next to a turn, are
+aligned with turns, and none holds more than a span but a single turn that is longer itself. Every window repeats the conversation's system turn and
 the last turns before it that fit the history budget; the loss mask covers assistant texts of a window's own turns only,
 so each target counts once, however often its turn is repeated.
 
@@ -64,27 +66,52 @@ def with_prefix(turns: DataFrame) -> DataFrame:
     )
 
 
-def format_chat(turns: DataFrame, span: int = SPAN, history: int = HISTORY) -> DataFrame:
+def with_home(placed: DataFrame, span: int) -> DataFrame:
+    """Add ``home``, the number of a turn's window, growing along the conversation: 2 * span number, or one more for a turn
+    that stands alone across the end of a span."""
+    end = F.floor((F.col("before") + F.col("tokens") - 1) / span)
+    slotted = placed.withColumn("slot", F.floor(F.col("before") / span)).withColumn("beyond", F.when(end > F.col("slot"), end))
+    across = F.col("beyond").isNotNull()
+    spans = slotted.groupBy("conv_id", "slot").agg(
+        F.sum(F.when(~across, F.col("tokens")).otherwise(0)).alias("u"), F.max(F.when(across, F.col("tokens"))).alias("x"), F.max("beyond").alias("r"))
+    # What begins in the span where the turn across ends; nothing may.
+    then = spans.select(F.col("conv_id").alias("_conv"), F.col("slot").alias("_slot"), F.col("u").alias("u2"), F.col("x").alias("x2"))
+    both = spans.filter("x IS NOT NULL").join(then, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("r") == F.col("_slot")), "left")
+    before = F.col("u") + F.col("x") <= span
+    behind = F.coalesce("u2", F.lit(0)) + F.when(F.col("u2") + F.col("x2") <= span, F.col("x2")).otherwise(0) + F.col("x") <= span
+    seat = F.when(before, 2 * F.col("slot")).when(behind, 2 * F.col("r")).otherwise(2 * F.col("slot") + 1)
+    seats = both.select(F.col("conv_id").alias("_conv"), F.col("slot").alias("_slot"), seat.alias("_seat"))
+    on = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("slot") == F.col("_slot"))
+    home = F.when(across, F.col("_seat")).otherwise(2 * F.col("slot"))
+    return slotted.join(seats, on, "left").select(*placed.columns, home.alias("home"))
+
+
+def format_chat(turns: DataFrame, span: int = SPAN, history: int = HISTORY, token_count: str | None = None) -> DataFrame:
     """Windows of conversations: one row per (conv_id, window).
 
-    Input columns conv_id, turn, role, text; others are ignored. Output: ``formatted`` (text), ``n_tokens``,
-    ``segments`` (array of role, repeated, and the code point range of the escaped text in ``formatted``) and
+    Input columns conv_id, turn, role, text; others are ignored but ``token_count``, a column with the tokens of each turn,
+    markers included; without it, and where it is null or below 1, words and signs are counted. Output: ``formatted`` (text),
+    ``n_tokens``, ``segments`` (array of role, repeated, and the code point range of the escaped text in ``formatted``) and
     ``loss`` (ranges of the texts under the loss mask). A null text or role is empty; rows with a null conv_id form one
     conversation; turns with the same number follow each other by role and text, and repeated rows are turns of their
-    own. A null turn comes first. Windows hold less than span + history + system tokens unless one turn alone is longer;
-    turns are never cut. The system turn is the first one of a conversation if its role is ``system``.
+    own. A null turn comes first. The own turns of a window hold at most ``span`` tokens, repeated turns before them at most
+    ``history``, and the system turn comes on top; only a turn that is longer than the span exceeds it, alone. Turns are never
+    cut. The system turn is the first one of a conversation if its role is ``system``.
     """
     if not 0 <= history <= span:
         raise ValueError("history must lie between 0 and span")
+    counted = tokens(F.coalesce(F.col("text"), F.lit("")))
+    if token_count:
+        given = F.col(f"`{token_count}`").cast("int")
+        counted = F.when(given >= 1, given).otherwise(counted)
     clean = turns.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"), counted.alias("tokens"),
     )
-    placed = with_prefix(clean.withColumn("tokens", tokens(F.col("text"))))
-    placed = placed.withColumn("home", F.floor(F.col("before") / span))
+    placed = with_home(with_prefix(clean), span)
     # A turn is history of later windows that start within the history budget after it.
-    last = F.floor((F.col("before") + history) / span)
-    seats = placed.withColumn("window", F.explode(F.sequence(F.col("home"), last)))
+    last = 2 * (F.floor((F.col("before") + history) / span) + 1)
+    seats = placed.withColumn("window", F.explode(F.sequence(F.col("home"), F.greatest(F.col("home"), last))))
     mine = F.col("home") == F.col("window")
     block = Window.partitionBy("conv_id", "window")
     seats = seats.withColumn("start", F.min(F.when(mine, F.col("before"))).over(block)).filter(
@@ -161,10 +188,15 @@ sized AS (SELECT *, len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t-
     || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '{END}' || chr(10)) AS chars FROM turns),
 placed AS (SELECT *, row_number() OVER w - 1 AS n, sum(tokens) OVER w - tokens AS before FROM sized
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)),
-homes AS (SELECT *, CAST(floor(before / {SPAN}) AS BIGINT) AS home FROM placed),
+slotted AS (SELECT *, CAST(before // {SPAN} AS BIGINT) AS slot, CAST(CASE WHEN (before + tokens - 1) // {SPAN} > before // {SPAN} THEN (before + tokens - 1) // {SPAN} END AS BIGINT) AS r FROM placed),
+spans AS (SELECT conv_id, slot, sum(CASE WHEN r IS NULL THEN tokens ELSE 0 END) AS u, max(tokens) FILTER (WHERE r IS NOT NULL) AS x, max(r) AS r FROM slotted GROUP BY ALL),
+seated AS (SELECT a.conv_id, a.slot, CASE WHEN a.u + a.x <= {SPAN} THEN 2 * a.slot
+    WHEN a.x + coalesce(b.u, 0) + CASE WHEN b.u + b.x <= {SPAN} THEN b.x ELSE 0 END <= {SPAN} THEN 2 * a.r ELSE 2 * a.slot + 1 END AS seat
+  FROM spans a LEFT JOIN spans b ON b.conv_id = a.conv_id AND b.slot = a.r WHERE a.x IS NOT NULL),
+homes AS (SELECT t.*, CASE WHEN t.r IS NULL THEN 2 * t.slot ELSE s.seat END AS home FROM slotted t LEFT JOIN seated s ON s.conv_id = t.conv_id AND s.slot = t.slot),
 windows AS (SELECT conv_id, home, min(before) AS start, min(n) AS first_n FROM homes GROUP BY ALL),
 seats AS (SELECT w.conv_id, w.home AS window_no, t.n, t.chars FROM windows w JOIN homes t ON t.conv_id = w.conv_id
-  AND (t.home = w.home OR (t.home < w.home AND w.start - t.before <= {HISTORY} AND w.home <= floor((t.before + {HISTORY}) / {SPAN})))),
+  AND (t.home = w.home OR (t.home < w.home AND w.start - t.before <= {HISTORY}))),
 held AS (SELECT conv_id, window_no, min(n) AS first_seat, sum(chars) AS chars FROM seats GROUP BY ALL),
 systems AS (SELECT conv_id, chars FROM homes WHERE n = 0 AND role = 'system'),
 formatted AS (SELECT h.conv_id, sum(h.chars + CASE WHEN first_seat > 0 THEN coalesce(s.chars, 0) ELSE 0 END) AS formatted_chars
