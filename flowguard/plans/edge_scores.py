@@ -15,13 +15,24 @@ from flowguard.sources.writers import result_csv
 
 def edges_of(messages: DataFrame, order: str = "id", value: str = "value") -> DataFrame:
     """Messages of a known width whose time and addresses parse, as (order, value, epoch, src, dst)."""
+    return _parsed(messages, order, value).filter("epoch is not null and src is not null and dst is not null")
+
+
+def _parsed(messages: DataFrame, order: str, value: str) -> DataFrame:
     fits, _ = split_by_width(messages, value=value)
     fields = fits.select(order, value, *edge_fields(F.col(value)))
-    edges = fields.select(
+    return fields.select(
         order, value, epoch_seconds(F.col("ts")).alias("epoch"), ip_to_long32(F.col("source")).alias("src"),
         ip_to_long32(F.col("destination")).alias("dst"),
     )
-    return edges.filter("epoch is not null and src is not null and dst is not null")
+
+
+def rejects(messages: DataFrame, order: str = "id", value: str = "value") -> DataFrame:
+    """(order, value, reason): messages that no edge is read from, by width, time or address."""
+    _, odd = split_by_width(messages, value=value)
+    reason = F.when(F.col("epoch").isNull(), "time").when(F.col("src").isNull() | F.col("dst").isNull(), "address")
+    unread = _parsed(messages, order, value).withColumn("reason", reason).filter("reason is not null").select(order, value, "reason")
+    return odd.select(order, value, F.lit("width").alias("reason")).unionByName(unread)
 
 
 def score_messages(

@@ -290,12 +290,18 @@ def _(t: Tables):
     return SyslogForest.fit(lines, numTrees=25).score(lines).select("id", "hostname", "anomalyScore", "is_anomalous")
 
 
-@query("p03_edge_messages", f"""SELECT event_id AS id, {FLOW_CSV} || ',MIDAS,"[]",' AS head FROM events""")
+@query("p03_edge_messages", f"""WITH s AS ({_filtered_sql(1000.0, 300, select="seq, max(score) AS score")})
+  SELECT event_id AS id, {FLOW_CSV} || ',MIDAS,"[]",' AS head, round(score / 3, 6) AS score_third, score > 9114476 AS flag, true AS score_in_message FROM events JOIN s ON seq = event_id""")
 def _(t: Tables):
+    """Result messages of the edge scorer: the whole message up to the score, the score, and the flag of the default cutoff."""
     from flowguard.plans.edge_scores import score_messages
 
     scored = score_messages(t.messages(48), "5m", mode="exact")
-    return scored.select("id", F.regexp_extract("value", r'^(.*,MIDAS,"\[\]",)', 1).alias("head"))
+    head = F.regexp_extract("value", r'^(.*,MIDAS,"\[\]",)', 1)
+    tail = F.split(F.substring(F.col("value"), F.length(head) + 1, F.length("value")), ",")
+    return scored.select(
+        "id", head.alias("head"), F.round(F.col("score") / 3, 6).alias("score_third"), (tail[1] == "1").alias("flag"),
+        ((F.abs(tail[0].cast("double") - F.col("score")) <= 1e-6) & (F.size(tail) == 2)).alias("score_in_message"))
 
 
 @query("t10_retrained_cutoff", f"""WITH s AS ({_filtered_sql(1000.0, 300, select="max(score) AS score")})

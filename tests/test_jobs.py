@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from flowguard.operators import clean, joins
 from flowguard.plans.netflow_autoencoder import NetflowAutoencoder
 from flowguard.plans.suite.base import Tables
+from flowguard.plans import edge_scores
 from flowguard.plans.two_view import TwoView
 from flowguard.sources.parse import parse_flow, parse_results
 from flowguard.sources.writers import OrdinalSink
@@ -72,3 +73,19 @@ def test_address_codes_read_the_table_at_most_twice(spark):
     flows = events.select(F.col("event_id").alias("id"), F.concat(F.lit("h"), F.col("user_id").cast("string")).alias("sa"), F.lit("10.0.0.1").alias("da"))
     coded = clean.encode_addresses(flows)
     assert scans(coded, "events") <= 2 and coded.filter("sa IS NULL OR da IS NULL").count() == 0
+
+
+def test_edge_and_autoencoder_rejects(spark):
+    messages = Tables(spark, FOLDER).messages(48).select("id", "value").filter("id < 40")
+    broken = F.when(F.col("id") == 1, F.lit("a,b,c")).when(F.col("id") == 2, F.regexp_replace("value", "^[^,]*", "no time")).when(
+        F.col("id") == 3, F.regexp_replace("value", "10\\.1\\.0\\.\\d+", "nowhere")).when(F.col("id") == 4, F.lit(None)).otherwise(F.col("value"))
+    odd = messages.withColumn("value", broken)
+    got = {r["id"]: r["reason"] for r in edge_scores.rejects(odd).collect()}
+    kept = {r["id"] for r in edge_scores.edges_of(odd).collect()}
+    assert got == {1: "width", 2: "time", 3: "address", 4: "width"} and kept == set(range(40)) - set(got)
+    flows = parse_flow(Tables(spark, FOLDER).messages(48), 48, keep=["id"])
+    flows = flows.withColumn("td", F.when(F.col("id") % 50 != 0, F.col("td")))
+    model = NetflowAutoencoder.fit(flows, hidden=(4,), epochs=1, workers=2)
+    scored = {r["id"] for r in model.score(flows).select("id").collect()}
+    rejected = {r["id"] for r in model.rejects(flows).collect()}
+    assert rejected and not rejected & scored
