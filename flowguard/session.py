@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,15 +41,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+_owner: ContextVar[list[str] | None] = ContextVar("owner of intermediate tables", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that ``checkpointed`` writes inside are deleted at the end: for jobs that have written what they are for by then,
+    such as a micro-batch. Nested owners delete their own."""
+    paths: list[str] = []
+    token = _owner.set(paths)
+    try:
+        yield paths
+    finally:
+        _owner.reset(token)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write the frame once as a table in the shared checkpoint folder and continue from it.
 
     A columnar table is smaller than checkpointed rows, and later reads take only the columns
-    they need. Lost executors cost a re-read, not the lineage in front of it.
+    they need. Lost executors cost a re-read, not the lineage in front of it. The table stays until its
+    ``temporary_tables`` block ends; outside of one it belongs to whoever reads the result.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    if (owner := _owner.get()) is not None:
+        owner.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

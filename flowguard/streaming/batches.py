@@ -15,15 +15,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowguard.functions.scalar import slot_number
 from flowguard.operators import edges as E
-from flowguard.session import checkpointed
+from flowguard.session import checkpointed, temporary_tables
 from flowguard.sources.message_log import Log, register
 
 Handle = Callable[[DataFrame, int], None]
 
 
 def run_batches(stream: DataFrame, handle: Handle, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Feed micro-batches to ``handle``; without an interval, process what is there and stop."""
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    """Feed micro-batches to ``handle``; without an interval, process what is there and stop.
+
+    Intermediate tables of a batch are deleted when its handler returns, so handlers write what they are for.
+    """
+
+    def handled(frame: DataFrame, batch_id: int) -> None:
+        with temporary_tables(frame.sparkSession):
+            handle(frame, batch_id)
+
+    writer = stream.writeStream.foreachBatch(handled).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 

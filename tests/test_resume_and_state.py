@@ -1,6 +1,7 @@
 """Training that goes on after a lost driver, the nearest of many categories, rings of last rows."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -131,3 +132,23 @@ def test_rings_hold_the_last_rows_over_batches(spark, tmp_path):
     assert state.count() == 7 + 5
     with pytest.raises(ValueError):
         last_rows_stream(stream(), 0, "key", "id")
+
+
+def test_micro_batches_leave_no_tables_behind(spark, tmp_path):
+    from flowguard.plans.suite.base import Tables
+    from flowguard.session import checkpointed, ensure_checkpoint_dir, temporary_tables
+
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    tables = lambda: {p.name for p in Path(folder).glob("table-*")}
+    before, path = tables(), str(tmp_path)
+    edge = Tables(spark, "/root/testdata/sf0.001").flow().select(F.col("id").alias("seq"), F.col("sa").alias("src"), F.col("da").alias("dst"), F.col("sec").alias("epoch"))
+    job = B.EdgeStream(spark, f"{path}/state", B.write_each(f"{path}/out"), 7200, cols=64)
+    _feed([edge.filter("seq < 300"), edge.filter("seq >= 300")], f"{path}/in", lambda: spark.readStream.schema(edge.schema).parquet(f"{path}/in"), job, path)
+    assert spark.read.parquet(f"{path}/out").count() == edge.count() and tables() == before
+    with temporary_tables(spark) as outer:
+        kept = checkpointed(edge.limit(3))
+        with temporary_tables(spark):
+            checkpointed(edge.limit(2))
+        assert kept.count() == 3 and len(outer) == 1 and len(tables()) == len(before) + 1
+    assert tables() == before
