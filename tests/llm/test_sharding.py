@@ -69,3 +69,28 @@ def test_query_over_the_whole_table(spark):
         data = texts[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 8, zlib.crc32(data), "rows", None)
         assert (r["shard"], r["slot"]) == (place[r["doc_id"]] % 24, place[r["doc_id"]] // 24)
+
+
+def scalar_place(i, n, seed):
+    """The permutation by its definition, one number at a time in Python integers."""
+    def mixed(z):
+        z &= 2**64 - 1
+        z = (z ^ (z >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+        z = (z ^ (z >> 27)) * 0x94D049BB133111EB % 2**64
+        return z ^ (z >> 31)
+
+    bits = max(1, -(-max(n - 1, 1).bit_length() // 2))
+    while True:
+        left, right = divmod(i, 2**bits)
+        for round_ in range(1, 7):
+            left, right = right, left ^ (mixed(right + mixed(round_ + seed * 256)) % 2**bits)
+        i = left * 2**bits + right
+        if i < n:
+            return i
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 100, 1000, 4097, 10**12])
+def test_places_equal_a_scalar_feistel_network(n):
+    rows = np.arange(n) if n < 5000 else np.array([0, 1, 12345, n // 2, n - 1])
+    for seed in (S.SEED, 3):
+        assert S.permute(rows, n, seed).tolist() == [scalar_place(int(i), n, seed) for i in rows]
