@@ -141,10 +141,16 @@ def _(t: Tables):
     return frame.agg((F.count_distinct("featureIndex") <= 16).alias("within_subset"), F.max("featureIndex").between(0, 63).alias("known_features"))
 
 
-@query("m13_training_summary", "SELECT vec_id >= 0 AS scored, count(*) AS n FROM embeddings GROUP BY 1")
-def _(t: Tables):
-    summary = I.IsolationForest(numTrees=10, maxSamples=64, seed=3).fit(t.vectors().select(F.col("x").alias("features"))).summary
-    return summary.anomalyScores.select(F.col("anomalyScore").between(0, 1).alias("scored")).groupBy("scored").agg(F.count("*").alias("n"))
+@query("m13_training_summary", "SELECT count(*) AS n, true AS scored, true AS flagged_by_threshold, true AS counted, true AS threshold_is_a_quantile FROM embeddings")
+def _(t: Tables):
+    """Training scores, flags and their number, and the threshold: the score at the rank that contamination leaves."""
+    model = I.IsolationForest(numTrees=10, maxSamples=64, seed=3).fit(t.vectors().select(F.col("x").alias("features")))
+    summary, cut = model.summary, model.getThreshold()
+    score = F.col("anomalyScore")
+    rank = F.greatest(F.ceil(F.count("*") * 0.9), F.lit(1))
+    return summary.predictions.agg(
+        F.count("*").alias("n"), F.min(score.between(0, 1)).alias("scored"), F.min((F.col("prediction") == 1) == (score > cut)).alias("flagged_by_threshold"),
+        (F.sum("prediction") == summary.numAnomalies).alias("counted"), ((F.count_if(score < cut) < rank) & (F.count_if(score <= cut) >= rank)).alias("threshold_is_a_quantile"))
 
 
 def _line_sql(what: str) -> str:

@@ -111,12 +111,16 @@ def _(t: Tables):
     return drawn.groupBy("tree").agg(F.sum("copies").alias("n"), F.count_distinct("id").alias("distinct_rows"), F.sum("here").alias("rows_of_the_table"))
 
 
-@query("m09_tree_nodes", "SELECT CAST(i AS INTEGER) AS tree, CAST(128 AS BIGINT) AS sampled_rows, true AS binary_tree FROM range(25) r(i)")
+@query("m09_tree_nodes", "SELECT CAST(i AS INTEGER) AS tree, CAST(128 AS BIGINT) AS sampled_rows, true AS binary_tree, true AS cuts_within_data FROM range(25) r(i) WHERE (SELECT count(*) FROM embeddings) >= 128")
 def _(t: Tables):
-    nodes = t.spark.createDataFrame(_forest(t, maxFeatures=0.5)[0].nodes, I.NODE_SCHEMA)
+    """Leaves hold the sample, nodes branch in two, and every cut lies within its feature's range over the whole table."""
+    model, rows = _forest(t, maxFeatures=0.5)
+    nodes = t.spark.createDataFrame(model.nodes, I.NODE_SCHEMA)
+    ranges = rows.select(F.posexplode("features").alias("featureIndex", "v")).groupBy("featureIndex").agg(F.min("v").alias("low"), F.max("v").alias("high"))
     leaf = F.col("featureIndex") < 0
-    return nodes.groupBy(F.col("treeID").alias("tree")).agg(
-        F.sum("numInstance").alias("sampled_rows"), (F.count_if(leaf) == F.count_if(~leaf) + 1).alias("binary_tree")
+    return nodes.join(ranges, "featureIndex", "left").groupBy(F.col("treeID").alias("tree")).agg(
+        F.sum("numInstance").alias("sampled_rows"), (F.count_if(leaf) == F.count_if(~leaf) + 1).alias("binary_tree"),
+        F.min(leaf | F.col("featureValue").between(F.col("low"), F.col("high"))).alias("cuts_within_data"),
     )
 
 

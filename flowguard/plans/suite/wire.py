@@ -103,13 +103,15 @@ def _(t: Tables):
     )
 
 
-@query("a17_feature_label_pairs", f"""WITH {VECTORS_SQL} SELECT id, x[1] AS x0, label, CASE WHEN label = 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS hot3
-  FROM vectors""")
+@query("a17_feature_label_pairs", f"""WITH {VECTORS_SQL}, cells AS (SELECT CASE WHEN label BETWEEN 0 AND 9 THEN label ELSE -1 END AS class, unnest(x) AS v, unnest(range(len(x))) AS j FROM vectors)
+  SELECT CAST(class AS INTEGER) AS class, CAST(j AS INTEGER) AS j, count(*) AS n, round(sum(v), 6) AS total, round(sum(v * v), 6) AS squares, 10 AS width, CASE WHEN class >= 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS hot
+  FROM cells GROUP BY ALL""")
 def _(t: Tables):
+    """All 64 values of all pairs, summed per class that the one-hot label names."""
     pairs = readers.feature_label_pairs(t.vectors(), "x", "label", 10)
-    plain = t.vectors().select("id", F.col("x").alias("features"), F.col("label").alias("y"))
-    joined = plain.join(pairs.withColumnRenamed("label", "hot"), "features")
-    return joined.select("id", F.col("features")[0].alias("x0"), F.col("y").alias("label"), F.col("hot")[3].alias("hot3"))
+    hot = F.aggregate("label", F.lit(0.0), lambda a, v: a + v)
+    cells = pairs.select((F.array_position("label", F.lit(1.0)) - 1).cast("int").alias("class"), F.size("label").alias("width"), hot.alias("hot"), F.posexplode("features").alias("j", "v"))
+    return cells.groupBy("class", "j", "width", "hot").agg(F.count("*").alias("n"), F.round(F.sum("v"), 6).alias("total"), F.round(F.sum(F.col("v") * F.col("v")), 6).alias("squares"))
 
 
 @query("a18_result_messages", f"""WITH numbered AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events)
