@@ -24,7 +24,8 @@ from flowguard.llm.tables import free_name
 
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, 1
-MIN_SCORE = 0.5
+MIN_SCORE = 0.5  # of a verbatim copy's alignment score
+ENOUGH = 50  # words: what scores like a verbatim run of so many counts, however long the item is
 SLACK = 8  # words of the document on either side of where the item would lie
 SLICE_WORDS = 1_000_000  # benchmark words held by a worker at a time: about 50 MB
 TABLE_BITS = 20
@@ -62,7 +63,7 @@ def owned_key(item: np.ndarray, word: np.ndarray) -> np.ndarray:
 def make_seeds(ids: list, texts: list[str]) -> Seeds:
     """All n-grams of the items."""
     data, offsets = text_buffers(pa.array(texts, pa.large_string()))
-    hashes, first = words(data, offsets, PUNCTUATION)
+    hashes, first = words(data, offsets, PUNCTUATION, singles=True)
     parts = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
     grams = [ngrams(p, SEED_WORDS) for p in parts]
     flat = np.concatenate([np.zeros(0, U), *grams])
@@ -81,7 +82,7 @@ def grams_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
     """Per chunk of a text column: first row, word hashes, first word of each text and the total, n-grams."""
     data, offsets = text_buffers(column)
     for a, b in chunks(offsets):
-        hashes, first = words(data, offsets[a : b + 1], PUNCTUATION)
+        hashes, first = words(data, offsets[a : b + 1], PUNCTUATION, singles=True)
         yield a, hashes, first, ngrams(hashes, SEED_WORDS)
 
 
@@ -110,6 +111,11 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def least_score(length):
+    """The alignment score from which a passage of an item of that many words counts."""
+    return MATCH * np.minimum(MIN_SCORE * np.asarray(length), ENOUGH)
+
+
 def score_bounds(seeds: Seeds, hashes: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """An upper bound of the alignment score of each item with the words lo to hi.
 
@@ -172,7 +178,7 @@ def _matches(seeds: Seeds, hashes: np.ndarray, first: np.ndarray, at: np.ndarray
     item, row, length = item[head], row[head], length[head]
     lo = np.maximum(first[row], begin[head] - SLACK)
     hi = np.minimum(first[row + 1], begin[tail] + length + SLACK)
-    can = np.flatnonzero(score_bounds(seeds, hashes, item, lo, hi) >= MIN_SCORE * MATCH * length)
+    can = np.flatnonzero(score_bounds(seeds, hashes, item, lo, hi) >= least_score(length))
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for i, r, a, b in zip(item[can].tolist(), row[can].tolist(), lo[can].tolist(), hi[can].tolist()):
         target, window, base = seeds.texts[i], hashes[a:b], int(first[r])
@@ -181,10 +187,10 @@ def _matches(seeds: Seeds, hashes: np.ndarray, first: np.ndarray, at: np.ndarray
             if len(known) > 10_000:
                 known.clear()
             score, end = align(target, window)
-            start = end - align(target[::-1], window[:end][::-1])[1] if score >= MIN_SCORE * MATCH * len(target) else 0
+            start = end - align(target[::-1], window[:end][::-1])[1] if score >= least_score(len(target)) else 0
             known[key] = (score / (MATCH * len(target)), start, end)
         score, start, end = known[key]
-        if score >= MIN_SCORE and score > best.get((r, i), (0.0,))[0]:
+        if score * MATCH * len(target) >= least_score(len(target)) - 1e-9 and score > best.get((r, i), (0.0,))[0]:
             best[r, i] = (score, a - base + start, a - base + end)
     for (r, i), (score, start, end) in best.items():
         yield r, i, score, start, end
@@ -193,13 +199,13 @@ def _matches(seeds: Seeds, hashes: np.ndarray, first: np.ndarray, at: np.ndarray
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> Column:
     """Array column of (item_id, score, start_word, end_word) for the documents' text column.
 
-    ``score`` is the alignment score over that of a verbatim copy (0.5 to 1); one entry per item, its best passage.
-    Null and empty texts match nothing, neither do items that are null or shorter than a seed. Repeated items each
+    ``score`` is the alignment score over that of a verbatim copy: 0.5 to 1, for items of over ``2 * ENOUGH`` words from
+    ``ENOUGH`` words' share on; one entry per item, its best passage. In scripts without blanks every letter is a word. Null and empty texts match nothing, neither do items that are null or shorter than a seed. Repeated items each
     match. The item id keeps its type.
     """
     kind = dict(benchmark.dtypes)[item_id]
     items = benchmark.select(F.col(f"`{item_id}`").alias("id"), F.col(f"`{item_text}`").alias("text")).filter("text IS NOT NULL")
-    size = items.agg(F.sum(F.regexp_count("text", F.lit(r"[A-Za-z0-9]+|[^\x00-\x7F]+")))).first()[0] or 0
+    size = items.agg(F.sum(F.regexp_count("text", F.lit("[A-Za-z0-9]+|[\u0e00-\u0e7f\u3000-\u9fff]|[^\x00-\x7f]+")))).first()[0] or 0
     slices = size // SLICE_WORDS + 1
     result = F.array().cast(f"array<struct<item_id:{kind},score:double,start_word:int,end_word:int>>")
     for k in range(slices):

@@ -90,10 +90,21 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
+def single_letters(b: np.ndarray) -> np.ndarray:
+    """Where letters of scripts without blanks begin or end: U+0E00 to U+0E7F and U+3000 to U+9FFF, three bytes each."""
+    cut = np.zeros(len(b) + 4, bool)
+    lead = np.flatnonzero((b >= 0xE0) & (b <= 0xE9))
+    if len(lead):
+        follows = b[np.minimum(lead + 1, len(b) - 1)]
+        lead = lead[((b[lead] == 0xE0) & ((follows == 0xB8) | (follows == 0xB9))) | (b[lead] >= 0xE3)]
+        cut[lead] = cut[lead + 3] = True
+    return cut[: len(b) + 1]
+
+
+def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR, singles: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of every word, first word of every text and the total) of a chunk of texts.
 
-    ``separator`` marks the bytes between words, ASCII only.
+    ``separator`` marks the bytes between words, ASCII only. With ``singles``, a letter of a script without blanks is a word.
     """
     b = LOWER[data[offsets[0] : offsets[-1]]]
     at = offsets - offsets[0]
@@ -106,6 +117,10 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARAT
     after = np.empty(len(b) + 1, bool)
     after[:-1], after[-1] = gap, True
     after[at[1:]] = True
+    if singles:
+        cut = single_letters(b)
+        before |= cut
+        after |= cut
     start = np.flatnonzero(~gap & before[:-1])
     end = np.flatnonzero(~gap & after[1:]) + 1
     up, down = _powers.upto(len(b) + 1)

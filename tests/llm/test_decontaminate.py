@@ -157,3 +157,44 @@ def test_bounds_are_never_below_the_score(monkeypatch):
             now = max(0, now + v)
             want = max(want, now)
         assert max(b, 0) == want >= D.align(seeds.texts[i], hashes[x:y])[0]
+
+
+def found_in(spark, docs, items):
+    frame = spark.createDataFrame([(i, t, "x", 0) for i, t in enumerate(docs)], SCHEMA)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = frame.select("doc_id", F.explode(D.benchmark_matches(frame, bench)).alias("m")).select("doc_id", "m.item_id", "m.score").collect()
+    return {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+
+
+def test_long_runs_of_long_items_count(spark):
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.randrange(4000)}" for _ in range(n)]
+    item = text(500)
+    edited = [w if i % 6 else "other" for i, w in enumerate(item[100:340])]
+    docs = [text(80) + item[130:370] + text(80), text(30) + edited + text(30), text(90) + item[10:50] + text(90), text(400), item]
+    got = found_in(spark, [" ".join(d) for d in docs], [" ".join(item)])
+    assert set(got) == {(0, 0), (1, 0), (4, 0)} and got[4, 0] == 1.0 and 0.45 < got[0, 0] < 0.5
+    short = text(60)  # unchanged: half of a short item
+    assert set(found_in(spark, [" ".join(text(9) + short[:33] + text(9)), " ".join(text(9) + short[:25] + text(9))], [" ".join(short)])) == {(0, 0)}
+
+
+def test_scripts_without_blanks(spark):
+    rng = random.Random(12)
+    signs = lambda n, a, b: "".join(chr(rng.randrange(a, b)) for _ in range(n))
+    han, thai, kana = signs(40, 0x4E00, 0x4F00), signs(40, 0xE01, 0xE2F), signs(40, 0x3041, 0x3090)
+    docs = [signs(50, 0x4E00, 0x4F00) + han + signs(50, 0x4E00, 0x4F00), "see " + thai + " end", kana[:15] + "x" + kana[16:], signs(300, 0x4E00, 0x4F00), han[:12] + signs(60, 0x4E00, 0x4F00), "plain words only " * 9]
+    assert set(found_in(spark, docs, [han, thai, kana, ""])) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_words_of_mixed_scripts():
+    from flowguard.llm.grams import PUNCTUATION, text_buffers, words
+
+    texts = ["ab \u4e2d\u6587 cd", "\u4e2d", "x\u4e2dy", "\u0e01\u0e02 \u00e9t\u00e9", "", "\uac00\ub098 \u30a2"]
+    import pyarrow as pa
+
+    data, offsets = text_buffers(pa.array(texts))
+    hashes, first = words(data, offsets, PUNCTUATION, singles=True)
+    assert np.diff(first).tolist() == [4, 1, 3, 3, 0, 2]
+    assert hashes[1] == hashes[4] == hashes[6]  # the same letter, alone or inside
+    plain, begin = words(data, offsets, PUNCTUATION)
+    assert np.diff(begin).tolist() == [3, 1, 1, 2, 0, 2]
