@@ -200,7 +200,8 @@ def detect(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.StructArray.from_arrays([names.take(code), pa.array(np.clip(share, 0.0, 1.0))], ["lang_pred", "score"])
 
     found = free_name(rows, "_guess")
-    hidden = rows.withColumn(found, guess(F.col(f"`{text}`")))
+    # Not deterministic as far as Spark knows: a filter on the answer must not run the model a second time.
+    hidden = rows.withColumn(found, guess.asNondeterministic()(F.col(f"`{text}`")))
     return hidden.select(*[F.col(f"`{c}`") for c in rows.columns], F.col(found)["lang_pred"].alias("lang_pred"), F.col(found)["score"].alias("score"))
 
 

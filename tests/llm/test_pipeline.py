@@ -66,3 +66,9 @@ def test_language_stage_drops_texts_without_letters_only(spark):
     assert np.mean([said[d] == lang[d] for d in said]) > 0.97  # also where the input says nothing
     kept = set(said)
     assert kept == {r[0] for r in docs.filter(F.col("doc_id") < 10**9).select("doc_id").collect()}
+
+
+def test_language_stage_runs_its_model_once_a_row(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plan = corpus_pipeline.known_language(spark, docs, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
