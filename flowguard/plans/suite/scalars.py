@@ -48,10 +48,14 @@ def _(t: Tables):
   WHEN 2 THEN 16909056 + c_custkey % 256 ELSE -1 END AS BIGINT) AS ip FROM customer""")
 def _(t: Tables):
     k = F.col("c_custkey")
-    h = F.lower(F.hex(k))
+
+    def groups(n):
+        """The low 32 bits as the last two groups of an address: a group holds 16 bits."""
+        return F.concat_ws(":", F.lower(F.hex(F.shiftrightunsigned(n, 16))), F.lower(F.hex(n.bitwiseAND(65535))))
+
     ip = (
-        F.when(k % 4 == 0, F.concat(F.lit("2001:db8:0:0:0:0:1:"), h)).when(k % 4 == 1, F.concat(F.lit("fe80::"), h, F.lit("%eth0")))
-        .when(k % 4 == 2, F.concat(F.lit("::ffff:1.2.3."), (k % 256).cast("string"))).otherwise(F.concat(F.lit("1::2::"), h))
+        F.when(k % 4 == 0, F.concat(F.lit("2001:db8:0:0:0:0:"), groups(k + 65536))).when(k % 4 == 1, F.concat(F.lit("fe80::"), groups(k), F.lit("%eth0")))
+        .when(k % 4 == 2, F.concat(F.lit("::ffff:1.2.3."), (k % 256).cast("string"))).otherwise(F.concat(F.lit("1::2::"), groups(k)))
     )
     return t("customer").select("c_custkey", F.coalesce(S.ip_to_long32(ip), F.lit(-1).cast("bigint")).alias("ip"))
 
