@@ -119,3 +119,11 @@ def test_results_do_not_depend_on_partitions(spark, flows):
     second = ordered(W.source_features(df.repartition(9), ["td"], ["sp"]))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     pd.testing.assert_frame_equal(first, second, rtol=1e-12)
+
+
+def test_windows_never_broadcast_their_seconds(flows):
+    """The copied table of seconds grows with time: however small Spark takes it for, it does not pass through the driver."""
+    _, df = flows
+    for frame in (W.trailing_means(df, ["td"]), W.trailing_distinct(df, ["sp"]), W.trailing_features(df, ["sp"], ["td"])):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan.split("explode(")[0]
