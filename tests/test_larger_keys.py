@@ -26,3 +26,9 @@ def against_sql(spark, tmp_path_factory):
 def test_keys_beyond_one_group_of_an_address(against_sql):
     keys = "SELECT unnest(range(65530, 65560) || range(99990, 100010) || range(4294900, 4294910) || range(0, 20)) AS c_custkey"
     assert (against_sql("c06_ipv6_low32", "customer", keys)["ip"] > 65536).sum() > 30
+
+
+@pytest.mark.parametrize("name", ["p03_edge_messages", "t10_retrained_cutoff"])
+def test_edges_of_users_beyond_dotted_bytes(against_sql, name):
+    users = "SELECT * REPLACE (user_id + (event_id % 3) * 65530 AS user_id) FROM '/root/testdata/sf0.001/events.parquet'"
+    assert len(against_sql(name, "events", users)) in (1, 1000)
