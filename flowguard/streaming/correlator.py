@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -103,15 +103,21 @@ class Correlator(StatefulProcessor):
         yield from self._fused(key, known, reason)
 
     def _fused(self, key, known, reason) -> Iterator[pd.DataFrame]:
+        row = self._fields(key, known, reason)
+        if row:
+            yield pd.DataFrame([row], columns=COLUMNS)
+
+    def _fields(self, key, known, reason) -> dict | None:
+        """The fused row, if it is to be sent."""
         anomalous = any(v[2] for v in known.values())
         featured = "AE" in known or "IFOREST" in known
         if self.only_anomalous and not (anomalous and (featured or not self.need_features)):
-            return
+            return None
         row = {"key": key[0], "first_arrival": min(v[4] for v in known.values()), "reason": reason, "flow": min(known.values(), key=lambda v: v[4])[5]}
         for m in MODULES:
             v = known.get(m)
             row[m.lower()] = None if v is None else {"score": v[1], "is_anomalous": v[2], "features": v[3]}
-        yield pd.DataFrame([row], columns=COLUMNS)
+        return row
 
     def close(self) -> None:
         pass
@@ -122,23 +128,29 @@ class EventTimeCorrelator(Correlator):
 
     A group takes results up to ``timeout_ms`` after its first one. With ``late="drop"`` a closed flow ignores results for
     another time-out, so what repeats is not sent again; then its state is removed. A flow's rows of one batch are held at once.
+    There are many flows of a few rows each, so rows come and go as plain rows, and a flow is stored as one value, open or
+    closed: every call to the state store is a message to the JVM and back.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.results = handle.getMapState("results", "module string", _STATE)
-        self.opened = handle.getValueState("opened", "at long")
+        self.results = handle.getValueState("results", f"opened long, results array<struct<{_STATE}>>")
         self.shut = handle.getValueState("shut", "until long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = {k[0]: tuple(v) for k, v in self.results.iterator()} if self.results.exists() else {}
-        opened = self.opened.get()[0] if self.opened.exists() else None
-        shut = self.shut.get()[0] if self.shut.exists() else None
-        before = opened, shut
-        pdf = pd.concat(list(rows))
-        pdf = pdf[pdf["module"].isin(MODULES) & pdf["at"].notna()].sort_values(["at", "arrival"], kind="stable")
-        for row, at in zip(pdf.itertuples(index=False), pdf["at"].astype("datetime64[ms]").astype("int64")):
-            at = int(at)
+    def _stored(self) -> tuple:
+        """(opened, shut, results): a flow is open or closed, not both."""
+        flow = self.results.get()
+        if flow is not None:
+            return flow[0], None, [tuple(v) for v in flow[1]]
+        closed = self.shut.get()
+        return None, None if closed is None else closed[0], []
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = opened, shut, results = self._stored()
+        known = {v[0]: v for v in results}
+        taken = [r for r in rows if r.module in MODULES and r.us is not None]
+        for row in sorted(taken, key=lambda r: (r.us, r.arrival)):
+            at = row.us // 1000
             if opened is not None and at > opened + self.timeout_ms:
                 yield from self._fused(key, known, "timeout")
                 known, opened, shut = {}, None, opened + 2 * self.timeout_ms
@@ -150,29 +162,42 @@ class EventTimeCorrelator(Correlator):
             if self.needed <= known.keys():
                 yield from self._fused(key, known, "complete")
                 known, opened, shut = {}, None, at + self.timeout_ms
-        self.results.clear()
-        for module, value in known.items():
-            self.results.updateValue((module,), value)
-        self._keep(opened, shut if self.late == "drop" else None, before)
-
-    def _keep(self, opened, shut, before) -> None:
-        """Store both times and set the timer that belongs to them: the time-out of an open flow, or the end of a closed one."""
-        for state, value in ((self.opened, opened), (self.shut, shut)):
-            state.clear() if value is None else state.update((value,))
-        if (opened, shut) != before:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-            if opened is not None or shut is not None:
-                self.handle.registerTimer(opened + self.timeout_ms + 1 if opened is not None else shut + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.opened.exists():
+        self._keep(opened, shut if self.late == "drop" else None, known, before)
+
+    def _keep(self, opened, shut, known, before) -> None:
+        """Store the flow and set the timer that belongs to it: the time-out of an open flow, or the end of a closed one."""
+        if (opened, len(known)) != (before[0], len(before[2])):
+            self.results.clear() if opened is None else self.results.update((opened, list(known.values())))
+        if shut != before[1]:
+            self.shut.clear() if shut is None else self.shut.update((shut,))
+        due, set_for = self._due(opened, shut), self._due(*before[:2])
+        if due != set_for:
+            if set_for is not None:
+                self.handle.deleteTimer(set_for)
+            if due is not None:
+                self.handle.registerTimer(due)
+
+    def _due(self, opened, shut) -> int | None:
+        if opened is not None:
+            return opened + self.timeout_ms + 1
+        return None if shut is None else shut + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        opened, _, results = self._stored()
+        if opened is None:
             self.shut.clear()
             return
-        opened = self.opened.get()[0]
-        yield from self._fused(key, {k[0]: tuple(v) for k, v in self.results.iterator()}, "timeout")
+        yield from self._fused(key, {v[0]: v for v in results}, "timeout")
         self.results.clear()
-        self._keep(None, opened + 2 * self.timeout_ms if self.late == "drop" else None, (opened, None))
+        if self.late == "drop":
+            shut = opened + 2 * self.timeout_ms
+            self.shut.update((shut,))
+            self.handle.registerTimer(self._due(None, shut))
+
+    def _fused(self, key, known, reason) -> Iterator[Row]:
+        row = self._fields(key, known, reason)
+        if row:
+            yield Row(**{c: Row(**row[c]) if isinstance(row[c], dict) else row[c] for c in COLUMNS})
 
 
 def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "0 seconds", **options) -> DataFrame:
@@ -183,7 +208,7 @@ def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "
     """
     flow = F.col("flow").cast("string") if "flow" in results.columns else F.lit(None).cast("string")
     narrow = results.select("key", "module", "score", "is_anomalous", "features", F.col("arrival").cast("long").alias("arrival"), flow.alias("flow"),
-                            *([F.col(time).alias("at")] if time else []))
+                            *([F.col(time).alias("at"), F.unix_micros(time).alias("us")] if time else []))
     if time:
         narrow = narrow.withWatermark("at", delay)
     elif options.get("late") == "drop":
@@ -193,7 +218,7 @@ def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    return narrow.groupBy("key").transformWithStateInPandas(
-        (EventTimeCorrelator if time else Correlator)(**options), outputStructType=FUSED, outputMode="Append",
-        timeMode="EventTime" if time else "ProcessingTime",
-    )
+    flows = narrow.groupBy("key")
+    if time:
+        return flows.transformWithState(EventTimeCorrelator(**options), outputStructType=FUSED, outputMode="Append", timeMode="EventTime")
+    return flows.transformWithStateInPandas(Correlator(**options), outputStructType=FUSED, outputMode="Append", timeMode="ProcessingTime")

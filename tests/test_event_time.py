@@ -1,6 +1,8 @@
 """Correlation by event time: no clock, no waiting, and the same flows however the results are cut into batches."""
 
+import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from flowguard.plans import aggregator
@@ -92,3 +94,41 @@ def test_streamed_lines_equal_the_batch_job(spark, tmp_path):
     column = "value" if "value" in got.columns else "line"
     assert sorted(got[column]) == sorted(want["value"]) and len(got) > 50
     assert sorted(got["key"]) == sorted(want["key"])
+
+
+def test_a_flow_costs_few_calls_of_the_state_store():
+    """Every call is a message to the JVM and back, and there are about as many flows as rows."""
+    from flowguard.streaming.correlator import EventTimeCorrelator
+
+    calls = []
+
+    class Handle:
+        def __getattr__(self, name):
+            return (lambda *_: State()) if name.startswith("get") else lambda *_: calls.append(name) or []
+
+    class State:
+        value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            self.update(None)
+
+    flow = EventTimeCorrelator("MIDAS_IFOREST", 10_000, "drop", only_anomalous=False)
+    flow.init(Handle())
+    columns = dict(key="a", score=1.0, is_anomalous=True, features="f", flow=None)
+    batches = [[("MIDAS", 1_000)], [("MIDAS", 2_000), ("AE", 3_000)], [("IFOREST", 4_000)], [("IFOREST", 5_000)]]
+    sent = []
+    for batch in batches:
+        calls.clear()
+        rows = [Row(module=m, arrival=at, us=at * 1000, at=pd.Timestamp(at, unit="ms"), **columns) for m, at in batch]
+        for out in flow.handleInputRows(("a",), iter(rows), None):
+            sent.append((out.reason, out.first_arrival, out.ae.features))
+        assert len(calls) <= 5
+    assert sent == [("complete", 1_000, "f")]
