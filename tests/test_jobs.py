@@ -89,3 +89,18 @@ def test_edge_and_autoencoder_rejects(spark):
     scored = {r["id"] for r in model.score(flows).select("id").collect()}
     rejected = {r["id"] for r in model.rejects(flows).collect()}
     assert rejected and not rejected & scored
+
+
+def test_two_view_reads_every_flow_once(spark):
+    flows = parse_flow(Tables(spark, FOLDER).messages(71), 71, keep=["id"])
+    n, reads = flows.count(), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    flows = flows.withColumn("ts", counted("ts"))
+    model = TwoView.fit(flows, ["...APRS.", "........"], hidden=(4,), epochs=2, workers=2)
+    assert reads.value == n
+    assert model.score(flows).filter("combined_error IS NOT NULL").count() == n and reads.value == 2 * n
