@@ -63,3 +63,19 @@ def test_rare_words_reach_the_syslog_forest(spark):
     frame = spark.createDataFrame(lines, "id long, line string")
     scores = {r["id"]: r["anomalyScore"] for r in SyslogForest.fit(frame, numTrees=25, maxSamples=62, seed=2).score(frame).collect()}
     assert len(scores) == 62 and scores[101] < scores[100]
+
+
+def test_forest_reads_every_flow_once(spark):
+    flows = parse_flow(Tables(spark, DATA).messages(48), 48, keep=["id"])
+    n, reads = flows.count(), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    flows = flows.withColumn("ts", counted("ts"))
+    model = NetflowForest.fit(flows, numTrees=5, seed=1)
+    assert reads.value == n
+    model.score(flows).collect()
+    assert reads.value == 2 * n
