@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from flowguard.functions import scalar as S
 from flowguard.operators.edges import cell_index, hash_params
 from flowguard.plans.suite.base import VECTORS_SQL, Tables, flow_sql, query
+from flowguard.session import scan_parallelism
 
 FLOW = flow_sql()
 
@@ -102,8 +103,12 @@ def _(t: Tables):
     history = F.when(e % 4 == 0, "ShADadFf").when(e % 4 == 2, "Sr^").when(e % 4 == 3, "hAdDaFT")
     # Every seventh history is too long or has a letter of no alphabet: it is null, not cut.
     history = F.when(e % 14 == 0, F.repeat(F.lit("ShAD"), 10)).when(e % 7 == 0, "ShX").otherwise(history)
-    hot = t("events").select(e.alias("id"), S.history_one_hot(history).alias("h"))
-    cells = hot.select("id", F.posexplode("h").alias("pos", "row")).select("id", "pos", F.posexplode("row").alias("letter", "v"))
+    # A row becomes 598 cells: ids are dealt over all cores before, and the sums need no other shuffle.
+    ids = t("events").select("event_id").repartition(scan_parallelism(t.spark), "event_id")
+    hot = ids.select(e.alias("id"), S.history_one_hot(history).alias("h"))
+    # An inner explode would encode every history again to see that it is not null.
+    cells = hot.select("id", F.posexplode_outer("h").alias("pos", "row")).filter("pos IS NOT NULL")
+    cells = cells.select("id", "pos", F.posexplode_outer("row").alias("letter", "v"))
     return cells.groupBy("id").agg(
         F.sum(F.col("v") * F.col("letter") * (F.col("pos") + 1)).cast("bigint").alias("weighted"), F.sum("v").cast("bigint").alias("ones")
     )

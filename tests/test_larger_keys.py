@@ -32,3 +32,15 @@ def test_keys_beyond_one_group_of_an_address(against_sql):
 def test_edges_of_users_beyond_dotted_bytes(against_sql, name):
     users = "SELECT * REPLACE (user_id + (event_id % 3) * 65530 AS user_id) FROM '/root/testdata/sf0.001/events.parquet'"
     assert len(against_sql(name, "events", users)) in (1, 1000)
+
+
+def test_histories_are_encoded_once_and_on_all_cores(spark):
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["c13_history_one_hot"](spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "lambdafunction" in line]
+    # The table is one file; its cells are summed where its ids were dealt to.
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
