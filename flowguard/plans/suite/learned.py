@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from flowguard.ml import text as X
 from flowguard.plans.suite.base import Tables, query
 from flowguard.plans.suite.models import _WORDS
+from flowguard.session import checkpointed
 
 
 def _beyond(n: int) -> str:
@@ -45,7 +46,8 @@ def _(t: Tables):
     from flowguard.ml.sparse_forest import SparseForest
 
     docs = t("documents").select(F.col("doc_id").alias("id"), "text", (F.floor(F.col("doc_id") / 3) * 7).cast("bigint").alias("sec"))
-    weights = X.tfidf(docs, X.fit_vocabulary(docs, "text"), "text").select("id", "term", "weight")
+    counts = checkpointed(X.term_counts(docs, "text"))
+    weights = X.tfidf(docs, X.fit_vocabulary(docs, "text", counts=counts), "text", counts=counts).select("id", "term", "weight")
     columns = ["treeID", "id", "term", "kind", "featureValue", "leftChild", "rightChild", "numInstance"]
     forest = SparseForest(pd.DataFrame(_SPARSE_NODES, columns=columns), 11, (60, 600))
     return forest.score(weights, docs.select("id", "sec")).select("id", F.round("score", 9).alias("score"))

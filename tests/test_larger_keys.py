@@ -44,3 +44,24 @@ def test_histories_are_encoded_once_and_on_all_cores(spark):
     assert not [line for line in plan.splitlines() if "Filter" in line and "lambdafunction" in line]
     # The table is one file; its cells are summed where its ids were dealt to.
     assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_texts_are_tokenised_once_for_vocabulary_and_weights(spark):
+    from pyspark.sql import functions as F
+
+    from flowguard.ml import text as X
+    from flowguard.session import checkpointed
+
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    plain = spark.createDataFrame([(1, "one two two"), (2, "two three"), (3, None)], "id long, message string")
+    docs = plain.withColumn("message", counted("message"))
+    counts = checkpointed(X.term_counts(docs))
+    got = X.tfidf(docs, X.fit_vocabulary(docs, counts=counts), counts=counts).collect()
+    assert reads.value == 3
+    assert sorted(got) == sorted(X.tfidf(plain, X.fit_vocabulary(plain)).collect())
