@@ -97,3 +97,15 @@ def test_exact_filtering_over_frames_and_factors(spark, stream, factor, batch):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
     np.testing.assert_allclose(got, want, rtol=1e-8, atol=1e-8)
+
+
+@pytest.mark.parametrize("mode", ["sketch", "exact"])
+def test_touched_cells_are_dealt_to_tasks_by_rows(spark, monkeypatch, mode):
+    rows = [(i, i % 7, i % 3, 1 + i // 100) for i in range(900)]
+    df = spark.createDataFrame(rows, "seq long, src long, dst long, slot long")
+    burst = lambda: E.relational_burst(df, mode=mode)
+    want = sorted(map(tuple, burst().collect()))
+    monkeypatch.setattr(E, "TASK_ROWS", 50)
+    dealt = burst()
+    assert f", {5400 // 50 if mode == 'sketch' else 2700 // 50}), REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, dealt.collect())) == want
