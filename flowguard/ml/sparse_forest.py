@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +112,47 @@ def term_cells(weights: DataFrame, docs: DataFrame) -> DataFrame:
         F.sum("weight").alias("s"), F.sum(F.col("weight") * F.col("weight")).alias("q"))
 
 
+def tree_cells(part: pa.Table, windows) -> tuple:
+    """(copies, names, feature, row, value) of one tree's sample: copies per row, and cells sorted by feature and row without
+    zeros. ``names`` gives the (term, kind) of a feature's number.
+
+    Terms stay Arrow text and become numbers in their order; cells are three plain arrays.
+    """
+    marks = part.filter(pc.is_null(part.column("term")))
+    order = np.argsort(marks.column("row").to_numpy())
+    known, copies = marks.column("row").to_numpy()[order], marks.column("weight").to_numpy()[order].astype(np.int64)
+    cells = part.filter(pc.is_valid(part.column("term")))
+    coded = cells.column("term").combine_chunks().dictionary_encode()
+    terms, by_name = coded.dictionary, pc.array_sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(terms), np.int64)
+    place[by_name] = np.arange(len(terms))
+    width = 1 + 2 * len(windows)
+    # One number per cell: its term, kind and row.
+    spot = place[coded.indices.to_numpy()] * (width * len(known)) + np.searchsorted(known, cells.column("row").to_numpy())
+    weight = cells.column("weight").to_numpy()
+    own = ~np.isnan(weight)
+    keys, values = [spot[own]], [weight[own]]
+    spot = spot[~own]
+    for i, w in enumerate(windows):
+        s, q, n = (np.nan_to_num(cells.column(f"{c}_{w}").to_numpy()[~own]) for c in ("s", "q", "n"))
+        for j, value in enumerate(moments(s, q, n)):
+            keys.append((spot + (1 + 2 * i + j) * len(known))[value != 0])
+            values.append(value[value != 0])
+    keys[0], values[0] = keys[0][values[0] != 0], values[0][values[0] != 0]
+    key, value = np.concatenate(keys), np.concatenate(values)
+    del keys, values
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    row, key = (key % max(len(known), 1)).astype(np.int32), key // max(len(known), 1)
+    numbers = key[np.flatnonzero(np.diff(key, prepend=-1))]
+    feature = np.cumsum(np.diff(key, prepend=-1) != 0, dtype=np.int32) - np.int32(1)
+
+    def names(number: int) -> tuple[str, int]:
+        return terms[int(by_name[numbers[number] // width])].as_py(), int(numbers[number] % width)
+
+    return copies, names, feature, row, value
+
+
 @dataclass
 class SparseForest:
     """Fitted forest: nodes name their feature by term and kind; bounded by trees and height."""
@@ -151,25 +193,14 @@ class SparseForest:
         empty = sample.select("tree", "row", F.lit(None).cast("string").alias("term"), F.col("copies").cast("double").alias("weight"), *[F.lit(None).cast("double").alias(c) for c in names])
 
         def build(part: pa.Table) -> pa.Table:
-            frame = part.to_pandas()
-            tree = int(frame["tree"].iloc[0])
-            known = frame[frame["term"].isna()].sort_values("row")
-            cells = frame[frame["term"].notna()]
-            long = [cells.loc[cells["weight"].notna(), ["row", "term", "weight"]].assign(kind=0).rename(columns={"weight": "value"})]
-            windowed = cells[cells["weight"].isna()]
-            for i, w in enumerate(windows):
-                s, q, n = (windowed[f"{c}_{w}"].fillna(0).to_numpy() for c in ("s", "q", "n"))
-                for j, value in enumerate(moments(s, q, n)):
-                    long.append(windowed[["row", "term"]].assign(value=value, kind=1 + 2 * i + j))
-            cells = pd.concat(long).query("value != 0").sort_values(["term", "kind", "row"], kind="stable")
-            name = cells[["term", "kind"]].drop_duplicates()
-            feature = (cells[["term", "kind"]] != cells[["term", "kind"]].shift()).any(axis=1).cumsum().to_numpy() - 1
-            at = np.searchsorted(known["row"].to_numpy(), cells["row"].to_numpy())
-            made = sparse_tree(len(known), known["weight"].to_numpy().astype(np.int64), feature, at, cells["value"].to_numpy(), maxDepth, [seed, tree])
+            tree = part.column("tree")[0].as_py()
+            copies, names, feature, at, value = tree_cells(part, windows)
+            del part
+            made = sparse_tree(len(copies), copies, feature, at, value, maxDepth, [seed, tree])
             out = pd.DataFrame(made, columns=["id", "feature", "featureValue", "leftChild", "rightChild", "numInstance"])
             split = out["feature"].to_numpy()
-            term, kind = (np.append(name[c].to_numpy(), v)[split] if len(name) else np.array([v] * len(out), object) for c, v in (("term", None), ("kind", -1)))
-            table = {"treeID": np.full(len(out), tree), "id": out["id"], "term": term, "kind": kind.astype(np.int32)}
+            term, kind = zip(*[names(f) if f >= 0 else (None, -1) for f in split.tolist()])
+            table = {"treeID": np.full(len(out), tree), "id": out["id"], "term": term, "kind": np.array(kind, np.int32)}
             table |= {c: out[c] for c in ("featureValue", "leftChild", "rightChild", "numInstance")}
             types = [pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int64()]
             return pa.table([pa.array(v, t, from_pandas=True) for v, t in zip(table.values(), types)], names=list(table))

@@ -123,3 +123,26 @@ def test_saved_syslog_forest_scores_alike_and_names_rejects(spark, tmp_path):
     a, b = ({r["id"]: (r["anomalyScore"], r["is_anomalous"]) for r in m.score(frame).collect()} for m in (model, syslog.SyslogForest.load(str(tmp_path / "model"))))
     assert a == b and len(a) == 100 and all(-1 <= s <= 0 and f == (s < syslog.CUTOFF) for s, f in a.values())
     assert {r["id"] for r in syslog.rejects(frame).collect()} == {200, 201}
+
+
+def test_cells_of_a_tree_take_little_more_than_their_numbers():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng, rows, n = np.random.default_rng(1), 64, 40_000
+    term = np.array([f"term{i:05d}" for i in rng.permutation(n)])
+    names = [f"{c}_{w}" for c in ("n", "s", "q") for w in (10, 60, 600)]
+    sums = {c: np.append(rng.random(n) + (c[0] == "n") * 5, np.full(rows, np.nan)) for c in names}
+    part = pa.table({
+        "tree": np.zeros(n + rows, int), "row": np.append(rng.integers(0, rows, n), np.arange(rows)) * 3, "term": pa.array([*term, *[None] * rows]),
+        "weight": pa.array([None] * n + [2.0] * rows), **{c: pa.array(v, from_pandas=True) for c, v in sums.items()}})
+    tracemalloc.start()
+    copies, name, feature, row, value = S.tree_cells(part, (10, 60, 600))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert copies.tolist() == [2] * rows and len(value) <= 6 * n and (value != 0).all()
+    assert (np.diff(feature) >= 0).all() and [name(f) for f in feature[[0, -1]]][0][0] < name(feature[-1])[0]
+    at = int(np.flatnonzero(part.column("term").to_numpy()[:n] == name(0)[0])[0])
+    assert name(0)[1] == 1 and value[0] == sums["s_10"][at] / sums["n_10"][at] and row[0] * 3 == part.column("row")[at].as_py()
+    assert peak < 6 * n * 60, peak / (6 * n)
