@@ -109,3 +109,21 @@ def test_touched_cells_are_dealt_to_tasks_by_rows(spark, monkeypatch, mode):
     dealt = burst()
     assert f", {5400 // 50 if mode == 'sketch' else 2700 // 50}), REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, dealt.collect())) == want
+
+
+@pytest.mark.parametrize("mode", ["sketch", "exact"])
+def test_a_slot_over_several_chunks_is_dealt_by_cell_once(spark, mode):
+    """A hot entity whose slots span many chunks; chunks are made once and shuffled once to their cells."""
+    rng = np.random.default_rng(8)
+    n = 600
+    pdf = pd.DataFrame({"seq": np.arange(n) * 5, "src": np.where(rng.random(n) < 0.8, 7, 3), "dst": 9, "slot": 1 + np.arange(n) // 150 * 2})
+    burst = E.filtered_burst(spark.createDataFrame(pdf), mode=mode, cols=16, seed=5, threshold=5.0, factor=0.99, bits=BITS)
+    want = M.filtering(events(pdf), E.hash_params(2, 5), 16 if mode == "sketch" else None, 5.0, 0.99)
+    np.testing.assert_allclose(scores(burst), want, rtol=1e-8, atol=1e-8)
+
+
+def test_exact_filtering_sends_touched_cells_to_their_counts_once(spark):
+    rows = [(i, i % 7, i % 3, 1 + i // 100) for i in range(900)]
+    plan = E.filtered_burst(spark.createDataFrame(rows, "seq long, src long, dst long, slot long"), mode="exact")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join") <= 2 and text.count("Generate explode") == 2  # touched cells and their chunks
