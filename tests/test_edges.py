@@ -127,3 +127,15 @@ def test_exact_filtering_sends_touched_cells_to_their_counts_once(spark):
     plan = E.filtered_burst(spark.createDataFrame(rows, "seq long, src long, dst long, slot long"), mode="exact")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Join") <= 2 and text.count("Generate explode") == 2  # touched cells and their chunks
+
+
+@pytest.mark.parametrize("step", [False, True])
+def test_filtered_scores_are_dealt_to_tasks_by_rows(spark, monkeypatch, step):
+    rows = [(i, i % 7, i % 3, 1 + i // 100) for i in range(900)]
+    df = spark.createDataFrame(rows, "seq long, src long, dst long, slot long")
+    burst = lambda: E.filtered_burst_step(df, None, threshold=5.0)[0] if step else E.filtered_burst(df, threshold=5.0)
+    want = sorted(map(tuple, burst().collect()))
+    monkeypatch.setattr(E, "TASK_ROWS", 50)
+    dealt = burst()
+    assert f", {2700 // 50}), REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, dealt.collect())) == want
