@@ -50,11 +50,11 @@ class Arrivals(Tables):
         _feed(self.parts, f"{self.path}/arrivals", lambda: build(self), handle, self.path)
 
 
-def _feed(parts: list[DataFrame], folder: str, build, handle, path: str) -> None:
+def _feed(parts: list[DataFrame], folder: str, build, handle, path: str, partitions: int | None = None) -> None:
     """Append each part to the folder and run the stream over what is new."""
     for part in parts:
         part.write.mode("append").parquet(folder)
-        B.run_batches(build(), handle, f"{path}/progress").awaitTermination()
+        B.run_batches(build(), handle, f"{path}/progress", partitions=partitions).awaitTermination()
 
 
 def _scratch(t: Tables) -> str:
@@ -173,7 +173,7 @@ def correlated(t: Tables, parts: int, path: str, repeats: int = 1, shift_days: i
         rows = t.spark.readStream.schema(sent.schema).parquet(f"{path}/in")
         return correlate_stream(rows, time="at", rule="MIDAS_IFOREST", late="drop", only_anomalous=False, timeout_ms=2 * _DAY_MS)
 
-    _feed([*released, end], f"{path}/in", stream, B.write_each(f"{path}/out"), path)
+    _feed([*released, end], f"{path}/in", stream, B.write_each(f"{path}/out"), path, B.state_partitions(t.spark))
     return t.spark.read.parquet(f"{path}/out").drop("batch")
 
 

@@ -8,7 +8,9 @@ into batches.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -29,6 +31,11 @@ FUSED = (
 _STATE = "module string, score double, is_anomalous boolean, features string, arrival long, flow string"
 COLUMNS = ["key", *[m.lower() for m in MODULES], "first_arrival", "flow", "reason"]
 
+#: Flows by event time are kept in so many buckets, whatever their number.
+BUCKETS = 4096
+_TAKEN = ("key", "module", "us", "arrival", "score", "is_anomalous", "features", "flow")
+_EVENT_ORDER = itemgetter(2, 3)
+
 
 def first_per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keep the first result per flow and detector, so that repeats stay on their side of the shuffle.
@@ -124,75 +131,97 @@ class Correlator(StatefulProcessor):
 
 
 class EventTimeCorrelator(Correlator):
-    """State per flow: first results, the event time of the first one, and until when a closed flow stays closed.
+    """State per bucket of flows: of an open flow its first results and the event time of the first one, of a closed one until
+    when it stays closed.
 
     A group takes results up to ``timeout_ms`` after its first one. With ``late="drop"`` a closed flow ignores results for
-    another time-out, so what repeats is not sent again; then its state is removed. A flow's rows of one batch are held at once.
-    There are many flows of a few rows each, so rows come and go as plain rows, and a flow is stored as one value, open or
-    closed: every call to the state store is a message to the JVM and back.
+    another time-out, so what repeats is not sent again; then its state is removed. A bucket's rows of one batch are held at once.
+    There are many flows of a few rows each, and every call to the state store is a message to the JVM and back: flows that
+    share a bucket are read, stored and timed together, as texts that need no conversion field by field. A bucket has a timer at
+    or before the time its next flow is due; one that comes too early sets the next.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.results = handle.getValueState("results", f"opened long, results array<struct<{_STATE}>>")
-        self.shut = handle.getValueState("shut", "until long")
+        self.results = handle.getValueState("results", "flows string")  # [[key, opened, [result, ...]], ...]
+        self.shut = handle.getValueState("shut", "flows string")  # [[key, until], ...]
 
-    def _stored(self) -> tuple:
-        """(opened, shut, results): a flow is open or closed, not both."""
-        flow = self.results.get()
-        if flow is not None:
-            return flow[0], None, [tuple(v) for v in flow[1]]
-        closed = self.shut.get()
-        return None, None if closed is None else closed[0], []
+    def _stored(self) -> tuple[dict, dict]:
+        """Open flows (key, opened, results) by key, and until when others are closed; a flow is open or closed, not both."""
+        opened, shut = self.results.get(), self.shut.get()
+        return {f[0]: f for f in json.loads(opened[0])} if opened else {}, dict(json.loads(shut[0])) if shut else {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = opened, shut, results = self._stored()
-        known = {v[0]: v for v in results}
-        taken = [r for r in rows if r.module in MODULES and r.us is not None]
-        for row in sorted(taken, key=lambda r: (r.us, r.arrival)):
-            at = row.us // 1000
+        came, pick = {}, None
+        for row in rows:
+            pick = pick or itemgetter(*map(row.__fields__.index, _TAKEN))  # a row is slow to search by name
+            taken = pick(row)
+            if taken[1] in MODULES and taken[2] is not None:
+                came.setdefault(taken[0], []).append(taken)
+        if not came:
+            return
+        opened, shut = self._stored()
+        before, changed = self._due(opened, shut), [False, False]
+        for flow, taken in came.items():
+            first, until = opened.pop(flow, None), shut.pop(flow, None)
+            left, still = yield from self._taken(flow, taken, first, until)
+            changed = [changed[0] or left is not first, changed[1] or still != until]
+            if left is not None:
+                opened[flow] = left
+            elif still is not None:
+                shut[flow] = still
+        self._keep(opened, shut, changed)
+        due = self._due(opened, shut)
+        if due is not None and (before is None or due < before):
+            self.handle.registerTimer(due)
+
+    def _taken(self, flow, rows, stored, shut) -> Iterator[Row]:
+        """Takes a flow's rows of one batch in event order; returns what is to be stored for it: the open flow, or until when it is closed."""
+        opened, known = (stored[1], {v[0]: v for v in stored[2]}) if stored else (None, {})
+        before = opened, len(known)
+        for row in sorted(rows, key=_EVENT_ORDER) if len(rows) > 1 else rows:
+            at = row[2] // 1000
             if opened is not None and at > opened + self.timeout_ms:
-                yield from self._fused(key, known, "timeout")
+                yield from self._fused((flow,), known, "timeout")
                 known, opened, shut = {}, None, opened + 2 * self.timeout_ms
             if self.late == "drop" and shut is not None and at <= shut:
                 continue
             shut = None
             opened = at if opened is None else opened
-            known.setdefault(row.module, self._value(row))
+            if row[1] not in known:
+                known[row[1]] = row[1], row[4], bool(row[5]), row[6], int(row[3]), row[7]
             if self.needed <= known.keys():
-                yield from self._fused(key, known, "complete")
+                yield from self._fused((flow,), known, "complete")
                 known, opened, shut = {}, None, at + self.timeout_ms
-        self._keep(opened, shut if self.late == "drop" else None, known, before)
-
-    def _keep(self, opened, shut, known, before) -> None:
-        """Store the flow and set the timer that belongs to it: the time-out of an open flow, or the end of a closed one."""
-        if (opened, len(known)) != (before[0], len(before[2])):
-            self.results.clear() if opened is None else self.results.update((opened, list(known.values())))
-        if shut != before[1]:
-            self.shut.clear() if shut is None else self.shut.update((shut,))
-        due, set_for = self._due(opened, shut), self._due(*before[:2])
-        if due != set_for:
-            if set_for is not None:
-                self.handle.deleteTimer(set_for)
-            if due is not None:
-                self.handle.registerTimer(due)
-
-    def _due(self, opened, shut) -> int | None:
-        if opened is not None:
-            return opened + self.timeout_ms + 1
-        return None if shut is None else shut + 1
+        if opened is None:
+            return None, shut if self.late == "drop" else None
+        return stored if (opened, len(known)) == before else [flow, opened, list(known.values())], None
+
+    def _keep(self, opened: dict, shut: dict, changed) -> None:
+        for state, flows, new in ((self.results, list(opened.values()), changed[0]), (self.shut, list(shut.items()), changed[1])):
+            if new:
+                state.update((json.dumps(flows),)) if flows else state.clear()
+
+    def _due(self, opened: dict, shut: dict) -> int | None:
+        """When the next flow times out, or the next closed one may be forgotten."""
+        ends = [f[1] + self.timeout_ms + 1 for f in opened.values()]
+        ends.extend(until + 1 for until in shut.values())
+        return min(ends, default=None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        opened, _, results = self._stored()
-        if opened is None:
-            self.shut.clear()
-            return
-        yield from self._fused(key, {v[0]: v for v in results}, "timeout")
-        self.results.clear()
-        if self.late == "drop":
-            shut = opened + 2 * self.timeout_ms
-            self.shut.update((shut,))
-            self.handle.registerTimer(self._due(None, shut))
+        now = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        opened, shut = self._stored()
+        over = [f for f in opened.values() if f[1] + self.timeout_ms < now]
+        for flow, first, results in over:
+            yield from self._fused((flow,), {v[0]: v for v in results}, "timeout")
+            del opened[flow]
+            if self.late == "drop":
+                shut[flow] = first + 2 * self.timeout_ms
+        kept = {flow: until for flow, until in shut.items() if until >= now}
+        self._keep(opened, kept, (bool(over), bool(over) or len(kept) < len(shut)))
+        due = self._due(opened, kept)
+        if due is not None:
+            self.handle.registerTimer(due)
 
     def _fused(self, key, known, reason) -> Iterator[Row]:
         row = self._fields(key, known, reason)
@@ -200,11 +229,12 @@ class EventTimeCorrelator(Correlator):
             yield Row(**{c: Row(**row[c]) if isinstance(row[c], dict) else row[c] for c in COLUMNS})
 
 
-def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "0 seconds", **options) -> DataFrame:
+def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "0 seconds", buckets: int = BUCKETS, **options) -> DataFrame:
     """Fused rows from a stream of (key, module, score, is_anomalous, features, arrival), and ``flow``, a text that the first
     result hands on, if there is such a column.
 
-    With ``time``, a timestamp column, time-outs follow event time with results at most ``delay`` out of order.
+    With ``time``, a timestamp column, time-outs follow event time with results at most ``delay`` out of order. The flows of a
+    bucket are stored together: more ``buckets`` suit very many open flows and small batches; the number stays with the checkpoint.
     """
     flow = F.col("flow").cast("string") if "flow" in results.columns else F.lit(None).cast("string")
     narrow = results.select("key", "module", "score", "is_anomalous", "features", F.col("arrival").cast("long").alias("arrival"), flow.alias("flow"),
@@ -218,7 +248,7 @@ def correlate_stream(results: DataFrame, time: str | None = None, delay: str = "
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    flows = narrow.groupBy("key")
     if time:
+        flows = narrow.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).groupBy("bucket")
         return flows.transformWithState(EventTimeCorrelator(**options), outputStructType=FUSED, outputMode="Append", timeMode="EventTime")
-    return flows.transformWithStateInPandas(Correlator(**options), outputStructType=FUSED, outputMode="Append", timeMode="ProcessingTime")
+    return narrow.groupBy("key").transformWithStateInPandas(Correlator(**options), outputStructType=FUSED, outputMode="Append", timeMode="ProcessingTime")
